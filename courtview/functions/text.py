@@ -8,7 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from courtview.params import PRIORITY_ORDER, PRIORITY_SHORT, Rule
+from courtview.params import PRIORITY_ORDER, PRIORITY_SHORT, PRIORITY_SHORT_DEFAULT, Rule
 
 # Whitespace as the reference's squish sees it: tab, LF, FF, CR and every
 # Unicode separator (spaces, line and paragraph separators) - not VT or NEL.
@@ -119,17 +119,18 @@ def label_3way(score: "Column | str", threshold) -> Column:
             .otherwise(F.lit("Neutral")))
 
 
-def recode(col: "Column | str", mapping: dict[str, str]) -> Column:
-    """Label -> short label; unlisted values pass through unchanged."""
+def recode(col: "Column | str", mapping: dict[str, str], default: str | None = None) -> Column:
+    """Label -> short label; unlisted values become ``default`` (or pass through when it is None)."""
     c = _c(col)
+    other = c if default is None else F.lit(default)
     expr = None
     for k, v in mapping.items():
         expr = F.when(c == F.lit(k), F.lit(v)) if expr is None else expr.when(c == F.lit(k), F.lit(v))
-    return c if expr is None else expr.otherwise(c)
+    return other if expr is None else expr.otherwise(other)
 
 
 def priority_short(col: "Column | str") -> Column:
-    return recode(col, PRIORITY_SHORT)
+    return recode(col, PRIORITY_SHORT, PRIORITY_SHORT_DEFAULT)
 
 
 def manual_order_key(col: "Column | str", members: Sequence[str]) -> Column:

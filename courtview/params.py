@@ -39,18 +39,19 @@ REFERENCE_THEME_RULES: tuple[Rule, ...] = (
 REFERENCE_THEME_DEFAULT = "General Team Content"
 
 # The four monitoring priorities, in rank order, and their short
-# labels as used by the dashboard's recode field.
+# labels as used by the dashboard's recode field (anything else -> "Standard").
 PRIORITY_BOTH = "High Engagement / High Negative Sentiment"
 PRIORITY_NEGATIVE = "High Negative Sentiment"
 PRIORITY_ENGAGEMENT = "High Engagement"
 PRIORITY_STANDARD = "Standard"
 PRIORITY_ORDER = (PRIORITY_BOTH, PRIORITY_NEGATIVE, PRIORITY_ENGAGEMENT, PRIORITY_STANDARD)
 PRIORITY_SHORT = {
-    PRIORITY_BOTH: "High Eng + Neg",
-    PRIORITY_NEGATIVE: "High Negative",
+    PRIORITY_BOTH: "High Eng. + High Neg.",
+    PRIORITY_NEGATIVE: "High Neg. Sentiment",
     PRIORITY_ENGAGEMENT: "High Engagement",
-    PRIORITY_STANDARD: "Standard",
 }
+PRIORITY_SHORT_DEFAULT = "Standard"
+PRIORITY_SHORT_ORDER = ("High Eng. + High Neg.", "High Neg. Sentiment", "High Engagement", "Standard")
 
 SENTIMENT_LABELS = ("Positive", "Neutral", "Negative")
 

@@ -93,9 +93,32 @@ def oracle_statements() -> dict[str, str]:
     return out
 
 
+DASH_KEYS = ("v_avg_sentiment", "v_sentiment_mix", "v_sentiment_mix_long", "v_neg_by_team", "v_discussion_by_type",
+             "v_views_by_type", "v_wer_by_type", "v_views_by_theme", "v_priority_breakdown", "v_neg_card",
+             "v_neg_by_type", "v_priority_videos", "v_scatter", "v_top_videos", "v_engagements_card",
+             "v_views_card", "v_views_by_day", "v_views_by_team", "v_wer_card", "v_wer_by_team")
+DASH_WITH_PARAMS = {"v_top_videos"}
+# sheets also run over the text binding (NULL views and dates, colliding titles)
+DASH_CONTENT = ("v_top_videos", "v_views_by_day", "v_scatter", "v_priority_breakdown", "v_wer_by_team")
+
+
+def _dash_keys() -> list[tuple[str, Query, str, str]]:
+    from courtview.plans import dashboards as D
+    out = []
+    for k in DASH_KEYS:
+        fn = getattr(D, k)
+        out.append((k, _stg(fn, "commerce", k in DASH_WITH_PARAMS), "commerce", k))
+    for k in DASH_CONTENT:
+        fn = getattr(D, k)
+        out.append((f"{k}_content", _stg(fn, "content", k in DASH_WITH_PARAMS), "content", k))
+    return out
+
+
 def _extra_queries() -> dict[str, Query]:
-    return {}
+    return {k: fn for k, fn, _, _ in _dash_keys()}
 
 
 def _extra_sql() -> dict[str, str]:
-    return {}
+    from oracle import duckdb_sql as O
+    fam = {b: O.dash_sql(b) for b in ("commerce", "content")}
+    return {k: fam[b][ok] for k, _, b, ok in _dash_keys()}

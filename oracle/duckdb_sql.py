@@ -351,4 +351,97 @@ def raw_sql(binding: str) -> dict[str, str]:
 
 
 SHORT_CASE = ("CASE " + " ".join(f"WHEN monitoring_priority = {q(k)} THEN {q(v)}" for k, v in PRIORITY_SHORT.items())
-              + " ELSE monitoring_priority END")
+              + " ELSE 'Standard' END")
+
+
+def xsum(e: str) -> str:
+    return f"CAST(sum(CAST({e} AS DECIMAL(38,16))) AS DOUBLE)"
+
+
+WER_RAW = "CAST(sum(engagement_count) AS DOUBLE) / CAST(nullif(sum(view_count), 0) AS DOUBLE)"
+
+
+def attr(e: str) -> str:
+    return (f"CASE WHEN min(CAST({e} AS VARCHAR)) = max(CAST({e} AS VARCHAR)) THEN min(CAST({e} AS VARCHAR)) "
+            f"WHEN min(CAST({e} AS VARCHAR)) IS NOT NULL THEN '*' END")
+
+
+def dash_sql(binding: str) -> dict[str, str]:
+    p = PARAMS[binding]
+    shares = ("positive_comment_pct", "neutral_comment_pct", "negative_comment_pct")
+    flagged = ", ".join(q(x) for x in (PRIORITY_ENGAGEMENT, PRIORITY_BOTH, PRIORITY_NEGATIVE))
+    short_order = ", ".join(q(x) for x in ("High Eng. + High Neg.", "High Neg. Sentiment", "High Engagement", "Standard"))
+    mix_avgs = ", ".join(f"{mean(c)} AS avg_{c}" for c in shares)
+    mix_refs = ", ".join(f"CAST(sum(CAST(avg_{c} AS DECIMAL(38,16))) OVER () AS DOUBLE) / "
+                         f"CAST(count(avg_{c}) OVER () AS DOUBLE) AS ref_{c}" for c in shares)
+    long_cases = " UNION ALL ".join(
+        f"SELECT content_type, {q(c)} AS measure_name, {i + 1} AS measure_order, {mean(c)} AS measure_value "
+        f"FROM stg GROUP BY content_type" for i, c in enumerate(shares))
+    pv_measures = ("view_count", "avg_comment_sentiment", "engagement_rate", "negative_comment_pct")
+    pv_long = " UNION ALL ".join(
+        f"SELECT video_title, monitoring_priority, team, {q(m)} AS measure_name, {i + 1} AS measure_order, "
+        f"CAST({m} AS DOUBLE) AS measure_value FROM pv" for i, m in enumerate(pv_measures))
+    out = {
+        "v_avg_sentiment": f"SELECT {mean('avg_comment_sentiment')} AS avg_comment_sentiment FROM stg",
+        "v_neg_card": f"SELECT {mean('negative_comment_pct')} AS avg_negative_comment_pct FROM stg",
+        "v_engagements_card": "SELECT CAST(sum(engagement_count) AS BIGINT) AS total_engagements FROM stg",
+        "v_views_card": "SELECT CAST(sum(view_count) AS BIGINT) AS total_views FROM stg",
+        "v_wer_card": f"SELECT {WER_RAW} AS weighted_engagement_rate FROM stg",
+        "v_sentiment_mix": (f"SELECT content_type, {', '.join('avg_' + c for c in shares)}, {mix_refs} FROM "
+                            f"(SELECT content_type, {mix_avgs} FROM stg GROUP BY content_type) g"),
+        "v_sentiment_mix_long": long_cases,
+        "v_neg_by_team": f"SELECT team, {mean('negative_comment_pct')} AS avg_negative_comment_pct FROM stg GROUP BY team",
+        "v_neg_by_type": (f"SELECT content_type, {mean('negative_comment_pct')} AS avg_negative_comment_pct "
+                          f"FROM stg GROUP BY content_type"),
+        "v_discussion_by_type": (f"SELECT content_type, {mean('comments_per_1k_views')} AS avg_comments_per_1k_views "
+                                 f"FROM stg GROUP BY content_type"),
+        "v_views_by_type": (f"SELECT content_type, CAST(sum(view_count) AS BIGINT) AS total_views, "
+                            f"count(video_id) AS n_videos, {xsum('avg_comment_sentiment')} AS sum_avg_comment_sentiment, "
+                            f"{WER_RAW} AS weighted_engagement_rate, {attr('content_type')} AS attr_content_type "
+                            f"FROM stg GROUP BY content_type"),
+        "v_wer_by_type": (f"SELECT content_type, {WER_RAW} AS weighted_engagement_rate, "
+                          f"CAST(sum(view_count) AS BIGINT) AS total_views, count(video_title) AS n_titles "
+                          f"FROM stg GROUP BY content_type"),
+        "v_views_by_theme": (f"SELECT message_theme, CAST(sum(view_count) AS BIGINT) AS total_views, "
+                             f"count(video_title) AS n_titles, {WER_RAW} AS weighted_engagement_rate, "
+                             f"{xsum('avg_comment_sentiment')} AS sum_avg_comment_sentiment "
+                             f"FROM stg GROUP BY message_theme"),
+        "v_views_by_team": "SELECT team, CAST(sum(view_count) AS BIGINT) AS total_views FROM stg GROUP BY team",
+        "v_wer_by_team": f"SELECT team, {WER_RAW} AS weighted_engagement_rate FROM stg GROUP BY team",
+        "v_views_by_day": ("SELECT CAST(published_at AS DATE) AS published_day, "
+                           "CAST(sum(view_count) AS BIGINT) AS total_views, count(DISTINCT video_id) AS n_videos "
+                           "FROM stg GROUP BY 1"),
+        "v_priority_breakdown": (f"SELECT s, monitoring_priority, n_videos, "
+                                 f"CAST(nullif(list_position([{short_order}], s), 0) AS INTEGER) AS sort_order FROM "
+                                 f"(SELECT {SHORT_CASE} AS s, monitoring_priority, count(DISTINCT video_id) AS n_videos "
+                                 f"FROM stg GROUP BY 1, 2) g").replace("SELECT s,", "SELECT s AS monitoring_priority_short,"),
+        "v_priority_videos": (f", pv AS (SELECT video_title, monitoring_priority, team, "
+                              f"CAST(sum(view_count) AS BIGINT) AS view_count, "
+                              f"{xsum('avg_comment_sentiment')} AS avg_comment_sentiment, "
+                              f"{xsum('engagement_rate')} AS engagement_rate, "
+                              f"{xsum('negative_comment_pct')} AS negative_comment_pct "
+                              f"FROM stg WHERE monitoring_priority IN ({flagged}) "
+                              f"GROUP BY video_title, monitoring_priority, team) {pv_long}"),
+        "v_scatter": (f", marks AS (SELECT monitoring_priority, video_id, "
+                      f"{xsum('engagement_rate')} AS sum_engagement_rate, "
+                      f"{xsum('negative_comment_pct')} AS sum_negative_comment_pct, "
+                      f"CAST(sum(view_count) AS BIGINT) AS sum_view_count, {attr('video_title')} AS attr_video_title, "
+                      f"{attr('team')} AS attr_team FROM stg GROUP BY monitoring_priority, video_id), "
+                      f"ref AS (SELECT {mean('sum_engagement_rate')} AS ref_engagement_rate, "
+                      f"{mean('sum_negative_comment_pct')} AS ref_negative_comment_pct FROM marks) "
+                      f"SELECT * FROM marks, ref"),
+        "v_top_videos": (f", top AS (SELECT video_title FROM stg GROUP BY video_title "
+                         f"ORDER BY sum(view_count) DESC NULLS LAST, video_title ASC NULLS LAST LIMIT {p.top_titles}) "
+                         f"SELECT video_title, team, CAST(sum(view_count) AS BIGINT) AS total_views, "
+                         f"{WER_RAW} AS weighted_engagement_rate, "
+                         f"{xsum('negative_comment_pct')} AS sum_negative_comment_pct, "
+                         f"{mean('negative_comment_pct')} AS avg_negative_comment_pct "
+                         f"FROM stg WHERE video_title IN (SELECT video_title FROM top) GROUP BY video_title, team"),
+    }
+    res = {}
+    for k, v in out.items():
+        if v.startswith(", "):
+            res[k] = f"WITH {staged_ctes(binding)}{v}"
+        else:
+            res[k] = on_stg(binding, v)
+    return res
