@@ -58,7 +58,7 @@ def score_comments(comments: DataFrame, lexicon: DataFrame,
     base = comments.withColumn("comment_text_clean", squish("comment_text"))
     scores = matched_comment_scores(base, lexicon, keys, "comment_text_clean")
     out = base.join(scores, list(keys), "left").withColumn(
-        "sentiment_score", F.coalesce(F.col("sentiment_score"), F.lit(Decimal("0")).cast("decimal(19,4)")))
+        "sentiment_score", F.coalesce(F.col("sentiment_score"), F.lit(Decimal("0"))).cast("decimal(18,4)"))
     return out.withColumn("sentiment_label", label_3way("sentiment_score", threshold))
 
 

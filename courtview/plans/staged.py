@@ -45,24 +45,31 @@ def features_table(spark: SparkSession, sf_dir: str, binding: str, params: Param
 
 
 def build_staged(spark: SparkSession, sf_dir: str, binding: str, params: Params | None = None):
-    """Publish the staged table; returns (DataFrame over the written files, thresholds)."""
+    """Publish the staged table; returns (staged DataFrame, published features, thresholds)."""
     configure(spark)
     params = params or PARAMS[binding]
     feats = materialize(features_table(spark, sf_dir, binding, params), f"features-{binding}")
     thresholds = flag_thresholds(feats, params)
-    return add_flags(feats, params, thresholds), thresholds
+    return add_flags(feats, params, thresholds), feats, thresholds
 
 
-def staged(spark: SparkSession, sf_dir: str, binding: str = "commerce", params: Params | None = None) -> DataFrame:
-    """The staged table, built once per (application, input folder, binding, params)."""
+def _entry(spark: SparkSession, sf_dir: str, binding: str, params: Params | None) -> tuple:
     params = params or PARAMS[binding]
     key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), binding, params)
     if key not in _published:
         _published[key] = build_staged(spark, sf_dir, binding, params)
-    return _published[key][0]
+    return _published[key]
+
+
+def staged(spark: SparkSession, sf_dir: str, binding: str = "commerce", params: Params | None = None) -> DataFrame:
+    """The staged table, built once per (application, input folder, binding, params)."""
+    return _entry(spark, sf_dir, binding, params)[0]
+
+
+def published_features(spark: SparkSession, sf_dir: str, binding: str = "commerce") -> DataFrame:
+    """The written pre-flag feature table behind ``staged``."""
+    return _entry(spark, sf_dir, binding, None)[1]
 
 
 def thresholds(spark: SparkSession, sf_dir: str, binding: str = "commerce") -> tuple:
-    staged(spark, sf_dir, binding)
-    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), binding, PARAMS[binding])
-    return _published[key][1]
+    return _entry(spark, sf_dir, binding, None)[2]

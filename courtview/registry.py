@@ -114,11 +114,20 @@ def _dash_keys() -> list[tuple[str, Query, str, str]]:
     return out
 
 
+# keys checked by row count only: the catalog listing depends on the session, not on the data
+ROWS_ONLY = {"cat_tables"}
+
+
 def _extra_queries() -> dict[str, Query]:
-    return {k: fn for k, fn, _, _ in _dash_keys()}
+    from courtview.plans.operator_queries import OPERATOR_QUERIES
+    out = {k: fn for k, fn, _, _ in _dash_keys()}
+    out.update(OPERATOR_QUERIES)
+    return out
 
 
 def _extra_sql() -> dict[str, str]:
     from oracle import duckdb_sql as O
     fam = {b: O.dash_sql(b) for b in ("commerce", "content")}
-    return {k: fam[b][ok] for k, _, b, ok in _dash_keys()}
+    out = {k: fam[b][ok] for k, _, b, ok in _dash_keys()}
+    out.update({k: v for k, v in O.operator_sql().items() if k not in ROWS_ONLY})
+    return out

@@ -144,3 +144,19 @@ def commerce_scored_comments(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat_ws("-", F.col("l_orderkey").cast("string"), F.col("l_linenumber").cast("string")).alias("comment_id"),
         score.alias("sentiment_score"),
     )
+
+
+def commerce_channels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The channel reference table (one channel per nation) with its subscriber count (customers)."""
+    from pyspark.sql import Window
+    nation = read_table(spark, sf_dir, "nation").select("n_nationkey", "n_name", "n_regionkey")
+    region = read_table(spark, sf_dir, "region").select("r_regionkey", "r_name")
+    subs = read_table(spark, sf_dir, "customer").groupBy("c_nationkey").agg(F.count(F.lit(1)).alias("subscribers"))
+    j = (nation.join(region, nation.n_regionkey == region.r_regionkey, "left")
+         .join(subs, nation.n_nationkey == subs.c_nationkey, "left"))
+    seed = F.row_number().over(Window.partitionBy("r_name").orderBy("n_nationkey"))  # 25-row dimension
+    return j.select(
+        F.col("n_name").alias("team"), F.upper(F.substring("n_name", 1, 3)).alias("team_abbreviation"),
+        F.col("r_name").alias("conference"), seed.alias("seed"),
+        F.concat(F.lit("CH-"), F.col("n_nationkey").cast("string")).alias("channel_id"),
+        F.col("n_name").alias("channel_name"), F.coalesce(F.col("subscribers"), F.lit(0)).alias("subscribers"))

@@ -445,3 +445,128 @@ def dash_sql(binding: str) -> dict[str, str]:
         else:
             res[k] = on_stg(binding, v)
     return res
+
+
+def operator_sql() -> dict[str, str]:
+    from courtview.functions.text import NEWLINE_RUN
+    from courtview.schemas import STAGED_COLUMNS
+    cp, tp = COMMERCE_PARAMS, CONTENT_PARAMS
+    content = "WITH " + CONTENT_RAW.format(lexicon=_lexicon_values(), clean=squish("comment_text")).strip() + "\n"
+    commerce = "WITH " + COMMERCE_RAW.strip() + "\n"
+    stg_all = f"SELECT {STAGED_SELECT} FROM stg"
+    channels = ("SELECT n.n_name AS team, upper(substr(n.n_name, 1, 3)) AS team_abbreviation, r.r_name AS conference, "
+                "CAST(row_number() OVER (PARTITION BY r.r_name ORDER BY n.n_nationkey) AS INTEGER) AS seed, "
+                "'CH-' || CAST(n.n_nationkey AS VARCHAR) AS channel_id, n.n_name AS channel_name, "
+                "coalesce(s.subscribers, 0) AS subscribers "
+                "FROM nation n LEFT JOIN region r ON n.n_regionkey = r.r_regionkey "
+                "LEFT JOIN (SELECT c_nationkey, count(*) AS subscribers FROM customer GROUP BY c_nationkey) s "
+                "ON n.n_nationkey = s.c_nationkey")
+    base = ("team, team_abbreviation, conference, channel_id, video_id, published_at, channel_title, video_title, "
+            "video_description")
+    newest = "strptime(published_at, '%Y-%m-%dT%H:%M:%SZ') DESC NULLS LAST, video_id"
+    safe_cols = []
+    for c in STAGED_COLUMNS:
+        if c in ("video_id", "team", "team_abbreviation", "conference", "channel_id", "channel_title", "video_title",
+                 "duration", "content_type", "message_theme", "sentiment_bucket", "monitoring_priority"):
+            safe_cols.append(f"regexp_replace({c}, {q(NEWLINE_RUN)}, ' ', 'g') AS {c}")
+        elif c == "video_description":
+            safe_cols.append(f"{squish('regexp_replace(' + c + ', ' + q(NEWLINE_RUN) + ', ' + q(' ') + ', ' + q('g') + ')')} AS {c}")
+        else:
+            safe_cols.append(c)
+    scored = (content + ", lab AS (SELECT *, " + label3("sentiment_score") + " AS sentiment_label FROM sc)\n")
+    summ = (f"SELECT video_id, count(*) AS comments_pulled, CAST(sum(sentiment_score) AS DOUBLE) / count(*) "
+            f"AS avg_comment_sentiment, CAST(count(*) FILTER (WHERE sentiment_score > 0.15) AS DOUBLE) / count(*) "
+            f"AS positive_comment_pct, CAST(count(*) FILTER (WHERE sentiment_score BETWEEN -0.15 AND 0.15) AS DOUBLE) "
+            f"/ count(*) AS neutral_comment_pct, CAST(count(*) FILTER (WHERE sentiment_score < -0.15) AS DOUBLE) "
+            f"/ count(*) AS negative_comment_pct FROM sc GROUP BY video_id")
+    rules = tp.content_rules[1:]
+    doc_clean = squish("lower(text)")
+    hits = ", ".join(f"regexp_matches({doc_clean}, {q(p)}) AS hit_{i}" for i, (_, p, _) in enumerate(rules, start=1))
+    flagged = on_stg("commerce", "SELECT video_id, he AS high_engagement_flag, hn AS high_negative_sentiment_flag, "
+                     "CASE WHEN he AND hn THEN " + q(PRIORITY_BOTH) + " WHEN hn THEN " + q(PRIORITY_NEGATIVE) +
+                     " WHEN he THEN " + q(PRIORITY_ENGAGEMENT) + " ELSE " + q(PRIORITY_STANDARD) +
+                     " END AS monitoring_priority FROM fl")
+    q_rows = []
+    for b in ("commerce", "content"):
+        q_rows.append(f"SELECT '{b}' AS binding, {rnd('eng_t', 12)} AS engagement_p90, "
+                      f"{rnd('neg_t', 12)} AS negative_p90 FROM thr")
+    out = {
+        "src_inline": f"SELECT * EXCLUDE (subscribers) FROM ({channels})",
+        "src_csv": on_stg("commerce", stg_all),
+        "src_csv_content": on_stg("content", stg_all),
+        "exp_video_safe": on_stg("content", "SELECT " + ", ".join(safe_cols) + " FROM stg"),
+        "src_typed_csv": on_stg("commerce", stg_all),
+        "src_extract": on_stg("commerce", stg_all),
+        "snk_table": on_stg("commerce", stg_all),
+        "prj_clean_names": on_stg("commerce", stg_all),
+        "json_channels": (f"SELECT channel_id AS checked_channel_id, CASE WHEN subscribers > 0 THEN channel_name END "
+                          f"AS channel_title, CASE WHEN subscribers > 0 THEN CAST(subscribers AS DOUBLE) END "
+                          f"AS subscriber_count, subscribers > 0 AS valid_channel FROM ({channels})"),
+        "json_uploads_id": (f"SELECT channel_id, 'UU' || channel_id AS uploads_playlist_id FROM ({channels}) "
+                            f"WHERE subscribers > 0"),
+        "json_channel_search": (f"SELECT conference AS query, channel_name AS channel_title, channel_id, "
+                                f"team AS channel_description FROM (SELECT *, row_number() OVER (PARTITION BY "
+                                f"conference ORDER BY channel_id) AS rn FROM ({channels})) WHERE rn <= 5"),
+        "json_playlist_items": (commerce + f"SELECT channel_id, video_id, published_at, channel_title, video_title, "
+                                f"video_description FROM (SELECT *, row_number() OVER (PARTITION BY channel_id "
+                                f"ORDER BY CAST(video_id AS BIGINT)) AS rn FROM vr) WHERE rn <= {cp.list_cap}"),
+        "json_video_stats": commerce + "SELECT video_id, view_count, like_count, comment_count, duration FROM vr",
+        "json_comments": (content + "SELECT video_id, comment_id, comment_text, comment_like_count, "
+                          "CAST(NULL AS VARCHAR) AS comment_published_at FROM cm"),
+        "unnest_nested": commerce + "SELECT channel_id, CAST(video_id AS BIGINT) // 50 AS page, video_id FROM vr",
+        "set_union": ("SELECT CAST(conv_id AS VARCHAR) AS video_id, CAST(conv_id AS VARCHAR) || '-' || "
+                      "CAST(turn AS VARCHAR) AS comment_id, text AS comment_text, "
+                      "CAST(NULL AS DECIMAL(9,4)) AS sentiment_score FROM conversations UNION ALL "
+                      "SELECT CAST(l_orderkey AS VARCHAR), CAST(l_orderkey AS VARCHAR) || '-' || "
+                      "CAST(l_linenumber AS VARCHAR), NULL, CAST((CAST(round(l_discount * 100) AS INTEGER) - 5) "
+                      "* 0.05 AS DECIMAL(9,4)) FROM lineitem"),
+        "win_topn_group": (commerce + f", capped AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY "
+                           f"channel_id ORDER BY {newest}) AS rn FROM vr) WHERE rn <= {cp.list_cap}), "
+                           f"win AS (SELECT * FROM capped WHERE CAST(strptime(published_at, '%Y-%m-%dT%H:%M:%SZ') "
+                           f"AS DATE) BETWEEN DATE '{cp.start_date}' AND DATE '{cp.as_of}') "
+                           f"SELECT {base} FROM (SELECT *, row_number() OVER (PARTITION BY team ORDER BY {newest}) "
+                           f"AS rn2 FROM win) WHERE rn2 <= {cp.top_n_per_team}"),
+        "win_cap_group": (commerce + f"SELECT {base} FROM (SELECT *, row_number() OVER (PARTITION BY channel_id "
+                          f"ORDER BY {newest}) AS rn FROM vr) WHERE rn <= {cp.list_cap}"),
+        "flt_daterange": (content + f"SELECT video_id, team, published_at FROM vr WHERE "
+                          f"CAST(strptime(published_at, '%Y-%m-%dT%H:%M:%SZ') AS DATE) BETWEEN "
+                          f"DATE '{tp.start_date}' AND DATE '{tp.as_of}'"),
+        "prj_id_batches": (commerce + f"SELECT CAST((rn - 1) // {cp.batch_size} + 1 AS BIGINT) AS batch, "
+                           f"string_agg(video_id, ',' ORDER BY video_id) AS ids, count(*) AS n_ids FROM "
+                           f"(SELECT video_id, row_number() OVER (ORDER BY video_id) AS rn FROM "
+                           f"(SELECT DISTINCT video_id FROM vr WHERE video_id IS NOT NULL)) GROUP BY 1"),
+        "flt_has_comments": commerce + "SELECT DISTINCT video_id FROM vr WHERE comment_count > 0",
+        "prj_distinct_ids": content + "SELECT DISTINCT video_id FROM cm",
+        "join_video_stats": commerce + f"SELECT {base}, view_count, like_count, comment_count, duration FROM vr",
+        "srt_topn_members": on_stg("commerce", f"SELECT video_title, CAST(sum(view_count) AS BIGINT) AS total_views "
+                                               f"FROM stg GROUP BY video_title ORDER BY sum(view_count) DESC NULLS LAST, "
+                                               f"video_title LIMIT {cp.top_titles}"),
+        "agg_count_distinct": on_stg("commerce", "SELECT conference, count(DISTINCT team) AS n_teams FROM stg "
+                                                 "GROUP BY conference"),
+        "agg_quantile": (f"SELECT * FROM ({on_stg('commerce', q_rows[0])}) UNION ALL "
+                         f"SELECT * FROM ({on_stg('content', q_rows[1])})"),
+        "feat_flags": flagged,
+        "sent_score": content + "SELECT video_id, comment_id, CAST(sentiment_score AS DECIMAL(18,4)) AS sentiment_score FROM sc",
+        "sent_label": scored + "SELECT video_id, comment_id, sentiment_label FROM lab",
+        "sent_rollup": content + summ,
+        "qa_labels": (scored + "SELECT sentiment_label, count(*) AS n, CAST(count(*) AS DOUBLE) / sum(count(*)) "
+                      "OVER () AS pct FROM lab GROUP BY sentiment_label"),
+        "qa_negative": (content + f"SELECT * FROM ({summ}) ORDER BY negative_comment_pct DESC NULLS LAST, "
+                        f"video_id LIMIT 20"),
+        "join_comment_video": (content + "SELECT c.video_id, c.comment_id, c.comment_text, c.comment_like_count, "
+                               "CAST(NULL AS VARCHAR) AS comment_published_at, v.team, v.team_abbreviation, "
+                               "v.conference, v.channel_title, v.video_title, v.published_at "
+                               "FROM cm c JOIN vr v ON c.video_id = v.video_id WHERE v.comment_count > 0"),
+        "fn_squish": f"SELECT doc_id, {squish('text')} AS text_squished FROM documents",
+        "fn_lower": "SELECT doc_id, lower(text) AS text_lower FROM documents",
+        "fn_strip_newlines": f"SELECT doc_id, regexp_replace(text, {q(NEWLINE_RUN)}, ' ', 'g') AS text_one_line FROM documents",
+        "fn_html_decode": f"SELECT page_id, {html_decode('html')} AS html_decoded FROM pages",
+        "fn_regex_detect": f"SELECT doc_id, {hits} FROM documents",
+        "fn_date_parts": (f"SELECT event_id, pts AS published_at, CAST(pts AS DATE) AS published_date, "
+                          f"CAST(hour(pts) AS INTEGER) AS published_hour, "
+                          f"CAST(date_trunc('month', CAST(pts AS DATE)) AS DATE) AS published_month, "
+                          f"CAST(date_diff('day', CAST(pts AS DATE), DATE '{tp.as_of}') AS INTEGER) AS days_since_published "
+                          f"FROM (SELECT event_id, strptime(strftime(ts, '%Y-%m-%dT%H:%M:%SZ'), '%Y-%m-%dT%H:%M:%SZ') "
+                          f"AS pts FROM events)"),
+    }
+    return out
