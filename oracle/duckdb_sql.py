@@ -217,7 +217,7 @@ STAGED_SELECT = ("video_id, team, team_abbreviation, conference, channel_id, cha
                  "negative_comment_pct, sentiment_bucket, monitoring_priority")
 
 
-def report_sql(binding: str) -> dict[str, str]:
+def report_sql(binding: str, wrap: bool = True) -> dict[str, str]:
     p = PARAMS[binding]
     not_std = f"monitoring_priority <> '{PRIORITY_STANDARD}'"
     out = {
@@ -330,7 +330,7 @@ def report_sql(binding: str) -> dict[str, str]:
         "cat_rowcount": "SELECT count(*) AS total_rows FROM stg",
         "feat_video_clean": f"SELECT {STAGED_SELECT} FROM stg",
     }
-    return {k: on_stg(binding, v) for k, v in out.items()}
+    return {k: on_stg(binding, v) for k, v in out.items()} if wrap else out
 
 
 def raw_sql(binding: str) -> dict[str, str]:
@@ -366,7 +366,7 @@ def attr(e: str) -> str:
             f"WHEN min(CAST({e} AS VARCHAR)) IS NOT NULL THEN '*' END")
 
 
-def dash_sql(binding: str) -> dict[str, str]:
+def dash_sql(binding: str, wrap: bool = True) -> dict[str, str]:
     p = PARAMS[binding]
     shares = ("positive_comment_pct", "neutral_comment_pct", "negative_comment_pct")
     flagged = ", ".join(q(x) for x in (PRIORITY_ENGAGEMENT, PRIORITY_BOTH, PRIORITY_NEGATIVE))
@@ -438,6 +438,8 @@ def dash_sql(binding: str) -> dict[str, str]:
                          f"{mean('negative_comment_pct')} AS avg_negative_comment_pct "
                          f"FROM stg WHERE video_title IN (SELECT video_title FROM top) GROUP BY video_title, team"),
     }
+    if not wrap:
+        return {k: ("WITH " + v[2:] if v.startswith(", ") else v) for k, v in out.items()}
     res = {}
     for k, v in out.items():
         if v.startswith(", "):
