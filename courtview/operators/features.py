@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from courtview.functions.dates import date_parts, parse_ts
 from courtview.functions.numeric import rate_per_day, safe_ratio, try_numeric
 from courtview.functions.text import html_decode, label_3way, lower, rules_first_match, squish
-from courtview.operators.quantile import exact_quantile
+from courtview.operators.quantile import exact_quantiles
 from courtview.params import (PRIORITY_BOTH, PRIORITY_ENGAGEMENT, PRIORITY_NEGATIVE, PRIORITY_STANDARD,
                               Params)
 from courtview.schemas import STAGED_COLUMNS
@@ -26,9 +26,20 @@ SENTIMENT_FILL = {
 }
 
 
-def join_sentiment(videos_raw: DataFrame, summary: DataFrame) -> DataFrame:
+SUMMARY_COLUMNS = ("comments_pulled", "avg_comment_sentiment", "positive_comment_pct", "neutral_comment_pct",
+                   "negative_comment_pct")
+
+
+def join_sentiment(videos_raw: DataFrame, summary: DataFrame | None) -> DataFrame:
     """Left join of the summary; it only counts for videos whose comments were pulled
-    (non-null, positive comment_count), as in the collection step."""
+    (non-null, positive comment_count), as in the collection step.
+
+    ``summary=None`` means the summary columns were already joined by the binding
+    (one aggregate for statistics and sentiment); they are masked the same way.
+    """
+    if summary is None:
+        pulled = F.col("comment_count") > 0
+        return videos_raw.withColumns({c: F.when(pulled, F.col(c)) for c in SUMMARY_COLUMNS})
     s = summary.withColumnRenamed("video_id", "s_video_id")
     j = videos_raw.join(s, (videos_raw.video_id == s.s_video_id) & (videos_raw.comment_count > 0), "left")
     return j.drop("s_video_id")
@@ -63,7 +74,8 @@ def video_features(videos_raw: DataFrame, summary: DataFrame, params: Params) ->
     df = df.withColumns(date_parts("published_at", params.as_of))
     df = engagement_block(df, params)
     df = df.na.fill(SENTIMENT_FILL)
-    title_clean = squish(lower("video_title"))
+    df = df.withColumn("_title_clean", squish(lower("video_title")))  # once per row, shared by both rule sets
+    title_clean = F.col("_title_clean")
     df = df.withColumns({
         "content_type": rules_first_match(title_clean, F.col("duration"), params.content_rules, params.content_default),
         "message_theme": rules_first_match(title_clean, None, params.theme_rules, params.theme_default),
@@ -82,8 +94,9 @@ def priority(high_engagement: F.Column, high_negative: F.Column) -> F.Column:
 
 def flag_thresholds(features: DataFrame, params: Params) -> tuple[float | None, float | None]:
     """Global p-quantiles of engagement rate and negative share (exact, distributed)."""
-    return (exact_quantile(features, "engagement_rate", params.quantile),
-            exact_quantile(features, "negative_comment_pct", params.quantile))
+    q = exact_quantiles(features, {"eng": ("engagement_rate", params.quantile),
+                                   "neg": ("negative_comment_pct", params.quantile)})
+    return q["eng"], q["neg"]
 
 
 def flag_columns(eng_threshold: float | None, neg_threshold: float | None, params: Params) -> dict:

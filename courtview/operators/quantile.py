@@ -69,22 +69,91 @@ def _order_stats(x: DataFrame, ranks: list[int], n: int, small: int, accuracy: i
     return out
 
 
-def exact_quantile(df: DataFrame, column: str, p: float, small: int = SMALL,
-                   accuracy: int = ACCURACY) -> float | None:
-    """Linear-interpolation quantile (the default of R and of ``percentile``), NULLs skipped.
-
-    Returns None for a column without non-null values.
-    """
-    x = df.select(F.col(column).cast("double").alias("x")).where(F.col("x").isNotNull() & ~F.isnan("x"))
-    n = x.count()
-    if n == 0:
-        return None
+def _interpolate(n: int, p: float, stats: dict[int, float]) -> float:
     index = (n - 1) * p
     lo = math.floor(index)
     hi = min(math.ceil(index), n - 1)
-    stats = _order_stats(x, sorted({lo, hi}), n, small, accuracy)
     v_lo, v_hi = stats[lo], stats[hi]
     h = index - lo
     if h == 0 or v_lo == v_hi:
         return float(v_lo)
     return float((1 - h) * v_lo + h * v_hi)
+
+
+def _ranks(n: int, p: float) -> list[int]:
+    index = (n - 1) * p
+    return sorted({math.floor(index), min(math.ceil(index), n - 1)})
+
+
+def exact_quantiles(df: DataFrame, specs: dict[str, tuple[str, float]], small: int = SMALL,
+                    accuracy: int = ACCURACY) -> dict[str, float | None]:
+    """Several linear-interpolation quantiles of ``df`` sharing their scans.
+
+    ``specs`` maps a result name to (column, p).  Pass 1 (one job) counts every
+    column and sketches a bracket around each p; pass 2 (one job) places all
+    brackets; only the values strictly inside a bracket are searched further.
+    """
+    names = list(specs)
+    xs = {k: F.col(c).cast("double") for k, (c, _) in specs.items()}
+    ok = {k: x.isNotNull() & ~F.isnan(x) for k, x in xs.items()}
+    eps = 3.0 / accuracy
+    aggs = []
+    for k in names:
+        p = specs[k][1]
+        qs = [max(0.0, p - eps), min(1.0, p + eps)]
+        aggs += [F.count_if(ok[k]).alias(f"n_{k}"),
+                 F.percentile_approx(F.when(ok[k], xs[k]), qs, accuracy).alias(f"b_{k}")]
+    first = df.agg(*aggs).first()
+    out: dict[str, float | None] = {}
+    bracketed = {}
+    for k in names:
+        n, p = first[f"n_{k}"], specs[k][1]
+        col = df.select(xs[k].alias("x")).where(ok[k])
+        if n == 0:
+            out[k] = None
+        elif n <= small:
+            out[k] = _interpolate(n, p, _order_stats(col, _ranks(n, p), n, small, accuracy))
+        else:
+            b = first[f"b_{k}"]
+            v_lo = float("-inf") if p - eps <= 0.0 else b[0]
+            v_hi = float("inf") if p + eps >= 1.0 else b[1]
+            bracketed[k] = (col, n, p, v_lo, v_hi)
+    if bracketed:
+        counts = []
+        for k, (_, _, _, v_lo, v_hi) in bracketed.items():
+            x = xs[k]
+            counts += [F.count_if(ok[k] & (x < v_lo)).alias(f"below_{k}"),
+                       F.count_if(ok[k] & (x == v_lo)).alias(f"at_lo_{k}"),
+                       F.count_if(ok[k] & (x > v_lo) & (x < v_hi)).alias(f"inside_{k}"),
+                       F.count_if(ok[k] & (x == v_hi) & F.lit(v_hi != v_lo)).alias(f"at_hi_{k}")]
+        c = df.agg(*counts).first()
+        for k, (col, n, p, v_lo, v_hi) in bracketed.items():
+            below, at_lo, inside, at_hi = c[f"below_{k}"], c[f"at_lo_{k}"], c[f"inside_{k}"], c[f"at_hi_{k}"]
+            ranks = _ranks(n, p)
+            if min(ranks) < below or max(ranks) >= below + at_lo + inside + at_hi:
+                stats = _order_stats(col, ranks, n, small, accuracy)  # sketch missed: general search
+            else:
+                stats, rest = {}, []
+                for r in ranks:
+                    if r < below + at_lo:
+                        stats[r] = v_lo
+                    elif r < below + at_lo + inside:
+                        rest.append(r)
+                    else:
+                        stats[r] = v_hi
+                if rest:
+                    off = below + at_lo
+                    sub = col.where((F.col("x") > v_lo) & (F.col("x") < v_hi))
+                    got = _order_stats(sub, [r - off for r in rest], inside, small, accuracy)
+                    stats.update({r: got[r - off] for r in rest})
+            out[k] = _interpolate(n, p, stats)
+    return out
+
+
+def exact_quantile(df: DataFrame, column: str, p: float, small: int = SMALL,
+                   accuracy: int = ACCURACY) -> float | None:
+    """Linear-interpolation quantile (the default of R and of ``percentile``), NULLs skipped.
+
+    Returns None for a column without non-null values.
+    """
+    return exact_quantiles(df, {"q": (column, p)}, small, accuracy)["q"]

@@ -73,16 +73,22 @@ def _summary(n: F.Column, score_sum: F.Column, pos: F.Column, neg: F.Column) ->
     ]
 
 
-def rollup_scores(scored: DataFrame, threshold: Decimal = DEFAULT_THRESHOLD) -> DataFrame:
-    """Per-video summary from (video_id, sentiment_score) rows."""
+def rollup_scores(scored: DataFrame, threshold: Decimal = DEFAULT_THRESHOLD,
+                  extra: dict[str, F.Column] | None = None) -> DataFrame:
+    """Per-video summary from (video_id, sentiment_score) rows.
+
+    ``extra`` adds more per-video aggregates to the same pass (one scan, one shuffle).
+    """
     s = F.col("sentiment_score")
+    extra = extra or {}
     agg = scored.groupBy("video_id").agg(
         F.count(F.lit(1)).alias("n"),
         F.sum(s).alias("score_sum"),
         F.count_if(s > F.lit(threshold)).alias("pos"),
         F.count_if(s < -F.lit(threshold)).alias("neg"),
+        *[c.alias(k) for k, c in extra.items()],
     )
-    return agg.select("video_id", *_summary(F.col("n"), F.col("score_sum"), F.col("pos"), F.col("neg")))
+    return agg.select("video_id", *_summary(F.col("n"), F.col("score_sum"), F.col("pos"), F.col("neg")), *extra)
 
 
 def video_sentiment(comments: DataFrame, lexicon: DataFrame,

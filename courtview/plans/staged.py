@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from courtview.operators.features import add_flags, flag_thresholds, video_features
-from courtview.operators.sentiment import rollup_scores, video_sentiment
+from courtview.operators.sentiment import video_sentiment
 from courtview.params import COMMERCE_PARAMS, CONTENT_PARAMS, Params
 from courtview.session import configure, materialize
 from courtview.sources import bindings
@@ -30,8 +30,10 @@ def binding_inputs(spark: SparkSession, sf_dir: str, binding: str, params: Param
         summary = video_sentiment(bindings.content_comments(spark, sf_dir), bindings.fixture_lexicon(spark),
                                   params.label_threshold)
     elif binding == "commerce":
-        videos = bindings.commerce_videos_raw(spark, sf_dir)
-        summary = rollup_scores(bindings.commerce_scored_comments(spark, sf_dir), params.label_threshold)
+        # statistics and sentiment come from one line-item aggregate, joined once
+        rollup = bindings.commerce_line_rollup(spark, sf_dir, params.label_threshold)
+        videos = bindings.commerce_videos_raw(spark, sf_dir, rollup, keep_summary=True)
+        summary = None
     else:
         raise ValueError(f"unknown binding {binding!r}")
     return videos, summary

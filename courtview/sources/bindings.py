@@ -39,8 +39,9 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 # content
 # ---------------------------------------------------------------------------
 def content_event_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per item (keyed like the model's video_id, so later joins on video_id share its partitioning)."""
     ev = read_table(spark, sf_dir, "events").select("user_id", "ts", "event_type")
-    return ev.groupBy("user_id").agg(
+    return ev.groupBy(F.col("user_id").cast("string").alias("video_id")).agg(
         F.min("ts").alias("first_ts"),
         F.count_if(F.col("event_type") == "view").alias("n_view"),
         F.count_if(F.col("event_type") == "click").alias("n_click"),
@@ -49,9 +50,10 @@ def content_event_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def content_videos_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source", "n_chars")
+    docs = read_table(spark, sf_dir, "documents").select(
+        F.col("doc_id").cast("string").alias("video_id"), "text", "lang", "source", "n_chars")
     stats = content_event_stats(spark, sf_dir)
-    j = docs.join(stats, docs.doc_id == stats.user_id, "left")
+    j = docs.join(stats, "video_id", "left")
     n = F.col("n_chars")
     duration = F.when(n < 60, F.concat(F.lit("PT"), n.cast("string"), F.lit("S"))).otherwise(
         F.concat(F.lit("PT"), F.floor(n / 60).cast("string"), F.lit("M"), (n % 60).cast("string"), F.lit("S")))
@@ -60,7 +62,7 @@ def content_videos_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.upper("source").alias("team_abbreviation"),
         F.col("lang").alias("conference"),
         F.concat(F.lit("CH-"), F.col("source")).alias("channel_id"),
-        F.col("doc_id").cast("string").alias("video_id"),
+        F.col("video_id"),
         iso_text("first_ts").alias("published_at"),
         F.col("source").alias("channel_title"),
         # title = first line of the document, description = the whole document
@@ -100,21 +102,42 @@ def commerce_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cust.join(broadcast_if_bounded(geo, DIMENSION_MAX_ROWS), cust.c_nationkey == geo.n_nationkey, "left")
 
 
+def commerce_line_rollup(spark: SparkSession, sf_dir: str, threshold=Decimal("0.15")) -> DataFrame:
+    """One pass over lineitem per order (keyed by video_id): the comment sentiment roll-up
+    plus the two engagement counts.  Statistics and sentiment both select from this one
+    aggregate, so the plan scans and shuffles lineitem once (the exchange is reused) and
+    both arrive hash-partitioned on video_id for the joins that follow."""
+    from courtview.operators.sentiment import rollup_scores
+    scored = commerce_scored_comments(spark, sf_dir, with_quantity=True)
+    return rollup_scores(scored, threshold, extra={
+        "n_like": F.sum(F.col("l_quantity").cast("bigint")),
+        "n_comment": F.count(F.lit(1)),
+    })
+
+
 def commerce_line_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
-    li = read_table(spark, sf_dir, "lineitem").select("l_orderkey", "l_quantity")
-    return li.groupBy("l_orderkey").agg(
-        F.sum(F.col("l_quantity").cast("bigint")).alias("n_like"),
-        F.count(F.lit(1)).alias("n_comment"),
-    )
+    return commerce_line_rollup(spark, sf_dir).select("video_id", "n_like", "n_comment")
+
 
+SUMMARY_COLUMNS = ("comments_pulled", "avg_comment_sentiment", "positive_comment_pct", "neutral_comment_pct",
+                   "negative_comment_pct")
 
-def commerce_videos_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
+
+def commerce_videos_raw(spark: SparkSession, sf_dir: str, line_rollup: DataFrame | None = None,
+                        keep_summary: bool = False) -> DataFrame:
+    """Orders with customer geography and line statistics.
+
+    With ``keep_summary`` the per-order sentiment columns of the same line-item
+    aggregate ride along, so lineitem is aggregated and joined exactly once.
+    """
     orders = read_table(spark, sf_dir, "orders").select(
         "o_orderkey", "o_custkey", "o_totalprice", "o_orderdate", "o_orderpriority")
     cust = commerce_customers(spark, sf_dir)
-    stats = commerce_line_stats(spark, sf_dir)
+    rollup = line_rollup if line_rollup is not None else commerce_line_rollup(spark, sf_dir)
+    stats = rollup.select("video_id", "n_like", "n_comment", *(SUMMARY_COLUMNS if keep_summary else ()))
     j = (orders.join(cust, orders.o_custkey == cust.c_custkey, "left")
-         .join(stats, orders.o_orderkey == stats.l_orderkey, "left"))
+         .withColumn("video_id", F.col("o_orderkey").cast("string"))
+         .join(stats, "video_id", "left"))
     k = F.col("o_orderkey")
     duration = F.when(k % 3 == 0, F.concat(F.lit("PT"), (k % 60).cast("string"), F.lit("S"))).otherwise(
         F.concat(F.lit("PT"), (F.lit(1) + k % 20).cast("string"), F.lit("M"), (k % 60).cast("string"), F.lit("S")))
@@ -123,7 +146,7 @@ def commerce_videos_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.upper(F.substring("n_name", 1, 3)).alias("team_abbreviation"),
         F.col("r_name").alias("conference"),
         F.concat(F.lit("CH-"), F.col("n_nationkey").cast("string")).alias("channel_id"),
-        k.cast("string").alias("video_id"),
+        F.col("video_id"),
         iso_text("o_orderdate").alias("published_at"),
         F.col("n_name").alias("channel_title"),
         F.concat_ws(" ", F.col("c_mktsegment"), F.col("o_orderpriority")).alias("video_title"),
@@ -132,18 +155,22 @@ def commerce_videos_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("n_like").alias("like_count"),
         F.col("n_comment").alias("comment_count"),
         duration.alias("duration"),
+        *(SUMMARY_COLUMNS if keep_summary else ()),
     )
 
 
-def commerce_scored_comments(spark: SparkSession, sf_dir: str) -> DataFrame:
+def commerce_scored_comments(spark: SparkSession, sf_dir: str, with_quantity: bool = False) -> DataFrame:
     """One comment per line item with a ready score in -0.25 .. 0.25, steps of 0.05."""
-    li = read_table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_discount")
+    li = read_table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_discount", "l_quantity")
     score = F.expr("CAST((CAST(ROUND(l_discount * 100) AS INT) - 5) * 0.05 AS DECIMAL(9,4))")
-    return li.select(
+    cols = [
         F.col("l_orderkey").cast("string").alias("video_id"),
         F.concat_ws("-", F.col("l_orderkey").cast("string"), F.col("l_linenumber").cast("string")).alias("comment_id"),
         score.alias("sentiment_score"),
-    )
+    ]
+    if with_quantity:
+        cols.append(F.col("l_quantity"))
+    return li.select(*cols)
 
 
 def commerce_channels(spark: SparkSession, sf_dir: str) -> DataFrame:
