@@ -13,8 +13,12 @@ def _c(col: "Column | str") -> Column:
 
 
 def parse_ts(col: "Column | str") -> Column:
-    """ISO-8601 text -> timestamp; bad text -> NULL.  Timestamps pass through."""
-    return F.try_to_timestamp(_c(col))
+    """ISO-8601 text -> UTC wall-clock timestamp (``TIMESTAMP_NTZ``); bad text -> NULL.
+
+    Offsets such as ``Z`` are honoured while parsing; the result carries no zone,
+    so hours, dates and collected values do not depend on any session or client zone.
+    """
+    return F.try_to_timestamp(_c(col)).cast("timestamp_ntz")
 
 
 def iso_text(col: "Column | str") -> Column:

@@ -15,6 +15,7 @@ from datetime import date
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from courtview.functions.dates import parse_ts
 from courtview.session import materialize
 
 
@@ -26,20 +27,20 @@ def top_n_per_group(df: DataFrame, group: Sequence[str], order: Sequence[Column]
 
 def newest_per_team(videos: DataFrame, n: int) -> DataFrame:
     """Newest ``n`` videos of each team (publication time desc, video_id as tiebreak)."""
-    ts = F.try_to_timestamp(F.col("published_at"))
+    ts = parse_ts("published_at")
     return top_n_per_group(videos, ["team"], [ts.desc_nulls_last(), F.col("video_id")], n)
 
 
 def cap_per_channel(videos: DataFrame, cap: int) -> DataFrame:
     """The first ``cap`` items of each channel's upload list (newest first), before any date filter."""
-    ts = F.try_to_timestamp(F.col("published_at"))
+    ts = parse_ts("published_at")
     return top_n_per_group(videos, ["channel_id"], [ts.desc_nulls_last(), F.col("video_id")], cap)
 
 
 def collection_window(videos: DataFrame, start: date, end: date, cap: int, n: int) -> DataFrame:
     """The collection chain in the reference's order: list cap -> closed date window -> newest n per team."""
     capped = cap_per_channel(videos, cap)
-    in_window = capped.where(F.to_date(F.try_to_timestamp("published_at")).between(F.lit(start), F.lit(end)))
+    in_window = capped.where(F.to_date(parse_ts("published_at")).between(F.lit(start), F.lit(end)))
     return newest_per_team(in_window, n)
 
 

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from courtview.plans import reports as R
 from courtview.plans.staged import PARAMS, binding_inputs, staged
+from courtview.session import configure
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -76,10 +77,18 @@ def _report_keys() -> list[tuple[str, Query, str, str]]:
     ]
 
 
+def _configured(fn: Query) -> Query:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        configure(spark)
+        return fn(spark, sf_dir)
+    run.__name__ = getattr(fn, "__name__", "query")
+    return run
+
+
 def query_table() -> dict[str, Query]:
     out = {k: fn for k, fn, _, _ in _report_keys()}
     out.update(_extra_queries())
-    return out
+    return {k: _configured(fn) for k, fn in out.items()}
 
 
 def oracle_statements() -> dict[str, str]:

@@ -30,7 +30,7 @@ VIDEO_SENTIMENT_SUMMARY = _st(("video_id", S), ("comments_pulled", L), ("avg_com
 
 STAGED = _st(
     ("video_id", S), ("team", S), ("team_abbreviation", S), ("conference", S), ("channel_id", S),
-    ("channel_title", S), ("video_title", S), ("video_description", S), ("published_at", T.TimestampType()),
+    ("channel_title", S), ("video_title", S), ("video_description", S), ("published_at", T.TimestampNTZType()),
     ("published_date", T.DateType()), ("published_hour", I), ("published_month", T.DateType()),
     ("duration", S), ("content_type", S), ("message_theme", S), ("view_count", L), ("like_count", L),
     ("comment_count", L), ("like_count_clean", L), ("comment_count_clean", L), ("engagement_count", L),

@@ -16,7 +16,8 @@ from courtview.schemas import STAGED, STAGED_COLUMNS
 from courtview.session import scratch_path
 
 CSV_OPTIONS = {"header": "true", "nullValue": "NA", "quote": '"', "escape": '"', "multiLine": "true",
-               "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss'Z'", "dateFormat": "yyyy-MM-dd"}
+               "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss'Z'", "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss",
+               "dateFormat": "yyyy-MM-dd"}
 
 
 def write_csv(df: DataFrame, path: str) -> str:
