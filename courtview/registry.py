@@ -128,9 +128,11 @@ ROWS_ONLY = {"cat_tables"}
 
 
 def _extra_queries() -> dict[str, Query]:
+    from courtview.plans.inventory_queries import INVENTORY_QUERIES
     from courtview.plans.operator_queries import OPERATOR_QUERIES
     out = {k: fn for k, fn, _, _ in _dash_keys()}
     out.update(OPERATOR_QUERIES)
+    out.update(INVENTORY_QUERIES)
     return out
 
 
@@ -139,4 +141,5 @@ def _extra_sql() -> dict[str, str]:
     fam = {b: O.dash_sql(b) for b in ("commerce", "content")}
     out = {k: fam[b][ok] for k, _, b, ok in _dash_keys()}
     out.update({k: v for k, v in O.operator_sql().items() if k not in ROWS_ONLY})
+    out.update(O.inventory_sql())
     return out

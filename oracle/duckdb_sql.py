@@ -375,11 +375,11 @@ def dash_sql(binding: str, wrap: bool = True) -> dict[str, str]:
     mix_refs = ", ".join(f"CAST(sum(CAST(avg_{c} AS DECIMAL(38,16))) OVER () AS DOUBLE) / "
                          f"CAST(count(avg_{c}) OVER () AS DOUBLE) AS ref_{c}" for c in shares)
     long_cases = " UNION ALL ".join(
-        f"SELECT content_type, {q(c)} AS measure_name, {i + 1} AS measure_order, {mean(c)} AS measure_value "
+        f"SELECT content_type, {q(c)} AS measure_name, CAST({i + 1} AS BIGINT) AS measure_order, {mean(c)} AS measure_value "
         f"FROM stg GROUP BY content_type" for i, c in enumerate(shares))
     pv_measures = ("view_count", "avg_comment_sentiment", "engagement_rate", "negative_comment_pct")
     pv_long = " UNION ALL ".join(
-        f"SELECT video_title, monitoring_priority, team, {q(m)} AS measure_name, {i + 1} AS measure_order, "
+        f"SELECT video_title, monitoring_priority, team, {q(m)} AS measure_name, CAST({i + 1} AS BIGINT) AS measure_order, "
         f"CAST({m} AS DOUBLE) AS measure_value FROM pv" for i, m in enumerate(pv_measures))
     out = {
         "v_avg_sentiment": f"SELECT {mean('avg_comment_sentiment')} AS avg_comment_sentiment FROM stg",
@@ -412,7 +412,7 @@ def dash_sql(binding: str, wrap: bool = True) -> dict[str, str]:
                            "CAST(sum(view_count) AS BIGINT) AS total_views, count(DISTINCT video_id) AS n_videos "
                            "FROM stg GROUP BY 1"),
         "v_priority_breakdown": (f"SELECT s, monitoring_priority, n_videos, "
-                                 f"CAST(nullif(list_position([{short_order}], s), 0) AS INTEGER) AS sort_order FROM "
+                                 f"CAST(nullif(list_position([{short_order}], s), 0) AS BIGINT) AS sort_order FROM "
                                  f"(SELECT {SHORT_CASE} AS s, monitoring_priority, count(DISTINCT video_id) AS n_videos "
                                  f"FROM stg GROUP BY 1, 2) g").replace("SELECT s,", "SELECT s AS monitoring_priority_short,"),
         "v_priority_videos": (f", pv AS (SELECT video_title, monitoring_priority, team, "
@@ -572,3 +572,120 @@ def operator_sql() -> dict[str, str]:
                           f"AS pts FROM events)"),
     }
     return out
+
+
+def inventory_sql() -> dict[str, str]:
+    from courtview.functions.text import NEWLINE_RUN
+    from courtview.schemas import STAGED
+    cp, tp = COMMERCE_PARAMS, CONTENT_PARAMS
+    content_raw = "WITH " + CONTENT_RAW.format(lexicon=_lexicon_values(), clean=squish("comment_text")).strip() + "\n"
+    commerce_raw = "WITH " + COMMERCE_RAW.strip() + "\n"
+    rep_c, rep_t = report_sql("commerce", wrap=False), report_sql("content", wrap=False)
+    base = ("team, team_abbreviation, conference, channel_id, video_id, published_at, channel_title, video_title, "
+            "video_description")
+    across = ", ".join(
+        f"regexp_replace({f.name}, {q(NEWLINE_RUN)}, ' ', 'g') AS {f.name}" if f.dataType.typeName() == "string"
+        else f.name for f in STAGED.fields)
+    flagged = ", ".join(q(x) for x in (PRIORITY_ENGAGEMENT, PRIORITY_BOTH, PRIORITY_NEGATIVE))
+    short_order = ", ".join(q(x) for x in ("High Eng. + High Neg.", "High Neg. Sentiment", "High Engagement",
+                                          "Standard"))
+    rank_case = (f"CASE WHEN monitoring_priority = {q(PRIORITY_BOTH)} THEN 1 WHEN monitoring_priority = "
+                 f"{q(PRIORITY_NEGATIVE)} THEN 2 WHEN monitoring_priority = {q(PRIORITY_ENGAGEMENT)} THEN 3 ELSE 4 END")
+    prio_case = (f"CASE WHEN he AND hn THEN {q(PRIORITY_BOTH)} WHEN hn THEN {q(PRIORITY_NEGATIVE)} "
+                 f"WHEN he THEN {q(PRIORITY_ENGAGEMENT)} ELSE {q(PRIORITY_STANDARD)} END")
+    channels = ("SELECT n.n_name AS team, upper(substr(n.n_name, 1, 3)) AS team_abbreviation, "
+                "'CH-' || CAST(n.n_nationkey AS VARCHAR) AS channel_id, n.n_name AS channel_name, "
+                "coalesce(s.subscribers, 0) AS subscribers FROM nation n LEFT JOIN "
+                "(SELECT c_nationkey, count(*) AS subscribers FROM customer GROUP BY c_nationkey) s "
+                "ON n.n_nationkey = s.c_nationkey")
+    out = {
+        "prj_select": commerce_raw + f"SELECT {base} FROM vr",
+        "prj_across_str": on_stg("content", f"SELECT {across} FROM stg"),
+        "prj_coalesce": content_raw + "SELECT video_id, coalesce(channel_title, team) AS channel_name FROM vr",
+        "prj_fill": on_stg("content", "SELECT video_id, like_count, like_count_clean, comment_count, "
+                                      "comment_count_clean, comments_pulled, avg_comment_sentiment, "
+                                      "negative_comment_pct FROM stg"),
+        "prj_preview": on_stg("content", rep_t["q00_preview"]),
+        "flt_members": on_stg("commerce", f"SELECT video_id, monitoring_priority FROM stg "
+                                          f"WHERE monitoring_priority IN ({flagged})"),
+        "join_sentiment": on_stg("content", "SELECT video_id, comment_count, s_n AS comments_pulled, "
+                                            "s_avg AS avg_comment_sentiment, s_neg AS negative_comment_pct FROM j"),
+        "join_lexicon": content_raw + ("SELECT video_id, comment_id, CAST(score AS DECIMAL(18,4)) AS sentiment_score "
+                                       "FROM hits"),
+        "semi_topn_members": on_stg("commerce", f"SELECT video_id, video_title, team FROM stg WHERE video_title IN "
+                                                f"(SELECT video_title FROM stg GROUP BY video_title ORDER BY "
+                                                f"sum(view_count) DESC NULLS LAST, video_title ASC NULLS LAST "
+                                                f"LIMIT {cp.top_titles})"),
+        "cross_scalar": on_stg("commerce", "SELECT video_id, engagement_rate >= eng_t AS at_or_above_eng, "
+                                           "negative_comment_pct >= neg_t AS at_or_above_neg FROM feat, thr"),
+        "agg_cond_share": on_stg("commerce", "SELECT video_id, positive_comment_pct, neutral_comment_pct, "
+                                             "negative_comment_pct FROM summ"),
+        "agg_missing": content_raw + ("SELECT count(*) FILTER (WHERE view_count IS NULL) AS missing_view_count, "
+                                      "count(*) FILTER (WHERE like_count IS NULL) AS missing_like_count, "
+                                      "count(*) FILTER (WHERE comment_count IS NULL) AS missing_comment_count, "
+                                      "count(*) FILTER (WHERE published_at IS NULL) AS missing_published_at FROM vr"),
+        "agg_weighted_rate": on_stg("commerce", f"SELECT conference, {WER} FROM stg GROUP BY conference"),
+        "agg_attr": on_stg("commerce", f"SELECT video_title, {attr('team')} AS attr_team, "
+                                       f"{attr('conference')} AS attr_conference FROM stg GROUP BY video_title"),
+        "agg_count_sort": on_stg("commerce", "SELECT sentiment_bucket, count(*) AS n FROM stg GROUP BY 1"),
+        "agg_having": on_stg("content", f"SELECT team, content_type, count(*) AS total_videos FROM stg "
+                                        f"GROUP BY team, content_type HAVING count(*) >= {tp.min_group}"),
+        "win_pct_total": on_stg("commerce", "SELECT content_type, count(*) AS n, CAST(count(*) AS DOUBLE) / "
+                                            "CAST(sum(count(*)) OVER () AS DOUBLE) AS pct FROM stg GROUP BY 1"),
+        "win_reference_avg": on_stg("commerce", "SELECT team, avg_negative_comment_pct, CAST(sum(CAST("
+                                                "avg_negative_comment_pct AS DECIMAL(38,16))) OVER () AS DOUBLE) / "
+                                                "CAST(count(avg_negative_comment_pct) OVER () AS DOUBLE) AS "
+                                                "ref_negative_comment_pct FROM (SELECT team, "
+                                                f"{mean('negative_comment_pct')} AS avg_negative_comment_pct "
+                                                "FROM stg GROUP BY team)"),
+        "win_flag_quantile": on_stg("content", "SELECT video_id, he AS high_engagement_flag, "
+                                               "hn AS high_negative_sentiment_flag FROM fl"),
+        "srt_topk": on_stg("content", rep_t["q01_top_views"]),
+        "srt_case_rank": on_stg("content", f"SELECT video_id, monitoring_priority, {rank_case} AS priority_rank, "
+                                           f"view_count FROM stg WHERE monitoring_priority <> 'Standard'"),
+        "srt_manual": on_stg("commerce", f"SELECT {SHORT_CASE} AS monitoring_priority_short, count(*) AS n, "
+                                         f"CAST(nullif(list_position([{short_order}], {SHORT_CASE}), 0) AS BIGINT) "
+                                         f"AS sort_order FROM stg GROUP BY 1"),
+        "srt_by_measure": on_stg("commerce", "SELECT team, count(*) AS total_videos, CAST(row_number() OVER (ORDER BY "
+                                             "sum(engagement_count) DESC NULLS LAST, team) AS INTEGER) AS sort_rank "
+                                             "FROM stg GROUP BY team"),
+        "srt_multi_qa": on_stg("content", rep_t["qa_fast"]),
+        "fn_parse_ts": content_raw + ("SELECT video_id, published_at, CAST(strptime(published_at, "
+                                      "'%Y-%m-%dT%H:%M:%SZ') AS TIMESTAMP) AS published_ts FROM vr"),
+        "fn_day_trunc": "SELECT event_id, CAST(ts AS DATE) AS day FROM events",
+        "fn_iso_bound": on_stg("content", "SELECT video_id, strftime(published_date, '%Y-%m-%d') || 'T00:00:00Z' "
+                                          "AS day_start FROM stg"),
+        "fn_try_numeric": content_raw + "SELECT video_id, view_count FROM vr",
+        "fn_date_to_text": on_stg("content", "SELECT video_id, CAST(published_date AS VARCHAR) AS published_date_text, "
+                                             "CAST(published_month AS VARCHAR) AS published_month_text FROM stg"),
+        "fn_safe_ratio": on_stg("content", "SELECT video_id, engagement_rate, likes_per_1k_views, "
+                                           "comments_per_1k_views FROM stg"),
+        "fn_rate_per_day": on_stg("content", "SELECT video_id, view_count, views_per_day FROM stg"),
+        "fn_round": on_stg("content", f"SELECT video_id, {rnd('engagement_rate', 4)} AS engagement_rate, "
+                                      f"{rnd('views_per_day', 2)} AS views_per_day FROM stg"),
+        "fn_label_3way": on_stg("content", "SELECT video_id, avg_comment_sentiment, sentiment_bucket FROM stg"),
+        "fn_rules_first_match": on_stg("content", "SELECT video_id, duration, content_type, message_theme FROM stg"),
+        "fn_recode": on_stg("commerce", f"SELECT video_id, monitoring_priority, {SHORT_CASE} AS "
+                                        f"monitoring_priority_short FROM stg"),
+        "fn_bool_combine": on_stg("content", f"SELECT video_id, he AS high_engagement_flag, "
+                                             f"hn AS high_negative_sentiment_flag, {prio_case} AS monitoring_priority "
+                                             f"FROM fl"),
+        "feat_engagement": on_stg("commerce", "SELECT video_id, like_count_clean, comment_count_clean, "
+                                              "engagement_count, engagement_rate, likes_per_1k_views, "
+                                              "comments_per_1k_views, views_per_day FROM stg"),
+        "feat_content_type": on_stg("commerce", "SELECT video_id, content_type FROM stg"),
+        "feat_message_theme": on_stg("commerce", "SELECT video_id, message_theme FROM stg"),
+        "feat_sentiment_bucket": on_stg("commerce", "SELECT video_id, sentiment_bucket FROM stg"),
+        "feat_priority": on_stg("content", "SELECT video_id, monitoring_priority FROM stg"),
+        "snk_csv": on_stg("commerce", rep_c["s06_monitoring"]),
+        "qa_channels": (f"SELECT team, team_abbreviation, channel_id, CASE WHEN subscribers > 0 THEN channel_name END "
+                        f"AS channel_title, CASE WHEN subscribers > 0 THEN CAST(subscribers AS DOUBLE) END AS "
+                        f"subscriber_count, subscribers > 0 AS valid_channel FROM ({channels}) "
+                        f"ORDER BY channel_id LIMIT 20"),
+        "d_overview": on_stg("commerce", f"SELECT {mean('avg_comment_sentiment')} AS avg_comment_sentiment, "
+                                         f"{mean('negative_comment_pct')} AS avg_negative_comment_pct, "
+                                         f"CAST(sum(engagement_count) AS BIGINT) AS total_engagements, "
+                                         f"CAST(sum(view_count) AS BIGINT) AS total_views, "
+                                         f"{WER_RAW} AS weighted_engagement_rate FROM stg"),
+    }
+    return out

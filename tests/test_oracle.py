@@ -9,7 +9,7 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 def test_every_key_matches_oracle(spark):
     from __spark_entry__ import oracle_sql, queries
-    from tools.oracle_check import duck, rows_of
+    from tools.oracle_check import duck, rows_of, type_diff
     con = duck(SF_SMALL)
     sqls = oracle_sql()
     failures = []
@@ -20,6 +20,8 @@ def test_every_key_matches_oracle(spark):
             continue
         res = con.execute(sqls[key])
         cols = [d[0] for d in res.description]
+        if type_diff(df, res):
+            failures.append((key, "types"))
         if sorted(cols) != sorted(df.columns) or rows_of(df.columns, rows) != rows_of(cols, res.fetchall()):
             failures.append(key)
     assert failures == []
