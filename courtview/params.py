@@ -1,4 +1,4 @@
-"""Parameters of the audience pipeline.
+"""Parameters of the audience analytics build.
 
 Every threshold the reference hard-codes is a field here, so a binding can scale
 it to its data without touching operator code.  ``as_of`` replaces the wall

@@ -1,4 +1,4 @@
-"""Bindings: the driver's tables -> the model tables the pipeline is written against.
+"""Bindings: the driver's tables -> the model tables the operators are written against.
 
 ``content``  documents + events + conversations: text paths, sparse joins, NULLs.
 ``commerce`` orders + customer + nation + region + lineitem: the scale binding.
