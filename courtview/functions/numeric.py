@@ -48,15 +48,19 @@ def weighted_rate(num_sum: Column, den_sum: Column, digits: int | None = 4) -> C
     return round_to(r, digits) if digits is not None else r
 
 
-MEAN_DECIMAL = "decimal(38,16)"
+BI_DIGITS = 10
 
 
 def mean(col: "Column | str") -> Column:
-    """Average of the non-null values from an exact decimal sum.
+    """Average of the non-null values (native double aggregate, vectorised)."""
+    return F.avg(_c(col))
 
-    A double sum depends on the order rows arrive in (partitioning, retries);
-    a decimal sum does not, so the mean is the same bits on every run and on
-    every engine, and values that should tie at a rounding boundary do tie.
+
+def bi(col: "Column | str") -> Column:
+    """A measure as published by a sheet: at 1e-10 resolution.
+
+    Double sums depend on the order rows reach the aggregate (partitioning,
+    retries) in the last bits; publishing at this resolution makes every sheet
+    value the same on every run and on every engine.
     """
-    c = _c(col)
-    return F.try_divide(F.sum(c.cast(MEAN_DECIMAL)).cast("double"), F.count(c).cast("double"))
+    return round_to(col, BI_DIGITS)

@@ -24,7 +24,7 @@ from decimal import Decimal
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from courtview.functions.text import label_3way, squish
+from courtview.functions.text import squish
 from courtview.operators.broadcast import broadcast_if_bounded
 
 TOKEN_SPLIT = "[^a-z']+"
@@ -37,73 +37,95 @@ def tokens(text_col) -> F.Column:
     return F.array_distinct(F.split(F.lower(text_col), TOKEN_SPLIT))
 
 
+# Scores are exact multiples of 1e-4 (lexicon values are DECIMAL(9,4)).  Inside the
+# plan they travel as integer units of 1e-4: sums of longs are exact, order-free
+# and run on the fast path, where a DECIMAL sum of this width would fall back to
+# BigDecimal arithmetic for every comment row.
+SCORE_SCALE = 10_000
+
+
+def score_units(threshold: Decimal) -> int:
+    units = threshold * SCORE_SCALE
+    if units != int(units):
+        raise ValueError(f"threshold {threshold} is not a multiple of 1/{SCORE_SCALE}")
+    return int(units)
+
+
+def units_to_decimal(units: F.Column) -> F.Column:
+    return (units.cast("decimal(18,0)") / F.lit(SCORE_SCALE)).cast("decimal(18,4)")
+
+
 def prepare_lexicon(lexicon: DataFrame) -> DataFrame:
-    """One row per word (duplicate words add up), broadcast when provably small."""
-    lex = lexicon.groupBy("word").agg(F.sum("value").cast("decimal(19,4)").alias("value"))
+    """(word, units): one row per word (duplicate words add up), broadcast when provably small."""
+    lex = lexicon.groupBy("word").agg(
+        (F.sum("value") * F.lit(SCORE_SCALE)).cast("bigint").alias("units"))
     return broadcast_if_bounded(lex, LEXICON_MAX_ROWS)
 
 
 def matched_comment_scores(comments: DataFrame, lexicon: DataFrame,
                            keys=("video_id", "comment_id"), text_col: str = "comment_text") -> DataFrame:
-    """(keys..., score) for comments with at least one lexicon word."""
+    """(keys..., score_units) for comments with at least one lexicon word."""
     toks = comments.select(*keys, F.explode(tokens(F.col(text_col))).alias("word"))
     hits = toks.join(prepare_lexicon(lexicon), "word", "inner")
-    return hits.groupBy(*keys).agg(F.sum("value").alias("sentiment_score"))
+    return hits.groupBy(*keys).agg(F.sum("units").alias("score_units"))
 
 
 def score_comments(comments: DataFrame, lexicon: DataFrame,
                    threshold: Decimal = DEFAULT_THRESHOLD) -> DataFrame:
     """comments + comment_text_clean, sentiment_score, sentiment_label (the comment-level table)."""
     keys = ("video_id", "comment_id")
+    t = score_units(threshold)
     base = comments.withColumn("comment_text_clean", squish("comment_text"))
     scores = matched_comment_scores(base, lexicon, keys, "comment_text_clean")
     out = base.join(scores, list(keys), "left").withColumn(
-        "sentiment_score", F.coalesce(F.col("sentiment_score"), F.lit(Decimal("0"))).cast("decimal(18,4)"))
-    return out.withColumn("sentiment_label", label_3way("sentiment_score", threshold))
+        "score_units", F.coalesce(F.col("score_units"), F.lit(0).cast("bigint")))
+    u = F.col("score_units")
+    return out.withColumns({
+        "sentiment_score": units_to_decimal(u),
+        "sentiment_label": F.when(u > t, F.lit("Positive")).when(u < -t, F.lit("Negative")).otherwise(F.lit("Neutral")),
+    }).drop("score_units")
 
 
-def _summary(n: F.Column, score_sum: F.Column, pos: F.Column, neg: F.Column) -> list[F.Column]:
+def _summary(n: F.Column, units_sum: F.Column, pos: F.Column, neg: F.Column) -> list[F.Column]:
     nd = n.cast("double")
     return [
         n.alias("comments_pulled"),
-        (F.coalesce(score_sum, F.lit(0)).cast("double") / nd).alias("avg_comment_sentiment"),
+        (F.coalesce(units_sum, F.lit(0)).cast("double") / F.lit(float(SCORE_SCALE)) / nd)
+        .alias("avg_comment_sentiment"),
         (F.coalesce(pos, F.lit(0)).cast("double") / nd).alias("positive_comment_pct"),
         ((n - F.coalesce(pos, F.lit(0)) - F.coalesce(neg, F.lit(0))).cast("double") / nd).alias("neutral_comment_pct"),
         (F.coalesce(neg, F.lit(0)).cast("double") / nd).alias("negative_comment_pct"),
     ]
 
 
+def _unit_aggs(t: int) -> list[F.Column]:
+    u = F.col("score_units")
+    return [F.sum(u).alias("units_sum"), F.count_if(u > t).alias("pos"), F.count_if(u < -t).alias("neg")]
+
+
 def rollup_scores(scored: DataFrame, threshold: Decimal = DEFAULT_THRESHOLD,
                   extra: dict[str, F.Column] | None = None) -> DataFrame:
-    """Per-video summary from (video_id, sentiment_score) rows.
+    """Per-video summary from (video_id, score_units | sentiment_score) rows.
 
     ``extra`` adds more per-video aggregates to the same pass (one scan, one shuffle).
     """
-    s = F.col("sentiment_score")
+    if "score_units" not in scored.columns:
+        scored = scored.withColumn("score_units", (F.col("sentiment_score") * F.lit(SCORE_SCALE)).cast("bigint"))
     extra = extra or {}
     agg = scored.groupBy("video_id").agg(
-        F.count(F.lit(1)).alias("n"),
-        F.sum(s).alias("score_sum"),
-        F.count_if(s > F.lit(threshold)).alias("pos"),
-        F.count_if(s < -F.lit(threshold)).alias("neg"),
+        F.count(F.lit(1)).alias("n"), *_unit_aggs(score_units(threshold)),
         *[c.alias(k) for k, c in extra.items()],
     )
-    return agg.select("video_id", *_summary(F.col("n"), F.col("score_sum"), F.col("pos"), F.col("neg")), *extra)
+    return agg.select("video_id", *_summary(F.col("n"), F.col("units_sum"), F.col("pos"), F.col("neg")), *extra)
 
 
 def video_sentiment(comments: DataFrame, lexicon: DataFrame,
                     threshold: Decimal = DEFAULT_THRESHOLD) -> DataFrame:
     """Per-video summary straight from comment text, without shuffling comment rows."""
     counts = comments.groupBy("video_id").agg(F.count(F.lit(1)).alias("n"))
-    matched = matched_comment_scores(comments, lexicon)
-    s = F.col("sentiment_score")
-    per_video = matched.groupBy("video_id").agg(
-        F.sum(s).alias("score_sum"),
-        F.count_if(s > F.lit(threshold)).alias("pos"),
-        F.count_if(s < -F.lit(threshold)).alias("neg"),
-    )
+    per_video = matched_comment_scores(comments, lexicon).groupBy("video_id").agg(*_unit_aggs(score_units(threshold)))
     j = counts.join(per_video, "video_id", "left")
-    return j.select("video_id", *_summary(F.col("n"), F.col("score_sum"), F.col("pos"), F.col("neg")))
+    return j.select("video_id", *_summary(F.col("n"), F.col("units_sum"), F.col("pos"), F.col("neg")))
 
 
 def label_counts(scored: DataFrame) -> DataFrame:

@@ -1,9 +1,9 @@
 """Dashboard worksheets as DataFrame queries, and the three dashboards as bundles.
 
 A worksheet is: dimension filters -> grouping by the shelf dimensions ->
-aggregations -> sort -> reference lines.  Sums and means of doubles go through
-an exact decimal accumulator, so a mark's value does not depend on the order
-rows reach the aggregate.  Reference lines are means over the *marks* (group
+aggregations -> sort -> reference lines.  Sums and means are native double
+aggregates published at 1e-10 resolution, so a mark's value does not depend
+on the order rows reach the aggregate.  Reference lines are means over the *marks* (group
 values), computed by a global partial aggregate and attached by a one-row
 broadcast - never by a window over all rows.
 """
@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from courtview.functions.numeric import MEAN_DECIMAL, mean
+from courtview.functions.numeric import bi, mean
 from courtview.functions.text import manual_order_key, priority_short
 from courtview.params import (PRIORITY_BOTH, PRIORITY_ENGAGEMENT, PRIORITY_NEGATIVE, PRIORITY_SHORT_ORDER,
                               Params)
@@ -21,8 +21,14 @@ from courtview.params import (PRIORITY_BOTH, PRIORITY_ENGAGEMENT, PRIORITY_NEGAT
 SHARES = ("positive_comment_pct", "neutral_comment_pct", "negative_comment_pct")
 
 
-def exact_sum(col: str) -> F.Column:
-    return F.sum(F.col(col).cast(MEAN_DECIMAL)).cast("double")
+def sheet_sum(col: str) -> F.Column:
+    """SUM of a double measure, published at sheet resolution."""
+    return bi(F.sum(col))
+
+
+def sheet_mean(col: str) -> F.Column:
+    """AVG of a measure, published at sheet resolution."""
+    return bi(mean(col))
 
 
 def wer() -> F.Column:
@@ -39,7 +45,7 @@ def attr(col: str) -> F.Column:
 
 def mean_over_marks(df: DataFrame, cols: dict[str, str]) -> DataFrame:
     """Attach reference lines: the mean of each mark value over all marks (one broadcast row)."""
-    ref = df.agg(*[mean(src).alias(name) for name, src in cols.items()])
+    ref = df.agg(*[sheet_mean(src).alias(name) for name, src in cols.items()])
     return df.crossJoin(F.broadcast(ref))
 
 
@@ -55,11 +61,11 @@ def _unpivot(df: DataFrame, ids: list[str], measures: list[str], order: list[str
 # cards
 # ---------------------------------------------------------------------------
 def v_avg_sentiment(stg: DataFrame) -> DataFrame:
-    return stg.agg(mean("avg_comment_sentiment").alias("avg_comment_sentiment"))
+    return stg.agg(sheet_mean("avg_comment_sentiment").alias("avg_comment_sentiment"))
 
 
 def v_neg_card(stg: DataFrame) -> DataFrame:
-    return stg.agg(mean("negative_comment_pct").alias("avg_negative_comment_pct"))
+    return stg.agg(sheet_mean("negative_comment_pct").alias("avg_negative_comment_pct"))
 
 
 def v_engagements_card(stg: DataFrame) -> DataFrame:
@@ -79,22 +85,21 @@ def v_wer_card(stg: DataFrame) -> DataFrame:
 # ---------------------------------------------------------------------------
 def v_sentiment_mix(stg: DataFrame) -> DataFrame:
     """Per content type: mean of the three shares; reference line = mean of the type means."""
-    g = stg.groupBy("content_type").agg(*[mean(c).alias(f"avg_{c}") for c in SHARES])
+    g = stg.groupBy("content_type").agg(*[sheet_mean(c).alias(f"avg_{c}") for c in SHARES])
     w = Window.partitionBy()  # over the handful of grouped marks only
     for c in SHARES:
         a = f"avg_{c}"
-        g = g.withColumn(f"ref_{c}", F.try_divide(F.sum(F.col(a).cast(MEAN_DECIMAL)).over(w).cast("double"),
-                                                  F.count(a).over(w).cast("double")))
+        g = g.withColumn(f"ref_{c}", bi(F.avg(a).over(w)))
     return g.orderBy(F.desc_nulls_last("avg_neutral_comment_pct"), "content_type")
 
 
 def v_sentiment_mix_long(stg: DataFrame) -> DataFrame:
-    g = stg.groupBy("content_type").agg(*[mean(c).alias(c) for c in SHARES])
+    g = stg.groupBy("content_type").agg(*[sheet_mean(c).alias(c) for c in SHARES])
     return _unpivot(g, ["content_type"], list(SHARES), list(SHARES))
 
 
 def _mean_by(stg: DataFrame, key: str, col: str, alias: str) -> DataFrame:
-    return stg.groupBy(key).agg(mean(col).alias(alias)).orderBy(F.desc_nulls_last(alias), key)
+    return stg.groupBy(key).agg(sheet_mean(col).alias(alias)).orderBy(F.desc_nulls_last(alias), key)
 
 
 def v_neg_by_team(stg: DataFrame) -> DataFrame:
@@ -112,7 +117,7 @@ def v_discussion_by_type(stg: DataFrame) -> DataFrame:
 def v_views_by_type(stg: DataFrame) -> DataFrame:
     return (stg.groupBy("content_type").agg(
         F.sum("view_count").alias("total_views"), F.count("video_id").alias("n_videos"),
-        exact_sum("avg_comment_sentiment").alias("sum_avg_comment_sentiment"),
+        sheet_sum("avg_comment_sentiment").alias("sum_avg_comment_sentiment"),
         wer().alias("weighted_engagement_rate"), attr("content_type").alias("attr_content_type"))
         .orderBy(F.desc_nulls_last("total_views"), "content_type"))
 
@@ -128,7 +133,7 @@ def v_views_by_theme(stg: DataFrame) -> DataFrame:
     return (stg.groupBy("message_theme").agg(
         F.sum("view_count").alias("total_views"), F.count("video_title").alias("n_titles"),
         wer().alias("weighted_engagement_rate"),
-        exact_sum("avg_comment_sentiment").alias("sum_avg_comment_sentiment"))
+        sheet_sum("avg_comment_sentiment").alias("sum_avg_comment_sentiment"))
         .orderBy(F.desc_nulls_last("total_views"), "message_theme"))
 
 
@@ -171,9 +176,9 @@ def v_priority_videos(stg: DataFrame) -> DataFrame:
     g = (stg.where(F.col("monitoring_priority").isin(*FLAGGED))
          .groupBy("video_title", "monitoring_priority", "team").agg(
              F.sum("view_count").alias("view_count"),
-             exact_sum("avg_comment_sentiment").alias("avg_comment_sentiment"),
-             exact_sum("engagement_rate").alias("engagement_rate"),
-             exact_sum("negative_comment_pct").alias("negative_comment_pct")))
+             sheet_sum("avg_comment_sentiment").alias("avg_comment_sentiment"),
+             sheet_sum("engagement_rate").alias("engagement_rate"),
+             sheet_sum("negative_comment_pct").alias("negative_comment_pct")))
     return _unpivot(g, ["video_title", "monitoring_priority", "team"], list(PRIORITY_VIDEO_MEASURES),
                     list(PRIORITY_VIDEO_MEASURES))
 
@@ -181,8 +186,8 @@ def v_priority_videos(stg: DataFrame) -> DataFrame:
 def v_scatter(stg: DataFrame) -> DataFrame:
     """One mark per (priority, video): rate vs negative share, sized by views, with mean lines."""
     marks = stg.groupBy("monitoring_priority", "video_id").agg(
-        exact_sum("engagement_rate").alias("sum_engagement_rate"),
-        exact_sum("negative_comment_pct").alias("sum_negative_comment_pct"),
+        sheet_sum("engagement_rate").alias("sum_engagement_rate"),
+        sheet_sum("negative_comment_pct").alias("sum_negative_comment_pct"),
         F.sum("view_count").alias("sum_view_count"),
         attr("video_title").alias("attr_video_title"), attr("team").alias("attr_team"))
     return mean_over_marks(marks, {"ref_engagement_rate": "sum_engagement_rate",
@@ -201,8 +206,8 @@ def v_top_videos(stg: DataFrame, params: Params) -> DataFrame:
     kept = stg.join(top, "video_title", "left_semi")
     return (kept.groupBy("video_title", "team").agg(
         F.sum("view_count").alias("total_views"), wer().alias("weighted_engagement_rate"),
-        exact_sum("negative_comment_pct").alias("sum_negative_comment_pct"),
-        mean("negative_comment_pct").alias("avg_negative_comment_pct"))
+        sheet_sum("negative_comment_pct").alias("sum_negative_comment_pct"),
+        sheet_mean("negative_comment_pct").alias("avg_negative_comment_pct"))
         .orderBy(F.desc_nulls_last("total_views"), "video_title", "team"))
 
 

@@ -11,11 +11,11 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from courtview.functions.dates import date_to_text, day_trunc, parse_ts
-from courtview.functions.numeric import mean, round_to, try_numeric, weighted_rate
+from courtview.functions.numeric import bi, round_to, try_numeric, weighted_rate
 from courtview.functions.text import manual_order_key, priority_rank, priority_short, strip_newlines
 from courtview.operators import shape
 from courtview.operators.features import add_flags, join_sentiment
-from courtview.operators.sentiment import matched_comment_scores, rollup_scores, video_sentiment
+from courtview.operators.sentiment import matched_comment_scores, rollup_scores, units_to_decimal, video_sentiment
 from courtview.params import PRIORITY_BOTH, PRIORITY_ENGAGEMENT, PRIORITY_NEGATIVE, PRIORITY_SHORT_ORDER
 from courtview.plans import dashboards as D
 from courtview.plans import reports as R
@@ -86,8 +86,8 @@ def join_sentiment_key(spark: SparkSession, sf: str) -> DataFrame:
 
 def join_lexicon(spark: SparkSession, sf: str) -> DataFrame:
     """Comment tokens matched to the broadcast lexicon, summed per comment (matching comments only)."""
-    return matched_comment_scores(B.content_comments(spark, sf), B.fixture_lexicon(spark)).withColumn(
-        "sentiment_score", F.col("sentiment_score").cast("decimal(18,4)"))
+    m = matched_comment_scores(B.content_comments(spark, sf), B.fixture_lexicon(spark))
+    return m.select("video_id", "comment_id", units_to_decimal(F.col("score_units")).alias("sentiment_score"))
 
 
 @_stg(C)
@@ -149,10 +149,9 @@ def win_pct_total(stg: DataFrame) -> DataFrame:
 
 @_stg(C)
 def win_reference_avg(stg: DataFrame) -> DataFrame:
-    g = stg.groupBy("team").agg(mean("negative_comment_pct").alias("avg_negative_comment_pct"))
+    g = stg.groupBy("team").agg(D.sheet_mean("negative_comment_pct").alias("avg_negative_comment_pct"))
     w = Window.partitionBy()  # over the grouped marks (one row per team) only
-    ref = F.try_divide(F.sum(F.col("avg_negative_comment_pct").cast("decimal(38,16)")).over(w).cast("double"),
-                       F.count("avg_negative_comment_pct").over(w).cast("double"))
+    ref = bi(F.avg("avg_negative_comment_pct").over(w))
     return g.withColumn("ref_negative_comment_pct", ref)
 
 
@@ -319,8 +318,8 @@ def qa_channels(spark: SparkSession, sf: str) -> DataFrame:
 def d_overview(stg: DataFrame) -> DataFrame:
     """The overview dashboard's five cards as one row (one pass over the staged table)."""
     return stg.agg(
-        mean("avg_comment_sentiment").alias("avg_comment_sentiment"),
-        mean("negative_comment_pct").alias("avg_negative_comment_pct"),
+        D.sheet_mean("avg_comment_sentiment").alias("avg_comment_sentiment"),
+        D.sheet_mean("negative_comment_pct").alias("avg_negative_comment_pct"),
         F.sum("engagement_count").alias("total_engagements"), F.sum("view_count").alias("total_views"),
         D.wer().alias("weighted_engagement_rate"))
 

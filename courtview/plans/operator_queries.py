@@ -113,7 +113,7 @@ def unnest_nested(spark: SparkSession, sf: str) -> DataFrame:
 def set_union(spark: SparkSession, sf: str) -> DataFrame:
     """Text comments and scored comments stacked by name; missing columns become NULL."""
     text = B.content_comments(spark, sf).select("video_id", "comment_id", "comment_text")
-    scored = B.commerce_scored_comments(spark, sf)
+    scored = B.commerce_scored_comments(spark, sf).select("video_id", "comment_id", "sentiment_score")
     return shape.union_all([text, scored])
 
 

@@ -163,10 +163,12 @@ def commerce_scored_comments(spark: SparkSession, sf_dir: str, with_quantity: bo
     """One comment per line item with a ready score in -0.25 .. 0.25, steps of 0.05."""
     li = read_table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_discount", "l_quantity")
     score = F.expr("CAST((CAST(ROUND(l_discount * 100) AS INT) - 5) * 0.05 AS DECIMAL(9,4))")
+    steps = F.round(F.col("l_discount") * 100).cast("int") - 5  # score = steps * 0.05 = steps * 500 units
     cols = [
         F.col("l_orderkey").cast("string").alias("video_id"),
         F.concat_ws("-", F.col("l_orderkey").cast("string"), F.col("l_linenumber").cast("string")).alias("comment_id"),
         score.alias("sentiment_score"),
+        (steps * 500).cast("bigint").alias("score_units"),
     ]
     if with_quantity:
         cols.append(F.col("l_quantity"))

@@ -21,7 +21,12 @@ def rnd(e: str, d: int) -> str:
 
 
 def mean(e: str) -> str:
-    return f"(CAST(sum(CAST({e} AS DECIMAL(38,16))) AS DOUBLE) / CAST(nullif(count({e}), 0) AS DOUBLE))"
+    return f"avg({e})"
+
+
+def smean(e: str) -> str:
+    """A sheet's AVG, published at 1e-10 resolution."""
+    return rnd(f"avg({e})", 10)
 
 
 def q(s: str) -> str:
@@ -355,7 +360,8 @@ SHORT_CASE = ("CASE " + " ".join(f"WHEN monitoring_priority = {q(k)} THEN {q(v)}
 
 
 def xsum(e: str) -> str:
-    return f"CAST(sum(CAST({e} AS DECIMAL(38,16))) AS DOUBLE)"
+    """A sheet's SUM of a double measure, published at 1e-10 resolution."""
+    return rnd(f"sum({e})", 10)
 
 
 WER_RAW = "CAST(sum(engagement_count) AS DOUBLE) / CAST(nullif(sum(view_count), 0) AS DOUBLE)"
@@ -371,29 +377,28 @@ def dash_sql(binding: str, wrap: bool = True) -> dict[str, str]:
     shares = ("positive_comment_pct", "neutral_comment_pct", "negative_comment_pct")
     flagged = ", ".join(q(x) for x in (PRIORITY_ENGAGEMENT, PRIORITY_BOTH, PRIORITY_NEGATIVE))
     short_order = ", ".join(q(x) for x in ("High Eng. + High Neg.", "High Neg. Sentiment", "High Engagement", "Standard"))
-    mix_avgs = ", ".join(f"{mean(c)} AS avg_{c}" for c in shares)
-    mix_refs = ", ".join(f"CAST(sum(CAST(avg_{c} AS DECIMAL(38,16))) OVER () AS DOUBLE) / "
-                         f"CAST(count(avg_{c}) OVER () AS DOUBLE) AS ref_{c}" for c in shares)
+    mix_avgs = ", ".join(f"{smean(c)} AS avg_{c}" for c in shares)
+    mix_refs = ", ".join(f"{rnd(f'avg(avg_{c}) OVER ()', 10)} AS ref_{c}" for c in shares)
     long_cases = " UNION ALL ".join(
-        f"SELECT content_type, {q(c)} AS measure_name, CAST({i + 1} AS BIGINT) AS measure_order, {mean(c)} AS measure_value "
+        f"SELECT content_type, {q(c)} AS measure_name, CAST({i + 1} AS BIGINT) AS measure_order, {smean(c)} AS measure_value "
         f"FROM stg GROUP BY content_type" for i, c in enumerate(shares))
     pv_measures = ("view_count", "avg_comment_sentiment", "engagement_rate", "negative_comment_pct")
     pv_long = " UNION ALL ".join(
         f"SELECT video_title, monitoring_priority, team, {q(m)} AS measure_name, CAST({i + 1} AS BIGINT) AS measure_order, "
         f"CAST({m} AS DOUBLE) AS measure_value FROM pv" for i, m in enumerate(pv_measures))
     out = {
-        "v_avg_sentiment": f"SELECT {mean('avg_comment_sentiment')} AS avg_comment_sentiment FROM stg",
-        "v_neg_card": f"SELECT {mean('negative_comment_pct')} AS avg_negative_comment_pct FROM stg",
+        "v_avg_sentiment": f"SELECT {smean('avg_comment_sentiment')} AS avg_comment_sentiment FROM stg",
+        "v_neg_card": f"SELECT {smean('negative_comment_pct')} AS avg_negative_comment_pct FROM stg",
         "v_engagements_card": "SELECT CAST(sum(engagement_count) AS BIGINT) AS total_engagements FROM stg",
         "v_views_card": "SELECT CAST(sum(view_count) AS BIGINT) AS total_views FROM stg",
         "v_wer_card": f"SELECT {WER_RAW} AS weighted_engagement_rate FROM stg",
         "v_sentiment_mix": (f"SELECT content_type, {', '.join('avg_' + c for c in shares)}, {mix_refs} FROM "
                             f"(SELECT content_type, {mix_avgs} FROM stg GROUP BY content_type) g"),
         "v_sentiment_mix_long": long_cases,
-        "v_neg_by_team": f"SELECT team, {mean('negative_comment_pct')} AS avg_negative_comment_pct FROM stg GROUP BY team",
-        "v_neg_by_type": (f"SELECT content_type, {mean('negative_comment_pct')} AS avg_negative_comment_pct "
+        "v_neg_by_team": f"SELECT team, {smean('negative_comment_pct')} AS avg_negative_comment_pct FROM stg GROUP BY team",
+        "v_neg_by_type": (f"SELECT content_type, {smean('negative_comment_pct')} AS avg_negative_comment_pct "
                           f"FROM stg GROUP BY content_type"),
-        "v_discussion_by_type": (f"SELECT content_type, {mean('comments_per_1k_views')} AS avg_comments_per_1k_views "
+        "v_discussion_by_type": (f"SELECT content_type, {smean('comments_per_1k_views')} AS avg_comments_per_1k_views "
                                  f"FROM stg GROUP BY content_type"),
         "v_views_by_type": (f"SELECT content_type, CAST(sum(view_count) AS BIGINT) AS total_views, "
                             f"count(video_id) AS n_videos, {xsum('avg_comment_sentiment')} AS sum_avg_comment_sentiment, "
@@ -427,15 +432,15 @@ def dash_sql(binding: str, wrap: bool = True) -> dict[str, str]:
                       f"{xsum('negative_comment_pct')} AS sum_negative_comment_pct, "
                       f"CAST(sum(view_count) AS BIGINT) AS sum_view_count, {attr('video_title')} AS attr_video_title, "
                       f"{attr('team')} AS attr_team FROM stg GROUP BY monitoring_priority, video_id), "
-                      f"ref AS (SELECT {mean('sum_engagement_rate')} AS ref_engagement_rate, "
-                      f"{mean('sum_negative_comment_pct')} AS ref_negative_comment_pct FROM marks) "
+                      f"ref AS (SELECT {smean('sum_engagement_rate')} AS ref_engagement_rate, "
+                      f"{smean('sum_negative_comment_pct')} AS ref_negative_comment_pct FROM marks) "
                       f"SELECT * FROM marks, ref"),
         "v_top_videos": (f", top AS (SELECT video_title FROM stg GROUP BY video_title "
                          f"ORDER BY sum(view_count) DESC NULLS LAST, video_title ASC NULLS LAST LIMIT {p.top_titles}) "
                          f"SELECT video_title, team, CAST(sum(view_count) AS BIGINT) AS total_views, "
                          f"{WER_RAW} AS weighted_engagement_rate, "
                          f"{xsum('negative_comment_pct')} AS sum_negative_comment_pct, "
-                         f"{mean('negative_comment_pct')} AS avg_negative_comment_pct "
+                         f"{smean('negative_comment_pct')} AS avg_negative_comment_pct "
                          f"FROM stg WHERE video_title IN (SELECT video_title FROM top) GROUP BY video_title, team"),
     }
     if not wrap:
@@ -632,11 +637,10 @@ def inventory_sql() -> dict[str, str]:
                                         f"GROUP BY team, content_type HAVING count(*) >= {tp.min_group}"),
         "win_pct_total": on_stg("commerce", "SELECT content_type, count(*) AS n, CAST(count(*) AS DOUBLE) / "
                                             "CAST(sum(count(*)) OVER () AS DOUBLE) AS pct FROM stg GROUP BY 1"),
-        "win_reference_avg": on_stg("commerce", "SELECT team, avg_negative_comment_pct, CAST(sum(CAST("
-                                                "avg_negative_comment_pct AS DECIMAL(38,16))) OVER () AS DOUBLE) / "
-                                                "CAST(count(avg_negative_comment_pct) OVER () AS DOUBLE) AS "
+        "win_reference_avg": on_stg("commerce", "SELECT team, avg_negative_comment_pct, "
+                                                f"{rnd('avg(avg_negative_comment_pct) OVER ()', 10)} AS "
                                                 "ref_negative_comment_pct FROM (SELECT team, "
-                                                f"{mean('negative_comment_pct')} AS avg_negative_comment_pct "
+                                                f"{smean('negative_comment_pct')} AS avg_negative_comment_pct "
                                                 "FROM stg GROUP BY team)"),
         "win_flag_quantile": on_stg("content", "SELECT video_id, he AS high_engagement_flag, "
                                                "hn AS high_negative_sentiment_flag FROM fl"),
@@ -682,8 +686,8 @@ def inventory_sql() -> dict[str, str]:
                         f"AS channel_title, CASE WHEN subscribers > 0 THEN CAST(subscribers AS DOUBLE) END AS "
                         f"subscriber_count, subscribers > 0 AS valid_channel FROM ({channels}) "
                         f"ORDER BY channel_id LIMIT 20"),
-        "d_overview": on_stg("commerce", f"SELECT {mean('avg_comment_sentiment')} AS avg_comment_sentiment, "
-                                         f"{mean('negative_comment_pct')} AS avg_negative_comment_pct, "
+        "d_overview": on_stg("commerce", f"SELECT {smean('avg_comment_sentiment')} AS avg_comment_sentiment, "
+                                         f"{smean('negative_comment_pct')} AS avg_negative_comment_pct, "
                                          f"CAST(sum(engagement_count) AS BIGINT) AS total_engagements, "
                                          f"CAST(sum(view_count) AS BIGINT) AS total_views, "
                                          f"{WER_RAW} AS weighted_engagement_rate FROM stg"),
