@@ -19,7 +19,7 @@ from courtview.operators.sentiment import matched_comment_scores, rollup_scores,
 from courtview.params import PRIORITY_BOTH, PRIORITY_ENGAGEMENT, PRIORITY_NEGATIVE, PRIORITY_SHORT_ORDER
 from courtview.plans import dashboards as D
 from courtview.plans import reports as R
-from courtview.plans.staged import PARAMS, published_features, staged, thresholds
+from courtview.plans.staged import PARAMS, published_features, raw_videos, staged, thresholds
 from courtview.sources import bindings as B
 from courtview.sources import files, payloads
 
@@ -41,7 +41,7 @@ def _stg(b: str):
 def prj_select(spark: SparkSession, sf: str) -> DataFrame:
     """The ordered 9-column base projection of the collected videos."""
     from courtview.plans.operator_queries import BASE_COLUMNS
-    return B.commerce_videos_raw(spark, sf).select(*BASE_COLUMNS)
+    return raw_videos(spark, sf, C).select(*BASE_COLUMNS)
 
 
 def prj_across_str(spark: SparkSession, sf: str) -> DataFrame:
@@ -52,7 +52,7 @@ def prj_across_str(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def prj_coalesce(spark: SparkSession, sf: str) -> DataFrame:
-    vr = B.content_videos_raw(spark, sf)
+    vr = raw_videos(spark, sf, T)
     return vr.select("video_id", F.coalesce("channel_title", "team").alias("channel_name"))
 
 
@@ -78,7 +78,7 @@ def flt_members(stg: DataFrame) -> DataFrame:
 # ---------------------------------------------------------------------------
 def join_sentiment_key(spark: SparkSession, sf: str) -> DataFrame:
     """Videos left-joined with the comment summary, before zero-fill (NULL where not pulled)."""
-    vr = B.content_videos_raw(spark, sf)
+    vr = raw_videos(spark, sf, T)
     summary = video_sentiment(B.content_comments(spark, sf), B.fixture_lexicon(spark), PARAMS[T].label_threshold)
     return join_sentiment(vr, summary).select("video_id", "comment_count", "comments_pulled", "avg_comment_sentiment",
                                               "negative_comment_pct")
@@ -115,7 +115,7 @@ def agg_cond_share(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def agg_missing(spark: SparkSession, sf: str) -> DataFrame:
-    vr = B.content_videos_raw(spark, sf)
+    vr = raw_videos(spark, sf, T)
     return vr.agg(*[F.count_if(F.col(c).isNull()).alias(f"missing_{c}")
                     for c in ("view_count", "like_count", "comment_count", "published_at")])
 
@@ -202,7 +202,7 @@ def srt_multi_qa(stg: DataFrame) -> DataFrame:
 # scalar functions
 # ---------------------------------------------------------------------------
 def fn_parse_ts(spark: SparkSession, sf: str) -> DataFrame:
-    vr = B.content_videos_raw(spark, sf)
+    vr = raw_videos(spark, sf, T)
     return vr.select("video_id", "published_at", parse_ts("published_at").alias("published_ts"))
 
 
@@ -218,7 +218,7 @@ def fn_iso_bound(stg: DataFrame) -> DataFrame:
 
 def fn_try_numeric(spark: SparkSession, sf: str) -> DataFrame:
     """Counts landed as text (``NA`` for missing) parsed back to numbers."""
-    vr = B.content_videos_raw(spark, sf)
+    vr = raw_videos(spark, sf, T)
     as_text = F.coalesce(F.col("view_count").cast("string"), F.lit("NA"))
     return vr.select("video_id", try_numeric(as_text).alias("view_count"))
 

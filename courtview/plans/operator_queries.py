@@ -13,7 +13,7 @@ from courtview.operators import shape
 from courtview.operators.features import add_flags
 from courtview.operators.sentiment import label_counts, score_comments, video_sentiment
 from courtview.plans.dashboards import top_titles
-from courtview.plans.staged import PARAMS, published_features, staged, thresholds
+from courtview.plans.staged import PARAMS, published_features, raw_videos, staged, thresholds
 from courtview.schemas import STAGED_COLUMNS
 from courtview.sources import bindings as B
 from courtview.sources import files, payloads
@@ -89,12 +89,12 @@ def json_channel_search(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def json_playlist_items(spark: SparkSession, sf: str) -> DataFrame:
-    vr = B.commerce_videos_raw(spark, sf)
+    vr = raw_videos(spark, sf, C)
     return payloads.playlist_items(payloads.build_playlist_pages(vr), PARAMS[C].list_cap)
 
 
 def json_video_stats(spark: SparkSession, sf: str) -> DataFrame:
-    return payloads.video_stats(payloads.build_stats_pages(B.commerce_videos_raw(spark, sf)))
+    return payloads.video_stats(payloads.build_stats_pages(raw_videos(spark, sf, C)))
 
 
 def json_comments(spark: SparkSession, sf: str) -> DataFrame:
@@ -103,7 +103,7 @@ def json_comments(spark: SparkSession, sf: str) -> DataFrame:
 
 def unnest_nested(spark: SparkSession, sf: str) -> DataFrame:
     """Per-row nested tables (upload-list pages) to rows, outer columns repeated, no cap."""
-    docs = payloads.build_playlist_pages(B.commerce_videos_raw(spark, sf))
+    docs = payloads.build_playlist_pages(raw_videos(spark, sf, C))
     p = payloads.parse(docs, payloads.PLAYLIST_PAGE)
     return p.select(F.col("doc.channel_id").alias("channel_id"), F.col("doc.page").alias("page"),
                     F.inline("doc.items")).select(
@@ -126,27 +126,27 @@ BASE_COLUMNS = ("team", "team_abbreviation", "conference", "channel_id", "video_
 
 def win_topn_group(spark: SparkSession, sf: str) -> DataFrame:
     p = PARAMS[C]
-    vr = B.commerce_videos_raw(spark, sf)
+    vr = raw_videos(spark, sf, C)
     return shape.collection_window(vr, p.start_date, p.as_of, p.list_cap, p.top_n_per_team).select(*BASE_COLUMNS)
 
 
 def win_cap_group(spark: SparkSession, sf: str) -> DataFrame:
-    return shape.cap_per_channel(B.commerce_videos_raw(spark, sf), PARAMS[C].list_cap).select(*BASE_COLUMNS)
+    return shape.cap_per_channel(raw_videos(spark, sf, C), PARAMS[C].list_cap).select(*BASE_COLUMNS)
 
 
 def flt_daterange(spark: SparkSession, sf: str) -> DataFrame:
     p = PARAMS[T]
-    vr = B.content_videos_raw(spark, sf)
+    vr = raw_videos(spark, sf, T)
     return vr.where(F.to_date(parse_ts("published_at")).between(F.lit(p.start_date), F.lit(p.as_of))).select(
         "video_id", "team", "published_at")
 
 
 def prj_id_batches(spark: SparkSession, sf: str) -> DataFrame:
-    return shape.id_batches(B.commerce_videos_raw(spark, sf), "video_id", PARAMS[C].batch_size)
+    return shape.id_batches(raw_videos(spark, sf, C), "video_id", PARAMS[C].batch_size)
 
 
 def flt_has_comments(spark: SparkSession, sf: str) -> DataFrame:
-    return shape.has_comments(B.commerce_videos_raw(spark, sf))
+    return shape.has_comments(raw_videos(spark, sf, C))
 
 
 def prj_distinct_ids(spark: SparkSession, sf: str) -> DataFrame:
@@ -154,6 +154,7 @@ def prj_distinct_ids(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def join_video_stats(spark: SparkSession, sf: str) -> DataFrame:
+    """Base metadata left-joined with statistics (built from the tables, not the published copy)."""
     return B.commerce_videos_raw(spark, sf)
 
 
@@ -215,7 +216,7 @@ def qa_negative(spark: SparkSession, sf: str) -> DataFrame:
 
 def join_comment_video(spark: SparkSession, sf: str) -> DataFrame:
     """Comments of videos whose comments were pulled, with six video attributes."""
-    vr = B.content_videos_raw(spark, sf)
+    vr = raw_videos(spark, sf, T)
     pulled = vr.where(F.col("comment_count") > 0).select(
         "video_id", "team", "team_abbreviation", "conference", "channel_title", "video_title", "published_at")
     return B.content_comments(spark, sf).join(pulled, "video_id", "inner")

@@ -75,3 +75,25 @@ def published_features(spark: SparkSession, sf_dir: str, binding: str = "commerc
 
 def thresholds(spark: SparkSession, sf_dir: str, binding: str = "commerce") -> tuple:
     return _entry(spark, sf_dir, binding, None)[2]
+
+
+_raw_published: dict[tuple, DataFrame] = {}
+
+
+def raw_videos(spark: SparkSession, sf_dir: str, binding: str = "commerce") -> DataFrame:
+    """The collected-videos table (base metadata + statistics), published once per application.
+
+    Like the reference's collection step, which writes this table for the later
+    steps to read; queries over it no longer repeat the joins and the line-item pass.
+    """
+    configure(spark)
+    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), binding)
+    if key not in _raw_published:
+        if binding == "content":
+            df = bindings.content_videos_raw(spark, sf_dir)
+        elif binding == "commerce":
+            df = bindings.commerce_videos_raw(spark, sf_dir)
+        else:
+            raise ValueError(f"unknown binding {binding!r}")
+        _raw_published[key] = materialize(df, f"videos-raw-{binding}")
+    return _raw_published[key]

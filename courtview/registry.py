@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from courtview.plans import reports as R
-from courtview.plans.staged import PARAMS, binding_inputs, staged
+from courtview.plans.staged import PARAMS, raw_videos, staged
 from courtview.session import configure
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -23,8 +23,7 @@ def _stg(fn, binding: str = "commerce", with_params: bool = False) -> Query:
 
 def _raw(fn, binding: str = "commerce") -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        videos, _ = binding_inputs(spark, sf_dir, binding, PARAMS[binding])
-        return fn(videos)
+        return fn(raw_videos(spark, sf_dir, binding))
     run.__name__ = fn.__name__
     return run
 
