@@ -65,8 +65,8 @@ def content_videos_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("video_id"),
         iso_text("first_ts").alias("published_at"),
         F.col("source").alias("channel_title"),
-        # title = first line of the document, description = the whole document
-        F.substring_index(F.col("text"), "\n", 1).alias("video_title"),
+        # title and description are the whole document (rules and groupings see every word)
+        F.col("text").alias("video_title"),
         F.col("text").alias("video_description"),
         F.col("n_view").alias("view_count"),
         F.col("n_click").alias("like_count"),

@@ -86,7 +86,7 @@ vr AS (
   SELECT d.source AS team, upper(d.source) AS team_abbreviation, d.lang AS conference,
          'CH-' || d.source AS channel_id, CAST(d.doc_id AS VARCHAR) AS video_id,
          strftime(e.first_ts, '%Y-%m-%dT%H:%M:%SZ') AS published_at, d.source AS channel_title,
-         split_part(d.text, chr(10), 1) AS video_title, d.text AS video_description,
+         d.text AS video_title, d.text AS video_description,
          e.n_view AS view_count, e.n_click AS like_count, e.n_signup AS comment_count,
          CASE WHEN d.n_chars < 60 THEN 'PT' || d.n_chars || 'S'
               ELSE 'PT' || (d.n_chars // 60) || 'M' || (d.n_chars % 60) || 'S' END AS duration
