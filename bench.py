@@ -28,6 +28,14 @@ SHEETS = ["v_sentiment_mix", "v_priority_videos", "v_scatter", "v_top_videos", "
 BUILD_STEPS = ["sent_rollup", "json_video_stats", "win_topn_group", "prj_id_batches", "unnest_nested"]
 
 
+def _sf_value(path: str):
+    name = os.path.basename(path.rstrip("/")).replace("sf", "")
+    try:
+        return float(name)
+    except ValueError:
+        return name
+
+
 def timed(fn, runs=RUNS):
     fn()
     ts = []
@@ -78,7 +86,7 @@ def main():
     print(json.dumps({"metric": "total_sec", "value": round(total, 3), "unit": "sec",
                       "queries": {k: round(v, 4) for k, v in out.items()},
                       "duckdb_queries": {k: round(v, 4) for k, v in duck_t.items()},
-                      "sf": os.path.basename(SF_DIR.rstrip("/")).replace("sf", ""), "cpus": cpus}))
+                      "sf": _sf_value(SF_DIR), "cpus": cpus}))
 
 
 if __name__ == "__main__":
