@@ -18,7 +18,7 @@ import math
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-SMALL = 50_000
+SMALL = 10_000
 ACCURACY = 10_000
 
 
@@ -36,8 +36,13 @@ def _order_stats(x: DataFrame, ranks: list[int], n: int, small: int, accuracy: i
     """Values at 0-based ``ranks`` of the (non-null, double) column ``x``, which has ``n`` rows."""
     if n <= small:
         lo, hi = min(ranks), max(ranks)
-        rows = x.orderBy("x").offset(lo).limit(hi - lo + 1).collect()
-        return {r: rows[r - lo]["x"] for r in ranks}
+        if lo <= n - 1 - hi:   # lower ranks: keep the smallest values
+            rows = x.orderBy(F.col("x").asc()).offset(lo).limit(hi - lo + 1).collect()
+            return {r: rows[r - lo]["x"] for r in ranks}
+        # upper ranks (the p90 case): keep only the largest values
+        top = n - 1 - hi
+        rows = x.orderBy(F.col("x").desc()).offset(top).limit(hi - lo + 1).collect()
+        return {r: rows[hi - r]["x"] for r in ranks}
     eps = 3.0 / accuracy
     q_lo = max(0.0, min(ranks) / (n - 1) - eps)
     q_hi = min(1.0, max(ranks) / (n - 1) + eps)
