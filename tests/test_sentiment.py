@@ -53,3 +53,25 @@ def test_rollup_equals_comment_level(spark):
         assert abs(r.positive_comment_pct + r.neutral_comment_pct + r.negative_comment_pct - 1) < 1e-12
         assert r.negative_comment_pct == sum(x.sentiment_label == "Negative" for x in rows) / n
     assert sum(r.n for r in label_counts(score_comments(comments, lex)).collect()) == len(scored)
+
+
+def test_hot_video_rollup_is_exact_and_partial(spark):
+    import random
+    rnd = random.Random(5)
+    words = ["with", "was", "the", "of", "zz", "it", "on", "la"]
+    rows = [("hot", f"h{i}", " ".join(rnd.choices(words, k=6))) for i in range(3000)]
+    rows += [(f"v{i % 100}", f"c{i}", " ".join(rnd.choices(words, k=6))) for i in range(6000)]
+    comments = spark.createDataFrame(rows, "video_id string, comment_id string, comment_text string").repartition(8)
+    lex = B.fixture_lexicon(spark)
+    lexd = {w: Decimal(v) for w, v in FIXTURE_LEXICON}
+    got = {r.video_id: r for r in video_sentiment(comments, lex).collect()}
+    per = {}
+    for v, _, t in rows:
+        per.setdefault(v, []).append(py_score(t, lexd))
+    for v, scores in per.items():
+        r = got[v]
+        assert r.comments_pulled == len(scores)
+        assert r.avg_comment_sentiment == float(sum(scores)) / len(scores)
+        assert r.positive_comment_pct == sum(s > Decimal("0.15") for s in scores) / len(scores)
+    plan = video_sentiment(comments, lex)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("partial_") >= 2   # map-side combine before the exchanges
