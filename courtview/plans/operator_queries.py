@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from courtview.functions.dates import date_parts, iso_text, parse_ts
 from courtview.functions.text import html_decode, lower, regex_detect, squish, strip_newlines
 from courtview.operators import shape
+from courtview.operators.skew import skew_split_join
 from courtview.operators.features import add_flags
 from courtview.operators.sentiment import label_counts, score_comments, video_sentiment
 from courtview.plans.dashboards import top_titles
@@ -219,7 +220,7 @@ def join_comment_video(spark: SparkSession, sf: str) -> DataFrame:
     vr = raw_videos(spark, sf, T)
     pulled = vr.where(F.col("comment_count") > 0).select(
         "video_id", "team", "team_abbreviation", "conference", "channel_title", "video_title", "published_at")
-    return B.content_comments(spark, sf).join(pulled, "video_id", "inner")
+    return skew_split_join(B.content_comments(spark, sf), pulled, "video_id", "inner")
 
 
 # ---------------------------------------------------------------------------

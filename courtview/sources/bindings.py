@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 
 from courtview.functions.dates import iso_text
 from courtview.operators.broadcast import broadcast_if_bounded
+from courtview.operators.skew import skew_split_join
 from courtview.params import FIXTURE_LEXICON
 from courtview.schemas import LEXICON
 
@@ -135,7 +136,8 @@ def commerce_videos_raw(spark: SparkSession, sf_dir: str, line_rollup: DataFrame
     cust = commerce_customers(spark, sf_dir)
     rollup = line_rollup if line_rollup is not None else commerce_line_rollup(spark, sf_dir)
     stats = rollup.select("video_id", "n_like", "n_comment", *(SUMMARY_COLUMNS if keep_summary else ()))
-    j = (orders.join(cust, orders.o_custkey == cust.c_custkey, "left")
+    # a customer may hold a large share of all orders: its orders join a broadcast of its one row
+    j = (skew_split_join(orders, cust.withColumnRenamed("c_custkey", "o_custkey"), "o_custkey", "left")
          .withColumn("video_id", F.col("o_orderkey").cast("string"))
          .join(stats, "video_id", "left"))
     k = F.col("o_orderkey")

@@ -45,3 +45,17 @@ def test_union_all_missing_columns(spark):
     rows = sorted(union_all([a, b, e]).collect(), key=lambda r: r.id)
     assert rows[0].asDict() == {"id": 1, "a": "x", "b": None}
     assert rows[1].asDict() == {"id": 2, "a": None, "b": 0.5}
+
+
+def test_skew_split_join_equals_plain_join(spark):
+    from courtview.operators.skew import hot_keys, skew_split_join
+    big_rows = [("hot", i) for i in range(3000)] + [(f"k{i % 300}", i) for i in range(6000)] + [(None, -1)]
+    big = spark.createDataFrame(big_rows, "k string, v long").repartition(8)
+    small = spark.createDataFrame([(f"k{i}", i) for i in range(0, 300, 2)] + [("hot", 7)], "k string, w long")
+    assert "hot" in hot_keys(big, "k", 0.05)
+    for how in ("inner", "left"):
+        got = skew_split_join(big, small, "k", how, support=0.05)
+        want = big.join(small, "k", how)
+        assert got.count() == want.count()
+        assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
+        assert "BroadcastHashJoin" in got._jdf.queryExecution().executedPlan().toString()
