@@ -168,19 +168,23 @@ FLAGGED = (PRIORITY_ENGAGEMENT, PRIORITY_BOTH, PRIORITY_NEGATIVE)
 PRIORITY_VIDEO_MEASURES = ("view_count", "avg_comment_sentiment", "engagement_rate", "negative_comment_pct")
 
 
-def v_priority_videos(stg: DataFrame) -> DataFrame:
-    """Title x priority x team for the flagged priorities; SUM of four measures, long form.
+def priority_videos_wide(stg: DataFrame) -> DataFrame:
+    """Title x priority x team for the flagged priorities; SUM of four measures.
 
     Grouping is by title (as the sheet does), so same-title videos of one team merge.
     """
-    g = (stg.where(F.col("monitoring_priority").isin(*FLAGGED))
-         .groupBy("video_title", "monitoring_priority", "team").agg(
-             F.sum("view_count").alias("view_count"),
-             sheet_sum("avg_comment_sentiment").alias("avg_comment_sentiment"),
-             sheet_sum("engagement_rate").alias("engagement_rate"),
-             sheet_sum("negative_comment_pct").alias("negative_comment_pct")))
-    return _unpivot(g, ["video_title", "monitoring_priority", "team"], list(PRIORITY_VIDEO_MEASURES),
-                    list(PRIORITY_VIDEO_MEASURES))
+    return (stg.where(F.col("monitoring_priority").isin(*FLAGGED))
+            .groupBy("video_title", "monitoring_priority", "team").agg(
+                F.sum("view_count").alias("view_count"),
+                sheet_sum("avg_comment_sentiment").alias("avg_comment_sentiment"),
+                sheet_sum("engagement_rate").alias("engagement_rate"),
+                sheet_sum("negative_comment_pct").alias("negative_comment_pct")))
+
+
+def v_priority_videos(stg: DataFrame) -> DataFrame:
+    """The priority-videos sheet in long form (Measure Names / Measure Values)."""
+    return _unpivot(priority_videos_wide(stg), ["video_title", "monitoring_priority", "team"],
+                    list(PRIORITY_VIDEO_MEASURES), list(PRIORITY_VIDEO_MEASURES))
 
 
 def v_scatter(stg: DataFrame) -> DataFrame:
@@ -233,3 +237,54 @@ def d_overview(stg: DataFrame) -> dict[str, DataFrame]:
             "engagements_card": v_engagements_card(stg), "views_card": v_views_card(stg),
             "wer_card": v_wer_card(stg), "views_by_team": v_views_by_team(stg),
             "wer_by_team": v_wer_by_team(stg), "views_by_day": v_views_by_day(stg)}
+
+
+# ---------------------------------------------------------------------------
+# dashboard extracts: every numeric mark of a dashboard's sheets in one long table
+# ---------------------------------------------------------------------------
+CONTENT_SHEETS = {  # sheet -> (builder, dimension columns)
+    "views_by_type": (v_views_by_type, ["content_type"]),
+    "sentiment_mix": (v_sentiment_mix, ["content_type"]),
+    "views_by_theme": (v_views_by_theme, ["message_theme"]),
+    "discussion_by_type": (v_discussion_by_type, ["content_type"]),
+    "wer_by_type": (v_wer_by_type, ["content_type"]),
+}
+MONITORING_SHEETS = {
+    "priority_breakdown": (v_priority_breakdown, ["monitoring_priority_short", "monitoring_priority"]),
+    "neg_by_team": (v_neg_by_team, ["team"]),
+    "scatter": (v_scatter, ["monitoring_priority", "video_id"]),
+    "priority_videos": (priority_videos_wide, ["video_title", "monitoring_priority", "team"]),
+}
+
+
+def sheet_measures(df: DataFrame, dims: list[str]) -> list[str]:
+    from pyspark.sql.types import NumericType
+    return [f.name for f in df.schema.fields if f.name not in dims and isinstance(f.dataType, NumericType)]
+
+
+def dashboard_extract(stg: DataFrame, sheets: dict) -> DataFrame:
+    """(sheet, mark, measure_name, measure_value) for every numeric measure of every sheet.
+
+    ``mark`` joins the sheet's dimension values with ``|``.  Each sheet is its own
+    aggregate over the staged table; the union only stacks their (small) results.
+    """
+    parts = []
+    for name, (build, dims) in sheets.items():
+        df = build(stg)
+        measures = sheet_measures(df, dims)
+        mark = F.concat_ws("|", *[F.coalesce(F.col(d).cast("string"), F.lit("")) for d in dims])
+        wide = df.select(F.lit(name).alias("sheet"), mark.alias("mark"),
+                         *[F.col(m).cast("double").alias(m) for m in measures])
+        parts.append(wide.unpivot(["sheet", "mark"], measures, "measure_name", "measure_value"))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+def d_content_extract(stg: DataFrame) -> DataFrame:
+    return dashboard_extract(stg, CONTENT_SHEETS)
+
+
+def d_monitoring_extract(stg: DataFrame) -> DataFrame:
+    return dashboard_extract(stg, MONITORING_SHEETS)

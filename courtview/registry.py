@@ -132,6 +132,9 @@ def _extra_queries() -> dict[str, Query]:
     out = {k: fn for k, fn, _, _ in _dash_keys()}
     out.update(OPERATOR_QUERIES)
     out.update(INVENTORY_QUERIES)
+    from courtview.plans import dashboards as D
+    out["d_content"] = _stg(D.d_content_extract)
+    out["d_monitoring"] = _stg(D.d_monitoring_extract)
     return out
 
 
@@ -141,4 +144,5 @@ def _extra_sql() -> dict[str, str]:
     out = {k: fam[b][ok] for k, _, b, ok in _dash_keys()}
     out.update({k: v for k, v in O.operator_sql().items() if k not in ROWS_ONLY})
     out.update(O.inventory_sql())
+    out.update(O.extract_sql("commerce"))
     return out

@@ -693,3 +693,45 @@ def inventory_sql() -> dict[str, str]:
                                          f"{WER_RAW} AS weighted_engagement_rate FROM stg"),
     }
     return out
+
+
+def extract_sql(binding: str = "commerce") -> dict[str, str]:
+    """Long-form dashboard extracts: each sheet's statement, unpivoted measure by measure."""
+    dash = dash_sql(binding, wrap=False)
+    flagged = ", ".join(q(x) for x in (PRIORITY_ENGAGEMENT, PRIORITY_BOTH, PRIORITY_NEGATIVE))
+    pv_wide = (f"SELECT video_title, monitoring_priority, team, CAST(sum(view_count) AS BIGINT) AS view_count, "
+               f"{xsum('avg_comment_sentiment')} AS avg_comment_sentiment, {xsum('engagement_rate')} AS engagement_rate, "
+               f"{xsum('negative_comment_pct')} AS negative_comment_pct FROM stg "
+               f"WHERE monitoring_priority IN ({flagged}) GROUP BY video_title, monitoring_priority, team")
+    content = {
+        "views_by_type": (dash["v_views_by_type"], ["content_type"],
+                          ["total_views", "n_videos", "sum_avg_comment_sentiment", "weighted_engagement_rate"]),
+        "sentiment_mix": (dash["v_sentiment_mix"], ["content_type"],
+                          [f"{a}_{c}" for a in ("avg", "ref") for c in ("positive_comment_pct", "neutral_comment_pct",
+                                                                       "negative_comment_pct")]),
+        "views_by_theme": (dash["v_views_by_theme"], ["message_theme"],
+                           ["total_views", "n_titles", "weighted_engagement_rate", "sum_avg_comment_sentiment"]),
+        "discussion_by_type": (dash["v_discussion_by_type"], ["content_type"], ["avg_comments_per_1k_views"]),
+        "wer_by_type": (dash["v_wer_by_type"], ["content_type"], ["weighted_engagement_rate", "total_views", "n_titles"]),
+    }
+    monitoring = {
+        "priority_breakdown": (dash["v_priority_breakdown"], ["monitoring_priority_short", "monitoring_priority"],
+                               ["n_videos", "sort_order"]),
+        "neg_by_team": (dash["v_neg_by_team"], ["team"], ["avg_negative_comment_pct"]),
+        "scatter": (dash["v_scatter"], ["monitoring_priority", "video_id"],
+                    ["sum_engagement_rate", "sum_negative_comment_pct", "sum_view_count", "ref_engagement_rate",
+                     "ref_negative_comment_pct"]),
+        "priority_videos": (pv_wide, ["video_title", "monitoring_priority", "team"],
+                            ["view_count", "avg_comment_sentiment", "engagement_rate", "negative_comment_pct"]),
+    }
+
+    def build(sheets: dict) -> str:
+        parts = []
+        for name, (sql, dims, measures) in sheets.items():
+            mark = "concat_ws('|', " + ", ".join(f"coalesce(CAST({d} AS VARCHAR), '')" for d in dims) + ")"
+            for m in measures:
+                parts.append(f"SELECT {q(name)} AS sheet, {mark} AS mark, {q(m)} AS measure_name, "
+                             f"CAST({m} AS DOUBLE) AS measure_value FROM ({sql}) s")
+        return on_stg(binding, "\nUNION ALL\n".join(parts))
+
+    return {"d_content": build(content), "d_monitoring": build(monitoring)}
