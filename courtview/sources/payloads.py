@@ -115,9 +115,16 @@ def comments(docs: DataFrame) -> DataFrame:
 
 # ---------------------------------------------------------------------------
 # landing documents from bound tables (fixtures that grow with the data)
-# Pages are keyed by a unique integer key div the page size, so no page can
-# hold more than ``page_size`` items however skewed the channels are.
+# Rows are numbered by a distributed global index in page order, and a page is
+# index div page size: no page can hold more than ``page_size`` items, whatever
+# the id format and however skewed the channels or videos are.
 # ---------------------------------------------------------------------------
+def _paged(df: DataFrame, order: list[str], page_size: int) -> DataFrame:
+    from courtview.operators.shape import with_global_index
+    idx = with_global_index(df, [F.col(c) for c in order])
+    return idx.withColumn("page", F.floor(F.col("row_index") / page_size)).drop("row_index")
+
+
 def _sorted_items(item: F.Column, sort_key: F.Column) -> F.Column:
     pairs = F.array_sort(F.collect_list(F.struct(sort_key.alias("k"), item.alias("v"))))
     return F.transform(pairs, lambda e: e["v"])
@@ -130,22 +137,21 @@ def build_stats_pages(videos_raw: DataFrame, page_size: int = 50) -> DataFrame:
                  F.col("like_count").cast("string").alias("likeCount"),
                  F.col("comment_count").cast("string").alias("commentCount")).alias("statistics"),
         F.struct(F.col("duration").alias("duration")).alias("contentDetails"))
-    page = F.floor(F.col("video_id").cast("bigint") / page_size)
-    g = videos_raw.groupBy(page.alias("page")).agg(_sorted_items(item, F.col("video_id")).alias("items"))
+    g = _paged(videos_raw, ["video_id"], page_size).groupBy("page").agg(
+        _sorted_items(item, F.col("video_id")).alias("items"))
     return g.select(F.to_json(F.struct("items")).alias("json"))
 
 
 def build_comment_pages(comments_df: DataFrame, page_size: int = 50) -> DataFrame:
-    """One page per (video, block of ``page_size`` comment numbers)."""
-    num = F.split(F.col("comment_id"), "-").getItem(1).cast("bigint")
+    """Comment-thread pages: at most ``page_size`` comments of one video per page."""
     item = F.struct(F.struct(F.struct(
         F.col("comment_id").alias("id"),
         F.struct(F.col("comment_text").alias("textDisplay"),
                  F.col("comment_like_count").cast("string").alias("likeCount"),
                  F.col("comment_published_at").alias("publishedAt")).alias("snippet")
     ).alias("topLevelComment")).alias("snippet"))
-    g = comments_df.groupBy("video_id", F.floor(num / page_size).alias("block")).agg(
-        _sorted_items(item, num).alias("items"))
+    g = _paged(comments_df, ["video_id", "comment_id"], page_size).groupBy("video_id", "page").agg(
+        _sorted_items(item, F.col("comment_id")).alias("items"))
     return g.select(F.to_json(F.struct("video_id", "items")).alias("json"))
 
 
@@ -174,13 +180,12 @@ def build_search_pages(channels: DataFrame, max_results: int = 5) -> DataFrame:
 
 
 def build_playlist_pages(videos_raw: DataFrame, page_size: int = 50) -> DataFrame:
-    """Upload-list pages per channel, items in video-key order, page = key div page size."""
-    key = F.col("video_id").cast("bigint")
+    """Upload-list pages per channel, items in video-id order, at most ``page_size`` per page."""
     item = F.struct(
         F.struct(F.col("video_id").alias("videoId"), F.col("published_at").alias("videoPublishedAt")).alias("contentDetails"),
         F.struct(F.col("channel_title").alias("channelTitle"), F.col("video_title").alias("title"),
                  F.col("video_description").alias("description")).alias("snippet"))
-    g = videos_raw.groupBy("channel_id", F.floor(key / page_size).alias("page")).agg(
-        _sorted_items(item, key).alias("items"))
+    g = _paged(videos_raw, ["channel_id", "video_id"], page_size).groupBy("channel_id", "page").agg(
+        _sorted_items(item, F.col("video_id")).alias("items"))
     return g.select(F.to_json(F.struct("channel_id", "page", F.lit(None).cast("string").alias("nextPageToken"),
                                        "items")).alias("json"))

@@ -516,11 +516,12 @@ def operator_sql() -> dict[str, str]:
                                 f"conference ORDER BY channel_id) AS rn FROM ({channels})) WHERE rn <= 5"),
         "json_playlist_items": (commerce + f"SELECT channel_id, video_id, published_at, channel_title, video_title, "
                                 f"video_description FROM (SELECT *, row_number() OVER (PARTITION BY channel_id "
-                                f"ORDER BY CAST(video_id AS BIGINT)) AS rn FROM vr) WHERE rn <= {cp.list_cap}"),
+                                f"ORDER BY video_id) AS rn FROM vr) WHERE rn <= {cp.list_cap}"),
         "json_video_stats": commerce + "SELECT video_id, view_count, like_count, comment_count, duration FROM vr",
         "json_comments": (content + "SELECT video_id, comment_id, comment_text, comment_like_count, "
                           "CAST(NULL AS VARCHAR) AS comment_published_at FROM cm"),
-        "unnest_nested": commerce + "SELECT channel_id, CAST(video_id AS BIGINT) // 50 AS page, video_id FROM vr",
+        "unnest_nested": commerce + ("SELECT channel_id, CAST((row_number() OVER (ORDER BY channel_id, video_id) - 1) "
+                                     "// 50 AS BIGINT) AS page, video_id FROM vr"),
         "set_union": ("SELECT CAST(conv_id AS VARCHAR) AS video_id, CAST(conv_id AS VARCHAR) || '-' || "
                       "CAST(turn AS VARCHAR) AS comment_id, text AS comment_text, "
                       "CAST(NULL AS DECIMAL(9,4)) AS sentiment_score FROM conversations UNION ALL "
