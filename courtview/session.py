@@ -73,3 +73,27 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     path = scratch_path(spark, name)
     df.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
+
+
+def cluster_conf(input_bytes: int, executors: int, cores_per_executor: int,
+                 target_partition_bytes: int = 256 * 1024 * 1024) -> dict[str, str]:
+    """Settings for a cluster run sized to the input.
+
+    * scan splits of ~128 MB, so each task reads one split and its working set fits in executor memory;
+    * initial shuffle partitions so each reducer gets ~``target_partition_bytes`` of the largest exchange
+      (bounded below by 3 waves of the cluster's cores); AQE then coalesces small ones and splits skewed ones;
+    * broadcast threshold kept small: large sides are broadcast only by the library's proven-size hints.
+    """
+    cores = max(1, executors * cores_per_executor)
+    shuffle_partitions = max(3 * cores, -(-input_bytes // target_partition_bytes))
+    return {
+        "spark.sql.files.maxPartitionBytes": str(128 * 1024 * 1024),
+        "spark.sql.shuffle.partitions": str(shuffle_partitions),
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
+        "spark.sql.autoBroadcastJoinThreshold": str(32 * 1024 * 1024),
+        "spark.sql.session.timeZone": "UTC",
+    }
