@@ -135,3 +135,12 @@ def test_clean_name():
     assert clean_name("likeCount") == "like_count"
     assert clean_name("Likes Per 1k Views") == "likes_per_1k_views"
     assert clean_name("  weird--Name!! ") == "weird_name"
+
+
+def test_cluster_conf_sizes_partitions():
+    from courtview.session import cluster_conf
+    big = cluster_conf(100 * 1024 ** 4, executors=1000, cores_per_executor=8)
+    assert int(big["spark.sql.shuffle.partitions"]) == 409600          # ~256 MB per reducer
+    small = cluster_conf(10 * 1024 ** 2, executors=2, cores_per_executor=4)
+    assert int(small["spark.sql.shuffle.partitions"]) == 24              # at least 3 waves of cores
+    assert big["spark.sql.adaptive.skewJoin.enabled"] == "true"
