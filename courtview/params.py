@@ -71,6 +71,9 @@ class Params:
     list_cap: int = 100
     batch_size: int = 50
     top_titles: int = 5
+    # apply the collection window (list cap per channel -> date window -> newest n per team) before staging,
+    # as the reference's collection step does; the driver-table bindings stage every item instead
+    apply_collection_window: bool = False
     content_rules: tuple[Rule, ...] = field(default=REFERENCE_CONTENT_RULES)
     content_default: str = REFERENCE_CONTENT_DEFAULT
     theme_rules: tuple[Rule, ...] = field(default=REFERENCE_THEME_RULES)

@@ -36,6 +36,9 @@ def binding_inputs(spark: SparkSession, sf_dir: str, binding: str, params: Param
         summary = None
     else:
         raise ValueError(f"unknown binding {binding!r}")
+    if params.apply_collection_window:
+        from courtview.operators.shape import collection_window
+        videos = collection_window(videos, params.start_date, params.as_of, params.list_cap, params.top_n_per_team)
     return videos, summary
 
 

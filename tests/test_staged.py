@@ -48,3 +48,15 @@ def test_flags_match_in_plan_percentile(spark):
 def test_hour_report_having(spark):
     stg = staged(spark, SF_SMALL, "content")
     assert all(r.total_videos >= PARAMS["content"].min_group for r in R.q01_hour_perf(stg, PARAMS["content"]).collect())
+
+
+def test_collection_window_option(spark):
+    import dataclasses
+    from courtview.functions.dates import parse_ts  # noqa: F401
+    p = dataclasses.replace(PARAMS["commerce"], apply_collection_window=True, top_n_per_team=7)
+    df = staged(spark, SF_SMALL, "commerce", p)
+    per_team = {r.team: r.n for r in df.groupBy("team").agg(F.count(F.lit(1)).alias("n")).collect()}
+    assert per_team and max(per_team.values()) <= 7
+    assert df.where(~F.col("published_date").between(p.start_date, p.as_of)).count() == 0
+    full = staged(spark, SF_SMALL, "commerce")
+    assert df.count() < full.count()
