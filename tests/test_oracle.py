@@ -32,3 +32,11 @@ def test_entry_smoke(spark):
     df = entry(spark)
     assert df.count() > 0
     assert df.columns[:2] == ["team", "conference"]
+
+
+def test_contract_keys():
+    from __spark_entry__ import oracle_sql, queries
+    q, o = set(queries()), set(oracle_sql())
+    assert o <= q
+    assert q - o == {"cat_tables"}
+    assert all(isinstance(v, str) and v.strip() for v in oracle_sql().values())
