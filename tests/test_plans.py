@@ -34,3 +34,19 @@ def test_group_limit_is_partial(spark):
     from __spark_entry__ import queries
     plan = plan_of(queries()["win_topn_group"](spark, SF_SMALL))
     assert "WindowGroupLimit" in plan
+
+
+def test_commerce_build_exchanges_at_scale_shape(spark):
+    """With broadcasts off (as at 100 TB), the feature build needs 4 hash exchanges and one line-item pass."""
+    from courtview.plans.staged import features_table
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    aqe = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        plan = plan_of(features_table(spark, SF_SMALL, "commerce"))
+        assert plan.count("Exchange hashpartitioning") == 4, plan
+        assert len(re.findall(r"FileScan parquet [^\n]*lineitem\.parquet", plan)) == 1, plan
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+        spark.conf.set("spark.sql.adaptive.enabled", aqe)
