@@ -75,10 +75,18 @@ def parquet_snapshot(df: DataFrame, name: str = "extract") -> DataFrame:
     return spark.read.parquet(path)
 
 
-def write_table(df: DataFrame, name: str) -> DataFrame:
-    """Overwrite a catalog table whose files live in the shared folder; returns the table."""
+def write_table(df: DataFrame, name: str, bucket_by: str | None = None, buckets: int | None = None) -> DataFrame:
+    """Overwrite a catalog table whose files live in the shared folder; returns the table.
+
+    With ``bucket_by`` the table is hash-bucketed (and sorted) on that key: later joins with another table
+    bucketed the same way on the same key read both sides without an exchange (e.g. documents and their
+    per-item statistics on ``video_id``, so repeated builds never re-shuffle whole texts).
+    """
     spark = df.sparkSession
-    df.write.mode("overwrite").option("path", scratch_path(spark, f"table-{name}")).saveAsTable(name)
+    w = df.write.mode("overwrite").option("path", scratch_path(spark, f"table-{name}"))
+    if bucket_by:
+        w = w.bucketBy(buckets or int(spark.conf.get("spark.sql.shuffle.partitions")), bucket_by).sortBy(bucket_by)
+    w.saveAsTable(name)
     return spark.table(name)
 
 

@@ -41,3 +41,20 @@ def test_raw_videos_published_once(spark):
     assert a is b
     assert "FileScan parquet" in plan_of(a) or "Scan parquet" in plan_of(a)
     assert a.count() == B.commerce_videos_raw(spark, SF_SMALL).count()
+
+
+def test_bucketed_tables_join_without_exchange(spark):
+    from courtview.sources.files import write_table
+    docs = spark.range(0, 2000).selectExpr("cast(id as string) AS video_id", "repeat('x', 50) AS text")
+    stats = spark.range(0, 2000).selectExpr("cast(id as string) AS video_id", "id % 7 AS n_view")
+    a = write_table(docs, "t_docs_bucketed", bucket_by="video_id", buckets=8)
+    b = write_table(stats, "t_stats_bucketed", bucket_by="video_id", buckets=8)
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        j = a.join(b, "video_id", "left")
+        plan = plan_of(j)
+        assert "SortMergeJoin" in plan and "Exchange" not in plan
+        assert j.count() == 2000
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
