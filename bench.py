@@ -62,12 +62,22 @@ def main():
     def noop(df):
         df.write.format("noop").mode("overwrite").save()
 
+    errors: dict[str, str] = {}
+
+    def guarded(name, fn):
+        try:
+            out[name] = fn()
+        except Exception as e:  # noqa: BLE001 - one failing query must not hide the others' timings
+            errors[name] = f"{type(e).__name__}: {str(e)[:200]}"
+
     # staged build (publish features, exact p90 search, flags) - timed on fresh builds
     for b in ("commerce", "content"):
-        out[f"build_staged_{b}"] = timed(lambda b=b: noop(ST.build_staged(spark, SF_DIR, b)[0]), runs=2)
+        guarded(f"build_staged_{b}", lambda b=b: timed(lambda: noop(ST.build_staged(spark, SF_DIR, b)[0]), runs=2))
     for k in REPORTS + SHEETS + BUILD_STEPS:
-        qs[k](spark, SF_DIR)  # builds/reuses the published table outside the timing
-        out[k] = timed(lambda k=k: noop(qs[k](spark, SF_DIR)))
+        def run(k=k):
+            qs[k](spark, SF_DIR)  # builds/reuses the published table outside the timing
+            return timed(lambda: noop(qs[k](spark, SF_DIR)))
+        guarded(k, run)
 
     # DuckDB yardstick on the same files
     con = duck(SF_DIR)
@@ -75,18 +85,24 @@ def main():
     duck_t: dict[str, float] = {}
     for b in ("commerce", "content"):
         sql = f"CREATE OR REPLACE TABLE stg_{b} AS WITH {O.staged_ctes(b)} SELECT * FROM stg"
-        duck_t[f"build_staged_{b}"] = timed(lambda sql=sql: con.execute(sql), runs=1)
+        try:
+            duck_t[f"build_staged_{b}"] = timed(lambda sql=sql: con.execute(sql), runs=1)
+        except Exception as e:  # noqa: BLE001
+            errors[f"duckdb_build_{b}"] = str(e)[:200]
     fam = {**O.report_sql("commerce", wrap=False), **O.dash_sql("commerce", wrap=False)}
     for k in REPORTS + SHEETS:
         sql = fam[k].replace("FROM stg", "FROM stg_commerce")
-        duck_t[k] = timed(lambda sql=sql: con.execute(sql).fetchall())
+        try:
+            duck_t[k] = timed(lambda sql=sql: con.execute(sql).fetchall())
+        except Exception as e:  # noqa: BLE001
+            errors[f"duckdb_{k}"] = str(e)[:200]
     spark.stop()
 
     total = sum(out.values())
     print(json.dumps({"metric": "total_sec", "value": round(total, 3), "unit": "sec",
                       "queries": {k: round(v, 4) for k, v in out.items()},
                       "duckdb_queries": {k: round(v, 4) for k, v in duck_t.items()},
-                      "sf": _sf_value(SF_DIR), "cpus": cpus}))
+                      "sf": _sf_value(SF_DIR), "cpus": cpus, "errors": errors}))
 
 
 if __name__ == "__main__":
