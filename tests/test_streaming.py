@@ -31,3 +31,16 @@ def test_incremental_landing_appends_only_new_documents(spark):
     want = P.comments(docs)
     assert got.count() == want.count()
     assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
+
+
+def test_landing_video_stats_equals_batch_parse(spark):
+    from courtview.plans.staged import raw_videos
+    src = tempfile.mkdtemp(prefix="cv-land-stats-src-")
+    out = tempfile.mkdtemp(prefix="cv-land-stats-out-")
+    docs = P.build_stats_pages(raw_videos(spark, SF_SMALL, "commerce"))
+    write_docs(docs, src, "stats.json")
+    n = land(spark, src, "video_stats", out, name=f"s-{os.path.basename(out)}")
+    got = spark.read.parquet(out)
+    want = P.video_stats(docs)
+    assert n == docs.count()
+    assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
