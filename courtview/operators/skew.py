@@ -16,18 +16,30 @@ from pyspark.sql import functions as F
 
 from courtview.operators.broadcast import row_count_at_most
 
-DEFAULT_SUPPORT = 0.01
+MAX_SUPPORT = 0.01
+MIN_SUPPORT = 1e-4
 SMALL_SIDE_MAX_ROWS = 1_000_000
 
 
-def hot_keys(df: DataFrame, key: str, support: float = DEFAULT_SUPPORT) -> list:
+def default_support(spark) -> float:
+    """A key is hot when it would hold ~4 reducers' fair share: clamp(4 / shuffle partitions, 1e-4, 1e-2).
+
+    At 400k partitions any key above 0.01 % of the rows is split off (at most ~10k hot keys); whatever
+    skew remains below that is left to AQE's skew-join splitting.
+    """
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return min(MAX_SUPPORT, max(MIN_SUPPORT, 4.0 / max(parts, 1)))
+
+
+def hot_keys(df: DataFrame, key: str, support: float | None = None) -> list:
     """Keys that may hold at least ``support`` of the non-null rows of ``df`` (at most ~1/support)."""
+    support = support if support is not None else default_support(df.sparkSession)
     row = df.select(key).where(F.col(key).isNotNull()).stat.freqItems([key], support).first()
     return list(row[0]) if row is not None and row[0] else []
 
 
 def skew_split_join(big: DataFrame, small: DataFrame, key: str, how: str = "inner",
-                    support: float = DEFAULT_SUPPORT) -> DataFrame:
+                    support: float | None = None) -> DataFrame:
     """``big.join(small, key, how)`` with hot keys of ``big`` split off (how: inner or left)."""
     if how not in ("inner", "left"):
         raise ValueError("skew_split_join supports inner and left joins")

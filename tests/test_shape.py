@@ -59,3 +59,17 @@ def test_skew_split_join_equals_plain_join(spark):
         assert got.count() == want.count()
         assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
         assert "BroadcastHashJoin" in got._jdf.queryExecution().executedPlan().toString()
+
+
+def test_default_support_follows_partitions(spark):
+    from courtview.operators.skew import default_support
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", "8")
+        assert default_support(spark) == 0.01
+        spark.conf.set("spark.sql.shuffle.partitions", "4000")
+        assert default_support(spark) == 0.001
+        spark.conf.set("spark.sql.shuffle.partitions", "400000")
+        assert default_support(spark) == 1e-4
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)
