@@ -100,3 +100,15 @@ def raw_videos(spark: SparkSession, sf_dir: str, binding: str = "commerce") -> D
             raise ValueError(f"unknown binding {binding!r}")
         _raw_published[key] = materialize(df, f"videos-raw-{binding}")
     return _raw_published[key]
+
+
+def publish_staged(videos_raw: DataFrame, summary: DataFrame | None, params: Params,
+                   name: str = "custom") -> DataFrame:
+    """The staged table from your own collected videos and sentiment summary.
+
+    Same steps as the bindings: features written once to the shared folder, exact
+    thresholds found on the written table, flags and priority as a projection.
+    """
+    configure(videos_raw.sparkSession)
+    feats = materialize(video_features(videos_raw, summary, params), f"features-{name}")
+    return add_flags(feats, params, flag_thresholds(feats, params))

@@ -60,3 +60,16 @@ def test_collection_window_option(spark):
     assert df.where(~F.col("published_date").between(p.start_date, p.as_of)).count() == 0
     full = staged(spark, SF_SMALL, "commerce")
     assert df.count() < full.count()
+
+
+def test_publish_staged_equals_lazy_path(spark):
+    from courtview.operators.features import add_flags_in_plan, video_features
+    from courtview.operators.sentiment import video_sentiment
+    from courtview.plans.staged import publish_staged
+    from courtview.sources import bindings as B
+    p = PARAMS["content"]
+    vr = B.content_videos_raw(spark, SF_SMALL)
+    summary = video_sentiment(B.content_comments(spark, SF_SMALL), B.fixture_lexicon(spark), p.label_threshold)
+    a = publish_staged(vr, summary, p)
+    b = add_flags_in_plan(video_features(vr, summary, p), p)
+    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
