@@ -257,6 +257,18 @@ MONITORING_SHEETS = {
 }
 
 
+OVERVIEW_SHEETS = {
+    "avg_sentiment": (v_avg_sentiment, []),
+    "neg_card": (v_neg_card, []),
+    "engagements_card": (v_engagements_card, []),
+    "views_card": (v_views_card, []),
+    "wer_card": (v_wer_card, []),
+    "views_by_team": (v_views_by_team, ["team"]),
+    "wer_by_team": (v_wer_by_team, ["team"]),
+    "views_by_day": (v_views_by_day, ["published_day"]),
+}
+
+
 def sheet_measures(df: DataFrame, dims: list[str]) -> list[str]:
     from pyspark.sql.types import NumericType
     return [f.name for f in df.schema.fields if f.name not in dims and isinstance(f.dataType, NumericType)]
@@ -272,7 +284,8 @@ def dashboard_extract(stg: DataFrame, sheets: dict) -> DataFrame:
     for name, (build, dims) in sheets.items():
         df = build(stg)
         measures = sheet_measures(df, dims)
-        mark = F.concat_ws("|", *[F.coalesce(F.col(d).cast("string"), F.lit("")) for d in dims])
+        mark = (F.concat_ws("|", *[F.coalesce(F.col(d).cast("string"), F.lit("")) for d in dims]) if dims
+                else F.lit(""))
         wide = df.select(F.lit(name).alias("sheet"), mark.alias("mark"),
                          *[F.col(m).cast("double").alias(m) for m in measures])
         parts.append(wide.unpivot(["sheet", "mark"], measures, "measure_name", "measure_value"))
@@ -288,3 +301,7 @@ def d_content_extract(stg: DataFrame) -> DataFrame:
 
 def d_monitoring_extract(stg: DataFrame) -> DataFrame:
     return dashboard_extract(stg, MONITORING_SHEETS)
+
+
+def d_overview_extract(stg: DataFrame) -> DataFrame:
+    return dashboard_extract(stg, OVERVIEW_SHEETS)

@@ -314,16 +314,6 @@ def qa_channels(spark: SparkSession, sf: str) -> DataFrame:
             .orderBy("channel_id").limit(20))
 
 
-@_stg(C)
-def d_overview(stg: DataFrame) -> DataFrame:
-    """The overview dashboard's five cards as one row (one pass over the staged table)."""
-    return stg.agg(
-        D.sheet_mean("avg_comment_sentiment").alias("avg_comment_sentiment"),
-        D.sheet_mean("negative_comment_pct").alias("avg_negative_comment_pct"),
-        F.sum("engagement_count").alias("total_engagements"), F.sum("view_count").alias("total_views"),
-        D.wer().alias("weighted_engagement_rate"))
-
-
 INVENTORY_QUERIES = {
     "prj_select": prj_select, "prj_across_str": prj_across_str, "prj_coalesce": prj_coalesce, "prj_fill": prj_fill,
     "prj_preview": prj_preview, "flt_members": flt_members, "join_sentiment": join_sentiment_key,
@@ -338,5 +328,5 @@ INVENTORY_QUERIES = {
     "fn_label_3way": fn_label_3way, "fn_rules_first_match": fn_rules_first_match, "fn_recode": fn_recode,
     "fn_bool_combine": fn_bool_combine, "feat_engagement": feat_engagement, "feat_content_type": feat_content_type,
     "feat_message_theme": feat_message_theme, "feat_sentiment_bucket": feat_sentiment_bucket,
-    "feat_priority": feat_priority, "snk_csv": snk_csv, "qa_channels": qa_channels, "d_overview": d_overview,
+    "feat_priority": feat_priority, "snk_csv": snk_csv, "qa_channels": qa_channels,
 }

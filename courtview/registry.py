@@ -135,6 +135,7 @@ def _extra_queries() -> dict[str, Query]:
     from courtview.plans import dashboards as D
     out["d_content"] = _stg(D.d_content_extract)
     out["d_monitoring"] = _stg(D.d_monitoring_extract)
+    out["d_overview"] = _stg(D.d_overview_extract)
     return out
 
 

@@ -687,11 +687,6 @@ def inventory_sql() -> dict[str, str]:
                         f"AS channel_title, CASE WHEN subscribers > 0 THEN CAST(subscribers AS DOUBLE) END AS "
                         f"subscriber_count, subscribers > 0 AS valid_channel FROM ({channels}) "
                         f"ORDER BY channel_id LIMIT 20"),
-        "d_overview": on_stg("commerce", f"SELECT {smean('avg_comment_sentiment')} AS avg_comment_sentiment, "
-                                         f"{smean('negative_comment_pct')} AS avg_negative_comment_pct, "
-                                         f"CAST(sum(engagement_count) AS BIGINT) AS total_engagements, "
-                                         f"CAST(sum(view_count) AS BIGINT) AS total_views, "
-                                         f"{WER_RAW} AS weighted_engagement_rate FROM stg"),
     }
     return out
 
@@ -726,13 +721,25 @@ def extract_sql(binding: str = "commerce") -> dict[str, str]:
                             ["view_count", "avg_comment_sentiment", "engagement_rate", "negative_comment_pct"]),
     }
 
+    overview = {
+        "avg_sentiment": (dash["v_avg_sentiment"], [], ["avg_comment_sentiment"]),
+        "neg_card": (dash["v_neg_card"], [], ["avg_negative_comment_pct"]),
+        "engagements_card": (dash["v_engagements_card"], [], ["total_engagements"]),
+        "views_card": (dash["v_views_card"], [], ["total_views"]),
+        "wer_card": (dash["v_wer_card"], [], ["weighted_engagement_rate"]),
+        "views_by_team": (dash["v_views_by_team"], ["team"], ["total_views"]),
+        "wer_by_team": (dash["v_wer_by_team"], ["team"], ["weighted_engagement_rate"]),
+        "views_by_day": (dash["v_views_by_day"], ["published_day"], ["total_views", "n_videos"]),
+    }
+
     def build(sheets: dict) -> str:
         parts = []
         for name, (sql, dims, measures) in sheets.items():
-            mark = "concat_ws('|', " + ", ".join(f"coalesce(CAST({d} AS VARCHAR), '')" for d in dims) + ")"
+            mark = ("concat_ws('|', " + ", ".join(f"coalesce(CAST({d} AS VARCHAR), '')" for d in dims) + ")"
+                    if dims else "''")
             for m in measures:
                 parts.append(f"SELECT {q(name)} AS sheet, {mark} AS mark, {q(m)} AS measure_name, "
                              f"CAST({m} AS DOUBLE) AS measure_value FROM ({sql}) s")
         return on_stg(binding, "\nUNION ALL\n".join(parts))
 
-    return {"d_content": build(content), "d_monitoring": build(monitoring)}
+    return {"d_content": build(content), "d_monitoring": build(monitoring), "d_overview": build(overview)}
