@@ -101,7 +101,7 @@ def windows(ids: np.ndarray, slots: np.ndarray, width: int, min_words: int) -> t
     n = len(ids) - width + 1
     if n <= 0:
         return np.zeros(0, np.uint64), np.zeros(0, np.int64)
-    h = np.full(n, np.uint64(width) * _K[3])
+    h = np.full(n, np.uint64(width * int(_K[3]) % (1 << 64)))
     for i in range(width):
         h = (h ^ ids[i:i + n]) * _K[i % 5]
         h ^= h >> np.uint64(31)
