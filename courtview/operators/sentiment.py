@@ -26,10 +26,12 @@ from pyspark.sql import functions as F
 
 from courtview.functions.text import squish
 from courtview.operators.broadcast import broadcast_if_bounded
+from courtview.session import materialize
 
 TOKEN_SPLIT = "[^a-z']+"
 LEXICON_MAX_ROWS = 2_000_000
 DEFAULT_THRESHOLD = Decimal("0.15")
+ROW = "_comment_row"
 
 
 def tokens(text_col) -> F.Column:
@@ -64,20 +66,28 @@ def prepare_lexicon(lexicon: DataFrame) -> DataFrame:
 
 def matched_comment_scores(comments: DataFrame, lexicon: DataFrame,
                            keys=("video_id", "comment_id"), text_col: str = "comment_text") -> DataFrame:
-    """(keys..., score_units) for comments with at least one lexicon word."""
-    toks = comments.select(*keys, F.explode(tokens(F.col(text_col))).alias("word"))
+    """(keys..., score_units) for comments with at least one lexicon word, one row per comment row.
+
+    Rows are told apart by a number given before the words are exploded, so that
+    comments with a missing or repeated id keep scores of their own.
+    """
+    numbered = comments.withColumn(ROW, F.monotonically_increasing_id()) if ROW not in comments.columns else comments
+    toks = numbered.select(*keys, ROW, F.explode(tokens(F.col(text_col))).alias("word"))
     hits = toks.join(prepare_lexicon(lexicon), "word", "inner")
-    return hits.groupBy(*keys).agg(F.sum("units").alias("score_units"))
+    return hits.groupBy(*keys, ROW).agg(F.sum("units").alias("score_units"))
 
 
 def score_comments(comments: DataFrame, lexicon: DataFrame,
                    threshold: Decimal = DEFAULT_THRESHOLD) -> DataFrame:
-    """comments + comment_text_clean, sentiment_score, sentiment_label (the comment-level table)."""
-    keys = ("video_id", "comment_id")
+    """comments + comment_text_clean, sentiment_score, sentiment_label (the comment-level table).
+
+    The numbered rows are written once, so that the join back by row number reads the same numbers.
+    """
     t = score_units(threshold)
-    base = comments.withColumn("comment_text_clean", squish("comment_text"))
-    scores = matched_comment_scores(base, lexicon, keys, "comment_text_clean")
-    out = base.join(scores, list(keys), "left").withColumn(
+    base = materialize(comments.withColumn("comment_text_clean", squish("comment_text"))
+                       .withColumn(ROW, F.monotonically_increasing_id()), "comments")
+    scores = matched_comment_scores(base, lexicon, (), "comment_text_clean")
+    out = base.join(scores, ROW, "left").drop(ROW).withColumn(
         "score_units", F.coalesce(F.col("score_units"), F.lit(0).cast("bigint")))
     u = F.col("score_units")
     return out.withColumns({
@@ -123,8 +133,9 @@ def video_sentiment(comments: DataFrame, lexicon: DataFrame,
                     threshold: Decimal = DEFAULT_THRESHOLD) -> DataFrame:
     """Per-video summary straight from comment text, without shuffling comment rows."""
     counts = comments.groupBy("video_id").agg(F.count(F.lit(1)).alias("n"))
-    per_video = matched_comment_scores(comments, lexicon).groupBy("video_id").agg(*_unit_aggs(score_units(threshold)))
-    j = counts.join(per_video, "video_id", "left")
+    per_video = matched_comment_scores(comments, lexicon, ("video_id",)).groupBy("video_id").agg(*_unit_aggs(score_units(threshold)))
+    scored = per_video.withColumnRenamed("video_id", "_scored_video")
+    j = counts.join(scored, F.col("video_id").eqNullSafe(F.col("_scored_video")), "left")
     return j.select("video_id", *_summary(F.col("n"), F.col("units_sum"), F.col("pos"), F.col("neg")))
 
 
@@ -132,4 +143,5 @@ def label_counts(scored: DataFrame) -> DataFrame:
     """Label frequency table with share of the total (QA summary)."""
     g = scored.groupBy("sentiment_label").agg(F.count(F.lit(1)).alias("n"))
     from pyspark.sql import Window
-    return g.withColumn("pct", F.col("n").cast("double") / F.sum("n").over(Window.partitionBy()))
+    shares = g.withColumn("pct", F.col("n").cast("double") / F.sum("n").over(Window.partitionBy()))  # over one row per label
+    return shares.orderBy(F.desc("n"), "sentiment_label")

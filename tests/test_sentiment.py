@@ -75,3 +75,14 @@ def test_hot_video_rollup_is_exact_and_partial(spark):
         assert r.positive_comment_pct == sum(s > Decimal("0.15") for s in scores) / len(scores)
     plan = video_sentiment(comments, lex)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("partial_") >= 2   # map-side combine before the exchanges
+
+
+def test_missing_and_repeated_comment_ids_keep_their_own_scores(spark):
+    c = spark.createDataFrame([("v", None, "good"), ("v", None, "good"), ("v", "x", "good"), ("v", "x", "bad"), (None, None, "bad")],
+                              "video_id string, comment_id string, comment_text string")
+    lex = spark.createDataFrame([("good", Decimal("0.75")), ("bad", Decimal("-0.75"))], "word string, value decimal(9,4)")
+    got = sorted((r.comment_text, r.sentiment_label) for r in score_comments(c, lex).collect())
+    assert got == [("bad", "Negative")] * 2 + [("good", "Positive")] * 3
+    by_video = {r.video_id: r for r in video_sentiment(c, lex).collect()}
+    assert by_video["v"].positive_comment_pct == 0.75 and by_video["v"].negative_comment_pct == 0.25
+    assert by_video[None].negative_comment_pct == 1.0
