@@ -25,6 +25,13 @@ def row_count_at_most(df: DataFrame, max_rows: int) -> int | None:
     return n if n <= max_rows else None
 
 
+def fits(df: DataFrame, max_rows: int, max_bytes: int) -> bool:
+    """Whether ``df`` has at most ``max_rows`` rows that hold at most ``max_bytes`` bytes (as JSON); one bounded pass."""
+    row = F.octet_length(F.to_json(F.struct("*")))
+    got = df.limit(max_rows + 1).agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(row), F.lit(0)).alias("b")).first()
+    return got["n"] <= max_rows and got["b"] <= max_bytes
+
+
 def estimated_bytes(df: DataFrame) -> int | None:
     """The optimizer's size estimate of ``df`` (from file sizes; no job), or None."""
     try:
@@ -38,4 +45,4 @@ def broadcast_if_bounded(df: DataFrame, max_rows: int = DEFAULT_MAX_ROWS,
     est = estimated_bytes(df)
     if est is not None and est * DECOMPRESSION_MARGIN <= max_bytes:
         return F.broadcast(df)
-    return F.broadcast(df) if row_count_at_most(df, max_rows) is not None else df
+    return F.broadcast(df) if fits(df, max_rows, max_bytes) else df

@@ -2,8 +2,8 @@
 
 ``hot_keys`` finds every key that may hold at least ``support`` of the rows with
 ``freqItems`` (one distributed pass over the key column, bounded memory per task,
-at most about 1/support candidates; it may report a few extra keys, never misses a
-frequent one).  ``skew_split_join`` then routes the rows of those keys through a
+at most about 1/support candidates, never missing a frequent one) and keeps those that an
+exact count confirms.  ``skew_split_join`` then routes the rows of those keys through a
 broadcast join with their (few) small-side rows, and everything else through the
 ordinary shuffle join; each big-side row is in exactly one branch, so the result
 equals the plain join.  No task ever receives a hot key's whole group.
@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from courtview.operators.broadcast import row_count_at_most
+from courtview.operators.broadcast import DEFAULT_MAX_BYTES, fits
 
 MAX_SUPPORT = 0.01
 MIN_SUPPORT = 1e-4
@@ -32,26 +32,38 @@ def default_support(spark) -> float:
 
 
 def hot_keys(df: DataFrame, key: str, support: float | None = None) -> list:
-    """Keys that may hold at least ``support`` of the non-null rows of ``df`` (at most ~1/support)."""
+    """Keys that hold at least ``support`` of the rows of ``df``: sketched candidates, then counted exactly."""
     support = support if support is not None else default_support(df.sparkSession)
-    row = df.select(key).where(F.col(key).isNotNull()).stat.freqItems([key], support).first()
-    return list(row[0]) if row is not None and row[0] else []
+    keys = df.select(key).where(F.col(key).isNotNull())
+    row = keys.stat.freqItems([key], support).first()
+    candidates = list(row[0]) if row is not None and row[0] else []
+    if not candidates:
+        return []
+    counted = keys.groupBy(F.when(F.col(key).isin(candidates), F.col(key)).alias("k")).agg(F.count(F.lit(1)).alias("n")).collect()
+    total = sum(r["n"] for r in counted)  # one row per candidate, and one for the rest
+    return [r["k"] for r in counted if r["k"] is not None and r["n"] >= support * total]
 
 
 def skew_split_join(big: DataFrame, small: DataFrame, key: str, how: str = "inner",
                     support: float | None = None) -> DataFrame:
-    """``big.join(small, key, how)`` with hot keys of ``big`` split off (how: inner or left)."""
+    """``big.join(small, key, how)`` with hot and missing keys of ``big`` split off (how: inner or left)."""
     if how not in ("inner", "left"):
         raise ValueError("skew_split_join supports inner and left joins")
+    with_key, parts = big.where(F.col(key).isNotNull()), []
+    if how == "left":  # missing keys match nothing: they stay out of the shuffle
+        missing = big.where(F.col(key).isNull())
+        parts.append(missing.select("*", *[F.lit(None).cast(f.dataType).alias(f.name) for f in small.schema.fields if f.name != key]))
     hot = hot_keys(big, key, support)
-    if not hot:
-        return big.join(small, key, how)
-    spark = big.sparkSession
-    key_type = big.schema[key].dataType
-    hot_df = F.broadcast(spark.createDataFrame([(k,) for k in hot], f"`{key}` {key_type.simpleString()}"))
-    small_hot = small.join(hot_df, key, "left_semi")
-    if row_count_at_most(small_hot, SMALL_SIDE_MAX_ROWS) is None:
-        return big.join(small, key, how)  # hot keys are not rare on the small side: leave it to AQE
-    hot_part = big.join(hot_df, key, "left_semi").join(F.broadcast(small_hot), key, how)
-    cold_part = big.join(hot_df, key, "left_anti").join(small, key, how)
-    return hot_part.unionByName(cold_part)
+    if hot:
+        spark = big.sparkSession
+        key_type = big.schema[key].dataType
+        hot_df = F.broadcast(spark.createDataFrame([(k,) for k in hot], f"`{key}` {key_type.simpleString()}"))  # 1/support rows
+        small_hot = small.join(hot_df, key, "left_semi")
+        if fits(small_hot, SMALL_SIDE_MAX_ROWS, DEFAULT_MAX_BYTES):
+            parts.append(with_key.join(hot_df, key, "left_semi").join(F.broadcast(small_hot), key, how))
+            with_key = with_key.join(hot_df, key, "left_anti")
+        # else the hot keys are not rare on the small side: adaptive execution splits them
+    out = with_key.join(small, key, how)
+    for part in parts:
+        out = out.unionByName(part)
+    return out

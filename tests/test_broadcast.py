@@ -29,7 +29,7 @@ def test_probe_bounds_and_refuses(spark):
         other = spark.range(0, 5000).toDF("k")
         refused = other.join(broadcast_if_bounded(big, max_rows=100, max_bytes=1), "k")
         assert "BroadcastHashJoin" not in plan_of(refused)
-        proven = other.join(broadcast_if_bounded(big, max_rows=10_000, max_bytes=1), "k")
+        proven = other.join(broadcast_if_bounded(big, max_rows=10_000, max_bytes=200_000), "k")
         assert "BroadcastHashJoin" in plan_of(proven)
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
