@@ -49,8 +49,3 @@ def iso_bound(d: date) -> Column:
 
 def date_to_text(col: "Column | str") -> Column:
     return _c(col).cast("string")
-
-
-def in_date_range(col: "Column | str", start: date, end: date) -> Column:
-    """Closed interval on the date of ``col``."""
-    return F.to_date(_c(col)).between(F.lit(start), F.lit(end))

@@ -10,9 +10,16 @@ def _c(col: "Column | str") -> Column:
     return F.col(col) if isinstance(col, str) else col
 
 
-def try_numeric(col: "Column | str", to: str = "bigint") -> Column:
-    """Text -> number; unparsable text (e.g. ``NA``) becomes NULL."""
-    return _c(col).try_cast(to)
+def try_numeric(col: "Column | str") -> Column:
+    """Text -> double, fractions and exponents included; unparsable text (e.g. ``NA``) becomes NULL."""
+    return _c(col).try_cast("double")
+
+
+def try_whole(col: "Column | str") -> Column:
+    """Text or number -> long: whole numbers in any notation, NULL for the rest."""
+    c = _c(col)
+    d = c.try_cast("double")
+    return F.coalesce(F.when(d == F.floor(d), c.try_cast("bigint")), F.when(d == F.floor(d), d.try_cast("bigint")))
 
 
 def safe_ratio(num: "Column | str", den: "Column | str", scale: float | int = 1) -> Column:

@@ -41,25 +41,21 @@ def regex_detect(col: "Column | str", pattern: str) -> Column:
 
 # ---------------------------------------------------------------------------
 # HTML entity decoding.
-# Named entities come from Python's HTML 4 table (252 names) plus ``apos``;
+# Named entities come from Python's HTML 5 table (names that end in a semicolon);
 # numeric entities (decimal and hex) are decoded arithmetically.  The text is
 # cut at entities once, so ``&amp;lt;`` becomes ``&lt;`` and nothing is decoded
 # twice.  Rows without ``&`` skip the work entirely.
 # ---------------------------------------------------------------------------
-ENTITY_PATTERN = r"&(#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[A-Za-z][A-Za-z0-9]{1,31});"
+ENTITY_PATTERN = r"&(#[0-9]+|#[xX][0-9a-fA-F]+|[A-Za-z][A-Za-z0-9]*);"
 
 
 def named_entities() -> dict[str, str]:
-    table = {name: chr(cp) for name, cp in html.entities.name2codepoint.items()}
-    table["apos"] = "'"
-    return table
+    return {name[:-1]: text for name, text in html.entities.html5.items() if name.endswith(";")}
 
 
 def _entity_map() -> Column:
-    items = []
-    for name, ch in sorted(named_entities().items()):
-        items += [F.lit(name), F.lit(ch)]
-    return F.create_map(*items)
+    names, texts = zip(*sorted(named_entities().items()), strict=True)
+    return F.map_from_arrays(F.lit(list(names)), F.lit(list(texts)))
 
 
 def _code_point_char(cp: Column) -> Column:
@@ -72,8 +68,9 @@ def html_decode(col: "Column | str") -> Column:
     entities = _entity_map()
 
     def one(e: Column) -> Column:
-        hex_cp = F.conv(F.substring(e, 3, 16), 16, 10).try_cast("int")
-        dec_cp = F.substring(e, 2, 16).try_cast("int")
+        digits = F.regexp_replace(e, "^#[xX]?0*", "")  # the code point is tested, not the number of digits
+        hex_cp = F.when(F.length(digits) <= 8, F.conv(digits, 16, 10).try_cast("bigint"))
+        dec_cp = digits.try_cast("bigint")
         numeric = F.when(e.rlike("^#[xX]"), _code_point_char(hex_cp)).otherwise(_code_point_char(dec_cp))
         value = F.when(e.startswith("#"), numeric).otherwise(F.try_element_at(entities, e))
         return F.coalesce(value, F.concat(F.lit("&"), e, F.lit(";")))

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from courtview.functions.dates import date_parts, parse_ts
-from courtview.functions.numeric import rate_per_day, safe_ratio, try_numeric
+from courtview.functions.numeric import rate_per_day, safe_ratio, try_whole
 from courtview.functions.text import html_decode, label_3way, lower, rules_first_match, squish
 from courtview.operators.quantile import exact_quantiles
 from courtview.params import (PRIORITY_BOTH, PRIORITY_ENGAGEMENT, PRIORITY_NEGATIVE, PRIORITY_STANDARD,
@@ -49,9 +49,9 @@ def engagement_block(df: DataFrame, params: Params) -> DataFrame:
     like_c = F.coalesce(F.col("like_count"), F.lit(0))
     comment_c = F.coalesce(F.col("comment_count"), F.lit(0))
     df = df.withColumns({
-        "view_count": try_numeric("view_count"),
-        "like_count": try_numeric("like_count"),
-        "comment_count": try_numeric("comment_count"),
+        "view_count": try_whole("view_count"),
+        "like_count": try_whole("like_count"),
+        "comment_count": try_whole("comment_count"),
     })
     df = df.withColumns({"like_count_clean": like_c, "comment_count_clean": comment_c})
     df = df.withColumn("engagement_count", F.col("like_count_clean") + F.col("comment_count_clean"))
@@ -115,19 +115,3 @@ def add_flags(features: DataFrame, params: Params, thresholds=None, keep_flags:
     cols = list(STAGED_COLUMNS) + (["high_engagement_flag", "high_negative_sentiment_flag"] if keep_flags else [])
     return df.select(*cols)
 
-
-def add_flags_in_plan(features: DataFrame, params: Params) -> DataFrame:
-    """Same flags with the thresholds computed inside the plan by ``percentile``.
-
-    Lazy and exact, but the percentile's final merge is one task holding a map of
-    distinct values; use it for small tables and as a cross-check of ``add_flags``.
-    """
-    t = features.agg(
-        F.percentile("engagement_rate", params.quantile).alias("_eng_t"),
-        F.percentile("negative_comment_pct", params.quantile).alias("_neg_t"),
-    )
-    df = features.crossJoin(F.broadcast(t))
-    high_eng = F.col("engagement_rate") >= F.col("_eng_t")
-    high_neg = (F.col("negative_comment_pct") >= F.col("_neg_t")) & (F.col("comments_pulled") >= params.min_comments)
-    df = df.withColumn("monitoring_priority", priority(high_eng, high_neg))
-    return df.select(*STAGED_COLUMNS)

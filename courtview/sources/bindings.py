@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 
 from courtview.functions.dates import iso_text
 from courtview.operators.broadcast import broadcast_if_bounded
+from courtview.operators.features import SUMMARY_COLUMNS
 from courtview.operators.skew import skew_split_join
 from courtview.params import FIXTURE_LEXICON
 from courtview.schemas import LEXICON
@@ -116,14 +117,6 @@ def commerce_line_rollup(spark: SparkSession, sf_dir: str, threshold=Decimal("0.
     })
 
 
-def commerce_line_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return commerce_line_rollup(spark, sf_dir).select("video_id", "n_like", "n_comment")
-
-
-SUMMARY_COLUMNS = ("comments_pulled", "avg_comment_sentiment", "positive_comment_pct", "neutral_comment_pct",
-                   "negative_comment_pct")
-
-
 def commerce_videos_raw(spark: SparkSession, sf_dir: str, line_rollup: DataFrame | None = None,
                         keep_summary: bool = False) -> DataFrame:
     """Orders with customer geography and line statistics.

@@ -5,7 +5,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from courtview.functions.dates import date_parts, iso_bound, parse_ts
-from courtview.functions.numeric import bi, mean, rate_per_day, round_to, safe_ratio, try_numeric, weighted_rate
+from courtview.functions.numeric import bi, mean, rate_per_day, round_to, safe_ratio, try_numeric, try_whole, weighted_rate
 from courtview.functions.text import (html_decode, label_3way, manual_order_key, priority_rank, priority_short,
                                       rules_first_match, squish, strip_newlines)
 from courtview.operators.features import priority
@@ -30,9 +30,11 @@ def test_strip_newlines(spark):
 
 def test_html_decode_cases(spark):
     data = [("Tom &amp; Jerry &#39;s &#x27;q&#X27; &copy;",), ("&amp;lt;",), ("&nosuch; &",), ("plain",),
-            (None,), ("&#0; &#xD800;",)]
+            (None,), ("&#0; &#xD800;",),
+            ("&#0000000065;&#x000000041; &check; &lbrace; &#99999999999999999999;",)]
     got = one(spark, html_decode("s"), data, "s string")
-    assert got == ["Tom & Jerry 's 'q' ©", "&lt;", "&nosuch; &", "plain", None, "&#0; &#xD800;"]
+    assert got == ["Tom & Jerry 's 'q' ©", "&lt;", "&nosuch; &", "plain", None, "&#0; &#xD800;",
+                   "AA \u2713 { &#99999999999999999999;"]
 
 
 def test_label_boundaries_are_strict(spark):
@@ -57,7 +59,8 @@ def test_rate_age_zero_keeps_views(spark):
 
 
 def test_try_numeric(spark):
-    assert one(spark, try_numeric("s"), [("12",), ("NA",), (None,)], "s string") == [12, None, None]
+    assert one(spark, try_numeric("s"), [("12",), ("NA",), (None,), ("12.7",), ("1e3",)], "s string") == [12.0, None, None, 12.7, 1000.0]
+    assert one(spark, try_whole("s"), [("12",), ("1e3",), ("12.7",), ("NA",)], "s string") == [12, 1000, None, None]
 
 
 def test_round_ties_and_weighted_rate(spark):
