@@ -116,8 +116,6 @@ def exact_quantiles(df: DataFrame, specs: dict[str, tuple[str, float]], small: i
         col = df.select(xs[k].alias("x")).where(ok[k])
         if n == 0:
             out[k] = None
-        elif n <= small:
-            out[k] = _interpolate(n, p, _order_stats(col, _ranks(n, p), n, small, accuracy))
         else:
             b = first[f"b_{k}"]
             v_lo = float("-inf") if p - eps <= 0.0 else b[0]
