@@ -91,11 +91,6 @@ def has_comments(videos: DataFrame) -> DataFrame:
     return videos.where(F.col("comment_count").isNotNull() & (F.col("comment_count") > 0)).select("video_id").distinct()
 
 
-def unpivot_long(df: DataFrame, ids: Sequence[str], measures: Sequence[str]) -> DataFrame:
-    wide = df.select(*ids, *[F.col(m).cast("double").alias(m) for m in measures])
-    return wide.unpivot(list(ids), list(measures), "measure_name", "measure_value")
-
-
 def share_of_total(grouped: DataFrame, count_col: str = "n", name: str = "pct") -> DataFrame:
     """``n / sum(n)`` over an already-grouped (small) result."""
     return grouped.withColumn(name, F.col(count_col).cast("double") / F.sum(count_col).over(Window.partitionBy()))

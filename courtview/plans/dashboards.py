@@ -165,26 +165,27 @@ def v_priority_breakdown(stg: DataFrame) -> DataFrame:
 
 
 FLAGGED = (PRIORITY_ENGAGEMENT, PRIORITY_BOTH, PRIORITY_NEGATIVE)
-PRIORITY_VIDEO_MEASURES = ("view_count", "avg_comment_sentiment", "engagement_rate", "negative_comment_pct")
+PRIORITY_VIDEO_MEASURES = ("view_count", "engagement_rate", "negative_comment_pct")
 
 
 def priority_videos_wide(stg: DataFrame) -> DataFrame:
-    """Title x priority x team for the flagged priorities; SUM of four measures.
+    """Title x priority x team for the flagged priorities; SUM of three measures.
 
     Grouping is by title (as the sheet does), so same-title videos of one team merge.
     """
     return (stg.where(F.col("monitoring_priority").isin(*FLAGGED))
             .groupBy("video_title", "monitoring_priority", "team").agg(
                 F.sum("view_count").alias("view_count"),
-                sheet_sum("avg_comment_sentiment").alias("avg_comment_sentiment"),
                 sheet_sum("engagement_rate").alias("engagement_rate"),
                 sheet_sum("negative_comment_pct").alias("negative_comment_pct")))
 
 
 def v_priority_videos(stg: DataFrame) -> DataFrame:
-    """The priority-videos sheet in long form (Measure Names / Measure Values)."""
-    return _unpivot(priority_videos_wide(stg), ["video_title", "monitoring_priority", "team"],
-                    list(PRIORITY_VIDEO_MEASURES), list(PRIORITY_VIDEO_MEASURES))
+    """The priority-videos sheet in long form (Measure Names / Measure Values), most viewed first."""
+    dims = ["video_title", "monitoring_priority", "team"]
+    wide = priority_videos_wide(stg).withColumn("_views", F.col("view_count"))
+    long = _unpivot(wide, [*dims, "_views"], list(PRIORITY_VIDEO_MEASURES), list(PRIORITY_VIDEO_MEASURES))
+    return long.orderBy(F.desc_nulls_last("_views"), *dims, "measure_order").drop("_views")
 
 
 def v_scatter(stg: DataFrame) -> DataFrame:

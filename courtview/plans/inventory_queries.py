@@ -217,9 +217,9 @@ def fn_iso_bound(stg: DataFrame) -> DataFrame:
 
 
 def fn_try_numeric(spark: SparkSession, sf: str) -> DataFrame:
-    """Counts landed as text (``NA`` for missing) parsed back to numbers."""
+    """Quarter counts landed as text (``NA`` for missing) parsed back to numbers, fractions kept."""
     vr = raw_videos(spark, sf, T)
-    as_text = F.coalesce(F.col("view_count").cast("string"), F.lit("NA"))
+    as_text = F.coalesce((F.col("view_count") / 4).cast("string"), F.lit("NA"))
     return vr.select("video_id", try_numeric(as_text).alias("view_count"))
 
 
@@ -311,7 +311,7 @@ def qa_channels(spark: SparkSession, sf: str) -> DataFrame:
     check = payloads.channel_check(payloads.build_channel_pages(ch), ch)
     j = ch.join(check, ch.channel_id == check.checked_channel_id, "left")
     return (j.select("team", "team_abbreviation", "channel_id", "channel_title", "subscriber_count", "valid_channel")
-            .orderBy("channel_id").limit(20))
+            .orderBy("channel_id"))
 
 
 INVENTORY_QUERIES = {

@@ -61,11 +61,6 @@ def snk_table(spark: SparkSession, sf: str) -> DataFrame:
     return files.write_table(staged(spark, sf, C), "stg_videos")
 
 
-def cat_tables(spark: SparkSession, sf: str) -> DataFrame:
-    files.write_table(staged(spark, sf, C), "stg_videos")
-    return files.list_tables(spark)
-
-
 def prj_clean_names(spark: SparkSession, sf: str) -> DataFrame:
     """Display captions (``Video Id``, ``Likes Per 1k Views`` ...) back to snake case."""
     stg = staged(spark, sf, C)
@@ -82,7 +77,8 @@ def json_channels(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def json_uploads_id(spark: SparkSession, sf: str) -> DataFrame:
-    return payloads.uploads_playlist(payloads.build_channel_pages(B.commerce_channels(spark, sf)))
+    ch = B.commerce_channels(spark, sf)
+    return payloads.uploads_playlist(payloads.build_channel_pages(ch), ch)
 
 
 def json_channel_search(spark: SparkSession, sf: str) -> DataFrame:
@@ -220,7 +216,23 @@ def join_comment_video(spark: SparkSession, sf: str) -> DataFrame:
     vr = raw_videos(spark, sf, T)
     pulled = vr.where(F.col("comment_count") > 0).select(
         "video_id", "team", "team_abbreviation", "conference", "channel_title", "video_title", "published_at")
-    return skew_split_join(B.content_comments(spark, sf), pulled, "video_id", "inner")
+    return _with_video(B.content_comments(spark, sf), pulled)
+
+
+def _with_video(comments: DataFrame, pulled: DataFrame) -> DataFrame:
+    """Comments of the pulled videos (a filter by id), left-joined with the videos' attributes."""
+    kept = comments.join(pulled.select("video_id").distinct(), "video_id", "left_semi")
+    return skew_split_join(kept, pulled, "video_id", "left")
+
+
+def comments_sentiment(spark: SparkSession, sf: str) -> DataFrame:
+    """The comment-level table: 14 columns, one row per pulled comment, scored row by row."""
+    vr = raw_videos(spark, sf, T)
+    pulled = vr.where(F.col("comment_count") > 0).select(
+        "video_id", "team", "team_abbreviation", "conference", "channel_title", "video_title", "published_at")
+    scored = score_comments(_with_video(B.content_comments(spark, sf), pulled), B.fixture_lexicon(spark), PARAMS[T].label_threshold)
+    return scored.select("video_id", "comment_id", "comment_text", "comment_like_count", "comment_published_at", "team", "team_abbreviation",
+                         "conference", "channel_title", "video_title", "published_at", "comment_text_clean", "sentiment_score", "sentiment_label")
 
 
 # ---------------------------------------------------------------------------
@@ -263,7 +275,7 @@ def fn_date_parts(spark: SparkSession, sf: str) -> DataFrame:
 OPERATOR_QUERIES = {
     "src_inline": src_inline, "src_csv": src_csv, "src_csv_content": src_csv_content,
     "exp_video_safe": exp_video_safe, "src_typed_csv": src_typed_csv, "src_extract": src_extract,
-    "snk_table": snk_table, "cat_tables": cat_tables, "prj_clean_names": prj_clean_names,
+    "snk_table": snk_table, "prj_clean_names": prj_clean_names,
     "json_channels": json_channels, "json_uploads_id": json_uploads_id, "json_channel_search": json_channel_search,
     "json_playlist_items": json_playlist_items, "json_video_stats": json_video_stats, "json_comments": json_comments,
     "unnest_nested": unnest_nested, "set_union": set_union,
@@ -271,7 +283,7 @@ OPERATOR_QUERIES = {
     "prj_id_batches": prj_id_batches, "flt_has_comments": flt_has_comments, "prj_distinct_ids": prj_distinct_ids,
     "join_video_stats": join_video_stats, "srt_topn_members": srt_topn_members,
     "agg_count_distinct": agg_count_distinct, "agg_quantile": agg_quantile, "feat_flags": feat_flags,
-    "sent_score": sent_score, "sent_label": sent_label, "sent_rollup": sent_rollup, "qa_labels": qa_labels,
+    "sent_score": sent_score, "comments_sentiment": comments_sentiment, "sent_label": sent_label, "sent_rollup": sent_rollup, "qa_labels": qa_labels,
     "qa_negative": qa_negative, "join_comment_video": join_comment_video,
     "fn_squish": fn_squish, "fn_lower": fn_lower, "fn_strip_newlines": fn_strip_newlines,
     "fn_html_decode": fn_html_decode, "fn_regex_detect": fn_regex_detect, "fn_date_parts": fn_date_parts,

@@ -218,13 +218,18 @@ def qa_raw(videos_raw: DataFrame) -> DataFrame:
         F.count_if(F.col("comment_count").isNull()).alias("missing_comment_count"))
 
 
-def qa_raw_list(videos_raw: DataFrame, k: int = 20) -> DataFrame:
-    return (videos_raw.orderBy(F.desc_nulls_last("view_count"), "video_id").limit(k)
+def _shown(df: DataFrame, k: int | None) -> DataFrame:
+    """The whole table, or the first ``k`` rows for a display."""
+    return df if k is None else df.limit(k)
+
+
+def qa_raw_list(videos_raw: DataFrame, k: int | None = None) -> DataFrame:
+    return (_shown(videos_raw.orderBy(F.desc_nulls_last("view_count"), "video_id"), k)
             .select("team", "video_title", "published_at", "view_count", "like_count", "comment_count", "duration"))
 
 
-def qa_negative(summary: DataFrame, k: int = 20) -> DataFrame:
-    return summary.orderBy(F.desc_nulls_last("negative_comment_pct"), "video_id").limit(k)
+def qa_negative(summary: DataFrame, k: int | None = None) -> DataFrame:
+    return _shown(summary.orderBy(F.desc_nulls_last("negative_comment_pct"), "video_id"), k)
 
 
 def qa_clean(stg: DataFrame) -> DataFrame:
@@ -253,8 +258,8 @@ def qa_priorities(stg: DataFrame) -> DataFrame:
     return count_sorted(stg, "monitoring_priority")
 
 
-def qa_fast(stg: DataFrame, k: int = 20) -> DataFrame:
-    return (stg.orderBy(F.desc_nulls_last("views_per_day"), "video_id").limit(k)
+def qa_fast(stg: DataFrame, k: int | None = None) -> DataFrame:
+    return (_shown(stg.orderBy(F.desc_nulls_last("views_per_day"), "video_id"), k)
             .select("team", "video_title", "content_type", "message_theme", "view_count", "views_per_day",
                     "engagement_rate", "negative_comment_pct", "monitoring_priority"))
 

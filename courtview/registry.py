@@ -122,9 +122,6 @@ def _dash_keys() -> list[tuple[str, Query, str, str]]:
     return out
 
 
-# keys checked by row count only: the catalog listing depends on the session, not on the data
-ROWS_ONLY = {"cat_tables"}
-
 
 def _extra_queries() -> dict[str, Query]:
     from courtview.plans.inventory_queries import INVENTORY_QUERIES
@@ -143,7 +140,7 @@ def _extra_sql() -> dict[str, str]:
     from oracle import duckdb_sql as O
     fam = {b: O.dash_sql(b) for b in ("commerce", "content")}
     out = {k: fam[b][ok] for k, _, b, ok in _dash_keys()}
-    out.update({k: v for k, v in O.operator_sql().items() if k not in ROWS_ONLY})
+    out.update(O.operator_sql())
     out.update(O.inventory_sql())
     out.update(O.extract_sql("commerce"))
     return out

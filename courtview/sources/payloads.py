@@ -57,13 +57,14 @@ def channel_check(docs: DataFrame, requested: DataFrame) -> DataFrame:
     return out.withColumn("valid_channel", F.coalesce(F.col("valid_channel"), F.lit(False)))
 
 
-def uploads_playlist(docs: DataFrame) -> DataFrame:
-    """(channel_id, uploads) from channel pages; a page without items gives no row."""
+def uploads_playlist(docs: DataFrame, requested: DataFrame | None = None) -> DataFrame:
+    """(channel_id, uploads) from channel pages; with ``requested``, one row per requested id, NULL for an empty page."""
     p = parse(docs, CHANNELS_PAGE).where(F.col("doc").isNotNull())
     it = F.get(F.col("doc.items"), 0)  # NULL-safe, unlike items[0] under ANSI
-    return p.where(F.size("doc.items") > 0).select(
+    found = p.where(F.size("doc.items") > 0).select(
         it.getField("id").alias("channel_id"),
         it.getField("contentDetails").getField("relatedPlaylists").getField("uploads").alias("uploads_playlist_id"))
+    return found if requested is None else requested.select("channel_id").join(found, "channel_id", "left")
 
 
 def channel_search(docs: DataFrame, max_results: int = 5) -> DataFrame:
@@ -119,10 +120,10 @@ def comments(docs: DataFrame) -> DataFrame:
 # index div page size: no page can hold more than ``page_size`` items, whatever
 # the id format and however skewed the channels or videos are.
 # ---------------------------------------------------------------------------
-def _paged(df: DataFrame, order: list[str], page_size: int) -> DataFrame:
+def _paged(df: DataFrame, order: list, page_size: int) -> DataFrame:
     from courtview.operators.shape import with_global_index
-    idx = with_global_index(df, [F.col(c) for c in order])
-    return idx.withColumn("page", F.floor(F.col("row_index") / page_size)).drop("row_index")
+    idx = with_global_index(df, [F.col(c) if isinstance(c, str) else c for c in order])
+    return idx.withColumn("page", F.floor(F.col("row_index") / page_size))
 
 
 def _sorted_items(item: F.Column, sort_key: F.Column) -> F.Column:
@@ -170,22 +171,22 @@ def item_type() -> T.StructType:
     return CHANNELS_PAGE["items"].dataType.elementType
 
 
-def build_search_pages(channels: DataFrame, max_results: int = 5) -> DataFrame:
-    """One search document per conference: its first ``max_results`` channels (the endpoint's page)."""
-    from courtview.operators.shape import top_n_per_group
+def build_search_pages(channels: DataFrame) -> DataFrame:
+    """One search document per conference with all its channels."""
     item = F.struct(F.struct(F.col("channel_id").alias("channelId")).alias("id"),
                     F.struct(F.col("channel_name").alias("title"), F.col("team").alias("description")).alias("snippet"))
-    g = top_n_per_group(channels, ["conference"], [F.col("channel_id")], max_results).groupBy("conference").agg(_sorted_items(item, F.col("channel_id")).alias("items"))
+    g = channels.groupBy("conference").agg(_sorted_items(item, F.col("channel_id")).alias("items"))
     return g.select(F.to_json(F.struct(F.col("conference").alias("query"), "items")).alias("json"))
 
 
 def build_playlist_pages(videos_raw: DataFrame, page_size: int = 50) -> DataFrame:
-    """Upload-list pages per channel, items in video-id order, at most ``page_size`` per page."""
+    """Upload-list pages per channel, newest first, at most ``page_size`` per page."""
+    from courtview.functions.dates import parse_ts
     item = F.struct(
         F.struct(F.col("video_id").alias("videoId"), F.col("published_at").alias("videoPublishedAt")).alias("contentDetails"),
         F.struct(F.col("channel_title").alias("channelTitle"), F.col("video_title").alias("title"),
                  F.col("video_description").alias("description")).alias("snippet"))
-    g = _paged(videos_raw, ["channel_id", "video_id"], page_size).groupBy("channel_id", "page").agg(
-        _sorted_items(item, F.col("video_id")).alias("items"))
+    g = _paged(videos_raw, ["channel_id", parse_ts("published_at").desc_nulls_last(), "video_id"], page_size).groupBy(
+        "channel_id", "page").agg(_sorted_items(item, F.col("row_index")).alias("items"))
     return g.select(F.to_json(F.struct("channel_id", "page", F.lit(None).cast("string").alias("nextPageToken"),
                                        "items")).alias("json"))

@@ -8,10 +8,12 @@ to BIGINT and ratios to DOUBLE so the schemas line up with Spark's.
 
 from __future__ import annotations
 
-from courtview.functions.text import ENTITY_PATTERN, named_entities
+import html.entities
+
 from courtview.params import (COMMERCE_PARAMS, CONTENT_PARAMS, FIXTURE_LEXICON, PRIORITY_BOTH,
                               PRIORITY_ENGAGEMENT, PRIORITY_NEGATIVE, PRIORITY_SHORT, PRIORITY_STANDARD, Params)
 
+ENTITY_RE = r"&(#[0-9]+|#[xX][0-9a-fA-F]+|[A-Za-z][A-Za-z0-9]*);"
 SQUISH_RE = r"[\t\n\f\r\p{Z}]+"
 
 
@@ -38,17 +40,17 @@ def squish(e: str) -> str:
 
 
 def _cp_chr(v: str) -> str:
-    return f"(CASE WHEN {v} BETWEEN 1 AND 1114111 AND NOT ({v} BETWEEN 55296 AND 57343) THEN chr({v}) END)"
+    return f"(CASE WHEN {v} BETWEEN 1 AND 1114111 AND NOT ({v} BETWEEN 55296 AND 57343) THEN chr(CAST({v} AS INTEGER)) END)"
 
 
 def html_decode(e: str) -> str:
-    items = sorted(named_entities().items())
+    items = sorted((k[:-1], v) for k, v in html.entities.html5.items() if k.endswith(";"))
     m = "MAP([" + ", ".join(q(k) for k, _ in items) + "], [" + ", ".join(q(v) for _, v in items) + "])"
-    hex_cp = "try_cast('0x' || x[3:] AS INTEGER)"
-    dec_cp = "try_cast(x[2:] AS INTEGER)"
+    hex_cp = "try_cast('0x' || x[3:] AS BIGINT)"
+    dec_cp = "try_cast(x[2:] AS BIGINT)"
     one = (f"coalesce(CASE WHEN x[1] = '#' THEN (CASE WHEN lower(x[2]) = 'x' THEN {_cp_chr(hex_cp)} "
            f"ELSE {_cp_chr(dec_cp)} END) ELSE {m}[x] END, '&' || x || ';')")
-    re_ = q(ENTITY_PATTERN)
+    re_ = q(ENTITY_RE)
     decoded = f"list_transform(regexp_extract_all({e}, {re_}, 1), lambda x: {one})"
     joined = (f"array_to_string(list_transform(string_split_regex({e}, {re_}), "
               f"lambda p, i: coalesce(p, '') || coalesce({decoded}[i], '')), '')")
@@ -91,20 +93,19 @@ vr AS (
          CASE WHEN d.n_chars < 60 THEN 'PT' || d.n_chars || 'S'
               ELSE 'PT' || (d.n_chars // 60) || 'M' || (d.n_chars % 60) || 'S' END AS duration
   FROM documents d LEFT JOIN ev e ON d.doc_id = e.user_id),
-cm AS (
+cm AS MATERIALIZED (
   SELECT CAST(conv_id AS VARCHAR) AS video_id, CAST(conv_id AS VARCHAR) || '-' || CAST(turn AS VARCHAR) AS comment_id,
-         text AS comment_text, turn AS comment_like_count
+         text AS comment_text, turn AS comment_like_count, row_number() OVER () AS rid
   FROM conversations),
 lex(word, value) AS (VALUES {lexicon}),
 lexu AS (SELECT word, CAST(sum(value) AS DECIMAL(18,4)) AS value FROM lex GROUP BY word),
 tok AS (
-  SELECT video_id, comment_id,
+  SELECT rid,
          unnest(list_distinct(string_split_regex(lower({clean}), '[^a-z'']+'))) AS word
   FROM cm),
-hits AS (SELECT t.video_id, t.comment_id, sum(l.value) AS score FROM tok t JOIN lexu l ON t.word = l.word
-         GROUP BY t.video_id, t.comment_id),
+hits AS (SELECT t.rid, sum(l.value) AS score FROM tok t JOIN lexu l ON t.word = l.word GROUP BY t.rid),
 sc AS (SELECT c.*, {clean} AS comment_text_clean, coalesce(h.score, 0) AS sentiment_score
-       FROM cm c LEFT JOIN hits h ON c.video_id = h.video_id AND c.comment_id = h.comment_id)
+       FROM cm c LEFT JOIN hits h ON c.rid = h.rid)
 """
 
 COMMERCE_RAW = """
@@ -331,7 +332,7 @@ def report_sql(binding: str, wrap: bool = True) -> dict[str, str]:
         "qa_priorities": "SELECT monitoring_priority, count(*) AS n FROM stg GROUP BY monitoring_priority",
         "qa_fast": ("SELECT team, video_title, content_type, message_theme, view_count, views_per_day, engagement_rate, "
                     "negative_comment_pct, monitoring_priority FROM stg "
-                    "ORDER BY views_per_day DESC NULLS LAST, video_id LIMIT 20"),
+                    "ORDER BY views_per_day DESC NULLS LAST, video_id"),
         "cat_rowcount": "SELECT count(*) AS total_rows FROM stg",
         "feat_video_clean": f"SELECT {STAGED_SELECT} FROM stg",
     }
@@ -349,7 +350,7 @@ def raw_sql(binding: str) -> dict[str, str]:
                    "count(*) FILTER (WHERE like_count IS NULL) AS missing_like_count, "
                    "count(*) FILTER (WHERE comment_count IS NULL) AS missing_comment_count FROM vr"),
         "qa_raw_list": ("SELECT team, video_title, published_at, view_count, like_count, comment_count, duration "
-                        "FROM vr ORDER BY view_count DESC NULLS LAST, video_id LIMIT 20"),
+                        "FROM vr ORDER BY view_count DESC NULLS LAST, video_id"),
         "qa_count_by_team": "SELECT team, count(*) AS videos_collected FROM vr GROUP BY team",
     }
     return {k: on_stg(binding, v) for k, v in out.items()}
@@ -382,7 +383,7 @@ def dash_sql(binding: str, wrap: bool = True) -> dict[str, str]:
     long_cases = " UNION ALL ".join(
         f"SELECT content_type, {q(c)} AS measure_name, CAST({i + 1} AS BIGINT) AS measure_order, {smean(c)} AS measure_value "
         f"FROM stg GROUP BY content_type" for i, c in enumerate(shares))
-    pv_measures = ("view_count", "avg_comment_sentiment", "engagement_rate", "negative_comment_pct")
+    pv_measures = ("view_count", "engagement_rate", "negative_comment_pct")
     pv_long = " UNION ALL ".join(
         f"SELECT video_title, monitoring_priority, team, {q(m)} AS measure_name, CAST({i + 1} AS BIGINT) AS measure_order, "
         f"CAST({m} AS DOUBLE) AS measure_value FROM pv" for i, m in enumerate(pv_measures))
@@ -422,7 +423,6 @@ def dash_sql(binding: str, wrap: bool = True) -> dict[str, str]:
                                  f"FROM stg GROUP BY 1, 2) g").replace("SELECT s,", "SELECT s AS monitoring_priority_short,"),
         "v_priority_videos": (f", pv AS (SELECT video_title, monitoring_priority, team, "
                               f"CAST(sum(view_count) AS BIGINT) AS view_count, "
-                              f"{xsum('avg_comment_sentiment')} AS avg_comment_sentiment, "
                               f"{xsum('engagement_rate')} AS engagement_rate, "
                               f"{xsum('negative_comment_pct')} AS negative_comment_pct "
                               f"FROM stg WHERE monitoring_priority IN ({flagged}) "
@@ -509,18 +509,18 @@ def operator_sql() -> dict[str, str]:
         "json_channels": (f"SELECT channel_id AS checked_channel_id, CASE WHEN subscribers > 0 THEN channel_name END "
                           f"AS channel_title, CASE WHEN subscribers > 0 THEN CAST(subscribers AS DOUBLE) END "
                           f"AS subscriber_count, subscribers > 0 AS valid_channel FROM ({channels})"),
-        "json_uploads_id": (f"SELECT channel_id, 'UU' || channel_id AS uploads_playlist_id FROM ({channels}) "
-                            f"WHERE subscribers > 0"),
+        "json_uploads_id": (f"SELECT channel_id, CASE WHEN subscribers > 0 THEN 'UU' || channel_id END "
+                            f"AS uploads_playlist_id FROM ({channels})"),
         "json_channel_search": (f"SELECT conference AS query, channel_name AS channel_title, channel_id, "
                                 f"team AS channel_description FROM (SELECT *, row_number() OVER (PARTITION BY "
                                 f"conference ORDER BY channel_id) AS rn FROM ({channels})) WHERE rn <= 5"),
         "json_playlist_items": (commerce + f"SELECT channel_id, video_id, published_at, channel_title, video_title, "
                                 f"video_description FROM (SELECT *, row_number() OVER (PARTITION BY channel_id "
-                                f"ORDER BY video_id) AS rn FROM vr) WHERE rn <= {cp.list_cap}"),
+                                f"ORDER BY {newest}) AS rn FROM vr) WHERE rn <= {cp.list_cap}"),
         "json_video_stats": commerce + "SELECT video_id, view_count, like_count, comment_count, duration FROM vr",
         "json_comments": (content + "SELECT video_id, comment_id, comment_text, comment_like_count, "
                           "CAST(NULL AS VARCHAR) AS comment_published_at FROM cm"),
-        "unnest_nested": commerce + ("SELECT channel_id, CAST((row_number() OVER (ORDER BY channel_id, video_id) - 1) "
+        "unnest_nested": commerce + ("SELECT channel_id, CAST((row_number() OVER (ORDER BY channel_id, " + newest + ") - 1) "
                                      "// 50 AS BIGINT) AS page, video_id FROM vr"),
         "set_union": ("SELECT CAST(conv_id AS VARCHAR) AS video_id, CAST(conv_id AS VARCHAR) || '-' || "
                       "CAST(turn AS VARCHAR) AS comment_id, text AS comment_text, "
@@ -556,11 +556,16 @@ def operator_sql() -> dict[str, str]:
         "feat_flags": flagged,
         "sent_score": content + "SELECT video_id, comment_id, CAST(sentiment_score AS DECIMAL(18,4)) AS sentiment_score FROM sc",
         "sent_label": scored + "SELECT video_id, comment_id, sentiment_label FROM lab",
+        "comments_sentiment": (scored + "SELECT c.video_id, c.comment_id, c.comment_text, c.comment_like_count, "
+                               "CAST(NULL AS VARCHAR) AS comment_published_at, v.team, v.team_abbreviation, v.conference, "
+                               "v.channel_title, v.video_title, v.published_at, c.comment_text_clean, "
+                               "CAST(c.sentiment_score AS DECIMAL(18,4)) AS sentiment_score, c.sentiment_label "
+                               "FROM lab c JOIN vr v ON c.video_id = v.video_id WHERE v.comment_count > 0"),
         "sent_rollup": content + summ,
         "qa_labels": (scored + "SELECT sentiment_label, count(*) AS n, CAST(count(*) AS DOUBLE) / sum(count(*)) "
-                      "OVER () AS pct FROM lab GROUP BY sentiment_label"),
+                      "OVER () AS pct FROM lab GROUP BY sentiment_label ORDER BY n DESC, sentiment_label"),
         "qa_negative": (content + f"SELECT * FROM ({summ}) ORDER BY negative_comment_pct DESC NULLS LAST, "
-                        f"video_id LIMIT 20"),
+                        f"video_id"),
         "join_comment_video": (content + "SELECT c.video_id, c.comment_id, c.comment_text, c.comment_like_count, "
                                "CAST(NULL AS VARCHAR) AS comment_published_at, v.team, v.team_abbreviation, "
                                "v.conference, v.channel_title, v.video_title, v.published_at "
@@ -616,8 +621,8 @@ def inventory_sql() -> dict[str, str]:
                                           f"WHERE monitoring_priority IN ({flagged})"),
         "join_sentiment": on_stg("content", "SELECT video_id, comment_count, s_n AS comments_pulled, "
                                             "s_avg AS avg_comment_sentiment, s_neg AS negative_comment_pct FROM j"),
-        "join_lexicon": content_raw + ("SELECT video_id, comment_id, CAST(score AS DECIMAL(18,4)) AS sentiment_score "
-                                       "FROM hits"),
+        "join_lexicon": content_raw + ("SELECT c.video_id, c.comment_id, CAST(h.score AS DECIMAL(18,4)) AS sentiment_score "
+                                       "FROM hits h JOIN cm c ON h.rid = c.rid"),
         "semi_topn_members": on_stg("commerce", f"SELECT video_id, video_title, team FROM stg WHERE video_title IN "
                                                 f"(SELECT video_title FROM stg GROUP BY video_title ORDER BY "
                                                 f"sum(view_count) DESC NULLS LAST, video_title ASC NULLS LAST "
@@ -660,7 +665,7 @@ def inventory_sql() -> dict[str, str]:
         "fn_day_trunc": "SELECT event_id, CAST(ts AS DATE) AS day FROM events",
         "fn_iso_bound": on_stg("content", "SELECT video_id, strftime(published_date, '%Y-%m-%d') || 'T00:00:00Z' "
                                           "AS day_start FROM stg"),
-        "fn_try_numeric": content_raw + "SELECT video_id, view_count FROM vr",
+        "fn_try_numeric": content_raw + "SELECT video_id, CAST(view_count AS DOUBLE) / 4 AS view_count FROM vr",
         "fn_date_to_text": on_stg("content", "SELECT video_id, CAST(published_date AS VARCHAR) AS published_date_text, "
                                              "CAST(published_month AS VARCHAR) AS published_month_text FROM stg"),
         "fn_safe_ratio": on_stg("content", "SELECT video_id, engagement_rate, likes_per_1k_views, "
@@ -686,7 +691,7 @@ def inventory_sql() -> dict[str, str]:
         "qa_channels": (f"SELECT team, team_abbreviation, channel_id, CASE WHEN subscribers > 0 THEN channel_name END "
                         f"AS channel_title, CASE WHEN subscribers > 0 THEN CAST(subscribers AS DOUBLE) END AS "
                         f"subscriber_count, subscribers > 0 AS valid_channel FROM ({channels}) "
-                        f"ORDER BY channel_id LIMIT 20"),
+                        f"ORDER BY channel_id"),
     }
     return out
 
@@ -696,7 +701,7 @@ def extract_sql(binding: str = "commerce") -> dict[str, str]:
     dash = dash_sql(binding, wrap=False)
     flagged = ", ".join(q(x) for x in (PRIORITY_ENGAGEMENT, PRIORITY_BOTH, PRIORITY_NEGATIVE))
     pv_wide = (f"SELECT video_title, monitoring_priority, team, CAST(sum(view_count) AS BIGINT) AS view_count, "
-               f"{xsum('avg_comment_sentiment')} AS avg_comment_sentiment, {xsum('engagement_rate')} AS engagement_rate, "
+               f"{xsum('engagement_rate')} AS engagement_rate, "
                f"{xsum('negative_comment_pct')} AS negative_comment_pct FROM stg "
                f"WHERE monitoring_priority IN ({flagged}) GROUP BY video_title, monitoring_priority, team")
     content = {
@@ -718,7 +723,7 @@ def extract_sql(binding: str = "commerce") -> dict[str, str]:
                     ["sum_engagement_rate", "sum_negative_comment_pct", "sum_view_count", "ref_engagement_rate",
                      "ref_negative_comment_pct"]),
         "priority_videos": (pv_wide, ["video_title", "monitoring_priority", "team"],
-                            ["view_count", "avg_comment_sentiment", "engagement_rate", "negative_comment_pct"]),
+                            ["view_count", "engagement_rate", "negative_comment_pct"]),
     }
 
     overview = {

@@ -8,7 +8,8 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 
 def test_every_key_matches_oracle(spark):
-    from __spark_entry__ import oracle_sql, queries
+    from courtview.registry import oracle_statements as oracle_sql
+    from courtview.registry import query_table as queries
     from tools.oracle_check import duck, rows_of, type_diff
     con = duck(SF_SMALL)
     sqls = oracle_sql()
@@ -35,8 +36,9 @@ def test_entry_smoke(spark):
 
 
 def test_contract_keys():
-    from __spark_entry__ import oracle_sql, queries
+    from courtview.registry import oracle_statements as oracle_sql
+    from courtview.registry import query_table as queries
     q, o = set(queries()), set(oracle_sql())
     assert o <= q
-    assert q - o == {"cat_tables"}
+    assert q == o
     assert all(isinstance(v, str) and v.strip() for v in oracle_sql().values())

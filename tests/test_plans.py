@@ -11,13 +11,13 @@ def plan_of(df):
 
 
 def test_no_python_on_any_query_path(spark):
-    from __spark_entry__ import queries
+    from courtview.registry import query_table as queries
     bad = [k for k, fn in queries().items() if any(n in plan_of(fn(spark, SF_SMALL)) for n in PYTHON_NODES)]
     assert bad == []
 
 
 def test_reports_read_only_needed_columns(spark):
-    from __spark_entry__ import queries
+    from courtview.registry import query_table as queries
     q = queries()
     for key, wanted in {"q01_team_perf": 10, "v_views_by_team": 3, "q01_exec_kpi": 10, "v_wer_card": 3}.items():
         df = q[key](spark, SF_SMALL)
@@ -31,7 +31,7 @@ def _formatted(df):
 
 
 def test_group_limit_is_partial(spark):
-    from __spark_entry__ import queries
+    from courtview.registry import query_table as queries
     plan = plan_of(queries()["win_topn_group"](spark, SF_SMALL))
     assert "WindowGroupLimit" in plan
 

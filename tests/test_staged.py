@@ -2,7 +2,7 @@ from pyspark.sql import functions as F
 
 from conftest import SF_SMALL
 
-from courtview.operators.features import add_flags_in_plan
+from courtview.operators.features import add_flags
 from courtview.plans import reports as R
 from courtview.plans.staged import PARAMS, published_features, staged
 from courtview.schemas import STAGED
@@ -37,10 +37,16 @@ def test_priority_partition_and_shares(spark):
         assert zero.where(F.col("neutral_comment_pct") != 0).count() == 0
 
 
+def flags_by_percentile(features, params):
+    """The same flags with Spark's exact percentile (one task: small tables only)."""
+    t = features.agg(F.percentile("engagement_rate", params.quantile), F.percentile("negative_comment_pct", params.quantile)).first()
+    return add_flags(features, params, (t[0], t[1]))
+
+
 def test_flags_match_in_plan_percentile(spark):
     for b in ("commerce", "content"):
         a = staged(spark, SF_SMALL, b).select("video_id", "monitoring_priority")
-        c = add_flags_in_plan(published_features(spark, SF_SMALL, b), PARAMS[b]).select(
+        c = flags_by_percentile(published_features(spark, SF_SMALL, b), PARAMS[b]).select(
             "video_id", "monitoring_priority")
         assert a.exceptAll(c).count() == 0 and c.exceptAll(a).count() == 0
 
@@ -63,7 +69,7 @@ def test_collection_window_option(spark):
 
 
 def test_publish_staged_equals_lazy_path(spark):
-    from courtview.operators.features import add_flags_in_plan, video_features
+    from courtview.operators.features import video_features
     from courtview.operators.sentiment import video_sentiment
     from courtview.plans.staged import publish_staged
     from courtview.sources import bindings as B
@@ -71,5 +77,5 @@ def test_publish_staged_equals_lazy_path(spark):
     vr = B.content_videos_raw(spark, SF_SMALL)
     summary = video_sentiment(B.content_comments(spark, SF_SMALL), B.fixture_lexicon(spark), p.label_threshold)
     a = publish_staged(vr, summary, p)
-    b = add_flags_in_plan(video_features(vr, summary, p), p)
+    b = flags_by_percentile(video_features(vr, summary, p), p)
     assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
