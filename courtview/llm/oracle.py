@@ -3,13 +3,13 @@
 #: Every pair of a query and another row, scored in integers; ties to the smaller id.
 TOPK = """
 WITH v AS (
-  SELECT vec_id, list_transform(embedding, x -> CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS q, row_number() OVER () AS rid
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS q, row_number() OVER () AS rid
   FROM embeddings
   WHERE embedding IS NOT NULL AND vec_id IS NOT NULL
-    AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
 ), s AS (
   SELECT a.vec_id AS query_id, a.rid AS qrid, b.vec_id,
-         CAST(list_sum(list_transform(range(1, len(a.q) + 1), i -> a.q[i] * b.q[i])) AS BIGINT) AS score
+         CAST(list_sum(list_transform(range(1, len(a.q) + 1), lambda i: a.q[i] * b.q[i])) AS BIGINT) AS score
   FROM v a JOIN v b ON a.rid <> b.rid AND len(a.q) = len(b.q)
   WHERE a.vec_id % 50 = 0
 )
