@@ -30,7 +30,7 @@ def small_batches(spark: SparkSession) -> None:
 def write_scratch(df: DataFrame, name: str) -> tuple[DataFrame, str]:
     """``df`` written below the shared checkpoint folder and read back, with its path (see ``discard``)."""
     path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path), path
 
 
