@@ -62,42 +62,52 @@ class Canonical:
     """Canonical tokens of texts, with a bounded cache of words."""
 
     def __init__(self) -> None:
-        self.cache: dict[str, tuple[int, int]] = {}
-
-    def __call__(self, text: str) -> tuple[np.ndarray, np.ndarray]:
-        """(identifier, slot value or 0) of each canonical token."""
-        tokens = _TOKEN.findall(text)
-        cache = self.cache
-        if len(cache) > CACHED_WORDS:
-            cache.clear()
-        for t in set(tokens).difference(cache):
-            cache[t] = _describe(t)
-        if not tokens:
-            return np.zeros(0, np.uint64), np.zeros(0, np.uint64)
-        described = [cache[t] for t in tokens]
-        kinds = np.fromiter((d[0] for d in described), np.int8, len(tokens))
-        values = np.fromiter((d[1] for d in described), np.uint64, len(tokens))
+        self.clear()
+
+    def clear(self) -> None:
+        self.places: dict[str, int] = {}
+        self.kinds = np.zeros(1024, np.int8)
+        self.values = np.zeros(1024, np.uint64)
+
+    def learn(self, tokens: set[str]) -> None:
+        if len(self.places) + len(tokens) > CACHED_WORDS:
+            self.clear()
+        while len(self.places) + len(tokens) > len(self.kinds):
+            self.kinds, self.values = np.concatenate((self.kinds, self.kinds)), np.concatenate((self.values, self.values))
+        for t in tokens:
+            at = self.places[t] = len(self.places)
+            self.kinds[at], self.values[at] = _describe(t)
+
+    def __call__(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(identifier, slot value or 0, number of the text) of each canonical token of the texts."""
+        tokens, sizes = [], []
+        for text in texts:
+            found = _TOKEN.findall(text)
+            found.append("\n")  # texts end sentences
+            tokens += found
+            sizes.append(len(found))
+        if new := set(tokens).difference(self.places):
+            self.learn(new if len(self.places) + len(new) <= CACHED_WORDS else set(tokens))
+        at = np.fromiter(map(self.places.__getitem__, tokens), np.int64, len(tokens))
+        kinds, values, owner = self.kinds[at], self.values[at], np.repeat(np.arange(len(texts)), sizes)
         before = np.concatenate(([_END], kinds[:-1]))
         kinds = np.where((kinds == _NAME) & (before == _END), _WORD, kinds)
         kinds = np.where((kinds == _UNIT) & (before != _NUMBER), _WORD, kinds)
         keep = kinds != _END
-        kinds, values = kinds[keep], values[keep]
-        if not len(kinds):
-            return np.zeros(0, np.uint64), np.zeros(0, np.uint64)
-        run = (kinds == _NAME) & np.concatenate(([False], kinds[:-1] == _NAME))  # further words of a name
+        kinds, values, owner = kinds[keep], values[keep], owner[keep]
+        run = (kinds == _NAME) & np.concatenate(([False], kinds[:-1] == _NAME))[:len(kinds)]  # further words of a name
         if run.any():
             first = np.flatnonzero(~run)
-            mixed = np.where(run, values * _K[1] + _K[2], values)
-            values = np.add.reduceat(mixed, first)
-            kinds = kinds[first]
+            values = np.add.reduceat(np.where(run, values * _K[1] + _K[2], values), first)
+            kinds, owner = kinds[first], owner[first]
         ids = values.copy()
         for kind, slot in _SLOT.items():
             ids[kinds == kind] = slot
-        return ids, np.where(kinds == _WORD, np.uint64(0), values)
+        return ids, np.where(kinds == _WORD, np.uint64(0), values), owner
 
 
-def windows(ids: np.ndarray, slots: np.ndarray, width: int, min_words: int) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of the windows of ``width`` tokens that have ``min_words`` plain words, and their positions."""
+def windows(ids: np.ndarray, slots: np.ndarray, owner: np.ndarray, width: int, min_words: int) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the windows of ``width`` tokens of one text that have ``min_words`` plain words, and their positions."""
     n = len(ids) - width + 1
     if n <= 0:
         return np.zeros(0, np.uint64), np.zeros(0, np.int64)
@@ -106,7 +116,7 @@ def windows(ids: np.ndarray, slots: np.ndarray, width: int, min_words: int) -> t
         h = (h ^ ids[i:i + n]) * _K[i % 5]
         h ^= h >> np.uint64(31)
     plain = np.concatenate(([0], np.cumsum(slots == 0)))
-    at = np.flatnonzero(plain[width:] - plain[:-width] >= min(min_words, width))
+    at = np.flatnonzero((plain[width:] - plain[:-width] >= min(min_words, width)) & (owner[:n] == owner[width - 1:]))
     return h[at], at
 
 
@@ -115,11 +125,11 @@ def _item_windows(width: int, min_words: int):
         canonical = Canonical()
         for batch in batches:
             for key, text in zip(batch.column("item").to_pylist(), batch.column("text").to_pylist(), strict=True):
-                ids, slots = canonical(text)
+                ids, slots, owner = canonical([text])
                 size = min(width, len(ids))
                 if not size:
                     continue
-                h, at = windows(ids, slots, size, min_words)
+                h, at = windows(ids, slots, owner, size, min_words)
                 values = [slots[p:p + size].view(np.int64).tolist() if slots[p:p + size].any() else None for p in at]
                 yield pa.RecordBatch.from_arrays([pa.array([key] * len(h), pa.binary()), pa.array(h.view(np.int64)), pa.array(at, pa.int64()), pa.array(values, _VALUES),
                                                   pa.array(np.full(len(h), size, np.int32))], names=["item", "hash", "at", "slots", "size"])
@@ -127,6 +137,16 @@ def _item_windows(width: int, min_words: int):
     return run
 
 
+def _groups(texts: list[str], chars: int = 1 << 17) -> Iterator[slice]:
+    """Runs of texts of about ``chars`` characters, which are taken apart together."""
+    first = size = 0
+    for i, t in enumerate(texts):
+        size += len(t)
+        if size >= chars or i == len(texts) - 1:
+            yield slice(first, i + 1)
+            first, size = i + 1, 0
+
+
 def _text_windows(widths: list[int], min_words: int, bitmap: np.ndarray):
     mask = np.uint64((1 << BITMAP_BITS) - 1)
 
@@ -137,18 +157,18 @@ def _text_windows(widths: list[int], min_words: int, bitmap: np.ndarray):
             keys = batch.column("key")
             ids_col = batch.column("doc_id")
             rows, hashes, places, values = [], [], [], []
-            for i, text in enumerate(batch.column("text").to_pylist()):
-                if not text:
-                    continue
-                ids, slots = canonical(text)
+            texts = batch.column("text").to_pylist()
+            for group in _groups(texts):
+                ids, slots, owner = canonical(texts[group])
+                start = np.searchsorted(owner, np.arange(group.stop - group.start))
                 for width in widths:
-                    h, at = windows(ids, slots, width, min_words)
+                    h, at = windows(ids, slots, owner, width, min_words)
                     hit = known[(h & mask).astype(np.int64)]
                     if hit.any():
                         h, at = h[hit], at[hit]
-                        rows += [i] * len(h)
+                        rows += (owner[at] + group.start).tolist()
                         hashes.append(h)
-                        places.append(at)
+                        places.append(at - start[owner[at]])
                         values += [slots[p:p + width].view(np.int64).tolist() if slots[p:p + width].any() else None for p in at]
             if rows:
                 owner = pa.array(rows, pa.int64())
