@@ -216,6 +216,7 @@ def keep_one(docs: DataFrame, words: int = 3, max_bits: int = 2, bucket_limit: i
     per_fp = narrow.groupBy("fp").agg(F.min(place).alias("first"))
     kept = per_fp.join(roots, "fp").groupBy("root").agg(F.min("first").alias("first")).select(F.col("first.__row").alias("__kept"))
     chosen, _ = write_scratch(kept, "simhash-kept")
+    chosen = chosen.hint("merge")  # the same plan at every size: rows by id, in one shuffle that can be split
     return marked.join(chosen, F.col("__row") == F.col("__kept"), "left_semi").select(*docs.columns)
 
 
