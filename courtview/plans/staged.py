@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from courtview.operators.features import add_flags, flag_thresholds, video_features
 from courtview.operators.sentiment import video_sentiment
 from courtview.params import COMMERCE_PARAMS, CONTENT_PARAMS, Params
-from courtview.session import configure, materialize
+from courtview.session import configure, input_state, materialize
 from courtview.sources import bindings
 
 PARAMS = {"content": CONTENT_PARAMS, "commerce": COMMERCE_PARAMS}
@@ -60,14 +60,14 @@ def build_staged(spark: SparkSession, sf_dir: str, binding: str, params: Params
 
 def _entry(spark: SparkSession, sf_dir: str, binding: str, params: Params | None) -> tuple:
     params = params or PARAMS[binding]
-    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), binding, params)
+    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), input_state(spark, sf_dir), binding, params)
     if key not in _published:
         _published[key] = build_staged(spark, sf_dir, binding, params)
     return _published[key]
 
 
 def staged(spark: SparkSession, sf_dir: str, binding: str = "commerce", params: Params | None = None) -> DataFrame:
-    """The staged table, built once per (application, input folder, binding, params)."""
+    """The staged table, built once per (application, state of the input folder, binding, params)."""
     return _entry(spark, sf_dir, binding, params)[0]
 
 
@@ -84,13 +84,13 @@ _raw_published: dict[tuple, DataFrame] = {}
 
 
 def raw_videos(spark: SparkSession, sf_dir: str, binding: str = "commerce") -> DataFrame:
-    """The collected-videos table (base metadata + statistics), published once per application.
+    """The collected-videos table (base metadata + statistics), published once per application and state of the input.
 
     Like the reference's collection step, which writes this table for the later
     steps to read; queries over it no longer repeat the joins and the line-item pass.
     """
     configure(spark)
-    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), binding)
+    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), input_state(spark, sf_dir), binding)
     if key not in _raw_published:
         if binding == "content":
             df = bindings.content_videos_raw(spark, sf_dir)

@@ -73,27 +73,58 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as Parquet into the shared folder and read it back.
 
     Cuts lineage the way a published table does: a lost executor re-reads files
-    instead of recomputing the whole upstream plan.
+    instead of recomputing the whole upstream plan. The copy lasts as long as the application.
     """
     spark = df.sparkSession
     path = scratch_path(spark, name)
     df.write.mode("overwrite").parquet(path)
+    delete_at_exit(spark, path)
     return spark.read.parquet(path)
 
 
+def delete_at_exit(spark: SparkSession, path: str) -> None:
+    """Have the driver's file system delete an existing scratch path when the application ends."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(p)
+
+
+def input_state(spark: SparkSession, folder: str) -> tuple:
+    """Names, sizes, file counts and modification times of the tables in ``folder``: a few numbers for each table.
+
+    Cached copies are keyed on it, so rewritten input is read anew.
+    """
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    path = jvm.org.apache.hadoop.fs.Path(folder)
+    fs = path.getFileSystem(conf)
+    state = []
+    for entry in fs.listStatus(path):
+        total = fs.getContentSummary(entry.getPath())
+        state.append((entry.getPath().getName(), total.getLength(), total.getFileCount(), entry.getModificationTime()))
+    return tuple(sorted(state))
+
+
+#: Most blocks that one shuffle may have (map tasks times reducers).
+MAX_SHUFFLE_BLOCKS = 2_000_000_000
+
+
 def cluster_conf(input_bytes: int, executors: int, cores_per_executor: int,
-                 target_partition_bytes: int = 256 * 1024 * 1024) -> dict[str, str]:
+                 target_partition_bytes: int = 256 * 1024 * 1024, exchange_bytes: int | None = None) -> dict[str, str]:
     """Settings for a cluster run sized to the input.
 
-    * scan splits of ~128 MB, so each task reads one split and its working set fits in executor memory;
-    * initial shuffle partitions so each reducer gets ~``target_partition_bytes`` of the largest exchange
-      (bounded below by 3 waves of the cluster's cores); AQE then coalesces small ones and splits skewed ones;
+    * scan splits of 128 MB, larger (up to 1 GB) where that would make more than a dozen waves of map tasks;
+    * shuffle partitions from ``exchange_bytes``, what the largest exchange carries after pruning and map-side
+      aggregation (a tenth of the input unless given): ``target_partition_bytes`` each, at least 3 waves of the
+      cluster's cores, but no more than ``MAX_SHUFFLE_BLOCKS`` blocks allow (then at least one wave);
     * broadcast threshold kept small: large sides are broadcast only by the library's proven-size hints.
     """
     cores = max(1, executors * cores_per_executor)
-    shuffle_partitions = max(3 * cores, -(-input_bytes // target_partition_bytes))
+    split = min(1 << 30, max(128 << 20, input_bytes // (12 * cores)))
+    map_tasks = max(1, -(-input_bytes // split))
+    carried = input_bytes // 10 if exchange_bytes is None else exchange_bytes
+    wanted = max(3 * cores, -(-carried // target_partition_bytes))
+    shuffle_partitions = max(cores, min(wanted, MAX_SHUFFLE_BLOCKS // map_tasks))
     return {
-        "spark.sql.files.maxPartitionBytes": str(128 * 1024 * 1024),
+        "spark.sql.files.maxPartitionBytes": str(split),
         "spark.sql.shuffle.partitions": str(shuffle_partitions),
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",

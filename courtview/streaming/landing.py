@@ -12,6 +12,7 @@ folder).
 
 from __future__ import annotations
 
+import hashlib
 import os
 
 from pyspark.sql import DataFrame, SparkSession
@@ -40,8 +41,9 @@ def stream_payload_rows(spark: SparkSession, folder: str, kind: str,
 
 
 def land(spark: SparkSession, folder: str, kind: str, out_path: str, name: str | None = None) -> int:
-    """Append the rows of documents not yet landed to ``out_path`` (Parquet); returns rows written."""
-    name = name or f"landing-{kind}"
+    """Append the rows of documents not yet landed to ``out_path`` (Parquet); returns the documents read in the last
+    100 batches (what Spark keeps of a query's progress).  Each pair of folders has a checkpoint of its own."""
+    name = name or f"landing-{kind}-{hashlib.sha256(f'{folder}|{out_path}'.encode()).hexdigest()[:16]}"
     ckpt = os.path.join(checkpoint_dir(spark), "streams", name)
     q = (stream_payload_rows(spark, folder, kind).writeStream
          .format("parquet").option("path", out_path).option("checkpointLocation", ckpt)

@@ -143,7 +143,11 @@ def test_clean_name():
 def test_cluster_conf_sizes_partitions():
     from courtview.session import cluster_conf
     big = cluster_conf(100 * 1024 ** 4, executors=1000, cores_per_executor=8)
-    assert int(big["spark.sql.shuffle.partitions"]) == 409600          # ~256 MB per reducer
+    splits = 100 * 1024 ** 4 // int(big["spark.sql.files.maxPartitionBytes"])
+    assert 8000 <= int(big["spark.sql.shuffle.partitions"]) <= 24000    # 1 to 3 waves of cores
+    assert splits * int(big["spark.sql.shuffle.partitions"]) <= 2_000_000_000
+    wide = cluster_conf(10 * 1024 ** 4, executors=100, cores_per_executor=8, exchange_bytes=2 * 1024 ** 4)
+    assert int(wide["spark.sql.shuffle.partitions"]) == 8192             # 256 MB per reducer
     small = cluster_conf(10 * 1024 ** 2, executors=2, cores_per_executor=4)
     assert int(small["spark.sql.shuffle.partitions"]) == 24              # at least 3 waves of cores
     assert big["spark.sql.adaptive.skewJoin.enabled"] == "true"
