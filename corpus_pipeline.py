@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from courtview.llm import benchmark_decontam, mixing, quality_gam, sharding, simhash_dedup
-from courtview.llm.common import read_table, write_scratch
+from courtview.llm.common import discard, read_table, scratch_scope, write_scratch
 from courtview.session import configure
 
 
@@ -47,8 +47,13 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The last stage's rows. Only their table stays: a stage's input and intermediate tables go once its output is written."""
     configure(spark)
-    docs = read_table(spark, sf_dir, "documents")
+    docs, before = read_table(spark, sf_dir, "documents"), []
     for name, stage in STAGES:
-        docs, _ = write_scratch(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        with scratch_scope(spark) as scratch:
+            docs, path = write_scratch(stage(spark, docs, sf_dir), f"pipeline-{name}")
+            scratch.remove(path)
+        discard(spark, *before)
+        before = [path]
     return docs

@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from courtview.session import checkpoint_dir, materialize, scratch_path
+from courtview.session import checkpoint_dir, delete_at_exit, materialize, scratch_path
 
 __all__ = ["checkpoint_dir", "materialize", "scratch_path", "text_key", "read_table", "discard", "small_batches",
-           "ordered_positions", "write_scratch"]
+           "ordered_positions", "scratch_scope", "write_scratch"]
 
 ARROW_ROWS = "512"
 
@@ -27,13 +30,34 @@ def small_batches(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", ARROW_ROWS)
 
 
+_open_scopes: list[list[str]] = []
+
+
 def write_scratch(df: DataFrame, name: str) -> tuple[DataFrame, str]:
-    """``df`` written below the shared checkpoint folder and read back, with its path (see ``discard``)."""
+    """``df`` written below the shared checkpoint folder and read back, with its path (see ``discard``).
+
+    It lasts as long as the application, or the ``scratch_scope`` it is written in.
+    """
     path = scratch_path(df.sparkSession, name)
     df.write.option("compression", "zstd").parquet(path)
+    delete_at_exit(df.sparkSession, path)
+    if _open_scopes:
+        _open_scopes[-1].append(path)
     return df.sparkSession.read.schema(df.schema).parquet(path), path
 
 
+@contextmanager
+def scratch_scope(spark: SparkSession) -> Iterator[list[str]]:
+    """The paths that ``write_scratch`` writes meanwhile; those still in the list at the end are deleted."""
+    paths: list[str] = []
+    _open_scopes.append(paths)
+    try:
+        yield paths
+    finally:
+        _open_scopes.remove(paths)
+        discard(spark, *paths)
+
+
 def discard(spark: SparkSession, *paths: str) -> None:
     """Delete written intermediate tables that no later step reads."""
     jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()

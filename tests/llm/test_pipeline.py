@@ -36,6 +36,16 @@ def test_stages(spark):
         before = after if name != "mix" else before
 
 
+def test_run_leaves_only_its_result(spark):
+    import corpus_pipeline as P
+    from courtview.llm.common import checkpoint_dir
+    folder = checkpoint_dir(spark).removeprefix("file:")
+    had = set(os.listdir(folder))
+    rows = P.run(spark, SF_SMALL).collect()
+    left = set(os.listdir(folder)) - had
+    assert rows and len(left) == 1 and left.pop().startswith("pipeline-shard-")
+
+
 def test_registered():
     import __spark_entry__ as entry
     names = set(entry.queries())
