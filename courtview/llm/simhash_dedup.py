@@ -197,8 +197,7 @@ def simhash_components(docs: DataFrame, words: int = 3, max_bits: int = 2, id_co
 def component_roots(distinct: DataFrame, max_bits: int, bucket_limit: int) -> DataFrame:
     """(fp, root) of each distinct fingerprint; one without links is its own root."""
     fps, _ = write_scratch(distinct, "simhash-fps")
-    links, _ = write_scratch(fingerprint_links(fps, max_bits, bucket_limit), "simhash-links")
-    roots, _ = write_scratch(connected_components(links, "simhash"), "simhash-roots")
+    roots = connected_components(fingerprint_links(fps, max_bits, bucket_limit), "simhash")  # over a written table
     return fps.join(roots, F.col("fp") == F.col("node"), "left").select("fp", F.coalesce("root", "fp").alias("root"))
 
 

@@ -4,6 +4,7 @@ import base64
 import hashlib
 import json
 import os
+import random
 import sys
 from collections import Counter, defaultdict
 
@@ -90,6 +91,30 @@ def test_mixing(spark, edge_docs, edge_rows, no_docs):
     assert mixing.mix_sources(no_docs).count() == 0
 
 
+def test_components_of_chains_hubs_and_rings(spark):
+    from courtview.llm.components import connected_components
+    rng = random.Random(3)
+    chain = [(i, i + 1) for i in range(100, 160)]
+    hub = [(1000, n) for n in range(1001, 1080)] + [(2000, n) for n in range(1050, 1060)]
+    ring = [(-i, -(i % 30) - 1) for i in range(1, 31)]
+    loose = [(rng.randrange(3000, 3100), rng.randrange(3000, 3100)) for _ in range(70)]
+    links = chain + hub + ring + loose + [(7, 7), (8, 9), (9, 8)]
+    parent = {n: n for pair in links for n in pair}
+
+    def find(n):
+        while parent[n] != n:
+            n = parent[n]
+        return n
+
+    for a, b in links:
+        x, y = sorted((find(a), find(b)))
+        parent[y] = x
+    wanted = {n: find(n) for n in parent if any(n in p and p[0] != p[1] for p in links)}
+    got = connected_components(spark.createDataFrame(links, "a long, b long")).collect()
+    assert len(got) == len(wanted) and {r["node"]: r["root"] for r in got} == wanted
+    assert connected_components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
 def test_water_filling_clamps_in_rounds(spark):
     sizes = {"a": 1000, "b": 1, "c": 10, "d": 100, "e": 0, None: 5}
     got = {r.source: r.target for r in mixing.source_targets(spark.createDataFrame(list(sizes.items()), "source string, source_size long")).collect()}
