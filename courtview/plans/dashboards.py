@@ -168,16 +168,23 @@ FLAGGED = (PRIORITY_ENGAGEMENT, PRIORITY_BOTH, PRIORITY_NEGATIVE)
 PRIORITY_VIDEO_MEASURES = ("view_count", "engagement_rate", "negative_comment_pct")
 
 
+def title_digest() -> F.Column:
+    """The grouping key of a title: 32 bytes, however long the title is."""
+    return F.unhex(F.sha2(F.col("video_title").cast("binary"), 256))
+
+
 def priority_videos_wide(stg: DataFrame) -> DataFrame:
     """Title x priority x team for the flagged priorities; SUM of three measures.
 
-    Grouping is by title (as the sheet does), so same-title videos of one team merge.
+    Grouping is by title (as the sheet does), so same-title videos of one team merge; the exchange deals by the
+    title's digest, never by a whole text.
     """
     return (stg.where(F.col("monitoring_priority").isin(*FLAGGED))
-            .groupBy("video_title", "monitoring_priority", "team").agg(
-                F.sum("view_count").alias("view_count"),
+            .groupBy(title_digest().alias("_title"), "monitoring_priority", "team").agg(
+                F.any_value("video_title").alias("video_title"), F.sum("view_count").alias("view_count"),
                 sheet_sum("engagement_rate").alias("engagement_rate"),
-                sheet_sum("negative_comment_pct").alias("negative_comment_pct")))
+                sheet_sum("negative_comment_pct").alias("negative_comment_pct"))
+            .select("video_title", "monitoring_priority", "team", *PRIORITY_VIDEO_MEASURES))
 
 
 def v_priority_videos(stg: DataFrame) -> DataFrame:
@@ -199,16 +206,29 @@ def v_scatter(stg: DataFrame) -> DataFrame:
                                    "ref_negative_comment_pct": "sum_negative_comment_pct"})
 
 
+def _top_titles(stg: DataFrame, n: int) -> DataFrame:
+    """(_title, video_title) of the n titles with the largest SUM(view_count), title as tiebreak.
+
+    Views are summed by digest; texts are read for the titles that reach the n-th largest sum only.
+    """
+    sums = stg.groupBy(title_digest().alias("_title")).agg(F.sum("view_count").alias("_tv"))
+    cut = sums.orderBy(F.desc_nulls_last("_tv")).limit(n).agg(F.min("_tv").alias("_least"), F.count_if(F.col("_tv").isNull()).alias("_missing"))
+    reached = sums.join(F.broadcast(cut), (F.col("_missing") > 0) | (F.col("_tv") >= F.col("_least"))).select("_title", "_tv")  # one row
+    texts = stg.select(title_digest().alias("_text_title"), "video_title")
+    named = texts.join(reached, F.col("_text_title").eqNullSafe(F.col("_title"))).groupBy("_title").agg(
+        F.any_value("video_title").alias("video_title"), F.any_value("_tv").alias("_tv"))
+    return named.orderBy(F.desc_nulls_last("_tv"), F.asc_nulls_last("video_title")).limit(n).select("_title", "video_title")
+
+
 def top_titles(stg: DataFrame, n: int) -> DataFrame:
     """The n titles with the largest SUM(view_count) (title as tiebreak)."""
-    return (stg.groupBy("video_title").agg(F.sum("view_count").alias("_tv"))
-            .orderBy(F.desc_nulls_last("_tv"), F.asc_nulls_last("video_title")).limit(n).select("video_title"))
+    return _top_titles(stg, n).select("video_title")
 
 
 def v_top_videos(stg: DataFrame, params: Params) -> DataFrame:
     """Top-N titles (filter evaluated before the row grouping), then title x team measures."""
-    top = F.broadcast(top_titles(stg, params.top_titles))  # at most top_titles rows
-    kept = stg.join(top, "video_title", "left_semi")
+    top = F.broadcast(_top_titles(stg, params.top_titles))  # at most top_titles rows
+    kept = stg.withColumn("_title", title_digest()).drop("video_title").join(top, "_title")
     return (kept.groupBy("video_title", "team").agg(
         F.sum("view_count").alias("total_views"), wer().alias("weighted_engagement_rate"),
         sheet_sum("negative_comment_pct").alias("sum_negative_comment_pct"),
@@ -217,23 +237,20 @@ def v_top_videos(stg: DataFrame, params: Params) -> DataFrame:
 
 
 # ---------------------------------------------------------------------------
-# dashboards: bundles of sheets over one persisted staged table
+# dashboards: bundles of sheets over the published staged table
 # ---------------------------------------------------------------------------
 def d_content(stg: DataFrame) -> dict[str, DataFrame]:
-    stg = stg.persist()
     return {"views_by_type": v_views_by_type(stg), "sentiment_mix": v_sentiment_mix(stg),
             "views_by_theme": v_views_by_theme(stg), "discussion_by_type": v_discussion_by_type(stg),
             "wer_by_type": v_wer_by_type(stg)}
 
 
 def d_monitoring(stg: DataFrame) -> dict[str, DataFrame]:
-    stg = stg.persist()
     return {"priority_breakdown": v_priority_breakdown(stg), "neg_by_team": v_neg_by_team(stg),
             "scatter": v_scatter(stg), "priority_videos": v_priority_videos(stg)}
 
 
 def d_overview(stg: DataFrame) -> dict[str, DataFrame]:
-    stg = stg.persist()
     return {"avg_sentiment": v_avg_sentiment(stg), "neg_card": v_neg_card(stg),
             "engagements_card": v_engagements_card(stg), "views_card": v_views_card(stg),
             "wer_card": v_wer_card(stg), "views_by_team": v_views_by_team(stg),
@@ -241,15 +258,8 @@ def d_overview(stg: DataFrame) -> dict[str, DataFrame]:
 
 
 # ---------------------------------------------------------------------------
-# dashboard extracts: every numeric mark of a dashboard's sheets in one long table
+# dashboard extracts: every mark of a dashboard's sheets in one long table
 # ---------------------------------------------------------------------------
-CONTENT_SHEETS = {  # sheet -> (builder, dimension columns)
-    "views_by_type": (v_views_by_type, ["content_type"]),
-    "sentiment_mix": (v_sentiment_mix, ["content_type"]),
-    "views_by_theme": (v_views_by_theme, ["message_theme"]),
-    "discussion_by_type": (v_discussion_by_type, ["content_type"]),
-    "wer_by_type": (v_wer_by_type, ["content_type"]),
-}
 MONITORING_SHEETS = {
     "priority_breakdown": (v_priority_breakdown, ["monitoring_priority_short", "monitoring_priority"]),
     "neg_by_team": (v_neg_by_team, ["team"]),
@@ -257,17 +267,7 @@ MONITORING_SHEETS = {
     "priority_videos": (priority_videos_wide, ["video_title", "monitoring_priority", "team"]),
 }
 
-
-OVERVIEW_SHEETS = {
-    "avg_sentiment": (v_avg_sentiment, []),
-    "neg_card": (v_neg_card, []),
-    "engagements_card": (v_engagements_card, []),
-    "views_card": (v_views_card, []),
-    "wer_card": (v_wer_card, []),
-    "views_by_team": (v_views_by_team, ["team"]),
-    "wer_by_team": (v_wer_by_team, ["team"]),
-    "views_by_day": (v_views_by_day, ["published_day"]),
-}
+TEXT_MARKS = {"views_by_type": ["attr_content_type"], "scatter": ["attr_video_title", "attr_team"]}
 
 
 def sheet_measures(df: DataFrame, dims: list[str]) -> list[str]:
@@ -275,29 +275,46 @@ def sheet_measures(df: DataFrame, dims: list[str]) -> list[str]:
     return [f.name for f in df.schema.fields if f.name not in dims and isinstance(f.dataType, NumericType)]
 
 
-def dashboard_extract(stg: DataFrame, sheets: dict) -> DataFrame:
-    """(sheet, mark, measure_name, measure_value) for every numeric measure of every sheet.
+def long_marks(df: DataFrame, dims: list[str], sheets: dict[str, tuple[list[str], list[str]]]) -> DataFrame:
+    """(sheet, mark, measure_name, measure_value, measure_text) of all ``sheets``, which share the marks of ``df``.
 
-    ``mark`` joins the sheet's dimension values with ``|``.  Each sheet is its own
-    aggregate over the staged table; the union only stacks their (small) results.
+    ``sheets``: name to its numeric measures and its text marks; ``mark`` joins the dimension values with ``|``.
     """
-    parts = []
+    mark = F.concat_ws("|", *[F.coalesce(F.col(d).cast("string"), F.lit("")) for d in dims]) if dims else F.lit("")
+    number = lambda sheet, m: F.struct(F.lit(sheet).alias("sheet"), F.lit(m).alias("measure_name"),
+                                       F.col(m).cast("double").alias("measure_value"), F.lit(None).cast("string").alias("measure_text"))
+    text = lambda sheet, m: F.struct(F.lit(sheet).alias("sheet"), F.lit(m).alias("measure_name"),
+                                     F.lit(None).cast("double").alias("measure_value"), F.col(m).alias("measure_text"))
+    marks = [number(name, m) for name, (numbers, _) in sheets.items() for m in numbers] + \
+        [text(name, m) for name, (_, texts) in sheets.items() for m in texts]
+    return df.select(mark.alias("mark"), F.inline(F.array(*marks))).select("sheet", "mark", "measure_name", "measure_value", "measure_text")
+
+
+def dashboard_extract(stg: DataFrame, sheets: dict) -> DataFrame:
+    """Every measure and text mark of every sheet; each sheet is its own aggregate over the staged table."""
+    out = None
     for name, (build, dims) in sheets.items():
         df = build(stg)
-        measures = sheet_measures(df, dims)
-        mark = (F.concat_ws("|", *[F.coalesce(F.col(d).cast("string"), F.lit("")) for d in dims]) if dims
-                else F.lit(""))
-        wide = df.select(F.lit(name).alias("sheet"), mark.alias("mark"),
-                         *[F.col(m).cast("double").alias(m) for m in measures])
-        parts.append(wide.unpivot(["sheet", "mark"], measures, "measure_name", "measure_value"))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
+        part = long_marks(df, dims, {name: (sheet_measures(df, dims), TEXT_MARKS.get(name, []))})
+        out = part if out is None else out.unionByName(part)
     return out
 
 
 def d_content_extract(stg: DataFrame) -> DataFrame:
-    return dashboard_extract(stg, CONTENT_SHEETS)
+    """Four sheets share the content types: one aggregate serves them, another one the themes."""
+    types = stg.groupBy("content_type").agg(
+        F.sum("view_count").alias("total_views"), F.count("video_id").alias("n_videos"), F.count("video_title").alias("n_titles"),
+        sheet_sum("avg_comment_sentiment").alias("sum_avg_comment_sentiment"), wer().alias("weighted_engagement_rate"),
+        sheet_mean("comments_per_1k_views").alias("avg_comments_per_1k_views"), attr("content_type").alias("attr_content_type"),
+        *[sheet_mean(c).alias(f"avg_{c}") for c in SHARES])
+    w = Window.partitionBy()  # over the handful of grouped marks only
+    types = types.select("*", *[bi(F.avg(f"avg_{c}").over(w)).alias(f"ref_{c}") for c in SHARES])
+    by_type = long_marks(types, ["content_type"], {
+        "views_by_type": (["total_views", "n_videos", "sum_avg_comment_sentiment", "weighted_engagement_rate"], ["attr_content_type"]),
+        "sentiment_mix": ([f"{a}_{c}" for a in ("avg", "ref") for c in SHARES], []),
+        "discussion_by_type": (["avg_comments_per_1k_views"], []),
+        "wer_by_type": (["weighted_engagement_rate", "total_views", "n_titles"], [])})
+    return by_type.unionByName(dashboard_extract(stg, {"views_by_theme": (v_views_by_theme, ["message_theme"])}))
 
 
 def d_monitoring_extract(stg: DataFrame) -> DataFrame:
@@ -305,4 +322,13 @@ def d_monitoring_extract(stg: DataFrame) -> DataFrame:
 
 
 def d_overview_extract(stg: DataFrame) -> DataFrame:
-    return dashboard_extract(stg, OVERVIEW_SHEETS)
+    """One aggregate for the five cards, one for the two team sheets, one for the days."""
+    cards = stg.agg(sheet_mean("avg_comment_sentiment").alias("avg_comment_sentiment"), sheet_mean("negative_comment_pct").alias("avg_negative_comment_pct"),
+                    F.sum("engagement_count").alias("total_engagements"), F.sum("view_count").alias("total_views"), wer().alias("weighted_engagement_rate"))
+    teams = stg.groupBy("team").agg(F.sum("view_count").alias("total_views"), wer().alias("weighted_engagement_rate"))
+    parts = [long_marks(cards, [], {"avg_sentiment": (["avg_comment_sentiment"], []), "neg_card": (["avg_negative_comment_pct"], []),
+                                    "engagements_card": (["total_engagements"], []), "views_card": (["total_views"], []),
+                                    "wer_card": (["weighted_engagement_rate"], [])}),
+             long_marks(teams, ["team"], {"views_by_team": (["total_views"], []), "wer_by_team": (["weighted_engagement_rate"], [])}),
+             dashboard_extract(stg, {"views_by_day": (v_views_by_day, ["published_day"])})]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])

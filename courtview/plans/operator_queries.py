@@ -4,15 +4,19 @@ bound driver tables (whole tables, whole texts) and returns a DataFrame.
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from courtview.functions.dates import date_parts, iso_text, parse_ts
-from courtview.functions.text import html_decode, lower, regex_detect, squish, strip_newlines
+from courtview.functions.text import html_decode, lower, regex_detect, rules_first_match, squish, strip_newlines
 from courtview.operators import shape
 from courtview.operators.skew import skew_split_join
 from courtview.operators.features import add_flags
 from courtview.operators.sentiment import label_counts, score_comments, video_sentiment
+from courtview.params import (REFERENCE_CONTENT_DEFAULT, REFERENCE_CONTENT_RULES, REFERENCE_THEME_DEFAULT,
+                              REFERENCE_THEME_RULES)
 from courtview.plans.dashboards import top_titles
 from courtview.plans.staged import PARAMS, published_features, raw_videos, staged, thresholds
 from courtview.schemas import STAGED_COLUMNS
@@ -107,6 +111,13 @@ def unnest_nested(spark: SparkSession, sf: str) -> DataFrame:
         "channel_id", "page", F.col("contentDetails.videoId").alias("video_id"))
 
 
+def json_event_props(spark: SparkSession, sf: str) -> DataFrame:
+    """The JSON column of the events, parsed with a schema: a missing or non-numeric leaf and bad JSON give NULL."""
+    ev = B.read_table(spark, sf, "events")
+    doc = F.from_json("props", "k string")
+    return ev.select("event_id", doc.getField("k").try_cast("bigint").alias("prop_k"))
+
+
 def set_union(spark: SparkSession, sf: str) -> DataFrame:
     """Text comments and scored comments stacked by name; missing columns become NULL."""
     text = B.content_comments(spark, sf).select("video_id", "comment_id", "comment_text")
@@ -121,6 +132,11 @@ BASE_COLUMNS = ("team", "team_abbreviation", "conference", "channel_id", "video_
                 "channel_title", "video_title", "video_description")
 
 
+def feat_windowed_build(spark: SparkSession, sf: str) -> DataFrame:
+    """The staged table in the reference's order: list cap, date window, newest per team, then statistics and features."""
+    return staged(spark, sf, C, replace(PARAMS[C], apply_collection_window=True)).select(*STAGED_COLUMNS)
+
+
 def win_topn_group(spark: SparkSession, sf: str) -> DataFrame:
     p = PARAMS[C]
     vr = raw_videos(spark, sf, C)
@@ -265,6 +281,14 @@ def fn_regex_detect(spark: SparkSession, sf: str) -> DataFrame:
                                               enumerate(rules, start=1)])
 
 
+def fn_reference_rules(spark: SparkSession, sf: str) -> DataFrame:
+    """The reference's own rule sets over whole documents."""
+    t = squish(lower("text"))
+    return _docs(spark, sf).select(
+        "doc_id", rules_first_match(t, None, REFERENCE_CONTENT_RULES, REFERENCE_CONTENT_DEFAULT).alias("content_type"),
+        rules_first_match(t, None, REFERENCE_THEME_RULES, REFERENCE_THEME_DEFAULT).alias("message_theme"))
+
+
 def fn_date_parts(spark: SparkSession, sf: str) -> DataFrame:
     ev = B.read_table(spark, sf, "events")
     ts = parse_ts(iso_text("ts"))
@@ -278,7 +302,8 @@ OPERATOR_QUERIES = {
     "snk_table": snk_table, "prj_clean_names": prj_clean_names,
     "json_channels": json_channels, "json_uploads_id": json_uploads_id, "json_channel_search": json_channel_search,
     "json_playlist_items": json_playlist_items, "json_video_stats": json_video_stats, "json_comments": json_comments,
-    "unnest_nested": unnest_nested, "set_union": set_union,
+    "unnest_nested": unnest_nested, "set_union": set_union, "json_event_props": json_event_props,
+    "feat_windowed_build": feat_windowed_build, "fn_reference_rules": fn_reference_rules,
     "win_topn_group": win_topn_group, "win_cap_group": win_cap_group, "flt_daterange": flt_daterange,
     "prj_id_batches": prj_id_batches, "flt_has_comments": flt_has_comments, "prj_distinct_ids": prj_distinct_ids,
     "join_video_stats": join_video_stats, "srt_topn_members": srt_topn_members,

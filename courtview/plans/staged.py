@@ -32,11 +32,12 @@ def binding_inputs(spark: SparkSession, sf_dir: str, binding: str, params: Param
     elif binding == "commerce":
         # statistics and sentiment come from one line-item aggregate, joined once
         rollup = bindings.commerce_line_rollup(spark, sf_dir, params.label_threshold)
-        videos = bindings.commerce_videos_raw(spark, sf_dir, rollup, keep_summary=True)
+        videos = bindings.commerce_videos_raw(spark, sf_dir, rollup, keep_summary=True,
+                                              window=params if params.apply_collection_window else None)
         summary = None
     else:
         raise ValueError(f"unknown binding {binding!r}")
-    if params.apply_collection_window:
+    if params.apply_collection_window and binding == "content":  # dates come from the joined statistics here
         from courtview.operators.shape import collection_window
         videos = collection_window(videos, params.start_date, params.as_of, params.list_cap, params.top_n_per_team)
     return videos, summary

@@ -20,8 +20,9 @@ from pyspark.sql import functions as F
 from courtview.functions.dates import iso_text
 from courtview.operators.broadcast import broadcast_if_bounded
 from courtview.operators.features import SUMMARY_COLUMNS
+from courtview.operators.shape import collection_window
 from courtview.operators.skew import skew_split_join
-from courtview.params import FIXTURE_LEXICON
+from courtview.params import FIXTURE_LEXICON, Params
 from courtview.schemas import LEXICON
 
 VIDEO_RAW_COLUMNS = (
@@ -118,11 +119,12 @@ def commerce_line_rollup(spark: SparkSession, sf_dir: str, threshold=Decimal("0.
 
 
 def commerce_videos_raw(spark: SparkSession, sf_dir: str, line_rollup: DataFrame | None = None,
-                        keep_summary: bool = False) -> DataFrame:
+                        keep_summary: bool = False, window: Params | None = None) -> DataFrame:
     """Orders with customer geography and line statistics.
 
     With ``keep_summary`` the per-order sentiment columns of the same line-item
-    aggregate ride along, so lineitem is aggregated and joined exactly once.
+    aggregate ride along, so lineitem is aggregated and joined exactly once. With ``window`` the collection
+    window's limits apply before the statistics are joined.
     """
     orders = read_table(spark, sf_dir, "orders").select(
         "o_orderkey", "o_custkey", "o_totalprice", "o_orderdate", "o_orderpriority")
@@ -131,18 +133,21 @@ def commerce_videos_raw(spark: SparkSession, sf_dir: str, line_rollup: DataFrame
     stats = rollup.select("video_id", "n_like", "n_comment", *(SUMMARY_COLUMNS if keep_summary else ()))
     # a customer may hold a large share of all orders: its orders join a broadcast of its one row
     j = (skew_split_join(orders, cust.withColumnRenamed("c_custkey", "o_custkey"), "o_custkey", "left")
-         .withColumn("video_id", F.col("o_orderkey").cast("string"))
-         .join(stats, "video_id", "left"))
+         .withColumns({"video_id": F.col("o_orderkey").cast("string"), "team": F.col("n_name"), "published_at": iso_text("o_orderdate"),
+                       "channel_id": F.concat(F.lit("CH-"), F.col("n_nationkey").cast("string"))}))
+    if window is not None:
+        j = collection_window(j, window.start_date, window.as_of, window.list_cap, window.top_n_per_team)
+    j = j.join(stats, "video_id", "left")
     k = F.col("o_orderkey")
     duration = F.when(k % 3 == 0, F.concat(F.lit("PT"), (k % 60).cast("string"), F.lit("S"))).otherwise(
         F.concat(F.lit("PT"), (F.lit(1) + k % 20).cast("string"), F.lit("M"), (k % 60).cast("string"), F.lit("S")))
     return j.select(
-        F.col("n_name").alias("team"),
+        F.col("team"),
         F.upper(F.substring("n_name", 1, 3)).alias("team_abbreviation"),
         F.col("r_name").alias("conference"),
-        F.concat(F.lit("CH-"), F.col("n_nationkey").cast("string")).alias("channel_id"),
+        F.col("channel_id"),
         F.col("video_id"),
-        iso_text("o_orderdate").alias("published_at"),
+        F.col("published_at"),
         F.col("n_name").alias("channel_title"),
         F.concat_ws(" ", F.col("c_mktsegment"), F.col("o_orderpriority")).alias("video_title"),
         F.col("c_name").alias("video_description"),

@@ -5,7 +5,7 @@ as landed JSON - one document per request - with explicit schemas.  Nested
 item lists are flattened with ``inline``/``posexplode``; leaf access is NULL-safe
 and numbers arrive as text, so they go through ``try_cast``.  The ``build_*``
 functions land such documents from the bound driver tables, in pages whose
-size is bounded by construction (page = unique integer key div page size).
+size is bounded by construction.
 """
 
 from __future__ import annotations
@@ -77,9 +77,13 @@ def channel_search(docs: DataFrame, max_results: int = 5) -> DataFrame:
 
 
 def playlist_items(docs: DataFrame, max_results: int = 100) -> DataFrame:
-    """All pages of each channel's upload list, in page then position order, first ``max_results`` kept."""
+    """Each channel's upload list up to its first empty page, in page then position order, first ``max_results`` kept."""
     from courtview.operators.shape import top_n_per_group
     p = parse(docs, PLAYLIST_PAGE).where(F.col("doc").isNotNull())
+    stops = p.groupBy(F.col("doc.channel_id").alias("_channel")).agg(
+        F.min(F.when(F.coalesce(F.size("doc.items"), F.lit(0)) <= 0, F.col("doc.page"))).alias("_empty"))
+    p = p.join(stops, F.col("doc.channel_id").eqNullSafe(F.col("_channel"))).where(
+        F.col("_empty").isNull() | (F.col("doc.page") < F.col("_empty")))
     ex = p.select(F.col("doc.channel_id").alias("channel_id"), F.col("doc.page").alias("page"),
                   F.posexplode("doc.items").alias("pos", "it"))
     kept = top_n_per_group(ex, ["channel_id"], [F.col("page"), F.col("pos")], max_results)
@@ -116,14 +120,21 @@ def comments(docs: DataFrame) -> DataFrame:
 
 # ---------------------------------------------------------------------------
 # landing documents from bound tables (fixtures that grow with the data)
-# Rows are numbered by a distributed global index in page order, and a page is
-# index div page size: no page can hold more than ``page_size`` items, whatever
-# the id format and however skewed the channels or videos are.
+# No page can hold more than ``page_size`` items, whatever the id format and however skewed the channels or videos
+# are. Where the order of the items matters (upload lists), narrow keys are numbered by a distributed global index and
+# a page is index div page size; elsewhere a page is a run of rows of one task, without any sort.
 # ---------------------------------------------------------------------------
-def _paged(df: DataFrame, order: list, page_size: int) -> DataFrame:
+def _paged(df: DataFrame, keys: list[str], order: list, page_size: int) -> DataFrame:
+    """``df`` with row_index and page; ``keys`` (the first one unique) are all that is sorted."""
     from courtview.operators.shape import with_global_index
-    idx = with_global_index(df, [F.col(c) if isinstance(c, str) else c for c in order])
-    return idx.withColumn("page", F.floor(F.col("row_index") / page_size))
+    idx = with_global_index(df.select(*keys), [F.col(c) if isinstance(c, str) else c for c in order])
+    numbered = idx.select(keys[0], "row_index", F.floor(F.col("row_index") / page_size).alias("page"))
+    return df.join(numbered, keys[0])
+
+
+def _runs(df: DataFrame, page_size: int) -> DataFrame:
+    """``df`` with ``page``: runs of ``page_size`` rows of one task."""
+    return df.withColumn("page", F.floor(F.monotonically_increasing_id() / page_size))
 
 
 def _sorted_items(item: F.Column, sort_key: F.Column) -> F.Column:
@@ -138,7 +149,7 @@ def build_stats_pages(videos_raw: DataFrame, page_size: int = 50) -> DataFrame:
                  F.col("like_count").cast("string").alias("likeCount"),
                  F.col("comment_count").cast("string").alias("commentCount")).alias("statistics"),
         F.struct(F.col("duration").alias("duration")).alias("contentDetails"))
-    g = _paged(videos_raw, ["video_id"], page_size).groupBy("page").agg(
+    g = _runs(videos_raw, page_size).groupBy("page").agg(
         _sorted_items(item, F.col("video_id")).alias("items"))
     return g.select(F.to_json(F.struct("items")).alias("json"))
 
@@ -151,7 +162,7 @@ def build_comment_pages(comments_df: DataFrame, page_size: int = 50) -> DataFram
                  F.col("comment_like_count").cast("string").alias("likeCount"),
                  F.col("comment_published_at").alias("publishedAt")).alias("snippet")
     ).alias("topLevelComment")).alias("snippet"))
-    g = _paged(comments_df, ["video_id", "comment_id"], page_size).groupBy("video_id", "page").agg(
+    g = _runs(comments_df, page_size).groupBy("video_id", "page").agg(
         _sorted_items(item, F.col("comment_id")).alias("items"))
     return g.select(F.to_json(F.struct("video_id", "items")).alias("json"))
 
@@ -186,7 +197,8 @@ def build_playlist_pages(videos_raw: DataFrame, page_size: int = 50) -> DataFram
         F.struct(F.col("video_id").alias("videoId"), F.col("published_at").alias("videoPublishedAt")).alias("contentDetails"),
         F.struct(F.col("channel_title").alias("channelTitle"), F.col("video_title").alias("title"),
                  F.col("video_description").alias("description")).alias("snippet"))
-    g = _paged(videos_raw, ["channel_id", parse_ts("published_at").desc_nulls_last(), "video_id"], page_size).groupBy(
+    g = _paged(videos_raw, ["video_id", "channel_id", "published_at"],
+               ["channel_id", parse_ts("published_at").desc_nulls_last(), "video_id"], page_size).groupBy(
         "channel_id", "page").agg(_sorted_items(item, F.col("row_index")).alias("items"))
     return g.select(F.to_json(F.struct("channel_id", "page", F.lit(None).cast("string").alias("nextPageToken"),
                                        "items")).alias("json"))

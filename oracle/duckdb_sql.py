@@ -11,7 +11,8 @@ from __future__ import annotations
 import html.entities
 
 from courtview.params import (COMMERCE_PARAMS, CONTENT_PARAMS, FIXTURE_LEXICON, PRIORITY_BOTH,
-                              PRIORITY_ENGAGEMENT, PRIORITY_NEGATIVE, PRIORITY_SHORT, PRIORITY_STANDARD, Params)
+                              PRIORITY_ENGAGEMENT, PRIORITY_NEGATIVE, PRIORITY_SHORT, PRIORITY_STANDARD, REFERENCE_CONTENT_DEFAULT,
+                              REFERENCE_CONTENT_RULES, REFERENCE_THEME_DEFAULT, REFERENCE_THEME_RULES, Params)
 
 ENTITY_RE = r"&(#[0-9]+|#[xX][0-9a-fA-F]+|[A-Za-z][A-Za-z0-9]*);"
 SQUISH_RE = r"[\t\n\f\r\p{Z}]+"
@@ -522,6 +523,17 @@ def operator_sql() -> dict[str, str]:
                           "CAST(NULL AS VARCHAR) AS comment_published_at FROM cm"),
         "unnest_nested": commerce + ("SELECT channel_id, CAST((row_number() OVER (ORDER BY channel_id, " + newest + ") - 1) "
                                      "// 50 AS BIGINT) AS page, video_id FROM vr"),
+        "json_event_props": "SELECT event_id, TRY_CAST(json_extract_string(TRY_CAST(props AS JSON), '$.k') AS BIGINT) AS prop_k FROM events",
+        "feat_windowed_build": ("WITH " + staged_ctes("commerce").replace(
+            "\nsumm AS (", f"""
+capped AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY channel_id ORDER BY {newest}) AS rn FROM vr) WHERE rn <= 100),
+win AS (SELECT * FROM capped WHERE CAST(strptime(published_at, '%Y-%m-%dT%H:%M:%SZ') AS DATE)
+        BETWEEN DATE '{cp.start_date}' AND DATE '{cp.as_of}'),
+vw AS (SELECT * EXCLUDE (rn, rn2) FROM (SELECT *, row_number() OVER (PARTITION BY team ORDER BY {newest}) AS rn2 FROM win) WHERE rn2 <= 20),
+summ AS (""", 1).replace("FROM vr v LEFT JOIN summ", "FROM vw v LEFT JOIN summ") + f"\nSELECT {', '.join(STAGED_COLUMNS)} FROM stg"),
+        "fn_reference_rules": (f"SELECT doc_id, {rules_case('t', None, REFERENCE_CONTENT_RULES, REFERENCE_CONTENT_DEFAULT)} AS content_type, "
+                               f"{rules_case('t', None, REFERENCE_THEME_RULES, REFERENCE_THEME_DEFAULT)} AS message_theme "
+                               f"FROM (SELECT doc_id, {squish('lower(text)')} AS t FROM documents)"),
         "set_union": ("SELECT CAST(conv_id AS VARCHAR) AS video_id, CAST(conv_id AS VARCHAR) || '-' || "
                       "CAST(turn AS VARCHAR) AS comment_id, text AS comment_text, "
                       "CAST(NULL AS DECIMAL(9,4)) AS sentiment_score FROM conversations UNION ALL "
@@ -744,7 +756,9 @@ def extract_sql(binding: str = "commerce") -> dict[str, str]:
                     if dims else "''")
             for m in measures:
                 parts.append(f"SELECT {q(name)} AS sheet, {mark} AS mark, {q(m)} AS measure_name, "
-                             f"CAST({m} AS DOUBLE) AS measure_value FROM ({sql}) s")
+                             f"CAST({m} AS DOUBLE) AS measure_value, CAST(NULL AS VARCHAR) AS measure_text FROM ({sql}) s")
+            for m in {"views_by_type": ["attr_content_type"], "scatter": ["attr_video_title", "attr_team"]}.get(name, []):
+                parts.append(f"SELECT {q(name)}, {mark}, {q(m)}, CAST(NULL AS DOUBLE), {m} FROM ({sql}) s")
         return on_stg(binding, "\nUNION ALL\n".join(parts))
 
     return {"d_content": build(content), "d_monitoring": build(monitoring), "d_overview": build(overview)}

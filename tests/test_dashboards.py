@@ -35,3 +35,20 @@ def test_top_videos_keep_only_top_titles(spark):
     got = D.v_top_videos(stg, PARAMS["content"]).collect()
     assert {r.video_title for r in got} == top and len(top) == PARAMS["content"].top_titles
     assert all(r.attr_video_title != "*" for r in D.v_scatter(stg).collect())
+
+
+def test_top_titles_with_ties_and_missing_titles(spark):
+    rows = [("b", 5), ("a", 5), ("c", 5), (None, 9), ("d", None), ("b", 1)]
+    df = spark.createDataFrame(rows, "video_title string, view_count long")
+    pick = lambda n: [r.video_title for r in D.top_titles(df, n).collect()]
+    assert pick(1) == [None]
+    assert pick(3) == [None, "b", "a"]
+    assert pick(9) == [None, "b", "a", "c", "d"]
+
+
+def test_extracts_carry_text_marks(spark):
+    stg = staged(spark, SF_SMALL, "commerce")
+    names = {(r.sheet, r.measure_name) for r in D.d_monitoring_extract(stg).where("measure_text is not null").select("sheet", "measure_name").distinct().collect()}
+    assert names == {("scatter", "attr_video_title"), ("scatter", "attr_team")}
+    types = D.d_content_extract(stg).where("measure_text is not null").collect()
+    assert {(r.sheet, r.measure_name) for r in types} == {("views_by_type", "attr_content_type")} and all(r.mark == r.measure_text for r in types)

@@ -35,3 +35,19 @@ def test_playlist_cap_in_page_order(spark):
         return '{"channel_id": "c", "page": %d, "items": [%s]}' % (p, items)
     d = docs(spark, page(1, ["d", "e"]), page(0, ["a", "b", "c"]))
     assert [r.video_id for r in P.playlist_items(d, 4).orderBy("video_id").collect()] == ["a", "b", "c", "d"]
+
+
+def test_playlist_stops_at_an_empty_page(spark):
+    item = '{"contentDetails": {"videoId": "%s"}}'
+    page = '{"channel_id": "c", "page": %d, "items": [%s]}'
+    d = docs(spark, page % (0, item % "a"), page % (1, ""), page % (2, item % "b"), '{"channel_id": "e", "page": 0, "items": []}')
+    assert [r.video_id for r in P.playlist_items(d).collect()] == ["a"]
+
+
+def test_comment_pages_hold_a_bounded_number(spark):
+    rows = [("hot", f"c{i}", "t", 1, None) for i in range(230)] + [("v", None, "t", 1, None)]
+    c = spark.createDataFrame(rows, "video_id string, comment_id string, comment_text string, comment_like_count long, comment_published_at string")
+    pages = P.build_comment_pages(c, 50)
+    assert pages.count() >= 6
+    assert max(len(P.parse(docs(spark, r.json), P.COMMENTS_PAGE).first().doc["items"]) for r in pages.collect()) <= 50
+    assert sorted(map(str, (r.comment_id for r in P.comments(pages).collect()))) == sorted(str(r[1]) for r in rows)

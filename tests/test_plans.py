@@ -36,6 +36,23 @@ def test_group_limit_is_partial(spark):
     assert "WindowGroupLimit" in plan
 
 
+def test_landed_pages_need_no_sort_of_full_rows(spark):
+    from courtview.registry import query_table as queries
+    for key in ("json_video_stats", "json_comments"):
+        assert "rangepartitioning" not in plan_of(queries()[key](spark, SF_SMALL)), key
+
+
+def test_window_comes_before_the_line_items(spark):
+    from dataclasses import replace
+    from courtview.plans.staged import PARAMS, features_table
+    plan = plan_of(features_table(spark, SF_SMALL, "commerce", replace(PARAMS["commerce"], apply_collection_window=True)))
+    lines = plan.splitlines()
+    at = {i: len(x) - len(x.lstrip(" :+-")) for i, x in enumerate(lines)}
+    join = next(i for i, x in enumerate(lines) if "Join" in x)  # the outermost join, with the line items
+    limit = next(i for i, x in enumerate(lines) if "WindowGroupLimit" in x)
+    assert limit > join and at[limit] > at[join] and any("lineitem" in x for x in lines[join:])
+
+
 def test_commerce_build_exchanges_at_scale_shape(spark):
     """With broadcasts off (as at 100 TB), the feature build needs 4 hash exchanges and one line-item pass."""
     from courtview.plans.staged import features_table
