@@ -9,8 +9,10 @@ doc_id and line number stays. Only distinct lines are joined:
    substrings at the starts that leave enough edits for both sides (length-aware selection);
 2. index and probe entries meet by hash in one shuffle; only buckets with both stay. Buckets are dealt as tiles of at most
    ``TILE`` index lines and ``TILE`` probe lines, so that a segment shared by very many lines spreads over tasks;
-3. in a tile, pairs pass the length and letter-count bounds and are verified by a banded bit-parallel edit distance. A
-   tile gives a spanning forest of its links, never all pairs.
+3. in a tile, every pair that passes the length and letter-count bounds is verified by a banded bit-parallel edit
+   distance. A pair belongs to the first segment that its lines share and, at equal length, to the line with the smaller id:
+   it is verified in one tile only. A tile gives the number of links of each of its lines, which add up, and a spanning
+   forest of its links for the components; rows never grow with the pairs.
 
 Blank lines have no class and stay. Null and empty texts have no lines; null doc_ids come last; repeated rows
 are documents of their own; lines may be very long; an empty table gives an empty result; other columns are ignored.
@@ -127,7 +129,7 @@ def _segments(length: np.ndarray, edits: int) -> list[tuple[np.ndarray, np.ndarr
 
 
 def _entries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(key, side, id): index entries (side 0) and probe entries (side 1) of each line."""
+    """(key, side, id, segment): index entries (side 0) and probe entries (side 1) of each line."""
     for batch in batches:
         ids = batch.column("id").to_numpy()
         raw = [t.encode("utf-32-le", "surrogatepass") for t in batch.column("line").to_pylist()]
@@ -137,7 +139,7 @@ def _entries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         powers = np.concatenate((np.ones(1, np.uint64), np.full(len(codes), _B))).cumprod()
         inverse = np.concatenate((np.ones(1, np.uint64), np.full(len(codes), _B_INVERSE))).cumprod()
         upto = np.concatenate((np.zeros(1, np.uint64), np.cumsum((codes + _M) * powers[:-1])))
-        keys, sides, owners = [], [], []
+        keys, sides, owners, numbers = [], [], [], []
 
         def put(which, at, width, length, segment, side):
             b = start[which] + at
@@ -150,6 +152,7 @@ def _entries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             keys.append(h.view(np.int64))  # noqa: B023
             sides.append(np.full(len(which), side, np.int8))  # noqa: B023
             owners.append(ids[which])  # noqa: B023
+            numbers.append(np.full(len(which), segment, np.int8))  # noqa: B023
 
         for edits in range(1, MAX_EDITS + 1):
             mine = np.flatnonzero(max_edits(size) == edits)
@@ -164,28 +167,33 @@ def _entries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                         fits = (at + shift >= 0) & (at + shift + width <= size[mine])
                         put(mine[fits], (at + shift)[fits], width[fits], length[fits], i, 1)
         if keys:
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(keys)), pa.array(np.concatenate(sides)), pa.array(np.concatenate(owners))], names=["key", "side", "id"])
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in (keys, sides, owners, numbers)], names=["key", "side", "id", "segment"])
 
 
 def _live(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Entries sorted by key and side: those of buckets with two different lines, numbered in chunks of TILE.
+    """Entries sorted by key, side and id: those of buckets with two different lines, once each, numbered in chunks of TILE.
 
     A bucket is held only until it shows two lines; from then on its rows pass through.
     """
-    key_now, seen, live = None, [0, 0], False
-    held_side = np.zeros(0, np.int8)
+    key_now, seen, live, row_now = None, [0, 0], False, None
+    held_side = held_segment = np.zeros(0, np.int8)
     held_id = np.zeros(0, np.int64)
 
     for batch in batches:
         if not batch.num_rows:
             continue
-        key, side, owner = (batch.column(c).to_numpy() for c in ("key", "side", "id"))
+        key, side, owner, segment = (batch.column(c).to_numpy() for c in ("key", "side", "id", "segment"))
+        new = np.concatenate(([(key[0], side[0], owner[0]) != row_now], (key[1:] != key[:-1]) | (side[1:] != side[:-1]) | (owner[1:] != owner[:-1])))
+        row_now = (key[-1], side[-1], owner[-1])
+        key, side, owner, segment = key[new], side[new], owner[new], segment[new]
+        if not len(key):
+            continue
         cut = np.concatenate(([0], np.flatnonzero(key[1:] != key[:-1]) + 1, [len(key)]))
         low, high = np.minimum.reduceat(owner, cut[:-1]), np.maximum.reduceat(owner, cut[:-1])
         busy = np.flatnonzero(low != high)
-        out_k, out_s, out_i, out_c = [], [], [], []
+        out_k, out_s, out_i, out_n, out_c = [], [], [], [], []
 
-        def emit(k, s, o, counts):
+        def emit(k, s, o, n, counts):
             """Rows with the running number of each side."""
             c = np.zeros(len(s), np.int64)
             for v in (0, 1):
@@ -195,24 +203,25 @@ def _live(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             out_k.append(np.full(len(s), k, np.int64))  # noqa: B023
             out_s.append(s)  # noqa: B023
             out_i.append(o)  # noqa: B023
+            out_n.append(n)  # noqa: B023
             out_c.append(c // TILE)  # noqa: B023
 
         groups = sorted(set(busy.tolist()) | {0, len(cut) - 2})
         for g in groups:
             a, b = int(cut[g]), int(cut[g + 1])
             if g == 0 and key_now is not None and key[0] == key_now:  # goes on from the batch before
-                s, o = np.concatenate((held_side, side[a:b])), np.concatenate((held_id, owner[a:b]))
+                s, o, n = (np.concatenate(x) for x in ((held_side, side[a:b]), (held_id, owner[a:b]), (held_segment, segment[a:b])))
             else:
-                s, o, seen, live = side[a:b], owner[a:b], [0, 0], False
+                s, o, n, seen, live = side[a:b], owner[a:b], segment[a:b], [0, 0], False
             live = live or bool((o != o[0]).any())
             if live:
-                emit(key[a], s, o, seen)
-                s, o = s[:0], o[:0]
+                emit(key[a], s, o, n, seen)
+                s, o, n = s[:0], o[:0], n[:0]
             if g == len(cut) - 2:
                 first = [np.flatnonzero(s == v)[0] for v in (0, 1) if (s == v).any()]
-                key_now, held_side, held_id = key[a], s[first], o[first]  # of one line so far, one row a side is enough
+                key_now, held_side, held_id, held_segment = key[a], s[first], o[first], n[first]  # of one line so far, one row a side is enough
         if out_k:
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in (out_k, out_s, out_i, out_c)], names=["key", "side", "id", "chunk"])
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in (out_k, out_s, out_i, out_n, out_c)], names=["key", "side", "id", "segment", "chunk"])
 
 
 def _histogram(line: str) -> np.ndarray:
@@ -220,9 +229,23 @@ def _histogram(line: str) -> np.ndarray:
     return np.bincount(codes & 63, minlength=64).astype(np.int32)
 
 
-def _tile_links(index: list[tuple[int, str]], probes: list[tuple[int, str]]) -> list[tuple[int, int]]:
-    """A spanning forest of the verified links between the index and the probe lines of one tile."""
+def _shares_earlier(short: str, line: str, edits: int, before: int) -> bool:
+    """Whether a segment of the shorter line ahead of number ``before`` meets a probe of the other: the pair belongs there."""
+    n, extra, at = edits + 1, len(line) - len(short), 0
+    for i in range(before):
+        width = len(short) // n + (i >= n - len(short) % n)
+        part = short[at:at + width]
+        for shift in range(max(-i, extra - (edits - i)), min(i, extra + (edits - i)) + 1):
+            if at + shift >= 0 and line[at + shift:at + shift + width] == part:
+                return True
+        at += width
+    return False
+
+
+def _tile_links(index: list[tuple[int, str, int]], probes: list[tuple[int, str, int]]) -> tuple[list[tuple[int, int]], dict[int, int]]:
+    """A spanning forest of the links that belong to one tile, and the number of these links of each line."""
     root: dict[int, int] = {}
+    counts: dict[int, int] = {}
 
     def find(x: int) -> int:
         while root.setdefault(x, x) != x:
@@ -230,68 +253,79 @@ def _tile_links(index: list[tuple[int, str]], probes: list[tuple[int, str]]) ->
             x = root[x]
         return x
 
-    size = np.array([len(t) for _, t in index])
-    bars = np.stack([_histogram(t) for _, t in index])
+    ids = np.array([i for i, _, _ in index])
+    size = np.array([len(t) for _, t, _ in index])
+    bars = np.stack([_histogram(t) for _, t, _ in index])
     allowed = max_edits(size)
     links = []
-    for pid, line in probes:
+    for pid, line, _ in probes:
         extra = len(line) - size
-        near = (extra >= 0) & (extra <= allowed)
+        near = (extra >= 0) & (extra <= allowed) & ((extra > 0) | (ids < pid))
         if not near.any():
             continue
         at = np.flatnonzero(near)
         at = at[np.abs(bars[at] - _histogram(line)).sum(axis=1) <= 2 * allowed[at]]
-        for k in at:
-            iid, other = index[k]
+        for k in at.tolist():
+            iid, other, segment = index[k]
+            limit = int(allowed[k])
+            if _shares_earlier(other, line, limit, segment) or edit_distance(other, line, limit) > limit:
+                continue
+            counts[iid] = counts.get(iid, 0) + 1
+            counts[pid] = counts.get(pid, 0) + 1
             a, b = find(iid), find(pid)
-            if a != b and edit_distance(other, line, int(allowed[k])) <= allowed[k]:
+            if a != b:
                 root[a] = b
                 links.append((iid, pid))
-    return links
+    return links, counts
 
 
 def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Tiles come one after the other, index lines first."""
+    """Tiles come one after the other, index lines first. Rows are links of the forest (a, b) or numbers of links (a, n)."""
     now, sides = None, ([], [])
 
-    def links() -> pa.RecordBatch | None:
-        found = _tile_links(*sides) if sides[0] and sides[1] else []
-        return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*found, strict=True)], names=["a", "b"]) if found else None
+    def found() -> pa.RecordBatch | None:
+        links, counts = _tile_links(*sides) if sides[0] and sides[1] else ([], {})
+        rows = [(a, b, None) for a, b in links] + [(a, None, n) for a, n in counts.items()]
+        return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*rows, strict=True)], names=["a", "b", "n"]) if rows else None
 
     for batch in batches:
-        cols = [batch.column(c).to_pylist() for c in ("key", "i", "p", "side", "id", "line")]
-        for key, i, p, side, owner, line in zip(*cols, strict=True):
+        cols = [batch.column(c).to_pylist() for c in ("key", "i", "p", "side", "id", "line", "segment")]
+        for key, i, p, side, owner, line, segment in zip(*cols, strict=True):
             if (key, i, p) != now:
-                if (out := links()) is not None:
+                if (out := found()) is not None:
                     yield out
                 now, sides = (key, i, p), ([], [])
-            sides[side].append((owner, line))
-    if (out := links()) is not None:
+            sides[side].append((owner, line, segment))
+    if (out := found()) is not None:
         yield out
 
 
-def line_links(lines: DataFrame) -> DataFrame:
-    """Links (a, b) between the ids of distinct lines (id, line) that connect what the edit distance connects."""
+def line_links(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Of distinct lines (id, line): links (a, b) between ids that connect what the edit distance connects, and the number
+    of all links (id, n_links) of each line that has any."""
     spark = lines.sparkSession
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    met = lines.mapInArrow(_entries, "key long, side byte, id long").repartition(n, "key").sortWithinPartitions("key", "side", "id")
-    live, live_path = write_scratch(met.mapInArrow(_live, "key long, side byte, id long, chunk long").distinct(), "lines-live")
+    met = lines.mapInArrow(_entries, "key long, side byte, id long, segment byte").repartition(n, "key").sortWithinPartitions("key", "side", "id")
+    live, live_path = write_scratch(met.mapInArrow(_live, "key long, side byte, id long, segment byte, chunk long"), "lines-live")
     chunks = live.groupBy("key").agg(F.max(F.when(F.col("side") == 0, F.col("chunk"))).alias("i_last"), F.max(F.when(F.col("side") == 1, F.col("chunk"))).alias("p_last"))
     spread, _ = write_scratch(chunks.filter("i_last is not null and p_last is not null"), "lines-chunks")
     placed = live.join(spread, "key")
     index, probe = F.col("side") == 0, F.col("side") == 1
     tiles = placed.withColumn("i", F.explode(F.when(index, F.array("chunk")).otherwise(F.sequence(F.lit(0).cast("long"), F.col("i_last"))))) \
-        .withColumn("p", F.explode(F.when(probe, F.array("chunk")).otherwise(F.sequence(F.lit(0).cast("long"), F.col("p_last"))))).select("key", "i", "p", "side", "id")
+        .withColumn("p", F.explode(F.when(probe, F.array("chunk")).otherwise(F.sequence(F.lit(0).cast("long"), F.col("p_last"))))).select("key", "i", "p", "side", "id", "segment")
     rows = tiles.join(lines, "id").repartition(n, "key", "i", "p").sortWithinPartitions("key", "i", "p", "side")
-    links, _ = write_scratch(rows.mapInArrow(_verify, "a long, b long").distinct(), "lines-links")
+    found, _ = write_scratch(rows.mapInArrow(_verify, "a long, b long, n long"), "lines-links")
     discard(spark, live_path)
-    return links
+    links = found.filter("b is not null").select("a", "b").distinct()
+    counts = found.filter("n is not null").groupBy(F.col("a").alias("id")).agg(F.sum("n").alias("n_links"))
+    return links, counts
 
 
 def dedup_lines(docs: DataFrame) -> DataFrame:
-    """Per row: doc_id, n_lines, n_removed, removed (line numbers from 0) and classes (of each line, null if blank).
+    """Per row: doc_id, n_lines, n_removed, removed (line numbers from 0), classes and links (of each line, null if blank).
 
-    A class is named by the hexadecimal key of one of its lines; lines that stand alone name their own.
+    A class is named by the hexadecimal key of one of its lines; lines that stand alone name their own. The links of a
+    line are the different lines within its edits; n_links is their sum over the row's lines.
     """
     spark = docs.sparkSession
     small_batches(spark)
@@ -303,27 +337,31 @@ def dedup_lines(docs: DataFrame) -> DataFrame:
     every = docs.select(F.explode(split).alias("line")).filter(~blank)
     distinct = every.distinct().select("line", text_key(F.col("line")).alias("key"), F.monotonically_increasing_id().alias("id"))
     lines, lines_path = write_scratch(distinct, "lines-distinct")
-    roots, _ = write_scratch(connected_components(line_links(lines.select("id", "line")), "lines"), "lines-roots")
-    linked = lines.select("id", "key").join(roots, F.col("id") == F.col("node")).select("key", "root")
+    forest, counts = line_links(lines.select("id", "line"))
+    roots, _ = write_scratch(connected_components(forest, "lines"), "lines-roots")
+    linked = lines.select("id", "key").join(roots, F.col("id") == F.col("node")).join(counts, "id").select("key", "root", "n_links")
     least = linked.groupBy("root").agg(F.min("key").alias("class"))
-    classes, _ = write_scratch(linked.join(least, "root").select("key", "class"), "lines-classes")
+    classes, _ = write_scratch(linked.join(least, "root").select("key", "class", "n_links"), "lines-classes")
     seen = rows.select("doc_id", "row", F.posexplode("keys").alias("pos", "key")).filter("key is not null")
-    named, _ = write_scratch(seen.join(classes, "key", "left").select("doc_id", "row", "pos", F.coalesce("class", "key").alias("class")), "lines-named")
+    named, _ = write_scratch(seen.join(classes, "key", "left").select("doc_id", "row", "pos", F.coalesce("class", "key").alias("class"),
+                                                                          F.coalesce("n_links", F.lit(0)).alias("links")), "lines-named")
     place = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "row", "pos")
     first, _ = write_scratch(named.groupBy("class").agg(F.min(place).alias("first"), F.count("*").alias("n")).filter("n > 1")
                              .select("class", F.col("first.row").alias("first_row"), F.col("first.pos").alias("first_pos")), "lines-first")
-    marked = named.join(first, "class", "left").select("row", "pos", "class", F.coalesce((F.col("row") != F.col("first_row")) | (F.col("pos") != F.col("first_pos")), F.lit(False)).alias("gone"))
-    per_row = marked.groupBy("row").agg(F.array_sort(F.collect_list(F.struct("pos", "gone", "class"))).alias("lines"))
+    marked = named.join(first, "class", "left").select("row", "pos", "class", "links", F.coalesce((F.col("row") != F.col("first_row")) | (F.col("pos") != F.col("first_pos")), F.lit(False)).alias("gone"))
+    per_row = marked.groupBy("row").agg(F.array_sort(F.collect_list(F.struct("pos", "gone", "class", "links"))).alias("lines"))
     gone = F.transform(F.filter("lines", lambda x: x["gone"]), lambda x: x["pos"])
-    by_pos = F.map_from_entries(F.transform("lines", lambda x: F.struct(x["pos"], F.lower(F.hex(x["class"])))))
-    facts = per_row.select("row", gone.alias("removed"), by_pos.alias("by_pos"))
+    by_pos = F.map_from_entries(F.transform("lines", lambda x: F.struct(x["pos"], F.struct(F.lower(F.hex(x["class"])).alias("class"), x["links"].alias("links")))))
+    n_links = F.aggregate("lines", F.lit(0).cast("long"), lambda total, x: total + x["links"])
+    facts = per_row.select("row", gone.alias("removed"), by_pos.alias("by_pos"), n_links.alias("n_links"))
     discard(spark, lines_path)
     empty = F.array().cast("array<int>")
     n_lines = F.size("keys")
     numbers = F.when(n_lines > 0, F.sequence(F.lit(0), n_lines - 1)).otherwise(empty)
     return rows.select("doc_id", "row", "keys").join(facts, "row", "left").select(
         "doc_id", n_lines.cast("long").alias("n_lines"), F.coalesce(F.size("removed"), F.lit(0)).cast("long").alias("n_removed"), F.coalesce("removed", empty).alias("removed"),
-        F.transform(numbers, lambda i: F.try_element_at(F.col("by_pos"), i)).alias("classes"))
+        F.transform(numbers, lambda i: F.try_element_at(F.col("by_pos"), i)["class"]).alias("classes"),
+        F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), F.transform(numbers, lambda i: F.try_element_at(F.col("by_pos"), i)["links"]).alias("links"))
 
 
 def keep_lines(text: Column, removed: Column) -> Column:

@@ -71,6 +71,21 @@ def test_line_tiles_split_large_buckets(spark, monkeypatch):
     assert all((rows[ids[i]] == rows[ids[j]]) == (roots[i] == roots[j]) for i in range(len(ids)) for j in range(i))
 
 
+def test_line_links_are_all_counted(spark):
+    """Clusters of mutually similar lines, of equal and of different lengths: every link counts, not only a forest."""
+    rng = random.Random(11)
+    heads = ["see the page number {} of the whole catalogue for more", "zzzzzzzzzzzzzzzzzzzzzzzz{}zzzzzzzzzzzzzzzzzzzzz", "a menu line {} here"]
+    lines = sorted({h.format(x) for h in heads for x in [*range(0, 130, 3), "", "z", "zz", "zzz", "1z1"]} | {"".join(rng.choice("ab") for _ in range(rng.randrange(14, 18))) for _ in range(40)})
+    linked = lambda a, b: abs(len(a) - len(b)) <= (m := int(line_dedup.max_edits(min(len(a), len(b))))) and brute.edit_distance(a, b) <= m
+    want = {x: sum(x != y and linked(x, y) for y in lines) for x in lines}
+    texts = [*lines, "\n".join(lines[:3]) + "\n\n" + lines[0], "\n", None]
+    rows = line_dedup.dedup_lines(brute.tiny_docs(spark, [(i, t, "en", "s", 0) for i, t in enumerate(texts)])).collect()
+    assert max(want.values()) > 40
+    for r in rows:
+        mine = texts[r.doc_id].split("\n") if texts[r.doc_id] else []
+        assert r.links == [want.get(x) for x in mine] and r.n_links == sum(want.get(x, 0) for x in mine)
+
+
 def test_mixing(spark, edge_docs, edge_rows, no_docs):
     sizes = defaultdict(int)
     for _, text, _, source, _ in edge_rows:
