@@ -5,10 +5,15 @@ do not start a sentence) turn into typed placeholders that remember their value;
 of ``width`` canonical tokens are hash-joined with those of the benchmark items, so that a question matches with
 other numbers and names in it. Matches are laid along diagonals (position in the text minus position in the item);
 a diagonal counts only if its slots are consistent: the same value of the item is always the same value in the text.
-An item is found in a text if at least ``threshold`` of its distinct windows are matched on consistent diagonals.
 
-Windows with fewer than ``min_words`` plain words say too little and are left out on both sides; an item shorter than
-``width`` tokens is looked up as one window of its own length. A fixed-size bitmap of the items' hashes, whatever
+Windows are matched in a plain form too: ``width`` lower-cased tokens with numbers, units and names as they are. It depends on
+neither letter case nor what stands before. An item counts by its plain windows, all of them; a canonical window that is
+matched on a consistent diagonal covers the plain windows inside it. An item is found in a text if at least
+``threshold`` of its plain windows are matched or covered.
+
+Canonical windows with fewer than ``min_words`` plain words say too little by themselves: they count only on a diagonal and in a
+run of matched windows with one that has enough, and else by their exact values, in the plain form. An item shorter than ``width`` tokens is looked up as one window of its own length, so an
+item of one token is found wherever that token is. A fixed-size bitmap of the items' hashes, whatever
 their number, keeps most windows of the texts from being emitted; what passes it is joined exactly.
 
 Null and empty texts and items have no windows; copies of a text are matched once each and reported for every
@@ -42,6 +47,7 @@ _WORD, _NUMBER, _UNIT, _NAME, _END = range(5)
 _SLOT = {_NUMBER: np.uint64(0xA0761D6478BD642F), _UNIT: np.uint64(0xE7037ED1A0B428DB), _NAME: np.uint64(0x8EBC6AF09C88C6E3)}
 _K = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xFF51AFD7ED558CCD], np.uint64)
 _VALUES = pa.list_(pa.int64())
+_PLAIN = 0x9FB21C651E98DF25
 
 
 def _describe(token: str) -> tuple[int, int]:
@@ -78,8 +84,9 @@ class Canonical:
             at = self.places[t] = len(self.places)
             self.kinds[at], self.values[at] = _describe(t)
 
-    def __call__(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(identifier, slot value or 0, number of the text) of each canonical token of the texts."""
+    def __call__(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """(identifier, slot value or 0, number of the text, first plain token) of each canonical token of the texts, and
+        (value, number of the text) of each plain token."""
         tokens, sizes = [], []
         for text in texts:
             found = _TOKEN.findall(text)
@@ -95,29 +102,41 @@ class Canonical:
         kinds = np.where((kinds == _UNIT) & (before != _NUMBER), _WORD, kinds)
         keep = kinds != _END
         kinds, values, owner = kinds[keep], values[keep], owner[keep]
+        plain, plain_owner, begin = values, owner, np.arange(len(values))
         run = (kinds == _NAME) & np.concatenate(([False], kinds[:-1] == _NAME))[:len(kinds)]  # further words of a name
         if run.any():
             first = np.flatnonzero(~run)
             values = np.add.reduceat(np.where(run, values * _K[1] + _K[2], values), first)
-            kinds, owner = kinds[first], owner[first]
+            kinds, owner, begin = kinds[first], owner[first], first
         ids = values.copy()
         for kind, slot in _SLOT.items():
             ids[kinds == kind] = slot
-        return ids, np.where(kinds == _WORD, np.uint64(0), values), owner
+        return ids, np.where(kinds == _WORD, np.uint64(0), values), owner, begin, plain, plain_owner
 
 
-def windows(ids: np.ndarray, slots: np.ndarray, owner: np.ndarray, width: int, min_words: int) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of the windows of ``width`` tokens of one text that have ``min_words`` plain words, and their positions."""
+def windows(ids: np.ndarray, slots: np.ndarray, owner: np.ndarray, width: int, min_words: int, seed: int = 0) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Hashes of the windows of ``width`` tokens of one text, their positions, and whether they have ``min_words`` plain words."""
     n = len(ids) - width + 1
     if n <= 0:
-        return np.zeros(0, np.uint64), np.zeros(0, np.int64)
-    h = np.full(n, np.uint64(width * int(_K[3]) % (1 << 64)))
+        return np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, bool)
+    h = np.full(n, np.uint64(width * int(_K[3]) % (1 << 64) ^ seed))
     for i in range(width):
         h = (h ^ ids[i:i + n]) * _K[i % 5]
         h ^= h >> np.uint64(31)
     plain = np.concatenate(([0], np.cumsum(slots == 0)))
-    at = np.flatnonzero((plain[width:] - plain[:-width] >= min(min_words, width)) & (owner[:n] == owner[width - 1:]))
-    return h[at], at
+    at = np.flatnonzero(owner[:n] == owner[width - 1:])
+    return h[at], at, (plain[width:] - plain[:-width] >= min(min_words, width))[at]
+
+
+def plain_windows(plain: np.ndarray, owner: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of all windows of ``width`` plain tokens of one text, and their positions."""
+    return windows(plain, np.zeros(len(plain), np.uint64), owner, width, 0, _PLAIN)[:2]
+
+
+def _supported(at: np.ndarray, owner: np.ndarray, telling: np.ndarray) -> np.ndarray:
+    """Which windows are telling or in a run of consecutive ones of their text with a telling one."""
+    first = np.concatenate(([True], (np.diff(at) != 1) | (owner[at[1:]] != owner[at[:-1]])))
+    return np.logical_or.reduceat(telling, np.flatnonzero(first))[np.cumsum(first) - 1]
 
 
 def _item_windows(width: int, min_words: int):
@@ -125,14 +144,22 @@ def _item_windows(width: int, min_words: int):
         canonical = Canonical()
         for batch in batches:
             for key, text in zip(batch.column("item").to_pylist(), batch.column("text").to_pylist(), strict=True):
-                ids, slots, owner = canonical([text])
-                size = min(width, len(ids))
+                ids, slots, owner, begin, plain, plain_owner = canonical([text])
+                size, raw = min(width, len(ids)), min(width, len(plain))
                 if not size:
                     continue
-                h, at = windows(ids, slots, owner, size, min_words)
-                values = [slots[p:p + size].view(np.int64).tolist() if slots[p:p + size].any() else None for p in at]
-                yield pa.RecordBatch.from_arrays([pa.array([key] * len(h), pa.binary()), pa.array(h.view(np.int64)), pa.array(at, pa.int64()), pa.array(values, _VALUES),
-                                                  pa.array(np.full(len(h), size, np.int32))], names=["item", "hash", "at", "slots", "size"])
+                end = np.append(begin, len(plain))
+                h, at, telling = windows(ids, slots, owner, size, min_words)
+                h2, at2 = plain_windows(plain, plain_owner, raw)
+                values = [slots[p:p + size].view(np.int64).tolist() if slots[p:p + size].any() else None for p in at] + [None] * len(h2)
+                n, every = len(plain) - raw + 1, len(h) + len(h2)
+                # the plain windows inside each window, by their numbers
+                lows, highs = np.concatenate((begin[at], at2)), np.concatenate((end[at + size] - raw, at2))
+                yield pa.RecordBatch.from_arrays([
+                    pa.array([key] * every, pa.binary()), pa.array(np.concatenate((h, h2)).view(np.int64)), pa.array(np.concatenate((at, at2)), pa.int64()), pa.array(values, _VALUES),
+                    pa.array(np.repeat([size, raw], [len(h), len(h2)]).astype(np.int32)), pa.array(np.repeat([False, True], [len(h), len(h2)])),
+                    pa.array(np.concatenate((telling, np.ones(len(h2), bool)))), pa.array(lows, pa.int64()), pa.array(highs, pa.int64()), pa.array(np.full(every, n, np.int64))],
+                    names=["item", "hash", "at", "slots", "size", "plain", "telling", "low", "high", "item_windows"])
 
     return run
 
@@ -147,7 +174,7 @@ def _groups(texts: list[str], chars: int = 1 << 17) -> Iterator[slice]:
             first, size = i + 1, 0
 
 
-def _text_windows(widths: list[int], min_words: int, bitmap: np.ndarray):
+def _text_windows(widths: list[int], plain_widths: list[int], min_words: int, bitmap: np.ndarray):
     mask = np.uint64((1 << BITMAP_BITS) - 1)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -159,17 +186,28 @@ def _text_windows(widths: list[int], min_words: int, bitmap: np.ndarray):
             rows, hashes, places, values = [], [], [], []
             texts = batch.column("text").to_pylist()
             for group in _groups(texts):
-                ids, slots, owner = canonical(texts[group])
-                start = np.searchsorted(owner, np.arange(group.stop - group.start))
+                ids, slots, owner, _, plain, plain_owner = canonical(texts[group])
+                start, plain_start = (np.searchsorted(o, np.arange(group.stop - group.start)) for o in (owner, plain_owner))
                 for width in widths:
-                    h, at = windows(ids, slots, owner, width, min_words)
+                    h, at, telling = windows(ids, slots, owner, width, min_words)
                     hit = known[(h & mask).astype(np.int64)]
-                    if hit.any():
-                        h, at = h[hit], at[hit]
+                    if (hit & telling).any():
+                        h, at, telling = h[hit], at[hit], telling[hit]
+                        backed = _supported(at, owner, telling)
+                        h, at = h[backed], at[backed]
                         rows += (owner[at] + group.start).tolist()
                         hashes.append(h)
                         places.append(at - start[owner[at]])
                         values += [slots[p:p + width].view(np.int64).tolist() if slots[p:p + width].any() else None for p in at]
+                for width in plain_widths:
+                    h, at = plain_windows(plain, plain_owner, width)
+                    hit = known[(h & mask).astype(np.int64)]
+                    if hit.any():
+                        h, at = h[hit], at[hit]
+                        rows += (plain_owner[at] + group.start).tolist()
+                        hashes.append(h)
+                        places.append(at - plain_start[plain_owner[at]])
+                        values += [None] * len(h)
             if rows:
                 owner = pa.array(rows, pa.int64())
                 yield pa.RecordBatch.from_arrays([keys.take(owner), ids_col.take(owner), pa.array(np.concatenate(hashes).view(np.int64)), pa.array(np.concatenate(places), pa.int64()),
@@ -194,25 +232,28 @@ def matches(docs: DataFrame, benchmark: DataFrame, width: int = WIDTH, min_words
     spark = docs.sparkSession
     small_batches(spark)
     texts = benchmark.select("text").filter(F.length("text") > 0).distinct().withColumn("item", text_key(F.col("text")))
-    items, _ = write_scratch(texts.mapInArrow(_item_windows(width, min_words), "item binary, hash long, at long, slots array<long>, size int"), "decontam-items")
-    widths = [r["size"] for r in items.select("size").distinct().collect()]  # ``width`` numbers at most
+    items, _ = write_scratch(texts.mapInArrow(_item_windows(width, min_words), "item binary, hash long, at long, slots array<long>, size int, plain boolean, telling boolean, low long, high long, item_windows long"), "decontam-items")
+    sizes = items.select("plain", "size").distinct().collect()  # ``width`` numbers at most of either form
+    widths, plain_widths = (sorted(r["size"] for r in sizes if r["plain"] == form) for form in (False, True))
     keyed = docs.select("doc_id", "text").filter(F.length("text") > 0).withColumn("key", text_key(F.col("text")))
     id_type = docs.schema["doc_id"].dataType.simpleString()
-    found = keyed.mapInArrow(_text_windows(sorted(widths), min_words, _bitmap(items)), f"key binary, doc_id {id_type}, hash long, pos long, values array<long>")
+    found = keyed.mapInArrow(_text_windows(widths, plain_widths, min_words, _bitmap(items)), f"key binary, doc_id {id_type}, hash long, pos long, values array<long>")
     hits, hits_path = write_scratch(found, "decontam-hits")
-    joined = hits.join(items.select("item", "hash", "at", "slots"), "hash")
-    # per diagonal: the item's windows met, and the distinct pairs of slot values
-    diagonal = joined.groupBy("key", "item", (F.col("pos") - F.col("at")).alias("shift")).agg(
-        F.collect_set("hash").alias("hashes"), F.collect_set(F.struct("slots", "values")).alias("pairs"), F.min("pos").alias("first"), F.max("pos").alias("last"))
+    joined = hits.join(items.select("item", "hash", "at", "slots", "plain", "telling", "low", "high"), "hash")
+    # per diagonal of either form: the item's plain windows met, and the distinct pairs of slot values
+    diagonal = joined.groupBy("key", "item", "plain", (F.col("pos") - F.col("at")).alias("shift")).agg(
+        F.collect_set(F.struct("low", "high")).alias("met"), F.collect_set(F.struct("slots", "values")).alias("pairs"),
+        F.min("pos").alias("first"), F.max("pos").alias("last"), F.max("telling").alias("telling")).filter("telling")
     pairs = F.array_distinct(F.flatten(F.transform("pairs", lambda p: F.coalesce(F.filter(
         F.arrays_zip(p["slots"], p["values"]), lambda v: v["slots"] != 0), F.array().cast("array<struct<slots:bigint,values:bigint>>")))))
     mapped = diagonal.withColumn("map", pairs)
     consistent = mapped.filter(F.size("map") == F.size(F.array_distinct(F.transform("map", lambda v: v["slots"]))))
     changed = F.size(F.filter("map", lambda v: v["slots"] != v["values"]))
-    per_item = consistent.select("key", "item", F.explode("hashes").alias("hash"), changed.alias("changed"), "first", "last").groupBy("key", "item").agg(
-        F.count_distinct("hash").alias("matched_windows"), F.max("changed").cast("long").alias("changed_slots"), F.min("first").alias("first"), F.max("last").alias("last"))
-    sizes = items.groupBy("item").agg(F.count_distinct("hash").alias("item_windows"))
-    enough = per_item.join(sizes, "item").withColumn("containment", F.col("matched_windows") / F.col("item_windows")).filter(F.col("containment") >= threshold)
+    numbers = F.array_distinct(F.flatten(F.transform("met", lambda w: F.sequence(w["low"], w["high"]))))
+    per_item = consistent.select("key", "item", F.explode(numbers).alias("number"), changed.alias("changed"), "first", "last").groupBy("key", "item").agg(
+        F.count_distinct("number").alias("matched_windows"), F.max("changed").cast("long").alias("changed_slots"), F.min("first").alias("first"), F.max("last").alias("last"))
+    per_item_windows = items.select("item", "item_windows").distinct()
+    enough = per_item.join(per_item_windows, "item").withColumn("containment", F.col("matched_windows") / F.col("item_windows")).filter(F.col("containment") >= threshold)
     result, _ = write_scratch(enough, "decontam-found")
     owners, _ = write_scratch(hits.join(result.select("key").distinct(), "key", "left_semi").select("key", "doc_id").distinct(), "decontam-owners")
     discard(spark, hits_path)

@@ -244,6 +244,19 @@ def test_decontamination(spark, edge_docs, edge_rows, no_docs):
     assert benchmark_decontam.contaminated(docs, bench.limit(0)).count() == 0
 
 
+def _found(spark, items, texts):
+    bench = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    docs = brute.tiny_docs(spark, [(i, t, "en", "s", 0) for i, t in enumerate(texts)])
+    return {(r.doc_id, r.item_id) for r in benchmark_decontam.contaminated(docs, bench).collect()}
+
+
+def test_decontamination_of_items_that_are_mostly_slots(spark):
+    """Verbatim copies of items of figures and names are found; a few common words do not stand for the whole item."""
+    items = ["What is 48 + 127 * 6 - 35?", "Who wrote Hamlet?", "Alice Bob 3 7 Carol 9 Dave 11 Erin", "the cat sat on 5 7 11 13 17 19 23 29 31"]
+    texts = [f"Some words before. {x} Some words after." for x in items] + ["What is 49 + 127 * 6 - 35?", "Nobody knows: the cat sat on 8 chairs.", "Who wrote the letter?"]
+    assert _found(spark, items, texts) == {(i, i) for i in range(len(items))}
+
+
 def test_simhash(edge_docs, edge_rows, no_docs):
     prints = [brute.fingerprint(t[:30000] if t else t) for _, t, *_ in edge_rows]
     roots = brute.components(len(prints), lambda i, j: (prints[i] ^ prints[j]).bit_count() <= 2)
