@@ -257,6 +257,12 @@ def test_decontamination_of_items_that_are_mostly_slots(spark):
     assert _found(spark, items, texts) == {(i, i) for i in range(len(items))}
 
 
+def test_decontamination_in_any_context_and_letter_case(spark):
+    items = ["What is the capital of France?", "Who led the first crossing of Lake Victoria with Ann Miller in 1871?"]
+    texts = [f"{before}{x}" for x in items for before in ("Question: ", 'He asked "', "see (", "and ")] + [x.lower() for x in items] + [x.upper() for x in items]
+    assert _found(spark, items, texts) == {(i, i // 4) for i in range(8)} | {(8, 0), (9, 1), (10, 0), (11, 1)}
+
+
 def test_simhash(edge_docs, edge_rows, no_docs):
     prints = [brute.fingerprint(t[:30000] if t else t) for _, t, *_ in edge_rows]
     roots = brute.components(len(prints), lambda i, j: (prints[i] ^ prints[j]).bit_count() <= 2)
