@@ -141,6 +141,14 @@ def _raw(column: pa.Array) -> list[bytes]:
     return [x or b"" for x in column.cast(pa.binary()).to_pylist()]
 
 
+def _one_a_place(rows: np.ndarray) -> np.ndarray:
+    """Rows of one text in the order of their places; those of one anchor, seen from two pieces, become one."""
+    first = np.flatnonzero(np.concatenate(([True], rows["pos"][1:] != rows["pos"][:-1])))
+    out = rows[first].copy()
+    out["lo"], out["hi"] = np.minimum.reduceat(rows["lo"], first), np.maximum.reduceat(rows["hi"], first)
+    return out
+
+
 def _find_anchors(length: int, q: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -156,7 +164,7 @@ def _find_anchors(length: int, q: int):
                         mine = mine.copy()
                         mine["pos"] += at - starts[k]
                         found[row].append(mine)
-            packed = [np.concatenate(f).tobytes() if f else b"" for f in found]
+            packed = [_one_a_place(np.concatenate(f)).tobytes() if f else b"" for f in found]
             yield pa.RecordBatch.from_arrays([batch.column("key"), batch.column("doc_id"), pa.array([len(t) for t in texts], pa.int64()), pa.array(packed, pa.binary())],
                                              names=["key", "doc_id", "n_bytes", "anchors"])
 

@@ -205,6 +205,18 @@ def test_suffix_dedup_over_pieces(edge_docs, edge_rows, monkeypatch):
     assert got == want
 
 
+def test_suffix_dedup_keeps_unique_bytes_at_a_piece_boundary(spark):
+    """A passage of under ``length`` bytes across the boundary also stands elsewhere: no string of ``length`` bytes recurs."""
+    rng = random.Random(4)
+    noise = lambda n: "".join(rng.choices("abcdefghijklmnopqrstuvwxyz ", k=n))
+    rows = []
+    for i, size in enumerate((399, 399, 300)):
+        passage = noise(size)
+        rows += [(2 * i, noise(suffix_dedup.PIECE) + passage + noise(2000), "en", "s", 0), (2 * i + 1, noise(1000) + passage + noise(1000), "en", "s", 0)]
+    got = suffix_dedup.remove_repeats(brute.tiny_docs(spark, rows)).collect()
+    assert {(r.doc_id, r.n_removed, r.n_spans, r.kept_sha256) for r in got} == {(i, 0, 0, hashlib.sha256(t.encode()).hexdigest()) for i, t, *_ in rows}
+
+
 def test_sharding(edge_docs, edge_rows, no_docs):
     rows = sharding.hilbert_shards(edge_docs).collect()
     counts = Counter(r.shard for r in rows)
