@@ -8,6 +8,8 @@ up when decoded:
 * ``der``: base64 or hex that decodes to an ASN.1 SEQUENCE whose nested lengths fit to the last byte;
 * ``sshkey``: base64 or hex of an OpenSSH public or private key, with length-prefixed fields that fit.
 
+Base64 may run over lines, indented or with escaped newlines; a key ends at the line where its own lengths end.
+
 Positions are code points, ends exclusive. Null and empty texts give no span; texts of any length are scanned whole;
 repeated rows each give a row; an empty table an empty result; other columns are ignored.
 """
@@ -16,6 +18,7 @@ from __future__ import annotations
 
 import base64
 import binascii
+import bisect
 import hashlib
 import json
 import re
@@ -33,8 +36,9 @@ ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x2
 ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]{16,}")
 MIN_ASSIGN, MIN_ACCESS = 12, 18
-JWT = re.compile(r"(?<![A-Za-z0-9_-])([A-Za-z0-9_-]{8,})\.([A-Za-z0-9_-]{2,})\.([A-Za-z0-9_-]*)")
-BASE64 = re.compile(r"(?:[A-Za-z0-9+/]{40,}(?:\r?\n[A-Za-z0-9+/]{4,})*={0,2})")
+JWT = re.compile(r"(?<![A-Za-z0-9_-])(?=(e[A-Za-z0-9_-]{7,})\.([A-Za-z0-9_-]{2,})\.([A-Za-z0-9_-]*))")  # at every part: '{' in base64url
+BREAK = re.compile(r"[ \t]*(?:\r?\n|(?:\\r)?\\n)[ \t]*")  # newlines may be escaped, lines indented
+BASE64 = re.compile(r"(?:(?<=\\)n)?([A-Za-z0-9+/]{40,}(?:" + BREAK.pattern + r"[A-Za-z0-9+/]+)*={0,2})")
 HEX_ANY = re.compile(r"[0-9A-Fa-f]{40,}")
 SSH_NAMES = (b"ssh-rsa", b"ssh-dss", b"ssh-ed25519", b"ecdsa-sha2-")
 
@@ -117,30 +121,93 @@ def _decoded(kind: str, value: str) -> bytes | None:
     try:
         if kind == "hex":
             return bytes.fromhex(value) if len(value) % 2 == 0 else None
-        flat = value.replace("\r", "").replace("\n", "").rstrip("=")
+        flat = value.rstrip("=")
         return base64.b64decode(flat + "=" * (-len(flat) % 4), validate=True)
     except (ValueError, binascii.Error):
         return None
 
 
+def _kind(raw: bytes | None) -> int | None:
+    if raw is None:
+        return None
+    return 4 if is_der(raw) else 5 if is_ssh_key(raw) else None
+
+
+def _is_head(line: str) -> bool:
+    raw = _decoded("base64", line[:40]) or b""
+    return raw[:1] == b"\x30" or raw.startswith(b"openssh-key-v1\x00") or raw[4:].startswith(SSH_NAMES)
+
+
+def _sizes(lines: list[str]) -> list[int] | None:
+    """The sizes in bytes that a key at the head of the lines may have, largest first; None for any."""
+    raw = _decoded("base64", lines[0][:40]) or b""
+    if raw[:1] == b"\x30":
+        head = _length(raw, 1)
+        return [head[0] + head[1]] if head else []
+    if raw.startswith(b"openssh-key-v1\x00"):
+        return None
+    if not raw[4:].startswith(SSH_NAMES):
+        return []
+    flat = "".join(lines).rstrip("=")
+    raw, at, ends = _decoded("base64", flat[:len(flat) - (len(flat) % 4 == 1)]) or b"", 0, []
+    while at + 4 <= len(raw):
+        at += 4 + int.from_bytes(raw[at:at + 4], "big")
+        ends.append(at)
+    return [e for e in ends[1:] if e <= len(raw)][::-1]
+
+
+def _key_lines(lines: list[str]) -> tuple[int, int] | None:
+    """Number of the first lines that together are a key, as many as can be, and the key's kind."""
+    sizes = _sizes(lines)
+    if sizes == []:
+        return None
+    upto, n = [], 0
+    for line in lines:
+        n += len(line.rstrip("="))
+        upto.append(n)
+    if sizes is None:
+        counts = range(len(lines), 0, -1)
+    else:  # size bytes are so many letters, padding aside
+        counts = [k for k in ((bisect.bisect_left(upto, -(-size * 4 // 3))) + 1 for size in sizes) if k <= len(lines)]
+    for k in counts:
+        kind = _kind(_decoded("base64", "".join(lines[:k])))
+        if kind is not None:
+            return k, kind
+    return None
+
+
+def _base64_spans(text: str) -> list[tuple[int, int, int]]:
+    """Keys in runs of base64 lines: a key may begin at any line of 40 letters and end before the run does."""
+    found = []
+    for m in BASE64.finditer(text):
+        at, places = m.start(1), []
+        for b in BREAK.finditer(text, m.start(1), m.end(1)):
+            places.append((at, b.start()))
+            at = b.end()
+        places.append((at, m.end(1)))
+        lines = [text[a:b] for a, b in places]
+        i = 0
+        while i < len(lines):
+            key = _key_lines(lines[i:]) if len(lines[i]) >= 40 and _is_head(lines[i]) else None
+            if key is not None:
+                found.append((places[i][0], key[1], places[i + key[0] - 1][1]))
+            i += key[0] if key is not None else 1
+    return found
+
+
 def confirmed_spans(text: str) -> list[tuple[int, int, int]]:
     """Candidates that their own structure confirms."""
     found = []
     if "." in text:
         for m in JWT.finditer(text):
-            if m[1].startswith("e"):  # '{' in base64url
-                head = _json_object(m[1])
-                if head is not None and isinstance(head.get("alg"), str) and _json_object(m[2]) is not None:
-                    found.append((m.start(), 3, m.end()))
-    for kind, pattern in (("base64", BASE64), ("hex", HEX_ANY)):
-        for m in pattern.finditer(text):
-            raw = _decoded(kind, m[0])
-            if raw is None:
-                continue
-            if is_der(raw):
-                found.append((m.start(), 4, m.end()))
-            elif is_ssh_key(raw):
-                found.append((m.start(), 5, m.end()))
+            head = _json_object(m[1])
+            if head is not None and isinstance(head.get("alg"), str) and _json_object(m[2]) is not None:
+                found.append((m.start(), 3, m.end(3)))
+    found += _base64_spans(text)
+    for m in HEX_ANY.finditer(text):
+        kind = _kind(_decoded("hex", m[0]))
+        if kind is not None:
+            found.append((m.start(), kind, m.end()))
     return found
 
 

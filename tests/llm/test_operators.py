@@ -161,6 +161,27 @@ def test_secret_structures():
     assert kinds("ssh-ed25519 " + base64.b64encode(ssh).decode()) == ["sshkey"]
 
 
+def test_secret_candidates_are_cut_where_the_key_ends():
+    part = lambda x: base64.urlsafe_b64encode(json.dumps(x).encode()).decode().rstrip("=")
+    jwt = f"{part({'alg': 'HS256', 'typ': 'JWT'})}.{part({'sub': '1'})}.c2lnbmF0dXJl"
+    body = b"\x02\x01\x00\x04\x81\xb5" + bytes(range(181))
+    ders = [b"\x30\x81" + bytes([len(b)]) + b for b in (body, body + b"\x02\x01\x05", body + b"\x02\x02\x05\x06")]
+    name = b"ssh-ed25519"
+    ssh = base64.b64encode(b"".join(len(x).to_bytes(4, "big") + x for x in (name, bytes(range(32))))).decode()
+    spans = lambda t: [(secret_scan.KINDS[k], t[a:b]) for a, k, b in secret_scan.confirmed_spans(t)]
+    assert len(ssh) == 68 and spans(f"ssh-ed25519 {ssh}\nThen we go\non") == [("sshkey", ssh)]
+    assert spans(f"ssh-ed25519 {ssh}\nssh-ed25519 {ssh}\n") == [("sshkey", ssh)] * 2
+    for der in ders:
+        flat = base64.b64encode(der).decode()
+        lines = [flat[i:i + 64] for i in range(0, len(flat), 64)]
+        for gap in ("\n", "\r\n", "\\n", "\\r\\n", "\n    ", " \n\t"):
+            key = gap.join(lines)
+            assert spans(f"-----BEGIN PRIVATE KEY-----{gap}{key}{gap}-----END") == [("der", key)]
+        assert spans("\n".join(["A" * 64, *lines, "Then we go"])) == [("der", "\n".join(lines))]
+    for before in ("my-token.", "A sentence.", "x.eyJhIjoxfQ.", ""):
+        assert spans(f"{before}{jwt} y") == [("jwt", jwt)]
+
+
 def test_topk(spark):
     vectors = [(i, [float((i * 7 + j * 3) % 11 - 5) / 3 for j in range(8)]) for i in range(0, 260)]
     vectors += [(50, vectors[50][1]), (7, [float("nan")] * 8), (100, None), (None, [1.0] * 8), (8, [1.0, None] * 4), (150, [0.5] * 3), (9, [0.25] * 3), (200, []), (300, [1e300] * 8),
