@@ -17,4 +17,39 @@ SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score
 FROM (SELECT *, row_number() OVER (PARTITION BY qrid ORDER BY score DESC, vec_id) AS rank FROM s) WHERE rank <= 5
 """
 
-ORACLE = {"op4_topk_search": TOPK}
+
+def _centroid_rounds(k: int = 8, rounds: int = 10) -> str:
+    """Lloyd rounds, one materialised assignment and update after the other."""
+    distance = "CAST(list_sum(list_transform(list_zip(v.q, c.q), lambda p: (p[1] - p[2]) * (p[1] - p[2]))) AS HUGEINT)"
+    steps = [f"""WITH v AS MATERIALIZED (
+  SELECT vec_id, row_number() OVER () AS rid, list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS HUGEINT)) AS q
+  FROM embeddings
+  WHERE embedding IS NOT NULL AND len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), c0 AS MATERIALIZED (
+  SELECT row_number() OVER (ORDER BY sha256('3:' || CAST(vec_id AS VARCHAR)), vec_id, q) - 1 AS cluster, q
+  FROM v ORDER BY sha256('3:' || CAST(vec_id AS VARCHAR)), vec_id, q LIMIT {k}
+)"""]
+    for i in range(rounds + 1):
+        steps.append(f"""a{i} AS MATERIALIZED (
+  SELECT rid, vec_id, q, n.cluster, n.distance FROM (
+    SELECT v.rid, min(struct_pack(distance := {distance}, cluster := c.cluster)) AS n FROM v CROSS JOIN c{i} c GROUP BY v.rid
+  ) JOIN v USING (rid)
+)""")
+        if i < rounds:
+            steps.append(f"""s{i} AS MATERIALIZED (
+  SELECT cluster, j, sum(q[j]) AS s, count(*) AS n FROM a{i}, range(1, 65) r(j) GROUP BY cluster, j
+), c{i + 1} AS MATERIALIZED (
+  SELECT c{i}.cluster, coalesce(m.q, c{i}.q) AS q FROM c{i} LEFT JOIN (
+    SELECT cluster, list(CAST((s - ((s % n) + n) % n) // n AS HUGEINT) ORDER BY j) AS q
+    FROM (SELECT cluster, j, CAST(s AS HUGEINT) AS s, CAST(n AS HUGEINT) AS n FROM s{i}) GROUP BY cluster
+  ) m USING (cluster)
+)""")
+    return ",\n".join(steps) + f"""
+SELECT vec_id, CAST(a.cluster AS INTEGER) AS cluster, CAST(distance AS BIGINT) AS distance,
+       CAST(sum(distance) OVER (PARTITION BY a.cluster) AS BIGINT) AS cluster_inertia, CAST(sum(distance) OVER () AS BIGINT) AS inertia,
+       sha256(array_to_string(c.q, ',')) AS centroid_sha256
+FROM a{rounds} a JOIN c{rounds} c USING (cluster)
+"""
+
+
+ORACLE = {"op4_topk_search": TOPK, "op11_centroid_clustering": _centroid_rounds()}
