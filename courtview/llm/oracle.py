@@ -52,4 +52,17 @@ FROM a{rounds} a JOIN c{rounds} c USING (cluster)
 """
 
 
-ORACLE = {"op4_topk_search": TOPK, "op11_centroid_clustering": _centroid_rounds()}
+#: The last page of each large payload answers, the others revisit it.
+WARC = """
+WITH p AS (
+  SELECT page_id, coalesce(html, '') AS body, octet_length(encode(coalesce(html, ''))) AS n FROM pages
+), r AS (
+  SELECT *, row_number() OVER (PARTITION BY body ORDER BY page_id DESC NULLS LAST) AS place, max(page_id) OVER (PARTITION BY body) AS last FROM p
+)
+SELECT page_id, CAST(n AS BIGINT) AS payload_bytes, sha1(body) AS payload_digest,
+       CASE WHEN n >= 1000 AND place > 1 THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN n >= 1000 AND place > 1 THEN last END AS refers_to
+FROM r
+"""
+
+ORACLE = {"op4_topk_search": TOPK, "op11_centroid_clustering": _centroid_rounds(), "op12_warc_archive": WARC}

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from courtview.llm import (benchmark_decontam, centroid_clustering, license_scan, line_dedup, mixing, quality_gam, secret_scan, sharding,
-                           simhash_dedup, suffix_dedup, topk_search)
+                           simhash_dedup, suffix_dedup, topk_search, warc_archive)
 from courtview.llm.common import read_table
 
 
@@ -57,6 +57,10 @@ def op11_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
     return centroid_clustering.clusters_with_inertia(*centroid_clustering.cluster_vectors(read_table(spark, sf_dir, "embeddings")))
 
 
+def op12_warc_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc_archive.archived_pages(read_table(spark, sf_dir, "pages"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
     return corpus_pipeline.run(spark, sf_dir)
@@ -64,4 +68,4 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
     op1_line_dedup, op2_mixing, op3_secret_scan, op4_topk_search, op5_license_scan, op6_suffix_dedup, op7_sharding, op8_benchmark_decontam,
-    op9_simhash_dedup, op10_quality_gam, op11_centroid_clustering, pipeline)}
+    op9_simhash_dedup, op10_quality_gam, op11_centroid_clustering, op12_warc_archive, pipeline)}
