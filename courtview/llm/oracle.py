@@ -65,4 +65,30 @@ SELECT page_id, CAST(n AS BIGINT) AS payload_bytes, sha1(body) AS payload_digest
 FROM r
 """
 
-ORACLE = {"op4_topk_search": TOPK, "op11_centroid_clustering": _centroid_rounds(), "op12_warc_archive": WARC}
+#: Every document that holds a term of the item, scored in integers; equal scores by ascending doc_id.
+LEXICAL = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS rid, doc_id,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS terms
+  FROM documents
+), q AS (
+  SELECT row_number() OVER () AS qid, item_id,
+         unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+  FROM benchmark
+), items AS (
+  SELECT qid, item_id, term, count(*) AS times FROM q GROUP BY ALL
+), total AS (
+  SELECT count(*) AS docs, CAST(sum(len(terms)) AS BIGINT) AS words FROM d WHERE len(terms) > 0
+), postings AS (
+  SELECT rid, doc_id, n, term, count(*) AS tf FROM (SELECT rid, doc_id, CAST(len(terms) AS BIGINT) AS n, unnest(terms) AS term FROM d) GROUP BY ALL
+), weights AS (
+  SELECT term, CAST(floor(1000 * ln(CAST(2 * docs + 2 AS DOUBLE) / CAST(2 * count(*) + 1 AS DOUBLE))) AS BIGINT) AS w FROM postings, total GROUP BY term, docs
+), scored AS (
+  SELECT qid, item_id, rid, doc_id, CAST(sum(times * w * ((1000000000 * tf) // (1000 * tf + 12 * (75 + (25 * n * docs) // words)))) AS BIGINT) AS score
+  FROM items JOIN weights USING (term) JOIN postings USING (term), total GROUP BY qid, item_id, rid, doc_id
+)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY qid ORDER BY score DESC, doc_id) AS rank FROM scored WHERE score > 0) WHERE rank <= 20
+"""
+
+ORACLE = {"op4_topk_search": TOPK, "op11_centroid_clustering": _centroid_rounds(), "op12_warc_archive": WARC, "op13_lexical_search": LEXICAL}

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from courtview.llm import (benchmark_decontam, centroid_clustering, license_scan, line_dedup, mixing, quality_gam, secret_scan, sharding,
+from courtview.llm import (benchmark_decontam, centroid_clustering, lexical_search, license_scan, line_dedup, mixing, quality_gam, secret_scan, sharding,
                            simhash_dedup, suffix_dedup, topk_search, warc_archive)
 from courtview.llm.common import read_table
 
@@ -61,6 +61,10 @@ def op12_warc_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc_archive.archived_pages(read_table(spark, sf_dir, "pages"))
 
 
+def op13_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical_search.rank_documents(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
     return corpus_pipeline.run(spark, sf_dir)
@@ -68,4 +72,4 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
     op1_line_dedup, op2_mixing, op3_secret_scan, op4_topk_search, op5_license_scan, op6_suffix_dedup, op7_sharding, op8_benchmark_decontam,
-    op9_simhash_dedup, op10_quality_gam, op11_centroid_clustering, op12_warc_archive, pipeline)}
+    op9_simhash_dedup, op10_quality_gam, op11_centroid_clustering, op12_warc_archive, op13_lexical_search, pipeline)}
