@@ -6,30 +6,37 @@ value of each lexicon word that occurs (once per text, however often it
 repeats).  A text without lexicon words scores 0.
 
 Plan shape (designed for a comments table far larger than memory):
-  * tokens are exploded per comment (distinct words only) and joined to the
-    lexicon, broadcast after a size check - the token stream never shuffles;
-  * word values are summed per comment by a partial aggregate inside the same
-    task (all tokens of a comment are local), so only one row per *matching*
-    comment crosses the shuffle;
-  * comment totals roll up per video, and a separate per-video comment count
-    (also partially aggregated) supplies the zero-score comments.
-  Hot videos with a third of all comments are fine: every aggregate is
-  algebraic and combines map-side before the shuffle.
+  * a lexicon of bounded size (rows and bytes, checked) becomes a hashed literal: an array of
+    buckets, each a map of a few words. Every word of a text is looked up inside the row, so a
+    comment's score is a projection: no exchange, no copy, no row number;
+  * a lexicon beyond that bound is joined: distinct words are exploded per comment and joined to
+    it; words that hold more than a reducer's share of all tokens are salted, and their lexicon
+    rows repeated once for each salt. Only there the numbered rows are written, so that scores
+    come back to their rows;
+  * comment scores roll up per video in one algebraic aggregate that combines map-side, so a hot
+    video with a third of all comments sends one row per task.
 """
 
 from __future__ import annotations
 
+import json
 from decimal import Decimal
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from courtview.functions.text import squish
-from courtview.operators.broadcast import broadcast_if_bounded
+from courtview.operators.broadcast import fits
+from courtview.operators.skew import salted_join
 from courtview.session import materialize
 
 TOKEN_SPLIT = "[^a-z']+"
 LEXICON_MAX_ROWS = 2_000_000
+BROADCAST_MAX_BYTES = 64 * 1024 * 1024
+#: A lexicon up to this size travels inside the plan; the words of one bucket are few at any size.
+INLINE_MAX_ROWS = 100_000
+INLINE_MAX_BYTES = 8 * 1024 * 1024
+WORDS_PER_BUCKET = 2
 DEFAULT_THRESHOLD = Decimal("0.15")
 ROW = "_comment_row"
 
@@ -57,11 +64,34 @@ def units_to_decimal(units: F.Column) -> F.Column:
     return (units.cast("decimal(18,0)") / F.lit(SCORE_SCALE)).cast("decimal(18,4)")
 
 
-def prepare_lexicon(lexicon: DataFrame) -> DataFrame:
-    """(word, units): one row per word (duplicate words add up), broadcast when provably small."""
-    lex = lexicon.groupBy("word").agg(
-        (F.sum("value") * F.lit(SCORE_SCALE)).cast("bigint").alias("units"))
-    return broadcast_if_bounded(lex, LEXICON_MAX_ROWS)
+def word_units(lexicon: DataFrame) -> DataFrame:
+    """(word, units): one row per word (duplicate words add up)."""
+    return lexicon.where(F.col("word").isNotNull()).groupBy("word").agg((F.sum("value") * F.lit(SCORE_SCALE)).cast("bigint").alias("units"))
+
+
+def inline_lexicon(lexicon: DataFrame, max_rows: int = INLINE_MAX_ROWS, max_bytes: int = INLINE_MAX_BYTES) -> tuple[F.Column, int] | None:
+    """The lexicon as a constant array of buckets (word -> units) and their number, or None if it is beyond the bounds.
+
+    Its size is checked by a probe that reads ``max_rows + 1`` rows at most. A word's bucket is its XXH64 modulo the
+    number of buckets, computed by Spark on either side.
+    """
+    words = word_units(lexicon)
+    if not fits(words, max_rows, max_bytes):
+        return None
+    rows = words.where(F.col("units").isNotNull()).select("word", "units", F.xxhash64("word").alias("h")).collect()  # at most max_rows
+    n = max(1, len(rows) // WORDS_PER_BUCKET)
+    buckets: list[dict[str, int]] = [{} for _ in range(n)]
+    for r in rows:
+        buckets[r["h"] % n][r["word"]] = r["units"]
+    return F.from_json(F.lit(json.dumps(buckets)), "array<map<string,bigint>>"), n  # folded to a constant by the optimizer
+
+
+def text_units(text_col: F.Column, inline: tuple[F.Column, int]) -> F.Column:
+    """The score of a text in units, by looking its distinct words up in an ``inline_lexicon`` (null texts: 0)."""
+    buckets, n = inline
+    place = lambda w: F.pmod(F.xxhash64(w), F.lit(n).cast("bigint")).cast("int")
+    value = lambda w: F.coalesce(F.get(buckets, place(w))[w], F.lit(0).cast("bigint"))
+    return F.coalesce(F.aggregate(tokens(text_col), F.lit(0).cast("bigint"), lambda total, w: total + value(w)), F.lit(0).cast("bigint"))
 
 
 def matched_comment_scores(comments: DataFrame, lexicon: DataFrame,
@@ -69,26 +99,36 @@ def matched_comment_scores(comments: DataFrame, lexicon: DataFrame,
     """(keys..., score_units) for comments with at least one lexicon word, one row per comment row.
 
     Rows are told apart by a number given before the words are exploded, so that
-    comments with a missing or repeated id keep scores of their own.
+    comments with a missing or repeated id keep scores of their own. Where the lexicon is too large to be
+    broadcast, heavy words are salted by that number.
     """
     numbered = comments.withColumn(ROW, F.monotonically_increasing_id()) if ROW not in comments.columns else comments
     toks = numbered.select(*keys, ROW, F.explode(tokens(F.col(text_col))).alias("word"))
-    hits = toks.join(prepare_lexicon(lexicon), "word", "inner")
+    words = word_units(lexicon)
+    if fits(words, LEXICON_MAX_ROWS, BROADCAST_MAX_BYTES):
+        hits = toks.join(F.broadcast(words), "word", "inner")
+    else:
+        hits = salted_join(toks, words, "word", F.col(ROW))
     return hits.groupBy(*keys, ROW).agg(F.sum("units").alias("score_units"))
 
 
+def comment_units(comments: DataFrame, lexicon: DataFrame, text_col: str = "comment_text", keep: list[str] | None = None) -> DataFrame:
+    """``comments`` (or the ``keep`` columns of it) with ``score_units`` of each row."""
+    inline = inline_lexicon(lexicon)
+    keep = comments.columns if keep is None else keep
+    if inline is not None:
+        return comments.select(*keep, text_units(F.col(text_col), inline).alias("score_units"))
+    # the numbered rows are written once, so that the join back by row number reads the same numbers
+    base = materialize(comments.select(*dict.fromkeys([*keep, text_col])).withColumn(ROW, F.monotonically_increasing_id()), "comments")
+    scores = matched_comment_scores(base, lexicon, (), text_col)
+    return base.join(scores, ROW, "left").select(*keep, F.coalesce("score_units", F.lit(0).cast("bigint")).alias("score_units"))
+
+
 def score_comments(comments: DataFrame, lexicon: DataFrame,
                    threshold: Decimal = DEFAULT_THRESHOLD) -> DataFrame:
-    """comments + comment_text_clean, sentiment_score, sentiment_label (the comment-level table).
-
-    The numbered rows are written once, so that the join back by row number reads the same numbers.
-    """
+    """comments + comment_text_clean, sentiment_score, sentiment_label (the comment-level table)."""
     t = score_units(threshold)
-    base = materialize(comments.withColumn("comment_text_clean", squish("comment_text"))
-                       .withColumn(ROW, F.monotonically_increasing_id()), "comments")
-    scores = matched_comment_scores(base, lexicon, (), "comment_text_clean")
-    out = base.join(scores, ROW, "left").drop(ROW).withColumn(
-        "score_units", F.coalesce(F.col("score_units"), F.lit(0).cast("bigint")))
+    out = comment_units(comments.withColumn("comment_text_clean", squish("comment_text")), lexicon, "comment_text_clean")
     u = F.col("score_units")
     return out.withColumns({
         "sentiment_score": units_to_decimal(u),
@@ -131,12 +171,8 @@ def rollup_scores(scored: DataFrame, threshold: Decimal = DEFAULT_THRESHOLD,
 
 def video_sentiment(comments: DataFrame, lexicon: DataFrame,
                     threshold: Decimal = DEFAULT_THRESHOLD) -> DataFrame:
-    """Per-video summary straight from comment text, without shuffling comment rows."""
-    counts = comments.groupBy("video_id").agg(F.count(F.lit(1)).alias("n"))
-    per_video = matched_comment_scores(comments, lexicon, ("video_id",)).groupBy("video_id").agg(*_unit_aggs(score_units(threshold)))
-    scored = per_video.withColumnRenamed("video_id", "_scored_video")
-    j = counts.join(scored, F.col("video_id").eqNullSafe(F.col("_scored_video")), "left")
-    return j.select("video_id", *_summary(F.col("n"), F.col("units_sum"), F.col("pos"), F.col("neg")))
+    """Per-video summary straight from comment text: one aggregate over the scored rows."""
+    return rollup_scores(comment_units(comments, lexicon, keep=["video_id"]), threshold)
 
 
 def label_counts(scored: DataFrame) -> DataFrame:

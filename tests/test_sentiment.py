@@ -86,3 +86,93 @@ def test_missing_and_repeated_comment_ids_keep_their_own_scores(spark):
     by_video = {r.video_id: r for r in video_sentiment(c, lex).collect()}
     assert by_video["v"].positive_comment_pct == 0.75 and by_video["v"].negative_comment_pct == 0.25
     assert by_video[None].negative_comment_pct == 1.0
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def lexicon_of(spark, words):
+    return spark.createDataFrame([(w, Decimal(v)) for w, v in words], "word string, value decimal(9,4)")
+
+
+def test_scoring_needs_no_exchange_and_no_copy(spark, monkeypatch):
+    from courtview.operators import sentiment
+    from courtview.registry import query_table
+
+    def refuse(*_):
+        raise AssertionError("scoring must not write")
+
+    monkeypatch.setattr(sentiment, "materialize", refuse)
+    for key in ("sent_score", "sent_label"):
+        plan = plan_of(query_table()[key](spark, SF_SMALL))
+        assert "Exchange" not in plan and "Join" not in plan, plan
+    assert plan_of(query_table()["sent_rollup"](spark, SF_SMALL)).count("Exchange") == 1
+
+
+def test_inline_and_joined_lexicon_agree(spark, monkeypatch):
+    """Null and repeated ids, null and empty texts, duplicate words, quotes, words of other scripts, an empty lexicon."""
+    import random
+    from collections import Counter
+
+    from courtview.operators import sentiment
+    rnd = random.Random(9)
+    words = [(f"w{chr(97 + i % 26)}{chr(97 + i // 26 % 26)}", str(rnd.randint(-9999, 9999) / 10_000)) for i in range(600)] + [("can't", "0.5"), ("the", "0.1"), ("the", "0.1"), ("it", "0")]
+    rows = [(rnd.choice(["v", "u", None]), rnd.choice(["1", "2", None]), " ".join(rnd.choice(words)[0].upper() + rnd.choice([" ", "\n", "--", "é"]) for _ in range(rnd.randint(0, 30)))) for _ in range(300)]
+    rows += [("v", "1", None), ("v", "1", ""), (None, None, None), ("v", "9", "can't CAN'T the"), ("v", "8", "the " * 100_000)]
+    comments = spark.createDataFrame(rows, "video_id string, comment_id string, comment_text string").repartition(3)
+    for lex in (lexicon_of(spark, words), lexicon_of(spark, [])):
+        values = Counter()
+        for r in lex.collect():
+            values[r.word] += r.value
+        got = score_comments(comments, lex).collect()
+        want = Counter((v, c, t, py_score(t, values)) for v, c, t in rows)
+        assert Counter((r.video_id, r.comment_id, r.comment_text, r.sentiment_score) for r in got) == want
+        summary = Counter(tuple(r) for r in video_sentiment(comments, lex).collect())
+        with monkeypatch.context() as m:
+            m.setattr(sentiment, "inline_lexicon", lambda *_: None)  # as for a lexicon beyond the bound
+            joined = score_comments(comments, lex).collect()
+            assert Counter(tuple(r) for r in joined) == Counter(tuple(r) for r in got)
+            assert Counter(tuple(r) for r in video_sentiment(comments, lex).collect()) == summary
+
+
+def test_lexicon_beyond_the_bound_is_not_inlined(spark):
+    from courtview.operators.sentiment import inline_lexicon
+    lex = lexicon_of(spark, [(f"w{i}", "0.5") for i in range(50)])
+    assert inline_lexicon(lex, max_rows=50) is not None
+    assert inline_lexicon(lex, max_rows=49) is None and inline_lexicon(lex, max_bytes=100) is None
+
+
+def test_heavy_words_are_salted(spark, monkeypatch):
+    """One word in every comment, no broadcast of the lexicon: no task gets twice the median."""
+    import random
+    from statistics import median
+
+    from pyspark.sql import functions as F
+
+    from courtview.operators import sentiment
+    from courtview.operators.skew import salted_join
+    rnd = random.Random(2)
+    vocab = ["".join(rnd.choice("abcdefghij") for _ in range(5)) for _ in range(4000)]
+    rows = [(i, " ".join(["the", "and", *rnd.choices(vocab, k=6)])) for i in range(8000)]
+    comments = spark.createDataFrame(rows, "comment_id long, comment_text string").repartition(6)
+    lex = lexicon_of(spark, [(w, "0.25") for w in {*vocab, "the", "and"}])
+    toks = comments.select("comment_id", F.explode(sentiment.tokens(F.col("comment_text"))).alias("word"))
+    old = {k: spark.conf.get(k) for k in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.enabled")}
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        def tasks(joined):
+            return [r["count"] for r in joined.groupBy(F.spark_partition_id().alias("p")).count().collect()]
+
+        plain, salted = toks.join(sentiment.word_units(lex), "word"), salted_join(toks, sentiment.word_units(lex), "word", F.col("comment_id"))
+        assert sum(tasks(plain)) == sum(tasks(salted))
+        assert max(tasks(plain)) > 2 * median(tasks(plain))
+        assert max(tasks(salted)) < 2 * median(tasks(salted))
+        monkeypatch.setattr(sentiment, "fits", lambda *_: False)  # beyond both bounds
+        want = {i: py_score(t, {w: Decimal("0.25") for w in {*vocab, "the", "and"}}) for i, t in rows}
+        got = sentiment.score_comments(comments, lex)
+        assert {r.comment_id: r.sentiment_score for r in got.collect()} == want
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
