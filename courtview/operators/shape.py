@@ -15,8 +15,8 @@ from datetime import date
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from courtview.functions.dates import parse_ts
 from courtview.session import materialize
+from courtview.sources.dated import between_dates, from_date, newest_first
 
 
 def top_n_per_group(df: DataFrame, group: Sequence[str], order: Sequence[Column], n: int) -> DataFrame:
@@ -27,21 +27,22 @@ def top_n_per_group(df: DataFrame, group: Sequence[str], order: Sequence[Column]
 
 def newest_per_team(videos: DataFrame, n: int) -> DataFrame:
     """Newest ``n`` videos of each team (publication time desc, video_id as tiebreak)."""
-    ts = parse_ts("published_at")
-    return top_n_per_group(videos, ["team"], [ts.desc_nulls_last(), F.col("video_id")], n)
+    return top_n_per_group(videos, ["team"], [newest_first(videos), F.col("video_id")], n)
 
 
 def cap_per_channel(videos: DataFrame, cap: int) -> DataFrame:
     """The first ``cap`` items of each channel's upload list (newest first), before any date filter."""
-    ts = parse_ts("published_at")
-    return top_n_per_group(videos, ["channel_id"], [ts.desc_nulls_last(), F.col("video_id")], cap)
+    return top_n_per_group(videos, ["channel_id"], [newest_first(videos), F.col("video_id")], cap)
 
 
 def collection_window(videos: DataFrame, start: date, end: date, cap: int, n: int) -> DataFrame:
-    """The collection chain in the reference's order: list cap -> closed date window -> newest n per team."""
-    capped = cap_per_channel(videos, cap)
-    in_window = capped.where(F.to_date(parse_ts("published_at")).between(F.lit(start), F.lit(end)))
-    return newest_per_team(in_window, n)
+    """The collection chain in the reference's order: list cap -> closed date window -> newest n per team.
+
+    Rows before ``start`` go first: a list is newest first, so they stand after every row of the window and take no place
+    of it. Rows after ``end`` do take places, and go after the cap. On a date-clustered table older months are not read.
+    """
+    capped = cap_per_channel(from_date(videos, start), cap)
+    return newest_per_team(between_dates(capped, start, end), n)
 
 
 def with_global_index(df: DataFrame, order: Sequence[Column], name: str = "row_index") -> DataFrame:

@@ -18,10 +18,11 @@ from courtview.operators.sentiment import label_counts, score_comments, video_se
 from courtview.params import (REFERENCE_CONTENT_DEFAULT, REFERENCE_CONTENT_RULES, REFERENCE_THEME_DEFAULT,
                               REFERENCE_THEME_RULES)
 from courtview.plans.dashboards import top_titles
-from courtview.plans.staged import PARAMS, published_features, raw_videos, staged, thresholds
+from courtview.plans.staged import PARAMS, dated_videos, published_features, raw_videos, staged, thresholds
 from courtview.schemas import STAGED_COLUMNS
 from courtview.sources import bindings as B
 from courtview.sources import files, payloads
+from courtview.sources.dated import between_dates
 
 C, T = "commerce", "content"
 
@@ -139,19 +140,17 @@ def feat_windowed_build(spark: SparkSession, sf: str) -> DataFrame:
 
 def win_topn_group(spark: SparkSession, sf: str) -> DataFrame:
     p = PARAMS[C]
-    vr = raw_videos(spark, sf, C)
+    vr = dated_videos(spark, sf, C)
     return shape.collection_window(vr, p.start_date, p.as_of, p.list_cap, p.top_n_per_team).select(*BASE_COLUMNS)
 
 
 def win_cap_group(spark: SparkSession, sf: str) -> DataFrame:
-    return shape.cap_per_channel(raw_videos(spark, sf, C), PARAMS[C].list_cap).select(*BASE_COLUMNS)
+    return shape.cap_per_channel(dated_videos(spark, sf, C), PARAMS[C].list_cap).select(*BASE_COLUMNS)
 
 
 def flt_daterange(spark: SparkSession, sf: str) -> DataFrame:
     p = PARAMS[T]
-    vr = raw_videos(spark, sf, T)
-    return vr.where(F.to_date(parse_ts("published_at")).between(F.lit(p.start_date), F.lit(p.as_of))).select(
-        "video_id", "team", "published_at")
+    return between_dates(dated_videos(spark, sf, T), p.start_date, p.as_of).select("video_id", "team", "published_at")
 
 
 def prj_id_batches(spark: SparkSession, sf: str) -> DataFrame:

@@ -17,6 +17,7 @@ from courtview.operators.sentiment import video_sentiment
 from courtview.params import COMMERCE_PARAMS, CONTENT_PARAMS, Params
 from courtview.session import configure, input_state, materialize
 from courtview.sources import bindings
+from courtview.sources.dated import write_dated
 
 PARAMS = {"content": CONTENT_PARAMS, "commerce": COMMERCE_PARAMS}
 
@@ -26,9 +27,9 @@ _published: dict[tuple, tuple[DataFrame, tuple]] = {}
 def binding_inputs(spark: SparkSession, sf_dir: str, binding: str, params: Params):
     """(videos_raw, sentiment summary) of a binding - both lazy."""
     if binding == "content":
-        videos = bindings.content_videos_raw(spark, sf_dir)
-        summary = video_sentiment(bindings.content_comments(spark, sf_dir), bindings.fixture_lexicon(spark),
-                                  params.label_threshold)
+        scored = video_sentiment(bindings.content_comments(spark, sf_dir), bindings.fixture_lexicon(spark),
+                                 params.label_threshold)
+        videos, summary = bindings.content_videos_raw(spark, sf_dir, scored), None  # joined with the statistics, masked later
     elif binding == "commerce":
         # statistics and sentiment come from one line-item aggregate, joined once
         rollup = bindings.commerce_line_rollup(spark, sf_dir, params.label_threshold)
@@ -103,6 +104,20 @@ def raw_videos(spark: SparkSession, sf_dir: str, binding: str = "commerce") -> D
     return _raw_published[key]
 
 
+_dated_published: dict[tuple, DataFrame] = {}
+# whole texts stay with the collected table; rows of a window fetch them by id
+LONG_TEXTS = {"content": ("video_title", "video_description"), "commerce": ()}
+
+
+def dated_videos(spark: SparkSession, sf_dir: str, binding: str = "commerce") -> DataFrame:
+    """The collected-videos table, typed and date-clustered (see ``sources.dated``), published like ``raw_videos``."""
+    configure(spark)
+    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), input_state(spark, sf_dir), binding)
+    if key not in _dated_published:
+        _dated_published[key] = write_dated(raw_videos(spark, sf_dir, binding).drop(*LONG_TEXTS[binding]), f"videos-{binding}")
+    return _dated_published[key]
+
+
 def publish_staged(videos_raw: DataFrame, summary: DataFrame | None, params: Params,
                    name: str = "custom") -> DataFrame:
     """The staged table from your own collected videos and sentiment summary.

@@ -24,6 +24,7 @@ from courtview.operators.shape import collection_window
 from courtview.operators.skew import skew_split_join
 from courtview.params import FIXTURE_LEXICON, Params
 from courtview.schemas import LEXICON
+from courtview.sources.colocated import attach, bucketed_input
 
 VIDEO_RAW_COLUMNS = (
     "team", "team_abbreviation", "conference", "channel_id", "video_id", "published_at",
@@ -52,11 +53,17 @@ def content_event_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def content_videos_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = read_table(spark, sf_dir, "documents").select(
-        F.col("doc_id").cast("string").alias("video_id"), "text", "lang", "source", "n_chars")
-    stats = content_event_stats(spark, sf_dir)
-    j = docs.join(stats, "video_id", "left")
+def content_videos_raw(spark: SparkSession, sf_dir: str, summary: DataFrame | None = None) -> DataFrame:
+    """Documents with their event statistics (and the sentiment columns of ``summary``, for items that have statistics).
+
+    The numbers of an item are joined first; whole texts are read in place from the bucketed copy of the documents.
+    """
+    docs = bucketed_input(read_table(spark, sf_dir, "documents").select(
+        F.col("doc_id").cast("string").alias("video_id"), "text", "lang", "source", "n_chars"), sf_dir, "video_id", "documents")
+    facts = content_event_stats(spark, sf_dir)
+    if summary is not None:
+        facts = facts.join(summary.select("video_id", *SUMMARY_COLUMNS), "video_id", "left")
+    j = attach(docs, facts, "video_id")
     n = F.col("n_chars")
     duration = F.when(n < 60, F.concat(F.lit("PT"), n.cast("string"), F.lit("S"))).otherwise(
         F.concat(F.lit("PT"), F.floor(n / 60).cast("string"), F.lit("M"), (n % 60).cast("string"), F.lit("S")))
@@ -75,6 +82,7 @@ def content_videos_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("n_click").alias("like_count"),
         F.col("n_signup").alias("comment_count"),
         duration.alias("duration"),
+        *(SUMMARY_COLUMNS if summary is not None else ()),
     )
 
 
@@ -128,6 +136,8 @@ def commerce_videos_raw(spark: SparkSession, sf_dir: str, line_rollup: DataFrame
     """
     orders = read_table(spark, sf_dir, "orders").select(
         "o_orderkey", "o_custkey", "o_totalprice", "o_orderdate", "o_orderpriority")
+    if window is not None:  # takes no place of a list that is newest first (see ``collection_window``)
+        orders = orders.where(F.col("o_orderdate") >= F.lit(window.start_date).cast("timestamp_ntz"))
     cust = commerce_customers(spark, sf_dir)
     rollup = line_rollup if line_rollup is not None else commerce_line_rollup(spark, sf_dir)
     stats = rollup.select("video_id", "n_like", "n_comment", *(SUMMARY_COLUMNS if keep_summary else ()))
