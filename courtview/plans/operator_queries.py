@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from courtview.functions.dates import date_parts, iso_text, parse_ts
 from courtview.functions.text import html_decode, lower, regex_detect, rules_first_match, squish, strip_newlines
 from courtview.operators import shape
+from courtview.operators.bloom import may_match
 from courtview.operators.skew import skew_split_join
 from courtview.operators.features import add_flags
 from courtview.operators.sentiment import label_counts, score_comments, video_sentiment
@@ -235,9 +236,11 @@ def join_comment_video(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _with_video(comments: DataFrame, pulled: DataFrame) -> DataFrame:
-    """Comments of the pulled videos (a filter by id), left-joined with the videos' attributes."""
-    kept = comments.join(pulled.select("video_id").distinct(), "video_id", "left_semi")
-    return skew_split_join(kept, pulled, "video_id", "left")
+    """Comments of the pulled videos with the videos' attributes.
+
+    A Bloom filter of the pulled ids drops the others at their scan; whole texts cross the exact join's exchange only.
+    """
+    return skew_split_join(may_match(comments, pulled.select("video_id"), "video_id"), pulled, "video_id", "inner")
 
 
 def comments_sentiment(spark: SparkSession, sf: str) -> DataFrame:
