@@ -13,16 +13,17 @@ from courtview.functions.dates import date_parts, iso_text, parse_ts
 from courtview.functions.text import html_decode, lower, regex_detect, rules_first_match, squish, strip_newlines
 from courtview.operators import shape
 from courtview.operators.bloom import may_match
+from courtview.operators.sketch import rank_error, rank_of
 from courtview.operators.skew import skew_split_join
 from courtview.operators.features import add_flags
 from courtview.operators.sentiment import label_counts, score_comments, video_sentiment
 from courtview.params import (REFERENCE_CONTENT_DEFAULT, REFERENCE_CONTENT_RULES, REFERENCE_THEME_DEFAULT,
                               REFERENCE_THEME_RULES)
 from courtview.plans.dashboards import top_titles
-from courtview.plans.staged import PARAMS, dated_videos, published_features, raw_videos, staged, thresholds
+from courtview.plans.staged import PARAMS, dated_videos, published_features, raw_videos, sketched_quantiles, staged, thresholds
 from courtview.schemas import STAGED_COLUMNS
 from courtview.sources import bindings as B
-from courtview.sources import files, payloads
+from courtview.sources import files, landed, payloads
 from courtview.sources.dated import between_dates
 
 C, T = "commerce", "content"
@@ -67,11 +68,25 @@ def snk_table(spark: SparkSession, sf: str) -> DataFrame:
     return files.write_table(staged(spark, sf, C), "stg_videos")
 
 
+# captions as a BI tool shows them, with the cases that the naming rules are for
+CAPTIONS = {"video_id": "VideoID", "team": "\u00c9quipe", "conference": "Team's Conf.", "channel_title": "Conf Team", "engagement_rate": "Engagement Rate (%)",
+            "likes_per_1k_views": "1k Views: Likes", "comments_pulled": "# Comments Pulled", "published_month": "YYYYMonth", "published_hour": "Video ID"}
+
+
+def _captions(columns: list[str]) -> list[str]:
+    return [" ".join(w[:1].upper() + w[1:] for w in c.split("_")) for c in columns]
+
+
 def prj_clean_names(spark: SparkSession, sf: str) -> DataFrame:
     """Display captions (``Video Id``, ``Likes Per 1k Views`` ...) back to snake case."""
     stg = staged(spark, sf, C)
-    captions = [" ".join(w[:1].upper() + w[1:] for w in c.split("_")) for c in stg.columns]
-    return files.clean_names(stg.toDF(*captions))
+    return files.clean_names(stg.toDF(*_captions(stg.columns)))
+
+
+def prj_clean_captions(spark: SparkSession, sf: str) -> DataFrame:
+    """Captions with symbols, accents, acronyms, leading digits and a repeated name to snake case."""
+    picked = staged(spark, sf, C).select(*CAPTIONS)
+    return files.clean_names(picked.toDF(*CAPTIONS.values()))
 
 
 # ---------------------------------------------------------------------------
@@ -121,10 +136,11 @@ def json_event_props(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def set_union(spark: SparkSession, sf: str) -> DataFrame:
-    """Text comments and scored comments stacked by name; missing columns become NULL."""
+    """Text comments and scored comments, landed as files of differing columns, read back in one scan; missing columns become NULL."""
     text = B.content_comments(spark, sf).select("video_id", "comment_id", "comment_text")
     scored = B.commerce_scored_comments(spark, sf).select("video_id", "comment_id", "sentiment_score")
-    return shape.union_all([text, scored])
+    schema = shape.union_all([text, scored]).schema
+    return landed.good_rows(landed.read_landed(spark, landed.land([text, scored], "comments"), schema))
 
 
 # ---------------------------------------------------------------------------
@@ -193,6 +209,18 @@ def agg_quantile(spark: SparkSession, sf: str) -> DataFrame:
                      F.round("negative_p90", 12).alias("negative_p90"))
 
 
+def agg_quantile_sketch(spark: SparkSession, sf: str) -> DataFrame:
+    """The two p90 thresholds from merged monthly sketches: whether each is within the sketch's rank error of p, by exact counts."""
+    out = []
+    for b in (C, T):
+        feats = published_features(spark, sf, b)
+        for r in sketched_quantiles(spark, sf, b).collect():  # two measures
+            lo, hi = rank_of(feats, r["column"], r["quantile"])
+            p, e = PARAMS[b].quantile, rank_error()
+            out.append((b, r["column"], r["n"], lo - e <= p <= hi + e))
+    return spark.createDataFrame(out, "binding string, measure string, n bigint, within_bound boolean")
+
+
 def feat_flags(spark: SparkSession, sf: str) -> DataFrame:
     feats = published_features(spark, sf, C)
     return add_flags(feats, PARAMS[C], thresholds(spark, sf, C), keep_flags=True).select(
@@ -301,7 +329,7 @@ def fn_date_parts(spark: SparkSession, sf: str) -> DataFrame:
 OPERATOR_QUERIES = {
     "src_inline": src_inline, "src_csv": src_csv, "src_csv_content": src_csv_content,
     "exp_video_safe": exp_video_safe, "src_typed_csv": src_typed_csv, "src_extract": src_extract,
-    "snk_table": snk_table, "prj_clean_names": prj_clean_names,
+    "snk_table": snk_table, "prj_clean_names": prj_clean_names, "prj_clean_captions": prj_clean_captions,
     "json_channels": json_channels, "json_uploads_id": json_uploads_id, "json_channel_search": json_channel_search,
     "json_playlist_items": json_playlist_items, "json_video_stats": json_video_stats, "json_comments": json_comments,
     "unnest_nested": unnest_nested, "set_union": set_union, "json_event_props": json_event_props,
@@ -309,7 +337,7 @@ OPERATOR_QUERIES = {
     "win_topn_group": win_topn_group, "win_cap_group": win_cap_group, "flt_daterange": flt_daterange,
     "prj_id_batches": prj_id_batches, "flt_has_comments": flt_has_comments, "prj_distinct_ids": prj_distinct_ids,
     "join_video_stats": join_video_stats, "srt_topn_members": srt_topn_members,
-    "agg_count_distinct": agg_count_distinct, "agg_quantile": agg_quantile, "feat_flags": feat_flags,
+    "agg_count_distinct": agg_count_distinct, "agg_quantile": agg_quantile, "agg_quantile_sketch": agg_quantile_sketch, "feat_flags": feat_flags,
     "sent_score": sent_score, "comments_sentiment": comments_sentiment, "sent_label": sent_label, "sent_rollup": sent_rollup, "qa_labels": qa_labels,
     "qa_negative": qa_negative, "join_comment_video": join_comment_video,
     "fn_squish": fn_squish, "fn_lower": fn_lower, "fn_strip_newlines": fn_strip_newlines,

@@ -11,11 +11,13 @@ database table.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from courtview.operators.features import add_flags, flag_thresholds, video_features
 from courtview.operators.sentiment import video_sentiment
+from courtview.operators.sketch import quantiles, read_store, refresh
 from courtview.params import COMMERCE_PARAMS, CONTENT_PARAMS, Params
-from courtview.session import configure, input_state, materialize
+from courtview.session import configure, delete_at_exit, input_state, materialize, scratch_path
 from courtview.sources import bindings
 from courtview.sources.dated import write_dated
 
@@ -118,6 +120,25 @@ def dated_videos(spark: SparkSession, sf_dir: str, binding: str = "commerce") ->
     return _dated_published[key]
 
 
+FLAG_MEASURES = ["engagement_rate", "negative_comment_pct"]
+_sketched: dict[tuple, tuple[str, str]] = {}
+
+
+def sketched_quantiles(spark: SparkSession, sf_dir: str, binding: str = "commerce") -> DataFrame:
+    """(column, n, quantile) of the flag measures, from the sketches of a date-clustered copy's months (see ``operators.sketch``)."""
+    feats = published_features(spark, sf_dir, binding)
+    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), input_state(spark, sf_dir), binding)
+    if key not in _sketched:
+        folder, store = scratch_path(spark, f"measures-{binding}"), scratch_path(spark, f"sketches-{binding}")
+        dates = [F.col("published_at").alias("published_ts"), "published_date", "published_month"]
+        write_dated(feats.select("video_id", *dates, *FLAG_MEASURES), f"measures-{binding}", path=folder)
+        delete_at_exit(spark, store)
+        _sketched[key] = folder, store
+    folder, store = _sketched[key]
+    refresh(spark, folder, store, FLAG_MEASURES)
+    return quantiles(read_store(spark, store), PARAMS[binding].quantile)
+
+
 def publish_staged(videos_raw: DataFrame, summary: DataFrame | None, params: Params,
                    name: str = "custom") -> DataFrame:
     """The staged table from your own collected videos and sentiment summary.

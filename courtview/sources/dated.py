@@ -24,9 +24,9 @@ def with_dates(df: DataFrame, iso: str = "published_at") -> DataFrame:
     return df.withColumn(TIME, parse_ts(iso)).withColumn(DAY, F.to_date(TIME)).withColumn(MONTH, F.trunc(DAY, "MM"))
 
 
-def write_dated(df: DataFrame, name: str, order: str = "video_id") -> DataFrame:
+def write_dated(df: DataFrame, name: str, order: str = "video_id", path: str | None = None) -> DataFrame:
     """The date-clustered copy of ``df`` (see ``with_dates``), read back; it lasts as long as the application."""
-    spark, path = df.sparkSession, scratch_path(df.sparkSession, f"dated-{name}")
+    spark, path = df.sparkSession, path or scratch_path(df.sparkSession, f"dated-{name}")
     typed = df if MONTH in df.columns else with_dates(df)
     typed.repartitionByRange(F.col(DAY).asc_nulls_last(), F.col(order).asc_nulls_last()).sortWithinPartitions(MONTH, DAY, TIME).write.partitionBy(MONTH).parquet(path)
     delete_at_exit(spark, path)

@@ -5,7 +5,8 @@ unless the caller passes one.
 
 from __future__ import annotations
 
-import re
+import unicodedata
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -75,18 +76,72 @@ def parquet_snapshot(df: DataFrame, name: str = "extract") -> DataFrame:
     return spark.read.parquet(path)
 
 
+OWNER = "courtview.published"
+
+
+class ForeignTableError(RuntimeError):
+    """A table of that name exists and was not published by this library."""
+
+
+def _location(spark: SparkSession, table: str) -> str:
+    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").where(F.col("col_name") == "Location").collect()
+    return rows[0]["data_type"]
+
+
+def _layout(spark: SparkSession, table: str) -> tuple:
+    """What a swap of locations must leave as it is: columns, and bucketing."""
+    told = {r["col_name"]: r["data_type"] for r in spark.sql(f"DESCRIBE TABLE EXTENDED {table}").where("col_name IN ('Num Buckets', 'Bucket Columns', 'Provider')").collect()}
+    return spark.table(table).schema.simpleString(), tuple(sorted(told.items()))
+
+
+def _drop_files(spark: SparkSession, path: str) -> None:
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+
+
+def is_ours(spark: SparkSession, table: str) -> bool:
+    """Whether an existing table carries the library's mark."""
+    return any(r["key"] == OWNER for r in spark.sql(f"SHOW TBLPROPERTIES {table}").collect())
+
+
 def write_table(df: DataFrame, name: str, bucket_by: str | None = None, buckets: int | None = None) -> DataFrame:
-    """Overwrite a catalog table whose files live in the shared folder; returns the table.
+    """Publish a catalog table whose files live in the shared folder, in one step; returns the table.
+
+    The new copy is written beside the old one under a name of its own. Only when it is whole does the table change: its
+    location is swapped for the new one (same columns and bucketing), or the table is replaced (otherwise: the name is
+    missing for a moment). Then the old copy's files go. A write that fails leaves the table as it was and no files. A table of that name
+    that this library did not publish is refused (``ForeignTableError``) before anything is written.
 
     With ``bucket_by`` the table is hash-bucketed (and sorted) on that key: later joins with another table
     bucketed the same way on the same key read both sides without an exchange (e.g. documents and their
     per-item statistics on ``video_id``, so repeated builds never re-shuffle whole texts).
     """
     spark = df.sparkSession
-    w = df.write.mode("overwrite").option("path", scratch_path(spark, f"table-{name}"))
+    exists = spark.catalog.tableExists(name)
+    if exists and not is_ours(spark, name):
+        raise ForeignTableError(f"table {name} exists and was not published by this library")
+    path, beside = scratch_path(spark, f"table-{name}"), f"{name}__{uuid.uuid4().hex[:12]}"
+    w = df.write.mode("errorifexists").option("path", path)
     if bucket_by:
         w = w.bucketBy(buckets or int(spark.conf.get("spark.sql.shuffle.partitions")), bucket_by).sortBy(bucket_by)
-    w.saveAsTable(name)
+    try:
+        w.saveAsTable(beside)
+    except Exception:
+        spark.sql(f"DROP TABLE IF EXISTS {beside}")
+        _drop_files(spark, path)
+        raise
+    spark.sql(f"ALTER TABLE {beside} SET TBLPROPERTIES ('{OWNER}' = 'true')")
+    old = _location(spark, name) if exists else None
+    if exists and _layout(spark, name) == _layout(spark, beside):
+        spark.sql(f"ALTER TABLE {name} SET LOCATION '{_location(spark, beside)}'")
+        spark.sql(f"DROP TABLE {beside}")  # an external table: its files stay
+        spark.catalog.refreshTable(name)
+    else:
+        if exists:
+            spark.sql(f"DROP TABLE {name}")
+        spark.sql(f"ALTER TABLE {beside} RENAME TO {name}")
+    if old:
+        _drop_files(spark, old)
     return spark.table(name)
 
 
@@ -95,19 +150,68 @@ def list_tables(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(rows, "name string, table_type string, is_temporary boolean")
 
 
+#: Letters that Unicode does not decompose, in ASCII.
+ASCII_LETTERS = {
+    "ß": "ss", "ẞ": "SS", "æ": "ae", "Æ": "AE", "œ": "oe", "Œ": "OE", "ø": "o", "Ø": "O", "đ": "d", "Đ": "D", "ð": "d", "Ð": "D",
+    "þ": "th", "Þ": "TH", "ł": "l", "Ł": "L", "ħ": "h", "Ħ": "H", "ı": "i", "ŋ": "ng", "Ŋ": "NG", "ŧ": "t", "Ŧ": "T", "µ": "u", "μ": "u",
+}
+#: Symbols that are words, and marks that vanish.
+SYMBOL_WORDS = {"%": " percent ", "#": " number "}
+DROPPED = "'\"\u2018\u2019\u201c\u201d"
+
+
+def ascii_text(name: str) -> str:
+    """Latin letters without accents; characters that have no ASCII form stay."""
+    def one(ch: str, after: str) -> str:
+        plain = ASCII_LETTERS.get(ch, ch)  # a capital of two letters is one capital before a small letter
+        return plain.title() if len(plain) > 1 and plain.isupper() and not after.isupper() else plain
+
+    plain = "".join(one(ch, after) for ch, after in zip(name, f"{name} "[1:], strict=True))
+    return "".join(ch for ch in unicodedata.normalize("NFKD", plain) if not unicodedata.combining(ch))
+
+
+def name_words(text: str) -> list[str]:
+    """The words of an ASCII name: runs of letters and digits, cut where the case changes.
+
+    A cut stands before a capital that follows a small letter or a digit (``viewCount``, ``q4Views``), and before the last
+    capital of a run of them that a small letter follows (``HTMLPage`` is html, page). Digits do not part words.
+    """
+    words, word = [], ""
+    for i, ch in enumerate(text):
+        if not (ch.isascii() and ch.isalnum()):
+            words.append(word)
+            word = ""
+            continue
+        if word and ch.isupper():
+            last, after = word[-1], text[i + 1] if i + 1 < len(text) else ""
+            if not last.isupper() or (after.isascii() and after.islower()):
+                words.append(word)
+                word = ""
+        word += ch
+    words.append(word)
+    return [w.lower() for w in words if w]
+
+
 def clean_name(name: str) -> str:
-    """Snake case: non-alphanumerics to ``_``, camelCase split, lower case, trimmed underscores."""
-    s = re.sub(r"([a-z0-9])([A-Z])", r"\1_\2", name)
-    s = re.sub(r"[^0-9A-Za-z]+", "_", s).strip("_").lower()
-    return s or "x"
+    """Snake case in ASCII: accents removed, ``%`` and ``#`` as words, quotes dropped, ``x`` before a leading digit (or alone for no word)."""
+    text = "".join(SYMBOL_WORDS.get(ch, ch) for ch in name if ch not in DROPPED)
+    out = "_".join(name_words(ascii_text(text)))
+    return f"x{out}" if not out or out[0].isdigit() else out
 
 
 def clean_names(df: DataFrame) -> DataFrame:
-    """Rename every column to snake case; repeated names get ``_2``, ``_3``, ..."""
-    seen: dict[str, int] = {}
+    """Rename every column by ``clean_name``; a name that is taken gets ``_2``, ``_3``, ... (the first that is free)."""
+    return df.toDF(*unique_names([clean_name(c) for c in df.columns]))
+
+
+def unique_names(names: list[str]) -> list[str]:
+    taken: set[str] = set()
     out = []
-    for c in df.columns:
-        base = clean_name(c)
-        seen[base] = seen.get(base, 0) + 1
-        out.append(base if seen[base] == 1 else f"{base}_{seen[base]}")
-    return df.toDF(*out)
+    for base in names:
+        name, n = base, 1
+        while name in taken:
+            n += 1
+            name = f"{base}_{n}"
+        taken.add(name)
+        out.append(name)
+    return out

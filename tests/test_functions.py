@@ -133,6 +133,17 @@ def test_rules_first_match_equals_python_fold(spark, rows):
     assert got == want
 
 
+def test_clean_name_rules():
+    """Symbols, accents, acronyms, leading digits, quotes, letters without an ASCII form, names without a word."""
+    from courtview.sources.files import unique_names
+    want = {"Win %": "win_percent", "# of Views": "number_of_views", "%": "percent", "2 Points": "x2_points", "3PT%": "x3_pt_percent", "1k Views": "x1k_views",
+            "Équipe Préférée": "equipe_preferee", "Straße": "strasse", "Łódź Ærø": "lodz_aero", "ÆRØ Œuvre": "aero_oeuvre", "HTMLPage": "html_page", "VideoID": "video_id", "YYYYMonth": "yyyy_month",
+            "parseJSONFile": "parse_json_file", "Q4Results": "q4_results", "ABC": "abc", "don't Know": "dont_know", "\u201cQuoted\u201d \"Name\"": "quoted_name",
+            "__a..b__": "a_b", "": "x", "---": "x", "日本": "x", "µ Level": "u_level", "A1b2C3": "a1b2_c3"}
+    assert {n: clean_name(n) for n in want} == want
+    assert unique_names(["a", "a", "a_2", "a", "b"]) == ["a", "a_2", "a_2_2", "a_3", "b"]
+
+
 def test_clean_name():
     assert clean_name("Video Id") == "video_id"
     assert clean_name("likeCount") == "like_count"
