@@ -21,7 +21,7 @@ from courtview.plans import dashboards as D
 from courtview.plans import reports as R
 from courtview.plans.staged import PARAMS, published_features, raw_videos, staged, thresholds
 from courtview.sources import bindings as B
-from courtview.sources import files, payloads
+from courtview.sources import files
 
 C, T = "commerce", "content"
 
@@ -307,8 +307,9 @@ def snk_csv(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def qa_channels(spark: SparkSession, sf: str) -> DataFrame:
+    from courtview.plans.operator_queries import json_channels
     ch = B.commerce_channels(spark, sf)
-    check = payloads.channel_check(payloads.build_channel_pages(ch), ch)
+    check = json_channels(spark, sf)
     j = ch.join(check, ch.channel_id == check.checked_channel_id, "left")
     return (j.select("team", "team_abbreviation", "channel_id", "channel_title", "subscriber_count", "valid_channel")
             .orderBy("channel_id"))

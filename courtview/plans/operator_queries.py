@@ -92,40 +92,39 @@ def prj_clean_captions(spark: SparkSession, sf: str) -> DataFrame:
 # ---------------------------------------------------------------------------
 # payloads
 # ---------------------------------------------------------------------------
+def _pages(spark: SparkSession, sf: str, kind: str) -> DataFrame:
+    """The documents of a kind, read from their landed folder (landed outside the library, see ``fixtures/``)."""
+    from fixtures.payload_files import landed as landed_folder
+    return payloads.read_pages(spark, landed_folder(spark, sf, kind))
+
+
 def json_channels(spark: SparkSession, sf: str) -> DataFrame:
-    ch = B.commerce_channels(spark, sf)
-    return payloads.channel_check(payloads.build_channel_pages(ch), ch)
+    return payloads.channel_check(_pages(spark, sf, "channels"), B.commerce_channels(spark, sf))
 
 
 def json_uploads_id(spark: SparkSession, sf: str) -> DataFrame:
-    ch = B.commerce_channels(spark, sf)
-    return payloads.uploads_playlist(payloads.build_channel_pages(ch), ch)
+    return payloads.uploads_playlist(_pages(spark, sf, "channels"), B.commerce_channels(spark, sf))
 
 
 def json_channel_search(spark: SparkSession, sf: str) -> DataFrame:
-    return payloads.channel_search(payloads.build_search_pages(B.commerce_channels(spark, sf)))
+    return payloads.channel_search(_pages(spark, sf, "search"))
 
 
 def json_playlist_items(spark: SparkSession, sf: str) -> DataFrame:
-    vr = raw_videos(spark, sf, C)
-    return payloads.playlist_items(payloads.build_playlist_pages(vr), PARAMS[C].list_cap)
+    return payloads.playlist_items(_pages(spark, sf, "playlist"), PARAMS[C].list_cap)
 
 
 def json_video_stats(spark: SparkSession, sf: str) -> DataFrame:
-    return payloads.video_stats(payloads.build_stats_pages(raw_videos(spark, sf, C)))
+    return payloads.video_stats(_pages(spark, sf, "stats"))
 
 
 def json_comments(spark: SparkSession, sf: str) -> DataFrame:
-    return payloads.comments(payloads.build_comment_pages(B.content_comments(spark, sf)))
+    return payloads.comments(_pages(spark, sf, "comments"))
 
 
 def unnest_nested(spark: SparkSession, sf: str) -> DataFrame:
     """Per-row nested tables (upload-list pages) to rows, outer columns repeated, no cap."""
-    docs = payloads.build_playlist_pages(raw_videos(spark, sf, C))
-    p = payloads.parse(docs, payloads.PLAYLIST_PAGE)
-    return p.select(F.col("doc.channel_id").alias("channel_id"), F.col("doc.page").alias("page"),
-                    F.inline("doc.items")).select(
-        "channel_id", "page", F.col("contentDetails.videoId").alias("video_id"))
+    return payloads.upload_pages(_pages(spark, sf, "playlist"))
 
 
 def json_event_props(spark: SparkSession, sf: str) -> DataFrame:

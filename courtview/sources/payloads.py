@@ -1,16 +1,14 @@
 """Landed API payloads (JSON documents) -> rows.
 
 The collection stage is not rebuilt (no HTTP); instead its responses are read
-as landed JSON - one document per request - with explicit schemas.  Nested
+as landed JSON - folders of files, one document per request and line - with explicit schemas.  Nested
 item lists are flattened with ``inline``/``posexplode``; leaf access is NULL-safe
-and numbers arrive as text, so they go through ``try_cast``.  The ``build_*``
-functions land such documents from the bound driver tables, in pages whose
-size is bounded by construction.
+and numbers arrive as text, so they go through ``try_cast``.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -24,7 +22,7 @@ def _st(*fields) -> T.StructType:
 CHANNELS_PAGE = _st(("items", T.ArrayType(_st(
     ("id", S), ("snippet", _st(("title", S))), ("statistics", _st(("subscriberCount", S))),
     ("contentDetails", _st(("relatedPlaylists", _st(("uploads", S)))))))))
-SEARCH_PAGE = _st(("query", S), ("items", T.ArrayType(_st(
+SEARCH_PAGE = _st(("query", S), ("page", T.LongType()), ("items", T.ArrayType(_st(
     ("id", _st(("channelId", S))), ("snippet", _st(("title", S), ("description", S)))))))
 PLAYLIST_PAGE = _st(("channel_id", S), ("page", T.LongType()), ("nextPageToken", S), ("items", T.ArrayType(_st(
     ("contentDetails", _st(("videoId", S), ("videoPublishedAt", S))),
@@ -37,6 +35,11 @@ COMMENTS_PAGE = _st(("video_id", S),
                     ("items", T.ArrayType(_st(("snippet", _st(("topLevelComment", _COMMENT),)),))))
 
 
+def read_pages(spark: SparkSession, folder: str) -> DataFrame:
+    """The documents of a landed folder, one line each, as a text column ``json``."""
+    return spark.read.text(folder).select(F.col("value").alias("json"))
+
+
 def parse(docs: DataFrame, schema: T.StructType, col: str = "json") -> DataFrame:
     """JSON text column -> struct column ``doc``; malformed documents give NULL (0 rows downstream)."""
     return docs.select(F.from_json(F.col(col), schema, {"mode": "PERMISSIVE"}).alias("doc"))
@@ -68,8 +71,11 @@ def uploads_playlist(docs: DataFrame, requested: DataFrame | None = None) -> Dat
 
 
 def channel_search(docs: DataFrame, max_results: int = 5) -> DataFrame:
-    """Search pages -> (query, channel_title, channel_id, channel_description), at most ``max_results`` per query."""
-    p = parse(docs, SEARCH_PAGE).where(F.col("doc").isNotNull())
+    """Search pages -> (query, channel_title, channel_id, channel_description), at most ``max_results`` per query.
+
+    They come from the query's first page (page 0, or the only one of a query without page numbers).
+    """
+    p = parse(docs, SEARCH_PAGE).where(F.col("doc").isNotNull() & (F.coalesce("doc.page", F.lit(0)) == 0))
     ex = p.select(F.col("doc.query").alias("query"), F.posexplode("doc.items").alias("pos", "it"))
     return ex.where(F.col("pos") < max_results).select(
         "query", F.col("it.snippet.title").alias("channel_title"), F.col("it.id.channelId").alias("channel_id"),
@@ -77,13 +83,18 @@ def channel_search(docs: DataFrame, max_results: int = 5) -> DataFrame:
 
 
 def playlist_items(docs: DataFrame, max_results: int = 100) -> DataFrame:
-    """Each channel's upload list up to its first empty page, in page then position order, first ``max_results`` kept."""
+    """Each channel's upload list in page then position order, first ``max_results`` kept.
+
+    A list is read as a client pages through it: it ends before its first empty page, and with its first page that names no
+    next page. The end of each list is found from its pages' numbers alone.
+    """
     from courtview.operators.shape import top_n_per_group
     p = parse(docs, PLAYLIST_PAGE).where(F.col("doc").isNotNull())
-    stops = p.groupBy(F.col("doc.channel_id").alias("_channel")).agg(
-        F.min(F.when(F.coalesce(F.size("doc.items"), F.lit(0)) <= 0, F.col("doc.page"))).alias("_empty"))
-    p = p.join(stops, F.col("doc.channel_id").eqNullSafe(F.col("_channel"))).where(
-        F.col("_empty").isNull() | (F.col("doc.page") < F.col("_empty")))
+    page, empty = F.col("doc.page"), F.coalesce(F.size("doc.items"), F.lit(0)) <= 0
+    ends = p.groupBy(F.col("doc.channel_id").alias("_channel")).agg(
+        F.min(F.when(empty, page)).alias("_empty"), F.min(F.when(F.col("doc.nextPageToken").isNull(), page)).alias("_last"))
+    p = p.join(ends, F.col("doc.channel_id").eqNullSafe(F.col("_channel"))).where(
+        (F.col("_empty").isNull() | (page < F.col("_empty"))) & (F.col("_last").isNull() | (page <= F.col("_last"))))
     ex = p.select(F.col("doc.channel_id").alias("channel_id"), F.col("doc.page").alias("page"),
                   F.posexplode("doc.items").alias("pos", "it"))
     kept = top_n_per_group(ex, ["channel_id"], [F.col("page"), F.col("pos")], max_results)
@@ -94,6 +105,13 @@ def playlist_items(docs: DataFrame, max_results: int = 100) -> DataFrame:
         F.col("it.snippet.description").alias("video_description"))
 
 
+def upload_pages(docs: DataFrame) -> DataFrame:
+    """Per-row nested tables (upload-list pages) to rows, outer columns repeated, no cap: (channel_id, page, video_id)."""
+    p = parse(docs, PLAYLIST_PAGE)
+    return p.select(F.col("doc.channel_id").alias("channel_id"), F.col("doc.page").alias("page"),
+                    F.inline("doc.items")).select("channel_id", "page", F.col("contentDetails.videoId").alias("video_id"))
+
+
 def video_stats(docs: DataFrame) -> DataFrame:
     """Stats pages -> (video_id, view_count, like_count, comment_count, duration); absent leaf -> NULL."""
     p = parse(docs, STATS_PAGE).where(F.col("doc").isNotNull())
@@ -116,89 +134,3 @@ def comments(docs: DataFrame) -> DataFrame:
         c.getField("snippet").getField("textDisplay").alias("comment_text"),
         c.getField("snippet").getField("likeCount").try_cast("bigint").alias("comment_like_count"),
         c.getField("snippet").getField("publishedAt").alias("comment_published_at"))
-
-
-# ---------------------------------------------------------------------------
-# landing documents from bound tables (fixtures that grow with the data)
-# No page can hold more than ``page_size`` items, whatever the id format and however skewed the channels or videos
-# are. Where the order of the items matters (upload lists), narrow keys are numbered by a distributed global index and
-# a page is index div page size; elsewhere a page is a run of rows of one task, without any sort.
-# ---------------------------------------------------------------------------
-def _paged(df: DataFrame, keys: list[str], order: list, page_size: int) -> DataFrame:
-    """``df`` with row_index and page; ``keys`` (the first one unique) are all that is sorted."""
-    from courtview.operators.shape import with_global_index
-    idx = with_global_index(df.select(*keys), [F.col(c) if isinstance(c, str) else c for c in order])
-    numbered = idx.select(keys[0], "row_index", F.floor(F.col("row_index") / page_size).alias("page"))
-    return df.join(numbered, keys[0])
-
-
-def _runs(df: DataFrame, page_size: int) -> DataFrame:
-    """``df`` with ``page``: runs of ``page_size`` rows of one task."""
-    return df.withColumn("page", F.floor(F.monotonically_increasing_id() / page_size))
-
-
-def _sorted_items(item: F.Column, sort_key: F.Column) -> F.Column:
-    pairs = F.array_sort(F.collect_list(F.struct(sort_key.alias("k"), item.alias("v"))))
-    return F.transform(pairs, lambda e: e["v"])
-
-
-def build_stats_pages(videos_raw: DataFrame, page_size: int = 50) -> DataFrame:
-    item = F.struct(
-        F.col("video_id").alias("id"),
-        F.struct(F.col("view_count").cast("string").alias("viewCount"),
-                 F.col("like_count").cast("string").alias("likeCount"),
-                 F.col("comment_count").cast("string").alias("commentCount")).alias("statistics"),
-        F.struct(F.col("duration").alias("duration")).alias("contentDetails"))
-    g = _runs(videos_raw, page_size).groupBy("page").agg(
-        _sorted_items(item, F.col("video_id")).alias("items"))
-    return g.select(F.to_json(F.struct("items")).alias("json"))
-
-
-def build_comment_pages(comments_df: DataFrame, page_size: int = 50) -> DataFrame:
-    """Comment-thread pages: at most ``page_size`` comments of one video per page."""
-    item = F.struct(F.struct(F.struct(
-        F.col("comment_id").alias("id"),
-        F.struct(F.col("comment_text").alias("textDisplay"),
-                 F.col("comment_like_count").cast("string").alias("likeCount"),
-                 F.col("comment_published_at").alias("publishedAt")).alias("snippet")
-    ).alias("topLevelComment")).alias("snippet"))
-    g = _runs(comments_df, page_size).groupBy("video_id", "page").agg(
-        _sorted_items(item, F.col("comment_id")).alias("items"))
-    return g.select(F.to_json(F.struct("video_id", "items")).alias("json"))
-
-
-def build_channel_pages(channels: DataFrame) -> DataFrame:
-    """One channels-endpoint document per channel; channels without subscribers answer with no items."""
-    item = F.struct(
-        F.col("channel_id").alias("id"), F.struct(F.col("channel_name").alias("title")).alias("snippet"),
-        F.struct(F.col("subscribers").cast("string").alias("subscriberCount")).alias("statistics"),
-        F.struct(F.struct(F.concat(F.lit("UU"), F.col("channel_id")).alias("uploads")).alias("relatedPlaylists"))
-        .alias("contentDetails"))
-    items = F.when(F.col("subscribers") > 0, F.array(item)).otherwise(F.array().cast(T.ArrayType(item_type())))
-    return channels.select(F.to_json(F.struct(items.alias("items"))).alias("json"))
-
-
-def item_type() -> T.StructType:
-    return CHANNELS_PAGE["items"].dataType.elementType
-
-
-def build_search_pages(channels: DataFrame) -> DataFrame:
-    """One search document per conference with all its channels."""
-    item = F.struct(F.struct(F.col("channel_id").alias("channelId")).alias("id"),
-                    F.struct(F.col("channel_name").alias("title"), F.col("team").alias("description")).alias("snippet"))
-    g = channels.groupBy("conference").agg(_sorted_items(item, F.col("channel_id")).alias("items"))
-    return g.select(F.to_json(F.struct(F.col("conference").alias("query"), "items")).alias("json"))
-
-
-def build_playlist_pages(videos_raw: DataFrame, page_size: int = 50) -> DataFrame:
-    """Upload-list pages per channel, newest first, at most ``page_size`` per page."""
-    from courtview.functions.dates import parse_ts
-    item = F.struct(
-        F.struct(F.col("video_id").alias("videoId"), F.col("published_at").alias("videoPublishedAt")).alias("contentDetails"),
-        F.struct(F.col("channel_title").alias("channelTitle"), F.col("video_title").alias("title"),
-                 F.col("video_description").alias("description")).alias("snippet"))
-    g = _paged(videos_raw, ["video_id", "channel_id", "published_at"],
-               ["channel_id", parse_ts("published_at").desc_nulls_last(), "video_id"], page_size).groupBy(
-        "channel_id", "page").agg(_sorted_items(item, F.col("row_index")).alias("items"))
-    return g.select(F.to_json(F.struct("channel_id", "page", F.lit(None).cast("string").alias("nextPageToken"),
-                                       "items")).alias("json"))

@@ -6,6 +6,7 @@ from conftest import SF_SMALL
 from courtview.sources import bindings as B
 from courtview.sources import payloads as P
 from courtview.streaming.landing import land
+from fixtures import payload_files as fx
 
 
 def write_docs(docs, folder, name):
@@ -18,7 +19,7 @@ def write_docs(docs, folder, name):
 def test_incremental_landing_appends_only_new_documents(spark):
     src = tempfile.mkdtemp(prefix="cv-land-src-")
     out = tempfile.mkdtemp(prefix="cv-land-out-")
-    docs = P.build_comment_pages(B.content_comments(spark, SF_SMALL))
+    docs = fx.comment_pages(B.content_comments(spark, SF_SMALL))
     first = docs.where("substring(json, 1, 20) < '{\"video_id\":\"5'")
     second = docs.subtract(first)
     write_docs(first, src, "part-1.json")
@@ -37,7 +38,7 @@ def test_landing_video_stats_equals_batch_parse(spark):
     from courtview.plans.staged import raw_videos
     src = tempfile.mkdtemp(prefix="cv-land-stats-src-")
     out = tempfile.mkdtemp(prefix="cv-land-stats-out-")
-    docs = P.build_stats_pages(raw_videos(spark, SF_SMALL, "commerce"))
+    docs = fx.stats_pages(raw_videos(spark, SF_SMALL, "commerce"))
     write_docs(docs, src, "stats.json")
     n = land(spark, src, "video_stats", out, name=f"s-{os.path.basename(out)}")
     got = spark.read.parquet(out)
