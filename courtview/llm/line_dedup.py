@@ -330,11 +330,10 @@ def dedup_lines(docs: DataFrame) -> DataFrame:
     spark = docs.sparkSession
     small_batches(spark)
     split = F.when(F.length("text") > 0, F.split("text", "\n")).otherwise(F.array().cast("array<string>"))
-    blank = F.length(F.trim(F.translate(F.col("line"), "\t\r\x0b\x0c", "    "))) == 0
-    keyed = docs.select("doc_id", F.monotonically_increasing_id().alias("row"), F.transform(split, lambda x: F.when(
-        F.length(F.trim(F.translate(x, "\t\r\x0b\x0c", "    "))) > 0, text_key(x))).alias("keys"))
+    filled = "[^ \t\r\x0b\x0c]"  # found at once in a line that is not blank
+    keyed = docs.select("doc_id", F.monotonically_increasing_id().alias("row"), F.transform(split, lambda x: F.when(x.rlike(filled), text_key(x))).alias("keys"))
     rows, _ = write_scratch(keyed, "lines-rows")
-    every = docs.select(F.explode(split).alias("line")).filter(~blank)
+    every = docs.select(F.explode(split).alias("line")).filter(F.col("line").rlike(filled))
     distinct = every.distinct().select("line", text_key(F.col("line")).alias("key"), F.monotonically_increasing_id().alias("id"))
     lines, lines_path = write_scratch(distinct, "lines-distinct")
     forest, counts = line_links(lines.select("id", "line"))
@@ -351,17 +350,19 @@ def dedup_lines(docs: DataFrame) -> DataFrame:
     marked = named.join(first, "class", "left").select("row", "pos", "class", "links", F.coalesce((F.col("row") != F.col("first_row")) | (F.col("pos") != F.col("first_pos")), F.lit(False)).alias("gone"))
     per_row = marked.groupBy("row").agg(F.array_sort(F.collect_list(F.struct("pos", "gone", "class", "links"))).alias("lines"))
     gone = F.transform(F.filter("lines", lambda x: x["gone"]), lambda x: x["pos"])
-    by_pos = F.map_from_entries(F.transform("lines", lambda x: F.struct(x["pos"], F.struct(F.lower(F.hex(x["class"])).alias("class"), x["links"].alias("links")))))
     n_links = F.aggregate("lines", F.lit(0).cast("long"), lambda total, x: total + x["links"])
-    facts = per_row.select("row", gone.alias("removed"), by_pos.alias("by_pos"), n_links.alias("n_links"))
+    facts = per_row.select("row", gone.alias("removed"), "lines", n_links.alias("n_links"))
     discard(spark, lines_path)
     empty = F.array().cast("array<int>")
-    n_lines = F.size("keys")
-    numbers = F.when(n_lines > 0, F.sequence(F.lit(0), n_lines - 1)).otherwise(empty)
-    return rows.select("doc_id", "row", "keys").join(facts, "row", "left").select(
-        "doc_id", n_lines.cast("long").alias("n_lines"), F.coalesce(F.size("removed"), F.lit(0)).cast("long").alias("n_removed"), F.coalesce("removed", empty).alias("removed"),
-        F.transform(numbers, lambda i: F.try_element_at(F.col("by_pos"), i)["class"]).alias("classes"),
-        F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), F.transform(numbers, lambda i: F.try_element_at(F.col("by_pos"), i)["links"]).alias("links"))
+    # blank lines are put among the others by their position: sorted, not looked up line by line
+    entry = "array<struct<pos:int,gone:boolean,class:binary,links:bigint>>"
+    none = [F.lit(None).cast(t).alias(c) for c, t in (("gone", "boolean"), ("class", "binary"), ("links", "bigint"))]
+    blank = F.filter(F.transform("keys", lambda k, i: F.when(k.isNull(), F.struct(i.alias("pos"), *none))), lambda x: x.isNotNull())
+    every = F.array_sort(F.concat(F.coalesce(F.col("lines").cast(entry), F.array().cast(entry)), blank.cast(entry)))
+    return rows.select("doc_id", "row", "keys").join(facts, "row", "left").withColumn("lines", every).select(
+        "doc_id", F.size("keys").cast("long").alias("n_lines"), F.coalesce(F.size("removed"), F.lit(0)).cast("long").alias("n_removed"), F.coalesce("removed", empty).alias("removed"),
+        F.transform("lines", lambda x: F.lower(F.hex(x["class"]))).alias("classes"),
+        F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), F.transform("lines", lambda x: x["links"]).alias("links"))
 
 
 def keep_lines(text: Column, removed: Column) -> Column:

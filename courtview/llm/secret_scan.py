@@ -18,7 +18,7 @@ from __future__ import annotations
 
 import base64
 import binascii
-import bisect
+from bisect import bisect_left
 import hashlib
 import json
 import re
@@ -40,6 +40,8 @@ JWT = re.compile(r"(?<![A-Za-z0-9_-])(?=(e[A-Za-z0-9_-]{7,})\.([A-Za-z0-9_-]{2,}
 BREAK = re.compile(r"[ \t]*(?:\r?\n|(?:\\r)?\\n)[ \t]*")  # newlines may be escaped, lines indented
 BASE64 = re.compile(r"(?:(?<=\\)n)?([A-Za-z0-9+/]{40,}(?:" + BREAK.pattern + r"[A-Za-z0-9+/]+)*={0,2})")
 HEX_ANY = re.compile(r"[0-9A-Fa-f]{40,}")
+MAGIC = b"openssh-key-v1\x00"
+MAX_FIELDS = 16  # a public key has 2 to 5, a certificate 13
 SSH_NAMES = (b"ssh-rsa", b"ssh-dss", b"ssh-ed25519", b"ecdsa-sha2-")
 
 
@@ -89,24 +91,21 @@ def is_der(raw: bytes) -> bool:
 
 def is_ssh_key(raw: bytes) -> bool:
     """The private key's magic, or length-prefixed fields of a public key that fill ``raw``."""
-    if raw.startswith(b"openssh-key-v1\x00"):
-        return _fields(raw[15:], 3) is not None
-    fields = _fields(raw, None)
-    return bool(fields) and len(fields) >= 2 and fields[0].startswith(SSH_NAMES)
-
-
-def _fields(raw: bytes, least: int | None) -> list[bytes] | None:
-    """Fields of 4-byte lengths; with ``least`` that many must fit, else all of ``raw``."""
-    out, at = [], 0
-    while at < len(raw) and (least is None or len(out) < least):
-        if at + 4 > len(raw):
-            return None
-        n = int.from_bytes(raw[at:at + 4], "big")
-        if at + 4 + n > len(raw):
-            return None
-        out.append(raw[at + 4:at + 4 + n])
-        at += 4 + n
-    return out if least is None or len(out) == least else None
+    if raw[:15] == MAGIC:
+        return len(_field_ends(raw, 15, 3)) == 3
+    ends = _field_ends(raw, 0, MAX_FIELDS)
+    return len(ends) >= 2 and ends[-1] == len(raw) and raw[4:ends[0]].startswith(SSH_NAMES)
+
+
+def _field_ends(raw: bytes, at: int, most: int) -> list[int]:
+    """Ends of the fields of 4-byte lengths from ``at`` on, as many as fit, at most ``most``."""
+    out = []
+    while len(out) < most and at + 4 <= len(raw):
+        at += 4 + int.from_bytes(raw[at:at + 4], "big")
+        if at > len(raw):
+            break
+        out.append(at)
+    return out
 
 
 def _json_object(part: str) -> dict | None:
@@ -133,51 +132,50 @@ def _kind(raw: bytes | None) -> int | None:
     return 4 if is_der(raw) else 5 if is_ssh_key(raw) else None
 
 
-def _is_head(line: str) -> bool:
-    raw = _decoded("base64", line[:40]) or b""
-    return raw[:1] == b"\x30" or raw.startswith(b"openssh-key-v1\x00") or raw[4:].startswith(SSH_NAMES)
+class _Decoded:
+    """The bytes of a run of base64 letters from ``start`` on, decoded where they are looked at."""
+
+    def __init__(self, letters: str, start: int, end: int) -> None:
+        self.letters, self.start, self.n = letters, start, (end - start) * 3 // 4
+
+    def __len__(self) -> int:
+        return self.n
+
+    def __getitem__(self, at: int | slice):
+        if not isinstance(at, slice):
+            return self[at:at + 1][0]
+        a, b = min(at.start or 0, self.n), self.n if at.stop is None else min(at.stop, self.n)
+        if a >= b:
+            return b""
+        part = self.letters[self.start + a // 3 * 4:self.start + -(-b // 3) * 4]
+        return base64.b64decode(part + "=" * (-len(part) % 4) if len(part) % 4 != 1 else part[:-1])[a % 3:a % 3 + b - a]
+
+
+def _is_head(raw: _Decoded) -> bool:
+    return raw[:1] == b"\x30" or raw[:15] == MAGIC or raw[4:16].startswith(SSH_NAMES)
 
 
-def _sizes(lines: list[str]) -> list[int] | None:
-    """The sizes in bytes that a key at the head of the lines may have, largest first; None for any."""
-    raw = _decoded("base64", lines[0][:40]) or b""
+def _sizes(raw: _Decoded) -> list[int]:
+    """The sizes in bytes that a key at the head may have, by its own lengths, largest first."""
     if raw[:1] == b"\x30":
         head = _length(raw, 1)
         return [head[0] + head[1]] if head else []
-    if raw.startswith(b"openssh-key-v1\x00"):
-        return None
-    if not raw[4:].startswith(SSH_NAMES):
-        return []
-    flat = "".join(lines).rstrip("=")
-    raw, at, ends = _decoded("base64", flat[:len(flat) - (len(flat) % 4 == 1)]) or b"", 0, []
-    while at + 4 <= len(raw):
-        at += 4 + int.from_bytes(raw[at:at + 4], "big")
-        ends.append(at)
-    return [e for e in ends[1:] if e <= len(raw)][::-1]
-
-
-def _key_lines(lines: list[str]) -> tuple[int, int] | None:
-    """Number of the first lines that together are a key, as many as can be, and the key's kind."""
-    sizes = _sizes(lines)
-    if sizes == []:
-        return None
-    upto, n = [], 0
-    for line in lines:
-        n += len(line.rstrip("="))
-        upto.append(n)
-    if sizes is None:
-        counts = range(len(lines), 0, -1)
-    else:  # size bytes are so many letters, padding aside
-        counts = [k for k in ((bisect.bisect_left(upto, -(-size * 4 // 3))) + 1 for size in sizes) if k <= len(lines)]
-    for k in counts:
-        kind = _kind(_decoded("base64", "".join(lines[:k])))
-        if kind is not None:
-            return k, kind
-    return None
+    if raw[:15] == MAGIC:
+        ends = _field_ends(raw, 15, 3)  # cipher, derivation and its options
+        if len(ends) < 3:
+            return []
+        count = int.from_bytes(raw[ends[2]:ends[2] + 4], "big")
+        keys = _field_ends(raw, ends[2] + 4, count + 1) if count < MAX_FIELDS else []  # public keys, then the private part
+        return [keys[-1]] if len(keys) == count + 1 else [len(raw)]  # cut short: to the last line
+    return [e for e in _field_ends(raw, 0, MAX_FIELDS)[1:]][::-1]
 
 
 def _base64_spans(text: str) -> list[tuple[int, int, int]]:
-    """Keys in runs of base64 lines: a key may begin at any line of 40 letters and end before the run does."""
+    """Keys in runs of base64 lines: a key may begin at any line of 40 letters and end before the run does.
+
+    A key's end is read from its own lengths, and its lines are found by their running number of letters: the work
+    at a line does not grow with the lines behind it, unless a key's elements do fit.
+    """
     found = []
     for m in BASE64.finditer(text):
         at, places = m.start(1), []
@@ -185,13 +183,27 @@ def _base64_spans(text: str) -> list[tuple[int, int, int]]:
             places.append((at, b.start()))
             at = b.end()
         places.append((at, m.end(1)))
-        lines = [text[a:b] for a, b in places]
+        letters = "".join(text[a:b] for a, b in places).rstrip("=")
+        ends, n = [], 0
+        for a, b in places:
+            n = min(n + b - a, len(letters))
+            ends.append(n)
         i = 0
-        while i < len(lines):
-            key = _key_lines(lines[i:]) if len(lines[i]) >= 40 and _is_head(lines[i]) else None
+        while i < len(places):
+            start, key = ends[i - 1] if i else 0, None
+            if ends[i] - start >= 40:
+                rest = _Decoded(letters, start, len(letters))
+                for size in _sizes(rest) if _is_head(rest) else ():
+                    k = bisect_left(ends, start + -(-size * 4 // 3), i)  # the line in which so many bytes end
+                    if k < len(ends) and (ends[k] - start) % 4 != 1:
+                        kind = _kind(_Decoded(letters, start, ends[k]))
+                        if kind is not None:
+                            key = k, kind
+                            break
             if key is not None:
-                found.append((places[i][0], key[1], places[i + key[0] - 1][1]))
-            i += key[0] if key is not None else 1
+                found.append((places[i][0], key[1], places[key[0]][1]))
+                i = key[0]
+            i += 1
     return found
 
 

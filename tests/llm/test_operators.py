@@ -182,6 +182,43 @@ def test_secret_candidates_are_cut_where_the_key_ends():
         assert spans(f"{before}{jwt} y") == [("jwt", jwt)]
 
 
+def test_secret_scan_does_not_stall_on_candidate_lines():
+    """Thousands of lines that begin like keys: the work grows with the lines (thousands took hours before)."""
+    import time
+    head = base64.b64encode(b"openssh-key-v1\x00" + b"\x00\x00\x00\x04none" + b"\xff" * 21).decode()
+    der = base64.b64encode(b"\x30\x82\xff\xff\x02\x01\x00" + bytes(range(41))).decode()
+    ssh = base64.b64encode(b"\x00\x00\x00\x07ssh-rsa\x00\x00\x00\x03\x01\x00\x01\x00\x01\x00\x00" + bytes(26)).decode()
+    for line in (head, der, ssh):
+        began = time.process_time()
+        assert len(line) >= 40 and secret_scan.confirmed_spans("\n".join([line] * 4000)) == []
+        assert time.process_time() - began < 1, line
+
+
+def test_private_key_ends_by_its_own_lengths():
+    field = lambda x: len(x).to_bytes(4, "big") + x
+    public = field(field(b"ssh-ed25519") + field(bytes(32)))
+    raw = b"openssh-key-v1\x00" + field(b"none") + field(b"none") + field(b"") + (1).to_bytes(4, "big") + public + field(bytes(range(137)))
+    flat = base64.b64encode(raw).decode()
+    lines = [flat[i:i + 70] for i in range(0, len(flat), 70)]
+    spans = lambda t: [(secret_scan.KINDS[k], t[a:b]) for a, k, b in secret_scan.confirmed_spans(t)]
+    key = "\n".join(lines)
+    assert spans(f"-----BEGIN OPENSSH PRIVATE KEY-----\n{key}\n-----END") == [("sshkey", key)]
+    whole = key.rstrip("=")
+    if whole == key:
+        assert spans(f"{key}\nThen we go on\n{key}\n") == [("sshkey", key)] * 2
+    cut = "\n".join(lines[:-1])  # cut short: to the last line
+    assert spans(cut) == [("sshkey", cut)]
+
+
+def test_line_dedup_of_a_text_with_many_lines(spark):
+    lines = [hashlib.md5(str(i).encode()).hexdigest() if i % 7 else "" for i in range(40_000)]
+    rows = line_dedup.dedup_lines(brute.tiny_docs(spark, [(1, "\n".join(lines), "en", "a", 0), (2, f"{lines[3]}\n\nnew", "en", "a", 0)])).collect()
+    by = {r.doc_id: r for r in rows}
+    assert by[1].n_lines == 40_000 == len(by[1].classes) == len(by[1].links)
+    assert all((c is None) == (i % 7 == 0) for i, c in enumerate(by[1].classes))
+    assert by[2].removed == [0] and by[2].classes[1] is None
+
+
 def test_topk(spark):
     vectors = [(i, [float((i * 7 + j * 3) % 11 - 5) / 3 for j in range(8)]) for i in range(0, 260)]
     vectors += [(50, vectors[50][1]), (7, [float("nan")] * 8), (100, None), (None, [1.0] * 8), (8, [1.0, None] * 4), (150, [0.5] * 3), (9, [0.25] * 3), (200, []), (300, [1e300] * 8),
