@@ -30,31 +30,83 @@ THRESHOLD = 0.8
 BANDS = 64
 PART = 1 << 12
 CACHED_WORDS = 1 << 19
-# fixed values: notices that software and texts are released under, as their licenses word them
-TEMPLATES = {
-    "MIT-notice": "Released under the MIT License.",
+BIT_ROWS = 20
+SMALL_TABLE = 1 << 15
+# fixed values: names that notices give licenses, by identifier
+NAMES = {
+    "MIT": ["MIT"], "Apache-2.0": ["Apache, Version 2.0", "Apache 2.0", "Apache Version 2.0"], "BSD-2-Clause": ["BSD 2-Clause", "2-Clause BSD"],
+    "BSD-3-Clause": ["BSD 3-Clause", "3-Clause BSD"], "ISC": ["ISC"], "Zlib": ["zlib"], "BSL-1.0": ["Boost Software", "Boost Software License 1.0"],
+    "GPL-2.0": ["GNU General Public License, version 2", "GNU GPL v2", "GPL v2", "GPLv2", "GPL-2.0"],
+    "GPL-3.0": ["GNU General Public License, version 3", "GNU General Public License v3.0", "GNU GPL v3", "GPL v3", "GPLv3", "GPL-3.0"],
+    "LGPL-2.1": ["GNU Lesser General Public License, version 2.1", "LGPL v2.1", "LGPLv2.1", "LGPL-2.1"], "LGPL-3.0": ["GNU Lesser General Public License, version 3", "LGPL v3", "LGPLv3", "LGPL-3.0"],
+    "AGPL-3.0": ["GNU Affero General Public License, version 3", "AGPL v3", "AGPLv3", "AGPL-3.0"], "MPL-2.0": ["Mozilla Public License, version 2.0", "MPL 2.0", "MPL-2.0"],
+    "EPL-2.0": ["Eclipse Public License, version 2.0", "Eclipse Public License v2.0", "EPL 2.0", "EPL-2.0"], "CC0-1.0": ["CC0", "CC0 1.0", "CC0 1.0 Universal"],
+    "CC-BY-4.0": ["CC BY 4.0", "Creative Commons Attribution 4.0 International"], "CC-BY-SA-4.0": ["CC BY-SA 4.0", "Creative Commons Attribution-ShareAlike 4.0 International"],
+    "CC-BY-NC-4.0": ["CC BY-NC 4.0", "Creative Commons Attribution-NonCommercial 4.0 International"], "CC-BY-ND-4.0": ["CC BY-ND 4.0"], "CC-BY-NC-SA-4.0": ["CC BY-NC-SA 4.0"],
+}
+# fixed values: what stands before a license's name in a notice, after whatever verb
+LEADS = ("under the", "under", "terms of the")
+# fixed values: headers, titles and passages of licenses, as they word them
+PASSAGES = {
+    "MIT-notice": "Released under the MIT License.", "CC-BY-NC-4.0-notice": "Licensed under CC BY-NC 4.0.",
     "Apache-2.0-notice": "Licensed under the Apache License, Version 2.0.",
-    "CC-BY-NC-4.0-notice": "Licensed under CC BY-NC 4.0.",
     "GPL-3.0-notice": "This work is licensed under the GNU General Public License, version 3.",
     "MIT": """Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the
         "Software"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute,
         sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions:
         The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software.""",
+    "MIT-disclaimer": """THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF
+        MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR
+        OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS
+        IN THE SOFTWARE.""",
     "Apache-2.0-header": """Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in compliance with the License. You may
         obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0 Unless required by applicable law or agreed to in writing, software distributed
         under the License is distributed on an "AS IS" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied.""",
+    "Apache-2.0": """Apache License Version 2.0, January 2004 http://www.apache.org/licenses/ TERMS AND CONDITIONS FOR USE, REPRODUCTION, AND DISTRIBUTION""",
     "BSD": """Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:
         Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer.""",
+    "BSD-3-Clause-names": """Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from
+        this software without specific prior written permission.""",
     "ISC": """Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above
         copyright notice and this permission notice appear in all copies.""",
+    "Zlib": """This software is provided 'as-is', without any express or implied warranty. In no event will the authors be held liable for any damages arising from the
+        use of this software. Permission is granted to anyone to use this software for any purpose, including commercial applications, and to alter it and
+        redistribute it freely, subject to the following restrictions""",
+    "BSL-1.0": "Boost Software License - Version 1.0 - August 17th, 2003",
     "GPL-header": """This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the
         Free Software Foundation, either version 3 of the License, or (at your option) any later version.""",
+    "GPL-2.0-header": """This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License as published by
+        the Free Software Foundation; either version 2 of the License, or (at your option) any later version.""",
+    "GPL-3.0": "GNU GENERAL PUBLIC LICENSE Version 3, 29 June 2007", "GPL-2.0": "GNU GENERAL PUBLIC LICENSE Version 2, June 1991",
+    "LGPL-3.0": "GNU LESSER GENERAL PUBLIC LICENSE Version 3, 29 June 2007", "LGPL-2.1": "GNU LESSER GENERAL PUBLIC LICENSE Version 2.1, February 1999",
+    "AGPL-3.0": "GNU AFFERO GENERAL PUBLIC LICENSE Version 3, 19 November 2007",
     "MPL-2.0": """This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed with this file, You
         can obtain one at""",
+    "EPL-2.0": "Eclipse Public License - v 2.0 THE ACCOMPANYING PROGRAM IS PROVIDED UNDER THE TERMS OF THIS ECLIPSE PUBLIC LICENSE",
     "Unlicense": "This is free and unencumbered software released into the public domain.",
+    "CC0-1.0": "Creative Commons CC0 1.0 Universal",
     "CC-BY-SA": "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.",
 }
+
+
+def notice_templates() -> dict[str, str]:
+    """Short notices by rule: each lead-in and name of a license, and its machine-readable line. Keys are ``license-notice-k``."""
+    out: dict[str, str] = {}
+    for license_id, names in NAMES.items():
+        forms = [f"SPDX-License-Identifier: {license_id}"]
+        for name in names:
+            core = name if "license" in name.lower() else f"{name} License"
+            plain = [name] if name[:2] in ("CC", "GP", "LG", "AG", "MP", "EP") else []
+            if license_id == "Apache-2.0" and "Version" in name:  # the name has the word inside it
+                core = name.replace("Apache", "Apache License", 1)
+            forms += [f"{lead} {x}" for lead in LEADS for x in (plain or [core])]
+        out.update({f"{license_id}-notice-{k}": f for k, f in enumerate(forms)})
+    return out
+
+
+TEMPLATES = PASSAGES | notice_templates()
 _WORD = re.compile(r"[^\W_]+")
+_KIND = re.compile("-(?:notice|header|names|disclaimer)")
 _A = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -92,6 +144,12 @@ class Scanner:
                 s = 1 << max(0, int(len(x) - 1).bit_length())
                 self.groups.setdefault((own, s), []).append((name, x, (x[None, :] * self.salts[:, None]).min(axis=1)))
         self.known = {g: self._table([sig for _, _, sig in v]) for g, v in self.groups.items()}
+        self.signatures = {g: np.stack([sig for _, _, sig in v], axis=1) for g, v in self.groups.items()}
+        self.shingles = {}
+        for own in {g[0] for g in self.groups}:
+            every, bits = np.unique(np.concatenate([x for g, v in self.groups.items() if g[0] == own for _, x, _ in v])), np.zeros(1 << BIT_ROWS, bool)
+            bits[(every >> np.uint64(64 - BIT_ROWS)).astype(np.int64)] = True
+            self.shingles[own] = every, bits
 
     @staticmethod
     def _table(signatures: list[np.ndarray]) -> np.ndarray:
@@ -101,6 +159,14 @@ class Scanner:
             table[np.arange(len(sig)), (sig >> np.uint64(50)).astype(np.int64)] = True
         return table.ravel()
 
+    def near_templates(self, x: np.ndarray, own: int) -> np.ndarray:
+        """Places of the shingles of a width that some template has: by a bit table, then exactly."""
+        every, bits = self.shingles[own]
+        at = np.flatnonzero(bits[(x >> np.uint64(64 - BIT_ROWS)).astype(np.int64)])
+        if not len(at):
+            return at
+        return at[every[np.minimum(np.searchsorted(every, x[at]), len(every) - 1)] == x[at]]
+
     def ids(self, text: str) -> np.ndarray:
         words = _WORD.findall(text.lower())
         if len(self.words) > CACHED_WORDS:
@@ -109,25 +175,30 @@ class Scanner:
             self.words[w] = _word_id(w)
         return np.fromiter(map(self.words.__getitem__, words), np.uint64, len(words))
 
-    def candidates(self, x: np.ndarray, group: tuple[int, int]) -> Iterator[tuple[int, int]]:
-        """(window, template number) pairs with a colliding band."""
+    def candidates(self, x: np.ndarray, near: np.ndarray, group: tuple[int, int]) -> Iterator[tuple[int, int]]:
+        """(window, template number) pairs with a colliding band; ``near`` are the places of template shingles in ``x``.
+
+        Only windows that hold a template shingle at all are given band signatures: containment needs one.
+        """
         s = group[1]
         blocks = max(1, -(-len(x) // s))
-        offset = np.arange(len(self.salts))[:, None] << 14
+        maybe = np.zeros(blocks + 1, bool)
+        maybe[near // s] = True
+        windows = np.flatnonzero(maybe[:-1] | maybe[1:])
         per = max(1, PART // s)
-        for at in range(0, blocks, per):  # parts overlap by one block
-            part = x[at * s:(at + per + 1) * s]
-            least = np.minimum.reduceat(part[None, :] * self.salts[:, None], np.arange(0, len(part), s), axis=1)
-            if least.shape[1] > 1:
-                least[:, :-1] = np.minimum(least[:, :-1], least[:, 1:])
-            least = least[:, :per]
+        for part in np.split(windows, range(per, len(windows), per)) if len(windows) else ():
+            at = part[:, None] * s + np.arange(2 * s)  # the last window ends with the text: its last shingle is repeated
+            held = x[np.minimum(at, len(x) - 1)]
+            least = np.empty((len(self.salts), len(part)), np.uint64)
+            for i, salt in enumerate(self.salts):
+                least[i] = (held * salt).min(axis=1)
+            offset = np.arange(len(self.salts))[:, None] << 14
             hit = self.known[group][offset + (least >> np.uint64(50)).astype(np.int64)].any(axis=0)
             for w in np.flatnonzero(hit):
-                for t, (_, _, sig) in enumerate(self.groups[group]):
-                    if (least[:, w] == sig).any():
-                        yield at + int(w), t
+                for t in np.flatnonzero((least[:, w, None] == self.signatures[group]).any(axis=0)):
+                    yield int(part[w]), int(t)
 
-    def windows(self, x: np.ndarray, group: tuple[int, int]) -> Iterator[tuple[int, int]]:
+    def windows(self, x: np.ndarray, near: np.ndarray, group: tuple[int, int]) -> Iterator[tuple[int, int]]:
         """All pairs: the plain way that ``candidates`` is tested against."""
         for w in range(max(1, -(-len(x) // group[1]))):
             for t in range(len(self.groups[group])):
@@ -138,18 +209,23 @@ class Scanner:
         if not text:
             return []
         ids = self.ids(text)
-        shingles: dict[int, np.ndarray] = {}
+        shingles = {own: _shingles(ids, own) for own in self.shingles}
+        near = {own: self.near_templates(x, own) for own, x in shingles.items()}
         found: dict[str, list[list]] = {}
         for group in self.groups:
             own, s = group
-            x = shingles.setdefault(own, _shingles(ids, own))
-            if not len(x):
+            x = shingles[own]
+            if not len(x) or not (plain or len(near[own])):
                 continue
-            for w, t in (self.windows if plain else self.candidates)(x, group):
+            for w, t in (self.windows if plain else self.candidates)(x, near[own], group):
                 name, wanted, _ = self.groups[group][t]
-                near = x[w * s:(w + 2) * s]
-                here = np.isin(near, wanted)
-                share = len(np.unique(near[here])) / len(wanted)
+                window = x[w * s:(w + 2) * s]
+                if len(window) * len(wanted) <= SMALL_TABLE:
+                    equal = window[:, None] == wanted
+                    here, share = equal.any(axis=1), int(equal.any(axis=0).sum()) / len(wanted)
+                else:
+                    here = np.isin(window, wanted)
+                    share = len(np.unique(window[here])) / len(wanted)
                 if share >= self.threshold:
                     at = np.flatnonzero(here) + w * s
                     spans = found.setdefault(name, [])
@@ -161,7 +237,8 @@ class Scanner:
 
 
 def scan_licenses(docs: DataFrame, templates: dict[str, str] | None = None, width: int = WIDTH, threshold: float = THRESHOLD, bands: int = BANDS) -> DataFrame:
-    """Per row: doc_id, n_matches, licenses (names, comma-joined) and spans (name:first:end:containment, in words)."""
+    """Per row: doc_id, n_matches, licenses (template names, comma-joined), spans (name:first:end:containment, in words) and
+    license_ids (the licenses themselves: names without what follows ``-notice``, ``-header``, ``-names`` or ``-disclaimer``)."""
     small_batches(docs.sparkSession)
     chosen = dict(templates if templates is not None else TEMPLATES)
     id_type = docs.schema["doc_id"].dataType.simpleString()
@@ -172,6 +249,7 @@ def scan_licenses(docs: DataFrame, templates: dict[str, str] | None = None, widt
             found = [scanner.scan(t) for t in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), pa.array([len(f) for f in found], pa.int64()), pa.array([",".join(sorted({n for n, *_ in f})) for f in found], pa.string()),
-                 pa.array([",".join(f"{n}:{a}:{b}:{c:.3f}" for n, a, b, c in f) for f in found], pa.string())], names=["doc_id", "n_matches", "licenses", "spans"])
+                 pa.array([",".join(f"{n}:{a}:{b}:{c:.3f}" for n, a, b, c in f) for f in found], pa.string()),
+                 pa.array([",".join(sorted({_KIND.split(n)[0] for n, *_ in f})) for f in found], pa.string())], names=["doc_id", "n_matches", "licenses", "spans", "license_ids"])
 
-    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {id_type}, n_matches long, licenses string, spans string")
+    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {id_type}, n_matches long, licenses string, spans string, license_ids string")

@@ -247,6 +247,23 @@ def test_license_scan(spark, edge_docs, edge_rows, no_docs):
     assert license_scan.scan_licenses(edge_docs).count() == len(edge_rows) and license_scan.scan_licenses(no_docs).count() == 0
 
 
+def test_license_notices_in_other_words(spark):
+    """Each text is resolved as a reader would, and independently of the scanner: by whole words, in order."""
+    texts = {"Licensed under the MIT license.": "MIT", "Distributed under the MIT License.": "MIT", "Licensed under CC BY 4.0.": "CC-BY-4.0",
+             "                Apache License\n      Version 2.0, January 2004\n   http://www.apache.org/licenses/\n\n  TERMS AND CONDITIONS FOR USE, REPRODUCTION, AND DISTRIBUTION": "Apache-2.0",
+             "GNU LESSER GENERAL PUBLIC LICENSE\n  Version 2.1, February 1999": "LGPL-2.1", "GNU GENERAL PUBLIC LICENSE\n Version 2, June 1991": "GPL-2.0",
+             "# SPDX-License-Identifier: BSD-3-Clause": "BSD-3-Clause", "available under the terms of the GPLv3": "GPL-3.0", "Released under the Apache License, Version 2.0": "Apache-2.0",
+             "under no license at all, MIT or other": "", "Licensed premises under the bridge": ""}
+    fill = " ".join(f"filler{i}" for i in range(60))
+    docs = brute.tiny_docs(spark, [(i, f"{fill} {t} {fill}", "en", "s", 0) for i, t in enumerate(texts)])
+    got = {r.doc_id: r.license_ids for r in license_scan.scan_licenses(docs).collect()}
+    assert got == dict(enumerate(texts.values()))
+    words = lambda t: f" {' '.join(license_scan._WORD.findall(t.lower()))} "
+    for i, (text, want) in enumerate(texts.items()):  # templates contained word for word, without shingles or bands
+        whole = {license_scan._KIND.split(n)[0] for n, t in license_scan.TEMPLATES.items() if words(t) in words(text)}
+        assert whole <= set(got[i].split(",")) and want in (whole or {""})
+
+
 def test_suffix_dedup(edge_docs, edge_rows, no_docs):
     for length in (120, 400):
         want = Counter((r[0], *w) for r, w in zip(edge_rows, brute.repeats([t[:20000] if t else t for _, t, *_ in edge_rows], length), strict=True))
