@@ -8,12 +8,15 @@ a diagonal counts only if its slots are consistent: the same value of the item i
 
 Windows are matched in a plain form too: ``width`` lower-cased tokens with numbers, units and names as they are. It depends on
 neither letter case nor what stands before. An item counts by its plain windows, all of them; a canonical window that is
-matched on a consistent diagonal covers the plain windows inside it. An item is found in a text if at least
-``threshold`` of its plain windows are matched or covered.
+matched on a consistent diagonal covers the plain windows inside it. Diagonals have an origin: the plain token of the text
+at which the item would begin. An item is found in a text if diagonals whose origins lie within one stretch of half the item's
+tokens (``width`` at least) match or cover at least ``threshold`` of its plain windows; words put in or left out shift the
+origin by as much, and windows scattered over a text never add up.
 
 Canonical windows with fewer than ``min_words`` plain words say too little by themselves: they count only on a diagonal and in a
 run of matched windows with one that has enough, and else by their exact values, in the plain form. An item shorter than ``width`` tokens is looked up as one window of its own length, so an
-item of one token is found wherever that token is. A fixed-size bitmap of the items' hashes, whatever
+item of one token is found wherever that token is. ``contaminated`` reports it; ``clean_documents`` takes only items of
+``drop_tokens`` or more plain tokens as a ground to drop a document. A fixed-size bitmap of the items' hashes, whatever
 their number, keeps most windows of the texts from being emitted; what passes it is joined exactly.
 
 Null and empty texts and items have no windows; copies of a text are matched once each and reported for every
@@ -29,7 +32,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from courtview.llm.common import discard, small_batches, text_key, write_scratch
@@ -37,6 +40,7 @@ from courtview.llm.common import discard, small_batches, text_key, write_scratch
 WIDTH = 5
 MIN_WORDS = 3
 THRESHOLD = 0.8
+DROP_TOKENS = 2
 BITMAP_BITS = 22
 CACHED_WORDS = 1 << 19
 UNITS = frozenset("""mm cm m km in inch inches ft feet yd yards mile miles mg g kg lb lbs oz ton tons ml l litre litres liter liters gallon
@@ -158,8 +162,9 @@ def _item_windows(width: int, min_words: int):
                 yield pa.RecordBatch.from_arrays([
                     pa.array([key] * every, pa.binary()), pa.array(np.concatenate((h, h2)).view(np.int64)), pa.array(np.concatenate((at, at2)), pa.int64()), pa.array(values, _VALUES),
                     pa.array(np.repeat([size, raw], [len(h), len(h2)]).astype(np.int32)), pa.array(np.repeat([False, True], [len(h), len(h2)])),
-                    pa.array(np.concatenate((telling, np.ones(len(h2), bool)))), pa.array(lows, pa.int64()), pa.array(highs, pa.int64()), pa.array(np.full(every, n, np.int64))],
-                    names=["item", "hash", "at", "slots", "size", "plain", "telling", "low", "high", "item_windows"])
+                    pa.array(np.concatenate((telling, np.ones(len(h2), bool)))), pa.array(lows, pa.int64()), pa.array(highs, pa.int64()), pa.array(np.full(every, n, np.int64)),
+                    pa.array(np.full(every, len(plain), np.int64))],
+                    names=["item", "hash", "at", "slots", "size", "plain", "telling", "low", "high", "item_windows", "item_tokens"])
 
     return run
 
@@ -183,10 +188,10 @@ def _text_windows(widths: list[int], plain_widths: list[int], min_words: int, bi
         for batch in batches:
             keys = batch.column("key")
             ids_col = batch.column("doc_id")
-            rows, hashes, places, values = [], [], [], []
+            rows, hashes, places, words, values = [], [], [], [], []
             texts = batch.column("text").to_pylist()
             for group in _groups(texts):
-                ids, slots, owner, _, plain, plain_owner = canonical(texts[group])
+                ids, slots, owner, begin, plain, plain_owner = canonical(texts[group])
                 start, plain_start = (np.searchsorted(o, np.arange(group.stop - group.start)) for o in (owner, plain_owner))
                 for width in widths:
                     h, at, telling = windows(ids, slots, owner, width, min_words)
@@ -198,6 +203,7 @@ def _text_windows(widths: list[int], plain_widths: list[int], min_words: int, bi
                         rows += (owner[at] + group.start).tolist()
                         hashes.append(h)
                         places.append(at - start[owner[at]])
+                        words.append(begin[at] - plain_start[owner[at]])
                         values += [slots[p:p + width].view(np.int64).tolist() if slots[p:p + width].any() else None for p in at]
                 for width in plain_widths:
                     h, at = plain_windows(plain, plain_owner, width)
@@ -207,11 +213,12 @@ def _text_windows(widths: list[int], plain_widths: list[int], min_words: int, bi
                         rows += (plain_owner[at] + group.start).tolist()
                         hashes.append(h)
                         places.append(at - plain_start[plain_owner[at]])
+                        words.append(places[-1])
                         values += [None] * len(h)
             if rows:
                 owner = pa.array(rows, pa.int64())
                 yield pa.RecordBatch.from_arrays([keys.take(owner), ids_col.take(owner), pa.array(np.concatenate(hashes).view(np.int64)), pa.array(np.concatenate(places), pa.int64()),
-                                                  pa.array(values, _VALUES)], names=["key", "doc_id", "hash", "pos", "values"])
+                                                  pa.array(np.concatenate(words), pa.int64()), pa.array(values, _VALUES)], names=["key", "doc_id", "hash", "pos", "word", "values"])
 
     return run
 
@@ -227,33 +234,47 @@ def _bitmap(items: DataFrame) -> np.ndarray:
 
 
 def matches(docs: DataFrame, benchmark: DataFrame, width: int = WIDTH, min_words: int = MIN_WORDS, threshold: float = THRESHOLD) -> tuple[DataFrame, DataFrame]:
-    """(key, item, matched_windows, item_windows, containment, changed_slots, first, last) of each distinct text and item
-    found in it; and the (key, doc_id) of the texts with any matched window."""
+    """(key, item, matched_windows, item_windows, item_tokens, containment, changed_slots, first, last) of each distinct text and
+    item found in it (``first`` and ``last``: the plain tokens at which its first and last matched window begin); and the (key, doc_id) of the texts with any matched window."""
     spark = docs.sparkSession
     small_batches(spark)
     texts = benchmark.select("text").filter(F.length("text") > 0).distinct().withColumn("item", text_key(F.col("text")))
-    items, _ = write_scratch(texts.mapInArrow(_item_windows(width, min_words), "item binary, hash long, at long, slots array<long>, size int, plain boolean, telling boolean, low long, high long, item_windows long"), "decontam-items")
+    items, _ = write_scratch(texts.mapInArrow(_item_windows(width, min_words), "item binary, hash long, at long, slots array<long>, size int, plain boolean, telling boolean, low long, high long, item_windows long, item_tokens long"), "decontam-items")
     sizes = items.select("plain", "size").distinct().collect()  # ``width`` numbers at most of either form
     widths, plain_widths = (sorted(r["size"] for r in sizes if r["plain"] == form) for form in (False, True))
     keyed = docs.select("doc_id", "text").filter(F.length("text") > 0).withColumn("key", text_key(F.col("text")))
     id_type = docs.schema["doc_id"].dataType.simpleString()
-    found = keyed.mapInArrow(_text_windows(widths, plain_widths, min_words, _bitmap(items)), f"key binary, doc_id {id_type}, hash long, pos long, values array<long>")
+    found = keyed.mapInArrow(_text_windows(widths, plain_widths, min_words, _bitmap(items)), f"key binary, doc_id {id_type}, hash long, pos long, word long, values array<long>")
     hits, hits_path = write_scratch(found, "decontam-hits")
-    joined = hits.join(items.select("item", "hash", "at", "slots", "plain", "telling", "low", "high"), "hash")
+    joined = hits.join(items.select("item", "hash", "at", "slots", "plain", "telling", "low", "high", "item_windows", "item_tokens"), "hash")
     # per diagonal of either form: the item's plain windows met, and the distinct pairs of slot values
-    diagonal = joined.groupBy("key", "item", "plain", (F.col("pos") - F.col("at")).alias("shift")).agg(
+    diagonal = joined.groupBy("key", "item", "item_windows", "item_tokens", "plain", (F.col("pos") - F.col("at")).alias("shift")).agg(
         F.collect_set(F.struct("low", "high")).alias("met"), F.collect_set(F.struct("slots", "values")).alias("pairs"),
-        F.min("pos").alias("first"), F.max("pos").alias("last"), F.max("telling").alias("telling")).filter("telling")
+        F.min(F.col("word") - F.col("low")).alias("origin"), F.min("word").alias("first"), F.max("word").alias("last"), F.max("telling").alias("telling")).filter("telling")
     pairs = F.array_distinct(F.flatten(F.transform("pairs", lambda p: F.coalesce(F.filter(
         F.arrays_zip(p["slots"], p["values"]), lambda v: v["slots"] != 0), F.array().cast("array<struct<slots:bigint,values:bigint>>")))))
     mapped = diagonal.withColumn("map", pairs)
     consistent = mapped.filter(F.size("map") == F.size(F.array_distinct(F.transform("map", lambda v: v["slots"]))))
-    changed = F.size(F.filter("map", lambda v: v["slots"] != v["values"]))
     numbers = F.array_distinct(F.flatten(F.transform("met", lambda w: F.sequence(w["low"], w["high"]))))
-    per_item = consistent.select("key", "item", F.explode(numbers).alias("number"), changed.alias("changed"), "first", "last").groupBy("key", "item").agg(
-        F.count_distinct("number").alias("matched_windows"), F.max("changed").cast("long").alias("changed_slots"), F.min("first").alias("first"), F.max("last").alias("last"))
-    per_item_windows = items.select("item", "item_windows").distinct()
-    enough = per_item.join(per_item_windows, "item").withColumn("containment", F.col("matched_windows") / F.col("item_windows")).filter(F.col("containment") >= threshold)
+    lines = consistent.withColumns({"numbers": numbers, "changed": F.size(F.filter("map", lambda v: v["slots"] != v["values"]))})
+    # blocks of two stretches overlap by one, so that every stretch lies whole in a block; a block holds few diagonals, whatever the text's length
+    stretch = F.greatest(F.lit(width), F.ceil(F.col("item_tokens") / 2))
+    block = F.floor(F.col("origin") / stretch)
+    blocks = lines.withColumn("block", F.explode(F.array(block - 1, block))).groupBy("key", "item", "item_windows", "item_tokens", "block").agg(
+        F.collect_set(F.struct("origin", "numbers", "changed", "first", "last")).alias("lines"))
+
+    def joint(begin: Column) -> Column:
+        """What the diagonals of the stretch from ``begin`` match together."""
+        part = F.filter("lines", lambda d: (d["origin"] >= begin) & (d["origin"] <= begin + stretch))
+        return F.struct(F.size(F.array_distinct(F.flatten(part["numbers"]))).cast("long").alias("matched_windows"), F.array_max(part["changed"]).cast("long").alias("changed_slots"),
+                        F.array_min(part["first"]).alias("first"), F.array_max(part["last"]).alias("last"))
+
+    needed = F.col("item_windows") * threshold
+    likely = blocks.filter(F.size(F.array_distinct(F.flatten(F.col("lines")["numbers"]))) >= needed)
+    found_at = likely.select("key", "item", "item_windows", "item_tokens", F.explode(F.transform(F.array_distinct(F.col("lines")["origin"]), joint)).alias("m"))
+    per_item = found_at.filter(F.col("m.matched_windows") / F.col("item_windows") >= threshold).groupBy("key", "item", "item_windows", "item_tokens").agg(
+        F.max("m.matched_windows").alias("matched_windows"), F.max("m.changed_slots").alias("changed_slots"), F.min("m.first").alias("first"), F.max("m.last").alias("last"))
+    enough = per_item.withColumn("containment", F.col("matched_windows") / F.col("item_windows"))
     result, _ = write_scratch(enough, "decontam-found")
     owners, _ = write_scratch(hits.join(result.select("key").distinct(), "key", "left_semi").select("key", "doc_id").distinct(), "decontam-owners")
     discard(spark, hits_path)
@@ -268,8 +289,8 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
         "doc_id", "item_id", "matched_windows", "item_windows", "containment", (F.col("changed_slots") > 0).alias("reparameterised"))
 
 
-def clean_documents(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
-    """The documents in whose text no item is found."""
+def clean_documents(docs: DataFrame, benchmark: DataFrame, drop_tokens: int = DROP_TOKENS, **options) -> DataFrame:
+    """The documents in whose text no item of ``drop_tokens`` or more plain tokens is found."""
     found, _ = matches(docs, benchmark, **options)
-    bad, _ = write_scratch(found.select(F.col("key").alias("__key")).distinct(), "decontam-keys")
+    bad, _ = write_scratch(found.filter(F.col("item_tokens") >= drop_tokens).select(F.col("key").alias("__key")).distinct(), "decontam-keys")
     return docs.withColumn("__text_key", text_key(F.col("text"))).join(bad, F.col("__text_key") == F.col("__key"), "left_anti").drop("__text_key")

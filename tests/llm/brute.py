@@ -114,5 +114,80 @@ def targets(sizes, max_epochs=3):
         fixed.update({s: float(max_epochs * sizes[s]) for s in over})
 
 
+UNITS = set("""mm cm m km in inch inches ft feet yd yards mile miles mg g kg lb lbs oz ton tons ml l litre litres liter liters gallon
+gallons s sec second seconds min minute minutes h hr hour hours day days week weeks month months year years kb mb gb tb hz khz mhz ghz v w kw j kj
+cal kcal pa kpa mph kmh percent degrees dollars euros pounds cents""".split())
+
+
+def canonical(text):
+    """([(placeholder or word, slot value or None, first plain token)], [plain token])."""
+    out, plain, last = [], [], "end"
+    for t in re.findall(r"[^\W\d_]+(?:['’][^\W\d_]+)*|\d+(?:[.,:/]\d+)*|[.!?\n%$€£°]", text or ""):
+        low, was = t.lower(), last
+        if t in ".!?\n":
+            last = "end"
+            continue
+        last = "number" if t[0].isdigit() else "unit" if t in "%$€£°" or low in UNITS else "name" if len(t) > 1 and t[0].isupper() and t[1:] == t[1:].lower() else "word"
+        kind = "word" if last == "name" and was == "end" or last == "unit" and was != "number" else last
+        if kind == "name" and out and out[-1][0] == "<name>":
+            out[-1] = ("<name>", out[-1][1] + " " + low, out[-1][2])
+        else:
+            out.append((low, None, len(plain)) if kind == "word" else (f"<{kind}>", low, len(plain)))
+        plain.append(low)
+    return out, plain
+
+
+def contaminated(texts, items, width=5, min_words=3, threshold=0.8):
+    """{(text number, item number)}: every window against every window, diagonals by their origins."""
+    def told(tokens, p, size):
+        return sum(v is None for _, v, _ in tokens[p:p + size]) >= min(min_words, size)
+
+    def ids(tokens, p, size):
+        return tuple(t[0] for t in tokens[p:p + size])
+
+    sizes = {j: min(width, len(canonical(item)[0])) for j, item in enumerate(items)}
+    known = {(sizes[j], ids(canonical(item)[0], a, sizes[j])) for j, item in enumerate(items) for a in range(len(canonical(item)[0]) - sizes[j] + 1)}
+
+    def backed(tokens, size):
+        """Positions of known windows in a run of known windows with a telling one."""
+        hits = [p for p in range(len(tokens) - size + 1) if (size, ids(tokens, p, size)) in known]
+        runs = []
+        for p in hits:
+            if runs and runs[-1][-1] == p - 1:
+                runs[-1].append(p)
+            else:
+                runs.append([p])
+        return {p for run in runs if any(told(tokens, p, size) for p in run) for p in run}
+
+    found = set()
+    for j, item in enumerate(items):
+        tokens, plain = canonical(item)
+        if not plain:
+            continue
+        size, raw = min(width, len(tokens)), min(width, len(plain))
+        total, ends = len(plain) - raw + 1, [t[2] for t in tokens] + [len(plain)]
+        for i, text in enumerate(texts):
+            there, words = canonical(text)
+            lines = {}
+            for p in range(len(words) - raw + 1):
+                for a in range(total):
+                    if words[p:p + raw] == plain[a:a + raw]:
+                        lines.setdefault(("plain", p - a), []).append((a, a, p, True, []))
+            for p in backed(there, size):
+                for a in range(len(tokens) - size + 1):
+                    if ids(there, p, size) == ids(tokens, a, size):
+                        slots = [(x[1], y[1]) for x, y in zip(tokens[a:a + size], there[p:p + size], strict=True) if x[1] is not None]
+                        lines.setdefault(("slots", p - a), []).append((ends[a], ends[a + size] - raw, there[p][2], told(tokens, a, size), slots))
+            kept = []
+            for met in lines.values():
+                pairs = {s for m in met for s in m[4]}
+                if any(m[3] for m in met) and len(pairs) == len({s for s, _ in pairs}):
+                    kept.append((min(m[2] - m[0] for m in met), {n for m in met for n in range(m[0], m[1] + 1)}))
+            stretch = max(width, -(-len(plain) // 2))
+            if any(len(set().union(*[n for o, n in kept if begin <= o <= begin + stretch])) / total >= threshold for begin, _ in kept):
+                found.add((i, j))
+    return found
+
+
 def tiny_docs(spark, rows, extra=""):
     return spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long" + extra)

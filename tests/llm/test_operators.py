@@ -350,6 +350,41 @@ def test_decontamination_in_any_context_and_letter_case(spark):
     assert _found(spark, items, texts) == {(i, i // 4) for i in range(8)} | {(8, 0), (9, 1), (10, 0), (11, 1)}
 
 
+def test_decontamination_adds_up_windows_of_one_stretch_only(spark):
+    item = "the old mill by the river was sold to a young baker who wanted to grind her own flour there again"
+    words = item.split()
+    filler = lambda a, n=40: " ".join(f"filler{a}x{i}" for i in range(n))
+    scattered = " ".join(f"{filler(i)} {' '.join(words[i:i + 5])}" for i in reversed(range(len(words) - 4)))
+    halves = f"{filler(1)} {' '.join(words[:11])} {filler(2, 400)} {' '.join(words[7:])} {filler(3)}"
+    inserted = f"{filler(1)} {' '.join(words[:13])} that is to say {' '.join(words[9:])} {filler(2)}"  # four words again, and four new ones
+    often = " ".join(f"{filler(i)} {item}" for i in range(50))
+    assert _found(spark, [item, "Paris"], [scattered, halves, inserted, often, "He lives in Paris now."]) == {(2, 0), (3, 0), (4, 1)}
+
+
+def test_decontamination_keeps_documents_with_a_one_word_item_and_reports_null_ids(spark):
+    bench = spark.createDataFrame([(0, "Paris"), (1, "Who wrote Hamlet?")], "item_id long, text string")
+    docs = brute.tiny_docs(spark, [(1, "He lives in Paris now.", "en", "s", 0), (2, "Then: who wrote Hamlet?", "en", "s", 0), (None, "Who wrote Hamlet? Paris.", "en", "s", 0)])
+    found = {(r.doc_id, r.item_id) for r in benchmark_decontam.contaminated(docs, bench).collect()}
+    assert found == {(1, 0), (2, 1), (None, 0), (None, 1)}
+    assert [r.doc_id for r in benchmark_decontam.clean_documents(docs, bench).collect()] == [1]
+
+
+def test_decontamination_equals_the_plain_version(spark):
+    """Random texts over few words, with items in them whole, shifted, shortened, with other figures and cut in pieces."""
+    import random
+    rnd = random.Random(11)
+    vocabulary = "river stone bridge Anna Peter Lake paid sold 12 30 kg miles for the and of to London 7 old".split()
+    some = lambda n: " ".join(rnd.choice(vocabulary) for _ in range(n))
+    items = [some(n) for n in (1, 2, 4, 5, 6, 9, 14, 20, 30)]
+    texts = ["", None]
+    for item in items:
+        w = item.split()
+        cut = rnd.randrange(len(w))
+        texts += [f"{some(20)}. {item} {some(20)}", f"{some(9)} {' '.join(w[:cut])} {some(3)} {' '.join(w[cut:])} {some(9)}", f"{some(9)} {' '.join(w[:cut])} {some(60)} {' '.join(w[cut:])}",
+                  " ".join("99" if x in ("12", "30", "7") else x for x in w), " ".join("Otto" if x in ("Anna", "Peter") else x for x in w), item.upper(), some(200)]
+    assert _found(spark, items, texts) == brute.contaminated(texts, items)
+
+
 def test_simhash(edge_docs, edge_rows, no_docs):
     prints = [brute.fingerprint(t[:30000] if t else t) for _, t, *_ in edge_rows]
     roots = brute.components(len(prints), lambda i, j: (prints[i] ^ prints[j]).bit_count() <= 2)
