@@ -93,12 +93,15 @@ def test_mixing(spark, edge_docs, edge_rows, no_docs):
     want = brute.targets(dict(sizes))
     rows = mixing.mix_sources(edge_docs).collect()
     assert len(rows) == len(edge_rows)
-    taken, largest = defaultdict(int), defaultdict(int)
+    taken, copies, rest = defaultdict(int), Counter((r.source, r.doc_id, r["size"]) for r in rows), defaultdict(list)
     for r in rows:
         assert r.source_size == sizes[r.source] and r.target == pytest.approx(want[r.source]) and r.taken <= 3 * r["size"]
         taken[r.source] += r.taken
-        largest[r.source] = max(largest[r.source], r["size"])
-    assert all(abs(taken[s] - want[s]) <= 2 * largest[s] / 2 + 1 for s in want)  # two equal rows share a draw
+        rest[r.source].append((r.repeats, r["size"] * copies[r.source, r.doc_id, r["size"]]))
+    for s in want:
+        least = min(n for n, _ in rest[s])
+        open_sizes = [size for n, size in rest[s] if n == least and size]
+        assert abs(taken[s] - want[s]) <= max(0.001 * want[s], min(open_sizes, default=1))
     again = mixing.mix_sources(edge_docs).collect()
     assert Counter((r.doc_id, r.taken) for r in rows) == Counter((r.doc_id, r.taken) for r in again)
     wide = mixing.repeat_rows(mixing.mix_sources(edge_docs, keep_columns=True))
@@ -106,6 +109,29 @@ def test_mixing(spark, edge_docs, edge_rows, no_docs):
     assert mixing.mix_sources(no_docs).count() == 0
 
 
+def test_mixing_passes_documents_that_do_not_fit(spark):
+    """One document larger than what is wanted; sizes over four orders of magnitude; one document as many equal rows."""
+    rnd = random.Random(8)
+    groups = {"a": [50] * 200 + [20000], "b": [rnd.choice([3, 40, 500, 6000]) for _ in range(120)], "c": [9000, 2, 2, 1, 300, 40], "d": [7] * 90}
+    rows = [(s, n) for s, sizes in groups.items() for n in sizes]
+    docs = brute.tiny_docs(spark, [(0 if s == "d" else i, "w " * n, "en", s, 0) for i, (s, n) in enumerate(rows)])
+    got = mixing.mix_sources(docs).collect()
+    for s, sizes in groups.items():
+        mine = [r for r in got if r.source == s]
+        target, taken = mine[0].target, sum(r.taken for r in mine)
+        least = int(target // sum(sizes))
+        assert {r.repeats - least for r in mine} <= {0, 1}
+        missing, left = target - taken, [r["size"] for r in mine if r.repeats == least]
+        if s == "d":
+            assert abs(missing) <= sum(sizes) / 2
+        elif missing > 0.001 * target:
+            assert all(abs(missing - n) >= missing for n in left)  # no document left comes nearer
+        else:  # the last document at most is too much, by less than was missing without it
+            assert -missing <= max((r["size"] for r in mine if r.repeats > least), default=0) / 2
+        if s == "b":
+            assert abs(missing) <= mixing.NEAR * target
+
+
 def test_components_of_chains_hubs_and_rings(spark):
     from courtview.llm.components import connected_components
     rng = random.Random(3)
