@@ -206,34 +206,49 @@ def v_scatter(stg: DataFrame) -> DataFrame:
                                    "ref_negative_comment_pct": "sum_negative_comment_pct"})
 
 
-def _top_titles(stg: DataFrame, n: int) -> DataFrame:
-    """(_title, video_title) of the n titles with the largest SUM(view_count), title as tiebreak.
-
-    Views are summed by digest; texts are read for the titles that reach the n-th largest sum only.
-    """
+def _reached_titles(stg: DataFrame, n: int) -> DataFrame:
+    """(_title, _tv) of the titles whose SUM(view_count) reaches the n-th largest one, ties included; by digest, no text is read."""
     sums = stg.groupBy(title_digest().alias("_title")).agg(F.sum("view_count").alias("_tv"))
     cut = sums.orderBy(F.desc_nulls_last("_tv")).limit(n).agg(F.min("_tv").alias("_least"), F.count_if(F.col("_tv").isNull()).alias("_missing"))
-    reached = sums.join(F.broadcast(cut), (F.col("_missing") > 0) | (F.col("_tv") >= F.col("_least"))).select("_title", "_tv")  # one row
-    texts = stg.select(title_digest().alias("_text_title"), "video_title")
-    named = texts.join(reached, F.col("_text_title").eqNullSafe(F.col("_title"))).groupBy("_title").agg(
-        F.any_value("video_title").alias("video_title"), F.any_value("_tv").alias("_tv"))
-    return named.orderBy(F.desc_nulls_last("_tv"), F.asc_nulls_last("video_title")).limit(n).select("_title", "video_title")
+    return sums.join(F.broadcast(cut), (F.col("_missing") > 0) | (F.col("_tv") >= F.col("_least"))).select("_title", "_tv")  # one row
+
+
+def _rows_of_top_titles(rows: DataFrame, n: int) -> DataFrame:
+    """Rows (video_title, _tv, ...) of the n titles with the largest ``_tv``, title as tiebreak.
+
+    The rank is a group limit: a task hands on the rows of its own n best titles, however many tie at the last place.
+    """
+    order = Window.orderBy(F.desc_nulls_last("_tv"), F.asc_nulls_last("video_title"))
+    return rows.withColumn("_rank", F.dense_rank().over(order)).where(F.col("_rank") <= n).drop("_rank")
+
+
+def _join_reached(stg: DataFrame, n: int) -> DataFrame:
+    """The rows of the titles that reach the n-th largest sum."""
+    reached = _reached_titles(stg, n).withColumnRenamed("_title", "_reached")
+    return stg.withColumn("_title", title_digest()).join(reached, F.col("_title").eqNullSafe(F.col("_reached"))).drop("_reached")
 
 
 def top_titles(stg: DataFrame, n: int) -> DataFrame:
     """The n titles with the largest SUM(view_count) (title as tiebreak)."""
-    return _top_titles(stg, n).select("video_title")
+    named = _join_reached(stg.select("video_title", "view_count"), n).groupBy("_title").agg(
+        F.any_value("video_title").alias("video_title"), F.any_value("_tv").alias("_tv"))
+    return _rows_of_top_titles(named, n).orderBy(F.desc_nulls_last("_tv"), F.asc_nulls_last("video_title")).select("video_title")
 
 
 def v_top_videos(stg: DataFrame, params: Params) -> DataFrame:
-    """Top-N titles (filter evaluated before the row grouping), then title x team measures."""
-    top = F.broadcast(_top_titles(stg, params.top_titles))  # at most top_titles rows
-    kept = stg.withColumn("_title", title_digest()).drop("video_title").join(top, "_title")
-    return (kept.groupBy("video_title", "team").agg(
+    """Top-N titles (filter evaluated before the row grouping), then title x team measures.
+
+    Two scans: the sums by digest, then the rows of the titles that reach the last place, whose measures are
+    taken before the ties are cut. A missing title takes its place among the N but is no mark.
+    """
+    marks = _join_reached(stg, params.top_titles).groupBy("_title", "team").agg(
+        F.any_value("video_title").alias("video_title"), F.any_value("_tv").alias("_tv"),
         F.sum("view_count").alias("total_views"), wer().alias("weighted_engagement_rate"),
         sheet_sum("negative_comment_pct").alias("sum_negative_comment_pct"),
         sheet_mean("negative_comment_pct").alias("avg_negative_comment_pct"))
-        .orderBy(F.desc_nulls_last("total_views"), "video_title", "team"))
+    return (_rows_of_top_titles(marks, params.top_titles).where(F.col("video_title").isNotNull()).drop("_title", "_tv")
+            .orderBy(F.desc_nulls_last("total_views"), "video_title", "team")
+            .select("video_title", "team", "total_views", "weighted_engagement_rate", "sum_negative_comment_pct", "avg_negative_comment_pct"))
 
 
 # ---------------------------------------------------------------------------

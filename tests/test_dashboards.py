@@ -1,3 +1,5 @@
+from dataclasses import replace
+
 from conftest import SF_SMALL
 
 from courtview.plans import dashboards as D
@@ -52,3 +54,26 @@ def test_extracts_carry_text_marks(spark):
     assert names == {("scatter", "attr_video_title"), ("scatter", "attr_team")}
     types = D.d_content_extract(stg).where("measure_text is not null").collect()
     assert {(r.sheet, r.measure_name) for r in types} == {("views_by_type", "attr_content_type")} and all(r.mark == r.measure_text for r in types)
+
+
+def test_top_videos_equal_a_plain_ranking(spark):
+    """Ties at the last place, a missing title that takes a place, missing teams and sums."""
+    rows = [("b", "x", 5), ("a", "x", 3), ("a", "y", 2), ("c", "x", 5), (None, "x", 9), ("d", None, None), ("e", None, 5), ("b", "x", 1)]
+    df = spark.createDataFrame([(t, team, v, v and v * 2, 0.5) for t, team, v in rows],
+                               "video_title string, team string, view_count long, engagement_count long, negative_comment_pct double")
+    sums = {}
+    for t, _, v in rows:
+        sums[t] = None if v is None and sums.get(t) is None else (sums.get(t) or 0) + (v or 0)
+    ranked = sorted(sums, key=lambda t: (sums[t] is None, -(sums[t] or 0), t is None, t or ""))
+    for n in range(1, 8):
+        want = {(t, team) for t, team, _ in rows if t is not None and t in ranked[:n]}
+        got = D.v_top_videos(df, replace(PARAMS["commerce"], top_titles=n)).collect()
+        assert {(r.video_title, r.team) for r in got} == want and len(got) == len(want), n
+        assert all(r.total_views == sum(v or 0 for t, team, v in rows if (t, team) == (r.video_title, r.team)) for r in got if r.total_views is not None)
+
+
+def test_top_videos_ties_are_cut_by_a_group_limit(spark):
+    from test_plans import plan_of
+    stg = staged(spark, SF_SMALL, "commerce")
+    plan = plan_of(D.v_top_videos(stg, PARAMS["commerce"])).split("Initial Plan")[-1]
+    assert "WindowGroupLimit" in plan
