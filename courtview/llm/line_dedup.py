@@ -1,8 +1,10 @@
 """Line dedup by a segment-partition edit join.
 
-Lines (split at newlines) are equal or linked if their edit distance is at most ``max_edits(shorter length)``: 2 from 32
-code points on, 1 from 16 on, 0 below. Classes are the connected lines; of each class the first occurrence by
-doc_id and line number stays. Only distinct lines are joined:
+Lines (split at newlines) are equal or linked if their edit distance is at most ``max_edits(shorter length)``, by steps of
+the length: 2 from 32 code points on, 1 from 16 on, 0 below (``EDITS``) unless the caller gives other steps;
+``similarity_steps`` makes steps that grow in proportion to the length. Entries grow with about the cube of the edits.
+Classes are the connected lines; of each class the first occurrence by doc_id and line number stays. Only distinct
+lines are joined:
 
 1. the shorter line of a pair is cut into threshold-plus-one segments, one of which survives the edits; it is indexed by
    (length, segment number, segment). A line probes, for each length it may match and each segment, the
@@ -12,7 +14,8 @@ doc_id and line number stays. Only distinct lines are joined:
 3. in a tile, every pair that passes the length and letter-count bounds is verified by a banded bit-parallel edit
    distance. A pair belongs to the first segment that its lines share and, at equal length, to the line with the smaller id:
    it is verified in one tile only. A tile gives the number of links of each of its lines, which add up, and a spanning
-   forest of its links for the components; rows never grow with the pairs.
+   forest of its links for the components. A line of a bucket of L lines is dealt to L / ``TILE`` tiles, so the work of
+   one segment grows with the square of the lines that share it; the rows that come out do not.
 
 Blank lines have no class and stay. Null and empty texts have no lines; null doc_ids come last; repeated rows
 are documents of their own; lines may be very long; an empty table gives an empty result; other columns are ignored.
@@ -20,7 +23,9 @@ are documents of their own; lines may be very long; an empty table gives an empt
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
+from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -30,16 +35,32 @@ from pyspark.sql import functions as F
 from courtview.llm.common import discard, small_batches, text_key, write_scratch
 from courtview.llm.components import connected_components
 
-MAX_EDITS = 2
+Steps = tuple[tuple[int, int], ...]
+#: Edits allowed for the shorter line: (least length in code points, edits), ascending.
+EDITS: Steps = ((16, 1), (32, 2))
 TILE = 512
 _B = np.uint64(0x9E3779B97F4A7C15)
 _B_INVERSE = np.uint64(pow(int(_B), -1, 1 << 64))
 _M = np.uint64(0xFF51AFD7ED558CCD)
 
 
-def max_edits(length: np.ndarray | int):
+def similarity_steps(similarity: float, most: int) -> Steps:
+    """Steps that allow ``(1 - similarity) * length`` edits, rounded down, up to ``most`` edits."""
+    return tuple((max(e + 1, math.ceil(round(e / (1 - similarity), 9))), e) for e in range(1, most + 1))
+
+
+def _checked(steps: Steps) -> Steps:
+    """The steps, if lengths and edits ascend and every segment has a code point at least."""
+    if any(n <= e for n, e in steps) or any(a[0] >= b[0] or a[1] >= b[1] for a, b in pairwise(((0, 0), *steps))):
+        raise ValueError(f"lengths and edits must ascend, each length above its edits: {steps}")
+    if any(e > 126 for _, e in steps):
+        raise ValueError("126 edits are the most")  # a segment number is one byte
+    return steps
+
+
+def max_edits(length: np.ndarray | int, steps: Steps = EDITS) -> np.ndarray:
     """Edits allowed for a shorter line of ``length`` code points."""
-    return np.where(np.asarray(length) >= 32, 2, np.where(np.asarray(length) >= 16, 1, 0))
+    return np.array([0, *[e for _, e in steps]])[np.searchsorted([n for n, _ in steps], length, side="right")]
 
 
 def edit_distance(a: str, b: str, limit: int) -> int:
@@ -128,46 +149,49 @@ def _segments(length: np.ndarray, edits: int) -> list[tuple[np.ndarray, np.ndarr
     return out
 
 
-def _entries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(key, side, id, segment): index entries (side 0) and probe entries (side 1) of each line."""
-    for batch in batches:
-        ids = batch.column("id").to_numpy()
-        raw = [t.encode("utf-32-le", "surrogatepass") for t in batch.column("line").to_pylist()]
-        size = np.array([len(r) // 4 for r in raw], np.int64)
-        codes = np.frombuffer(b"".join(raw), "<u4").astype(np.uint64)
-        start = np.concatenate(([0], np.cumsum(size)))[:-1]
-        powers = np.concatenate((np.ones(1, np.uint64), np.full(len(codes), _B))).cumprod()
-        inverse = np.concatenate((np.ones(1, np.uint64), np.full(len(codes), _B_INVERSE))).cumprod()
-        upto = np.concatenate((np.zeros(1, np.uint64), np.cumsum((codes + _M) * powers[:-1])))
-        keys, sides, owners, numbers = [], [], [], []
-
-        def put(which, at, width, length, segment, side):
-            b = start[which] + at
-            h = (upto[b + width] - upto[b]) * inverse[b]
-            h ^= h >> np.uint64(32)
-            h = (h + length.astype(np.uint64) * _B) * _M  # noqa: B023
-            h ^= h >> np.uint64(29)
-            h = (h + np.uint64(segment + 1)) * _B
-            h ^= h >> np.uint64(32)
-            keys.append(h.view(np.int64))  # noqa: B023
-            sides.append(np.full(len(which), side, np.int8))  # noqa: B023
-            owners.append(ids[which])  # noqa: B023
-            numbers.append(np.full(len(which), segment, np.int8))  # noqa: B023
-
-        for edits in range(1, MAX_EDITS + 1):
-            mine = np.flatnonzero(max_edits(size) == edits)
-            for i, (at, width) in enumerate(_segments(size[mine], edits)):
-                put(mine, at, width, size[mine], i, 0)
-            for extra in range(edits + 1):
-                shorter = size - extra
-                mine = np.flatnonzero((shorter > 0) & (max_edits(shorter) == edits))
-                length = shorter[mine]
-                for i, (at, width) in enumerate(_segments(length, edits)):
-                    for shift in range(max(-i, extra - (edits - i)), min(i, extra + (edits - i)) + 1):
-                        fits = (at + shift >= 0) & (at + shift + width <= size[mine])
-                        put(mine[fits], (at + shift)[fits], width[fits], length[fits], i, 1)
-        if keys:
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in (keys, sides, owners, numbers)], names=["key", "side", "id", "segment"])
+def _entries(steps: Steps):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """(key, side, id, segment): index entries (side 0) and probe entries (side 1) of each line."""
+        for batch in batches:
+            ids = batch.column("id").to_numpy()
+            raw = [t.encode("utf-32-le", "surrogatepass") for t in batch.column("line").to_pylist()]
+            size = np.array([len(r) // 4 for r in raw], np.int64)
+            codes = np.frombuffer(b"".join(raw), "<u4").astype(np.uint64)
+            start = np.concatenate(([0], np.cumsum(size)))[:-1]
+            powers = np.concatenate((np.ones(1, np.uint64), np.full(len(codes), _B))).cumprod()
+            inverse = np.concatenate((np.ones(1, np.uint64), np.full(len(codes), _B_INVERSE))).cumprod()
+            upto = np.concatenate((np.zeros(1, np.uint64), np.cumsum((codes + _M) * powers[:-1])))
+            keys, sides, owners, numbers = [], [], [], []
+
+            def put(which, at, width, length, segment, side):
+                b = start[which] + at
+                h = (upto[b + width] - upto[b]) * inverse[b]
+                h ^= h >> np.uint64(32)
+                h = (h + length.astype(np.uint64) * _B) * _M  # noqa: B023
+                h ^= h >> np.uint64(29)
+                h = (h + np.uint64(segment + 1)) * _B
+                h ^= h >> np.uint64(32)
+                keys.append(h.view(np.int64))  # noqa: B023
+                sides.append(np.full(len(which), side, np.int8))  # noqa: B023
+                owners.append(ids[which])  # noqa: B023
+                numbers.append(np.full(len(which), segment, np.int8))  # noqa: B023
+
+            for edits in [e for _, e in steps]:
+                mine = np.flatnonzero(max_edits(size, steps) == edits)
+                for i, (at, width) in enumerate(_segments(size[mine], edits)):
+                    put(mine, at, width, size[mine], i, 0)
+                for extra in range(edits + 1):
+                    shorter = size - extra
+                    mine = np.flatnonzero((shorter > 0) & (max_edits(shorter, steps) == edits))
+                    length = shorter[mine]
+                    for i, (at, width) in enumerate(_segments(length, edits)):
+                        for shift in range(max(-i, extra - (edits - i)), min(i, extra + (edits - i)) + 1):
+                            fits = (at + shift >= 0) & (at + shift + width <= size[mine])
+                            put(mine[fits], (at + shift)[fits], width[fits], length[fits], i, 1)
+            if keys:
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in (keys, sides, owners, numbers)], names=["key", "side", "id", "segment"])
+
+    return run
 
 
 def _live(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -242,7 +266,7 @@ def _shares_earlier(short: str, line: str, edits: int, before: int) -> bool:
     return False
 
 
-def _tile_links(index: list[tuple[int, str, int]], probes: list[tuple[int, str, int]]) -> tuple[list[tuple[int, int]], dict[int, int]]:
+def _tile_links(index: list[tuple[int, str, int]], probes: list[tuple[int, str, int]], steps: Steps = EDITS) -> tuple[list[tuple[int, int]], dict[int, int]]:
     """A spanning forest of the links that belong to one tile, and the number of these links of each line."""
     root: dict[int, int] = {}
     counts: dict[int, int] = {}
@@ -256,7 +280,7 @@ def _tile_links(index: list[tuple[int, str, int]], probes: list[tuple[int, str,
     ids = np.array([i for i, _, _ in index])
     size = np.array([len(t) for _, t, _ in index])
     bars = np.stack([_histogram(t) for _, t, _ in index])
-    allowed = max_edits(size)
+    allowed = max_edits(size, steps)
     links = []
     for pid, line, _ in probes:
         extra = len(line) - size
@@ -279,33 +303,36 @@ def _tile_links(index: list[tuple[int, str, int]], probes: list[tuple[int, str,
     return links, counts
 
 
-def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Tiles come one after the other, index lines first. Rows are links of the forest (a, b) or numbers of links (a, n)."""
-    now, sides = None, ([], [])
+def _verify(steps: Steps):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Tiles come one after the other, index lines first. Rows are links of the forest (a, b) or numbers of links (a, n)."""
+        now, sides = None, ([], [])
 
-    def found() -> pa.RecordBatch | None:
-        links, counts = _tile_links(*sides) if sides[0] and sides[1] else ([], {})
-        rows = [(a, b, None) for a, b in links] + [(a, None, n) for a, n in counts.items()]
-        return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*rows, strict=True)], names=["a", "b", "n"]) if rows else None
+        def found() -> pa.RecordBatch | None:
+            links, counts = _tile_links(*sides, steps) if sides[0] and sides[1] else ([], {})
+            rows = [(a, b, None) for a, b in links] + [(a, None, n) for a, n in counts.items()]
+            return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*rows, strict=True)], names=["a", "b", "n"]) if rows else None
 
-    for batch in batches:
-        cols = [batch.column(c).to_pylist() for c in ("key", "i", "p", "side", "id", "line", "segment")]
-        for key, i, p, side, owner, line, segment in zip(*cols, strict=True):
-            if (key, i, p) != now:
-                if (out := found()) is not None:
-                    yield out
-                now, sides = (key, i, p), ([], [])
-            sides[side].append((owner, line, segment))
-    if (out := found()) is not None:
-        yield out
-
-
-def line_links(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
+        for batch in batches:
+            cols = [batch.column(c).to_pylist() for c in ("key", "i", "p", "side", "id", "line", "segment")]
+            for key, i, p, side, owner, line, segment in zip(*cols, strict=True):
+                if (key, i, p) != now:
+                    if (out := found()) is not None:
+                        yield out
+                    now, sides = (key, i, p), ([], [])
+                sides[side].append((owner, line, segment))
+        if (out := found()) is not None:
+            yield out
+
+    return run
+
+
+def line_links(lines: DataFrame, steps: Steps = EDITS) -> tuple[DataFrame, DataFrame]:
     """Of distinct lines (id, line): links (a, b) between ids that connect what the edit distance connects, and the number
     of all links (id, n_links) of each line that has any."""
     spark = lines.sparkSession
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    met = lines.mapInArrow(_entries, "key long, side byte, id long, segment byte").repartition(n, "key").sortWithinPartitions("key", "side", "id")
+    met = lines.mapInArrow(_entries(_checked(steps)), "key long, side byte, id long, segment byte").repartition(n, "key").sortWithinPartitions("key", "side", "id")
     live, live_path = write_scratch(met.mapInArrow(_live, "key long, side byte, id long, segment byte, chunk long"), "lines-live")
     chunks = live.groupBy("key").agg(F.max(F.when(F.col("side") == 0, F.col("chunk"))).alias("i_last"), F.max(F.when(F.col("side") == 1, F.col("chunk"))).alias("p_last"))
     spread, _ = write_scratch(chunks.filter("i_last is not null and p_last is not null"), "lines-chunks")
@@ -314,14 +341,14 @@ def line_links(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
     tiles = placed.withColumn("i", F.explode(F.when(index, F.array("chunk")).otherwise(F.sequence(F.lit(0).cast("long"), F.col("i_last"))))) \
         .withColumn("p", F.explode(F.when(probe, F.array("chunk")).otherwise(F.sequence(F.lit(0).cast("long"), F.col("p_last"))))).select("key", "i", "p", "side", "id", "segment")
     rows = tiles.join(lines, "id").repartition(n, "key", "i", "p").sortWithinPartitions("key", "i", "p", "side")
-    found, _ = write_scratch(rows.mapInArrow(_verify, "a long, b long, n long"), "lines-links")
+    found, _ = write_scratch(rows.mapInArrow(_verify(steps), "a long, b long, n long"), "lines-links")
     discard(spark, live_path)
     links = found.filter("b is not null").select("a", "b").distinct()
     counts = found.filter("n is not null").groupBy(F.col("a").alias("id")).agg(F.sum("n").alias("n_links"))
     return links, counts
 
 
-def dedup_lines(docs: DataFrame) -> DataFrame:
+def dedup_lines(docs: DataFrame, steps: Steps = EDITS) -> DataFrame:
     """Per row: doc_id, n_lines, n_removed, removed (line numbers from 0), classes and links (of each line, null if blank).
 
     A class is named by the hexadecimal key of one of its lines; lines that stand alone name their own. The links of a
@@ -336,7 +363,7 @@ def dedup_lines(docs: DataFrame) -> DataFrame:
     every = docs.select(F.explode(split).alias("line")).filter(F.col("line").rlike(filled))
     distinct = every.distinct().select("line", text_key(F.col("line")).alias("key"), F.monotonically_increasing_id().alias("id"))
     lines, lines_path = write_scratch(distinct, "lines-distinct")
-    forest, counts = line_links(lines.select("id", "line"))
+    forest, counts = line_links(lines.select("id", "line"), steps)
     roots, _ = write_scratch(connected_components(forest, "lines"), "lines-roots")
     linked = lines.select("id", "key").join(roots, F.col("id") == F.col("node")).join(counts, "id").select("key", "root", "n_links")
     least = linked.groupBy("root").agg(F.min("key").alias("class"))

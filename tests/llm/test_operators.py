@@ -86,6 +86,39 @@ def test_line_links_are_all_counted(spark):
         assert r.links == [want.get(x) for x in mine] and r.n_links == sum(want.get(x, 0) for x in mine)
 
 
+def test_line_edits_that_grow_with_the_length(spark):
+    """Steps of the caller: at a similarity of 0.95 a replaced word of a long line is a link, short lines keep few edits."""
+    steps = line_dedup.similarity_steps(0.95, 12)
+    assert steps[0] == (20, 1) and steps[-1] == (240, 12) and [int(line_dedup.max_edits(n, steps)) for n in (19, 20, 39, 40, 239, 240, 9000)] == [0, 1, 1, 2, 11, 12, 12]
+    rng = random.Random(5)
+    noise = lambda n: "".join(rng.choice("abcde fgh") for _ in range(n)).replace("  ", " a") + "."
+    lines = set()
+    for n in (25, 60, 110, 180, 233, 260):
+        base = noise(n)
+        lines.add(base)
+        for edits in (1, 2, 3, 5, 8, 11, 12, 13, 16):
+            x = list(base)
+            for _ in range(edits):
+                at = rng.randrange(len(x))
+                x[at:at + rng.randrange(2)] = rng.choice(["", "Q", "R", "S"])
+            lines.add("".join(x))
+        at = n // 2
+        lines.add(base[:at] + "replaced" + base[at + 7:])
+    lines = sorted(x for x in lines if x.strip())
+    linked = lambda a, b: abs(len(a) - len(b)) <= (m := int(line_dedup.max_edits(min(len(a), len(b)), steps))) and brute.edit_distance(a, b) <= m
+    want = {x: sum(x != y and linked(x, y) for y in lines) for x in lines}
+    fixed = {x: sum(x != y and abs(len(x) - len(y)) <= 2 and brute.edit_distance(x, y) <= 2 for y in lines) for x in lines}
+    assert sum(want.values()) > 2 * sum(fixed.values())
+    rows = line_dedup.dedup_lines(brute.tiny_docs(spark, [(i, t, "en", "s", 0) for i, t in enumerate(lines)]), steps).collect()
+    assert {lines[r.doc_id]: r.n_links for r in rows} == want
+    roots = brute.components(len(lines), lambda i, j: linked(lines[i], lines[j]))
+    cls = {r.doc_id: r.classes[0] for r in rows}
+    assert all((cls[i] == cls[j]) == (roots[i] == roots[j]) for i in range(len(lines)) for j in range(i))
+    for bad in (((10, 2), (20, 1)), ((2, 2),), ((16, 1), (16, 2))):
+        with pytest.raises(ValueError):
+            line_dedup.dedup_lines(brute.tiny_docs(spark, []), bad)
+
+
 def test_mixing(spark, edge_docs, edge_rows, no_docs):
     sizes = defaultdict(int)
     for _, text, _, source, _ in edge_rows:
