@@ -1,7 +1,7 @@
 """Line dedup by a segment-partition edit join.
 
 Lines (split at newlines) are equal or linked if their edit distance is at most ``max_edits(shorter length)``, by steps of
-the length: 2 from 32 code points on, 1 from 16 on, 0 below (``EDITS``) unless the caller gives other steps;
+the length: 4 from 96 code points on, 3 from 64, 2 from 32, 1 from 16, 0 below (``EDITS``) unless the caller gives others;
 ``similarity_steps`` makes steps that grow in proportion to the length. Entries grow with about the cube of the edits.
 Classes are the connected lines; of each class the first occurrence by doc_id and line number stays. Only distinct
 lines are joined:
@@ -37,7 +37,7 @@ from courtview.llm.components import connected_components
 
 Steps = tuple[tuple[int, int], ...]
 #: Edits allowed for the shorter line: (least length in code points, edits), ascending.
-EDITS: Steps = ((16, 1), (32, 2))
+EDITS: Steps = ((16, 1), (32, 2), (64, 3), (96, 4))
 TILE = 512
 _B = np.uint64(0x9E3779B97F4A7C15)
 _B_INVERSE = np.uint64(pow(int(_B), -1, 1 << 64))

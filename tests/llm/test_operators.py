@@ -63,7 +63,7 @@ def test_line_tiles_split_large_buckets(spark, monkeypatch):
     head = "a common beginning of very many lines "
     docs = brute.tiny_docs(spark, [(i, head + "qwertyuiopas"[i % 12:] + "z" * 30 + "qwertyuiopas"[:i % 12], "en", "s", 0) for i in range(12)] +
                            [(50 + i, head + "m" * 40 + str(i), "en", "s", 0) for i in range(9)])
-    rows = {r.doc_id: r.classes[0] for r in line_dedup.dedup_lines(docs).collect()}
+    rows = {r.doc_id: r.classes[0] for r in line_dedup.dedup_lines(docs, ((16, 1), (32, 2))).collect()}
     assert len({rows[50 + i] for i in range(9)}) == 1
     texts = {d: t for d, t, *_ in [(r.doc_id, r.text) for r in docs.collect()]}
     ids = sorted(texts)
