@@ -39,6 +39,7 @@ Steps = tuple[tuple[int, int], ...]
 #: Edits allowed for the shorter line: (least length in code points, edits), ascending.
 EDITS: Steps = ((16, 1), (32, 2), (64, 3), (96, 4))
 TILE = 512
+ID_BITS = 55
 _B = np.uint64(0x9E3779B97F4A7C15)
 _B_INVERSE = np.uint64(pow(int(_B), -1, 1 << 64))
 _M = np.uint64(0xFF51AFD7ED558CCD)
@@ -149,11 +150,21 @@ def _segments(length: np.ndarray, edits: int) -> list[tuple[np.ndarray, np.ndarr
     return out
 
 
+def _packed(side: int, ids: np.ndarray, segment: int) -> np.ndarray:
+    """Side, id and segment number in one integer that sorts by them."""
+    return np.int64(side << 62 | segment) | ids << 7
+
+
 def _entries(steps: Steps):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """(key, side, id, segment): index entries (side 0) and probe entries (side 1) of each line."""
+        """(key, entry): index entries (side 0) and probe entries (side 1) of each line, see ``_packed``.
+
+        An index entry stands for the probe of the same place too, which would have the same key.
+        """
         for batch in batches:
             ids = batch.column("id").to_numpy()
+            if len(ids) and int(ids.max()) >> ID_BITS:
+                raise ValueError("line ids are too large to be packed")  # over four million partitions
             raw = [t.encode("utf-32-le", "surrogatepass") for t in batch.column("line").to_pylist()]
             size = np.array([len(r) // 4 for r in raw], np.int64)
             codes = np.frombuffer(b"".join(raw), "<u4").astype(np.uint64)
@@ -161,91 +172,94 @@ def _entries(steps: Steps):
             powers = np.concatenate((np.ones(1, np.uint64), np.full(len(codes), _B))).cumprod()
             inverse = np.concatenate((np.ones(1, np.uint64), np.full(len(codes), _B_INVERSE))).cumprod()
             upto = np.concatenate((np.zeros(1, np.uint64), np.cumsum((codes + _M) * powers[:-1])))
-            keys, sides, owners, numbers = [], [], [], []
+            keys, entries = [], []
 
-            def put(which, at, width, length, segment, side):
-                b = start[which] + at
-                h = (upto[b + width] - upto[b]) * inverse[b]
+            def hashed(which, at, width, length, segment):
+                b = start[which] + at  # noqa: B023
+                h = (upto[b + width] - upto[b]) * inverse[b]  # noqa: B023
                 h ^= h >> np.uint64(32)
-                h = (h + length.astype(np.uint64) * _B) * _M  # noqa: B023
+                h = (h + length.astype(np.uint64) * _B) * _M
                 h ^= h >> np.uint64(29)
                 h = (h + np.uint64(segment + 1)) * _B
                 h ^= h >> np.uint64(32)
-                keys.append(h.view(np.int64))  # noqa: B023
-                sides.append(np.full(len(which), side, np.int8))  # noqa: B023
-                owners.append(ids[which])  # noqa: B023
-                numbers.append(np.full(len(which), segment, np.int8))  # noqa: B023
+                return h.view(np.int64)
+
+            def put(h, which, segment, side):
+                keys.append(h)  # noqa: B023
+                entries.append(_packed(side, ids[which], segment))  # noqa: B023
 
             for edits in [e for _, e in steps]:
                 mine = np.flatnonzero(max_edits(size, steps) == edits)
-                for i, (at, width) in enumerate(_segments(size[mine], edits)):
-                    put(mine, at, width, size[mine], i, 0)
+                own = [hashed(mine, at, width, size[mine], i) for i, (at, width) in enumerate(_segments(size[mine], edits))]
+                for i, h in enumerate(own):
+                    put(h, mine, i, 0)
                 for extra in range(edits + 1):
                     shorter = size - extra
                     mine = np.flatnonzero((shorter > 0) & (max_edits(shorter, steps) == edits))
                     length = shorter[mine]
                     for i, (at, width) in enumerate(_segments(length, edits)):
                         for shift in range(max(-i, extra - (edits - i)), min(i, extra + (edits - i)) + 1):
-                            fits = (at + shift >= 0) & (at + shift + width <= size[mine])
-                            put(mine[fits], (at + shift)[fits], width[fits], length[fits], i, 1)
+                            if extra == shift == 0:
+                                continue  # the index entry
+                            fits = np.flatnonzero((at + shift >= 0) & (at + shift + width <= size[mine]))
+                            h = hashed(mine[fits], (at + shift)[fits], width[fits], length[fits], i)
+                            if extra == 0:  # a line that repeats itself meets its own index entry
+                                other = h != own[i][fits]
+                                h, fits = h[other], fits[other]
+                            put(h, mine[fits], i, 1)
             if keys:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in (keys, sides, owners, numbers)], names=["key", "side", "id", "segment"])
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in (keys, entries)], names=["key", "entry"])
 
     return run
 
 
 def _live(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Entries sorted by key, side and id: those of buckets with two different lines, once each, numbered in chunks of TILE.
+    """Entries sorted by key and entry: (key, side, id, segment, chunk) of buckets with an index line and another line,
+    each line of a side once, numbered in chunks of TILE. An index line comes as a probe line too.
 
-    A bucket is held only until it shows two lines; from then on its rows pass through.
+    Index entries come first, so that a bucket without one passes by. A bucket is held only until it shows two lines;
+    from then on its rows pass through.
     """
-    key_now, seen, live, row_now = None, [0, 0], False, None
-    held_side = held_segment = np.zeros(0, np.int8)
-    held_id = np.zeros(0, np.int64)
+    key_now, row_now, seen, live, indexed = None, None, [0, 0], False, False
+    held = np.zeros(0, np.int64)
 
     for batch in batches:
         if not batch.num_rows:
             continue
-        key, side, owner, segment = (batch.column(c).to_numpy() for c in ("key", "side", "id", "segment"))
-        new = np.concatenate(([(key[0], side[0], owner[0]) != row_now], (key[1:] != key[:-1]) | (side[1:] != side[:-1]) | (owner[1:] != owner[:-1])))
-        row_now = (key[-1], side[-1], owner[-1])
-        key, side, owner, segment = key[new], side[new], owner[new], segment[new]
+        key, entry = (batch.column(c).to_numpy() for c in ("key", "entry"))
+        line = entry >> 7  # side and id
+        new = np.concatenate(([(key[0], line[0]) != row_now], (key[1:] != key[:-1]) | (line[1:] != line[:-1])))
+        row_now = (key[-1], line[-1])
+        key, entry = key[new], entry[new]
         if not len(key):
             continue
+        owner = (entry >> 7) & ((1 << ID_BITS) - 1)
         cut = np.concatenate(([0], np.flatnonzero(key[1:] != key[:-1]) + 1, [len(key)]))
-        low, high = np.minimum.reduceat(owner, cut[:-1]), np.maximum.reduceat(owner, cut[:-1])
-        busy = np.flatnonzero(low != high)
-        out_k, out_s, out_i, out_n, out_c = [], [], [], [], []
+        busy = np.flatnonzero((np.minimum.reduceat(owner, cut[:-1]) != np.maximum.reduceat(owner, cut[:-1])) & (entry[cut[:-1]] >> 62 == 0))
+        out = []
 
-        def emit(k, s, o, n, counts):
+        def emit(k, rows, counts):
             """Rows with the running number of each side."""
-            c = np.zeros(len(s), np.int64)
-            for v in (0, 1):
-                m = s == v
-                c[m] = counts[v] + np.arange(int(m.sum()))
-                counts[v] += int(m.sum())
-            out_k.append(np.full(len(s), k, np.int64))  # noqa: B023
-            out_s.append(s)  # noqa: B023
-            out_i.append(o)  # noqa: B023
-            out_n.append(n)  # noqa: B023
-            out_c.append(c // TILE)  # noqa: B023
-
-        groups = sorted(set(busy.tolist()) | {0, len(cut) - 2})
-        for g in groups:
-            a, b = int(cut[g]), int(cut[g + 1])
+            first = rows[rows >> 62 == 0]
+            for side, mine in ((0, first), (1, np.concatenate((first, rows[rows >> 62 == 1])))):
+                at = counts[side] + np.arange(len(mine))
+                counts[side] += len(mine)
+                out.append((np.full(len(mine), k, np.int64), np.full(len(mine), side, np.int8), (mine >> 7) & ((1 << ID_BITS) - 1), (mine & 127).astype(np.int8), at // TILE))  # noqa: B023
+
+        for g in sorted(set(busy.tolist()) | {0, len(cut) - 2}):
+            rows = entry[cut[g]:cut[g + 1]]
             if g == 0 and key_now is not None and key[0] == key_now:  # goes on from the batch before
-                s, o, n = (np.concatenate(x) for x in ((held_side, side[a:b]), (held_id, owner[a:b]), (held_segment, segment[a:b])))
+                rows = np.concatenate((held, rows))
             else:
-                s, o, n, seen, live = side[a:b], owner[a:b], segment[a:b], [0, 0], False
-            live = live or bool((o != o[0]).any())
+                seen, live, indexed = [0, 0], False, bool(rows[0] >> 62 == 0)
+            lines = (rows >> 7) & ((1 << ID_BITS) - 1)
+            live = live or indexed and bool((lines != lines[0]).any())
             if live:
-                emit(key[a], s, o, n, seen)
-                s, o, n = s[:0], o[:0], n[:0]
+                emit(key[cut[g]], rows, seen)
             if g == len(cut) - 2:
-                first = [np.flatnonzero(s == v)[0] for v in (0, 1) if (s == v).any()]
-                key_now, held_side, held_id, held_segment = key[a], s[first], o[first], n[first]  # of one line so far, one row a side is enough
-        if out_k:
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in (out_k, out_s, out_i, out_n, out_c)], names=["key", "side", "id", "segment", "chunk"])
+                key_now, held = key[cut[g]], rows[:0] if live or not indexed else rows[:1]  # an index row of one line so far
+        if out:
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in zip(*out, strict=True)], names=["key", "side", "id", "segment", "chunk"])
 
 
 def _histogram(line: str) -> np.ndarray:
@@ -332,7 +346,7 @@ def line_links(lines: DataFrame, steps: Steps = EDITS) -> tuple[DataFrame, DataF
     of all links (id, n_links) of each line that has any."""
     spark = lines.sparkSession
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    met = lines.mapInArrow(_entries(_checked(steps)), "key long, side byte, id long, segment byte").repartition(n, "key").sortWithinPartitions("key", "side", "id")
+    met = lines.mapInArrow(_entries(_checked(steps)), "key long, entry long").repartition(n, "key").sortWithinPartitions("key", "entry")
     live, live_path = write_scratch(met.mapInArrow(_live, "key long, side byte, id long, segment byte, chunk long"), "lines-live")
     chunks = live.groupBy("key").agg(F.max(F.when(F.col("side") == 0, F.col("chunk"))).alias("i_last"), F.max(F.when(F.col("side") == 1, F.col("chunk"))).alias("p_last"))
     spread, _ = write_scratch(chunks.filter("i_last is not null and p_last is not null"), "lines-chunks")
