@@ -2,6 +2,10 @@
 
 Each stage takes (spark, docs, sf_dir) and returns the rows it keeps with the columns of documents; the last one adds
 the shard and slot of each row. A stage works on all that the one before kept, read back from Parquet.
+
+Null and empty texts are scored, linked and mixed like any other (see each operator); repeated rows are rows of their own
+until the near-duplicate stage; an empty table gives an empty result. Other columns are carried, but the last stage
+replaces input columns called size, text_crc32, law, shard, slot, grown_shard or curve by its own.
 """
 
 from __future__ import annotations
