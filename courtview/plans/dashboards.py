@@ -15,8 +15,10 @@ from pyspark.sql import functions as F
 
 from courtview.functions.numeric import bi, mean
 from courtview.functions.text import manual_order_key, priority_short
+from courtview.operators.broadcast import DEFAULT_MAX_BYTES, DEFAULT_MAX_ROWS, broadcast_if_bounded, fits
 from courtview.params import (PRIORITY_BOTH, PRIORITY_ENGAGEMENT, PRIORITY_NEGATIVE, PRIORITY_SHORT_ORDER,
                               Params)
+from courtview.session import materialize
 
 SHARES = ("positive_comment_pct", "neutral_comment_pct", "negative_comment_pct")
 
@@ -197,13 +199,34 @@ def v_priority_videos(stg: DataFrame) -> DataFrame:
 
 def v_scatter(stg: DataFrame) -> DataFrame:
     """One mark per (priority, video): rate vs negative share, sized by views, with mean lines."""
-    marks = stg.groupBy("monitoring_priority", "video_id").agg(
+    return mean_over_marks(_scatter_marks(stg), {"ref_engagement_rate": "sum_engagement_rate",
+                                                 "ref_negative_comment_pct": "sum_negative_comment_pct"})
+
+
+def _scatter_marks(stg: DataFrame) -> DataFrame:
+    """The marks of the scatter. A video of one row is its own mark, its whole title crosses no exchange; only rows of a video that
+    has more of them are grouped. Where those videos are too many to be broadcast, all rows are grouped."""
+    keys = ["monitoring_priority", "video_id"]
+    again = materialize(stg.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select(*[F.col(k).alias(f"_{k}") for k in keys]), "repeated-videos")
+    if not fits(again, DEFAULT_MAX_ROWS, DEFAULT_MAX_BYTES):
+        return _grouped_marks(stg, keys)
+    same = F.col(keys[0]).eqNullSafe(F.col(f"_{keys[0]}")) & F.col(keys[1]).eqNullSafe(F.col(f"_{keys[1]}"))
+    rows = stg.select(*keys, "engagement_rate", "negative_comment_pct", "view_count", "video_title", "team")
+    alone = rows.join(F.broadcast(again), same, "left_anti").select(
+        *keys, bi(F.lit(0.0) + F.col("engagement_rate")).alias("sum_engagement_rate"),
+        bi(F.lit(0.0) + F.col("negative_comment_pct")).alias("sum_negative_comment_pct"), F.col("view_count").alias("sum_view_count"),
+        F.col("video_title").cast("string").alias("attr_video_title"), F.col("team").cast("string").alias("attr_team"))
+    if again.isEmpty():
+        return alone
+    return alone.unionByName(_grouped_marks(rows.join(F.broadcast(again), same, "left_semi"), keys))
+
+
+def _grouped_marks(rows: DataFrame, keys: list[str]) -> DataFrame:
+    return rows.groupBy(*keys).agg(
         sheet_sum("engagement_rate").alias("sum_engagement_rate"),
         sheet_sum("negative_comment_pct").alias("sum_negative_comment_pct"),
         F.sum("view_count").alias("sum_view_count"),
         attr("video_title").alias("attr_video_title"), attr("team").alias("attr_team"))
-    return mean_over_marks(marks, {"ref_engagement_rate": "sum_engagement_rate",
-                                   "ref_negative_comment_pct": "sum_negative_comment_pct"})
 
 
 def _reached_titles(stg: DataFrame, n: int) -> DataFrame:
