@@ -246,8 +246,12 @@ def _rows_of_top_titles(rows: DataFrame, n: int) -> DataFrame:
 
 
 def _join_reached(stg: DataFrame, n: int) -> DataFrame:
-    """The rows of the titles that reach the n-th largest sum."""
-    reached = _reached_titles(stg, n).withColumnRenamed("_title", "_reached")
+    """The rows of the titles that reach the n-th largest sum.
+
+    Those titles' digests are written first, so that their size is known before the rows are read: as a rule they are few and
+    broadcast, and no whole text of another title crosses an exchange.
+    """
+    reached = broadcast_if_bounded(materialize(_reached_titles(stg, n), "reached-titles").withColumnRenamed("_title", "_reached"))
     return stg.withColumn("_title", title_digest()).join(reached, F.col("_title").eqNullSafe(F.col("_reached"))).drop("_reached")
 
 
