@@ -154,19 +154,20 @@ def _unit_aggs(t: int) -> list[F.Column]:
 
 
 def rollup_scores(scored: DataFrame, threshold: Decimal = DEFAULT_THRESHOLD,
-                  extra: dict[str, F.Column] | None = None) -> DataFrame:
+                  extra: dict[str, F.Column] | None = None, key: str = "video_id") -> DataFrame:
     """Per-video summary from (video_id, score_units | sentiment_score) rows.
 
-    ``extra`` adds more per-video aggregates to the same pass (one scan, one shuffle).
+    ``extra`` adds more per-video aggregates to the same pass (one scan, one shuffle); ``key`` names another
+    column that tells the videos apart.
     """
     if "score_units" not in scored.columns:
         scored = scored.withColumn("score_units", (F.col("sentiment_score") * F.lit(SCORE_SCALE)).cast("bigint"))
     extra = extra or {}
-    agg = scored.groupBy("video_id").agg(
+    agg = scored.groupBy(key).agg(
         F.count(F.lit(1)).alias("n"), *_unit_aggs(score_units(threshold)),
         *[c.alias(k) for k, c in extra.items()],
     )
-    return agg.select("video_id", *_summary(F.col("n"), F.col("units_sum"), F.col("pos"), F.col("neg")), *extra)
+    return agg.select(key, *_summary(F.col("n"), F.col("units_sum"), F.col("pos"), F.col("neg")), *extra)
 
 
 def video_sentiment(comments: DataFrame, lexicon: DataFrame,

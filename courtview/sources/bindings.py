@@ -104,26 +104,25 @@ def fixture_lexicon(spark: SparkSession) -> DataFrame:
 # ---------------------------------------------------------------------------
 # commerce
 # ---------------------------------------------------------------------------
-def commerce_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
+def commerce_geography(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Nations with their region: a dimension."""
     nation = read_table(spark, sf_dir, "nation").select("n_nationkey", "n_name", "n_regionkey")
     region = read_table(spark, sf_dir, "region").select("r_regionkey", "r_name")
-    geo = nation.join(broadcast_if_bounded(region, DIMENSION_MAX_ROWS),
-                      nation.n_regionkey == region.r_regionkey, "left")
-    cust = read_table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_nationkey", "c_mktsegment")
-    return cust.join(broadcast_if_bounded(geo, DIMENSION_MAX_ROWS), cust.c_nationkey == geo.n_nationkey, "left")
+    return nation.join(broadcast_if_bounded(region, DIMENSION_MAX_ROWS),
+                       nation.n_regionkey == region.r_regionkey, "left")
 
 
 def commerce_line_rollup(spark: SparkSession, sf_dir: str, threshold=Decimal("0.15")) -> DataFrame:
-    """One pass over lineitem per order (keyed by video_id): the comment sentiment roll-up
-    plus the two engagement counts.  Statistics and sentiment both select from this one
+    """One pass over lineitem per order (keyed by l_orderkey, a number: eight bytes to deal and compare): the comment
+    sentiment roll-up plus the two engagement counts.  Statistics and sentiment both select from this one
     aggregate, so the plan scans and shuffles lineitem once (the exchange is reused) and
-    both arrive hash-partitioned on video_id for the joins that follow."""
+    both arrive hash-partitioned on the order for the join that follows."""
     from courtview.operators.sentiment import rollup_scores
     scored = commerce_scored_comments(spark, sf_dir, with_quantity=True)
     return rollup_scores(scored, threshold, extra={
         "n_like": F.sum(F.col("l_quantity").cast("bigint")),
         "n_comment": F.count(F.lit(1)),
-    })
+    }, key="l_orderkey")
 
 
 def commerce_videos_raw(spark: SparkSession, sf_dir: str, line_rollup: DataFrame | None = None,
@@ -133,21 +132,31 @@ def commerce_videos_raw(spark: SparkSession, sf_dir: str, line_rollup: DataFrame
     With ``keep_summary`` the per-order sentiment columns of the same line-item
     aggregate ride along, so lineitem is aggregated and joined exactly once. With ``window`` the collection
     window's limits apply before the statistics are joined.
+
+    Only the tables' own narrow columns cross the exchanges; names of nations, texts and dates are derived from them
+    after the last one (before the window, which ranks by them).
     """
     orders = read_table(spark, sf_dir, "orders").select(
         "o_orderkey", "o_custkey", "o_totalprice", "o_orderdate", "o_orderpriority")
     if window is not None:  # takes no place of a list that is newest first (see ``collection_window``)
         orders = orders.where(F.col("o_orderdate") >= F.lit(window.start_date).cast("timestamp_ntz"))
-    cust = commerce_customers(spark, sf_dir)
+    cust = read_table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("o_custkey"), "c_name", "c_nationkey", "c_mktsegment")
+    geo = broadcast_if_bounded(commerce_geography(spark, sf_dir), DIMENSION_MAX_ROWS)
     rollup = line_rollup if line_rollup is not None else commerce_line_rollup(spark, sf_dir)
-    stats = rollup.select("video_id", "n_like", "n_comment", *(SUMMARY_COLUMNS if keep_summary else ()))
+    stats = rollup.select(F.col("l_orderkey").alias("o_orderkey"), "n_like", "n_comment", *(SUMMARY_COLUMNS if keep_summary else ()))
     # a customer may hold a large share of all orders: its orders join a broadcast of its one row
-    j = (skew_split_join(orders, cust.withColumnRenamed("c_custkey", "o_custkey"), "o_custkey", "left")
-         .withColumns({"video_id": F.col("o_orderkey").cast("string"), "team": F.col("n_name"), "published_at": iso_text("o_orderdate"),
-                       "channel_id": F.concat(F.lit("CH-"), F.col("n_nationkey").cast("string"))}))
+    j = skew_split_join(orders, cust, "o_custkey", "left")
+
+    def named(rows: DataFrame) -> DataFrame:
+        return (rows.join(geo, rows.c_nationkey == geo.n_nationkey, "left")
+                .withColumns({"video_id": F.col("o_orderkey").cast("string"), "team": F.col("n_name"), "published_at": iso_text("o_orderdate"),
+                              "channel_id": F.concat(F.lit("CH-"), F.col("n_nationkey").cast("string"))}))
+
     if window is not None:
-        j = collection_window(j, window.start_date, window.as_of, window.list_cap, window.top_n_per_team)
-    j = j.join(stats, "video_id", "left")
+        j = collection_window(named(j), window.start_date, window.as_of, window.list_cap, window.top_n_per_team)
+        j = j.join(stats, "o_orderkey", "left")
+    else:
+        j = named(j.join(stats, "o_orderkey", "left"))
     k = F.col("o_orderkey")
     duration = F.when(k % 3 == 0, F.concat(F.lit("PT"), (k % 60).cast("string"), F.lit("S"))).otherwise(
         F.concat(F.lit("PT"), (F.lit(1) + k % 20).cast("string"), F.lit("M"), (k % 60).cast("string"), F.lit("S")))
@@ -181,7 +190,7 @@ def commerce_scored_comments(spark: SparkSession, sf_dir: str, with_quantity: bo
         (steps * 500).cast("bigint").alias("score_units"),
     ]
     if with_quantity:
-        cols.append(F.col("l_quantity"))
+        cols += ["l_orderkey", "l_quantity"]
     return li.select(*cols)
 
 
