@@ -88,6 +88,20 @@ def html_decode(col: "Column | str") -> Column:
 # ---------------------------------------------------------------------------
 # Rules and labels.
 # ---------------------------------------------------------------------------
+PATTERN_SIGNS = frozenset("\\^$.[](){}*+?")
+
+
+def _found(text: Column, pattern: str) -> Column:
+    """Whether ``pattern`` is found in ``text``; plain words (``recap|full season``) are looked up without a regex engine."""
+    if PATTERN_SIGNS & set(pattern):
+        return text.rlike(pattern)
+    hit = None
+    for word in pattern.split("|"):
+        one = text.contains(word)
+        hit = one if hit is None else hit | one
+    return hit
+
+
 def rules_first_match(title: "Column | str", duration: "Column | str | None", rules: Sequence[Rule],
                       default: str) -> Column:
     """One CASE WHEN: the first rule whose title or duration pattern is found wins."""
@@ -97,7 +111,7 @@ def rules_first_match(title: "Column | str", duration: "Column | str | None", ru
     for label, title_pattern, duration_pattern in rules:
         cond = None
         if title_pattern:
-            cond = t.rlike(title_pattern)
+            cond = _found(t, title_pattern)
         if duration_pattern and d is not None:
             hit = d.rlike(duration_pattern)
             cond = hit if cond is None else (cond | hit)
