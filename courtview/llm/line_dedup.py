@@ -2,13 +2,15 @@
 
 Lines (split at newlines) are equal or linked if their edit distance is at most ``max_edits(shorter length)``, by steps of
 the length: 4 from 96 code points on, 3 from 64, 2 from 32, 1 from 16, 0 below (``EDITS``) unless the caller gives others;
-``similarity_steps`` makes steps that grow in proportion to the length. Entries grow with about the cube of the edits.
+``similarity_steps`` makes steps that grow in proportion to the length. Entries grow with about the square of the edits.
 Classes are the connected lines; of each class the first occurrence by doc_id and line number stays. Only distinct
 lines are joined:
 
-1. the shorter line of a pair is cut into threshold-plus-one segments, one of which survives the edits; it is indexed by
-   (length, segment number, segment). A line probes, for each length it may match and each segment, the
-   substrings at the starts that leave enough edits for both sides (length-aware selection);
+1. lengths fall into buckets of one threshold each. A line has threshold-plus-one segments of a width fixed by its bucket:
+   the first half are placed from its start, the others from its end. Of the shorter line of a pair some segment i survives
+   with i edits before it and threshold - i behind it at most; it is indexed by (bucket, segment number, segment). A line
+   probes, for its bucket and each one below that its edits reach, every segment at shifts of up to min(i, threshold - i)
+   from the same end, whatever the other's length;
 2. index and probe entries meet by hash in one shuffle; only buckets with both stay. Buckets are dealt as tiles of at most
    ``TILE`` index lines and ``TILE`` probe lines, so that a segment shared by very many lines spreads over tasks;
 3. in a tile, every pair that passes the length and letter-count bounds is verified by a banded bit-parallel edit
@@ -25,6 +27,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from functools import lru_cache
 from itertools import pairwise
 
 import numpy as np
@@ -56,7 +59,7 @@ def _checked(steps: Steps) -> Steps:
         raise ValueError(f"lengths and edits must ascend, each length above its edits: {steps}")
     if any(e > 126 for _, e in steps):
         raise ValueError("126 edits are the most")  # a segment number is one byte
-    return steps
+    return tuple((n, e) for n, e in steps)
 
 
 def max_edits(length: np.ndarray | int, steps: Steps = EDITS) -> np.ndarray:
@@ -138,16 +141,40 @@ def _banded(a: str, b: str, limit: int) -> int:
     return next((e for e in range(limit + 1) if state[e] & last), limit + 1)
 
 
-def _segments(length: np.ndarray, edits: int) -> list[tuple[np.ndarray, np.ndarray]]:
-    """(start, size) of the ``edits + 1`` segments of lines of the given lengths: the last ones are longer by one."""
-    n = edits + 1
-    short, longer = length // n, length % n
-    out, at = [], np.zeros_like(length)
-    for i in range(n):
-        size = short + (i >= n - longer)
-        out.append((at, size))
-        at = at + size
-    return out
+@lru_cache
+def _bounds(longest: int, steps: Steps) -> np.ndarray:
+    """Least lengths of the buckets up to ``longest``, after a 0 for the lines below: no bucket holds two steps, and each
+    is as wide as four times its edits or an eighth of its length, so that few lines reach the bucket below."""
+    out = [0]
+    for (n, edits), (end, _) in pairwise((*steps, (longest + 1, 0))):
+        while n < end:
+            out.append(n)
+            n += max(4 * edits, n // 8)
+    return np.array(out, np.int64)
+
+
+def _bucket(length: np.ndarray, steps: Steps) -> np.ndarray:
+    """Least length of each length's bucket, 0 below the first step."""
+    bounds = _bounds(1 << int(length.max(initial=1)).bit_length(), steps)
+    return bounds[np.maximum(np.searchsorted(bounds, length, side="right") - 1, 0)]
+
+
+def _place(length: np.ndarray | int, width: np.ndarray | int, edits: int, i: int) -> np.ndarray | int:
+    """Start of segment i in a line of the given length."""
+    return i * width if 2 * i <= edits else length - (edits + 1 - i) * width
+
+
+def _grouped(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.Table]:
+    """Batches put together until they hold ``size`` bytes."""
+    some, held = [], 0
+    for batch in batches:
+        some.append(batch)
+        held += batch.nbytes
+        if held >= size:
+            yield pa.Table.from_batches(some)
+            some, held = [], 0
+    if some:
+        yield pa.Table.from_batches(some)
 
 
 def _packed(side: int, ids: np.ndarray, segment: int) -> np.ndarray:
@@ -161,7 +188,7 @@ def _entries(steps: Steps):
 
         An index entry stands for the probe of the same place too, which would have the same key.
         """
-        for batch in batches:
+        for batch in _grouped(batches, 1 << 20):
             ids = batch.column("id").to_numpy()
             if len(ids) and int(ids.max()) >> ID_BITS:
                 raise ValueError("line ids are too large to be packed")  # over four million partitions
@@ -188,25 +215,25 @@ def _entries(steps: Steps):
                 keys.append(h)  # noqa: B023
                 entries.append(_packed(side, ids[which], segment))  # noqa: B023
 
+            reached = [_bucket(size - extra, steps) for extra in range(max((e for _, e in steps), default=0) + 1)]
             for edits in [e for _, e in steps]:
-                mine = np.flatnonzero(max_edits(size, steps) == edits)
-                own = [hashed(mine, at, width, size[mine], i) for i, (at, width) in enumerate(_segments(size[mine], edits))]
-                for i, h in enumerate(own):
-                    put(h, mine, i, 0)
-                for extra in range(edits + 1):
-                    shorter = size - extra
-                    mine = np.flatnonzero((shorter > 0) & (max_edits(shorter, steps) == edits))
-                    length = shorter[mine]
-                    for i, (at, width) in enumerate(_segments(length, edits)):
-                        for shift in range(max(-i, extra - (edits - i)), min(i, extra + (edits - i)) + 1):
-                            if extra == shift == 0:
-                                continue  # the index entry
-                            fits = np.flatnonzero((at + shift >= 0) & (at + shift + width <= size[mine]))
-                            h = hashed(mine[fits], (at + shift)[fits], width[fits], length[fits], i)
-                            if extra == 0:  # a line that repeats itself meets its own index entry
-                                other = h != own[i][fits]
-                                h, fits = h[other], fits[other]
-                            put(h, mine[fits], i, 1)
+                mine = [np.flatnonzero((max_edits(size - extra, steps) == edits) & ((extra == 0) | (reached[extra] != reached[extra - 1])))
+                        for extra in range(edits + 1)]
+                which, low = np.concatenate(mine), np.concatenate([reached[extra][x] for extra, x in enumerate(mine)])
+                if not len(which):
+                    continue
+                own = np.arange(len(which)) < len(mine[0])
+                width = low // (edits + 1)
+                for i in range(edits + 1):
+                    at = _place(size[which], width, edits, i)
+                    unmoved = hashed(which, at, width, low, i)
+                    put(unmoved[own], which[own], i, 0)
+                    put(unmoved[~own], which[~own], i, 1)
+                    for shift in [x for d in range(1, min(i, edits - i) + 1) for x in (-d, d)]:
+                        fits = np.flatnonzero((at + shift >= 0) & (at + shift + width <= size[which]))
+                        h = hashed(which[fits], (at + shift)[fits], width[fits], low[fits], i)
+                        other = h != unmoved[fits]  # a line that repeats itself has that entry
+                        put(h[other], which[fits][other], i, 1)
             if keys:
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in (keys, entries)], names=["key", "entry"])
 
@@ -223,7 +250,7 @@ def _live(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     key_now, row_now, seen, live, indexed = None, None, [0, 0], False, False
     held = np.zeros(0, np.int64)
 
-    for batch in batches:
+    for batch in _grouped(batches, 1 << 20):
         if not batch.num_rows:
             continue
         key, entry = (batch.column(c).to_numpy() for c in ("key", "entry"))
@@ -267,16 +294,13 @@ def _histogram(line: str) -> np.ndarray:
     return np.bincount(codes & 63, minlength=64).astype(np.int32)
 
 
-def _shares_earlier(short: str, line: str, edits: int, before: int) -> bool:
+def _shares_earlier(short: str, line: str, edits: int, width: int, before: int) -> bool:
     """Whether a segment of the shorter line ahead of number ``before`` meets a probe of the other: the pair belongs there."""
-    n, extra, at = edits + 1, len(line) - len(short), 0
     for i in range(before):
-        width = len(short) // n + (i >= n - len(short) % n)
+        at, there, reach = _place(len(short), width, edits, i), _place(len(line), width, edits, i), min(i, edits - i)
         part = short[at:at + width]
-        for shift in range(max(-i, extra - (edits - i)), min(i, extra + (edits - i)) + 1):
-            if at + shift >= 0 and line[at + shift:at + shift + width] == part:
-                return True
-        at += width
+        if any(line.startswith(part, x) for x in range(max(there - reach, 0), there + reach + 1)):
+            return True
     return False
 
 
@@ -295,6 +319,7 @@ def _tile_links(index: list[tuple[int, str, int]], probes: list[tuple[int, str,
     size = np.array([len(t) for _, t, _ in index])
     bars = np.stack([_histogram(t) for _, t, _ in index])
     allowed = max_edits(size, steps)
+    widths = _bucket(size, steps) // (allowed + 1)
     links = []
     for pid, line, _ in probes:
         extra = len(line) - size
@@ -306,7 +331,7 @@ def _tile_links(index: list[tuple[int, str, int]], probes: list[tuple[int, str,
         for k in at.tolist():
             iid, other, segment = index[k]
             limit = int(allowed[k])
-            if _shares_earlier(other, line, limit, segment) or edit_distance(other, line, limit) > limit:
+            if _shares_earlier(other, line, limit, int(widths[k]), segment) or edit_distance(other, line, limit) > limit:
                 continue
             counts[iid] = counts.get(iid, 0) + 1
             counts[pid] = counts.get(pid, 0) + 1
@@ -344,9 +369,9 @@ def _verify(steps: Steps):
 def line_links(lines: DataFrame, steps: Steps = EDITS) -> tuple[DataFrame, DataFrame]:
     """Of distinct lines (id, line): links (a, b) between ids that connect what the edit distance connects, and the number
     of all links (id, n_links) of each line that has any."""
-    spark = lines.sparkSession
+    spark, steps = lines.sparkSession, _checked(steps)
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    met = lines.mapInArrow(_entries(_checked(steps)), "key long, entry long").repartition(n, "key").sortWithinPartitions("key", "entry")
+    met = lines.mapInArrow(_entries(steps), "key long, entry long").repartition(n, "key").sortWithinPartitions("key", "entry")
     live, live_path = write_scratch(met.mapInArrow(_live, "key long, side byte, id long, segment byte, chunk long"), "lines-live")
     chunks = live.groupBy("key").agg(F.max(F.when(F.col("side") == 0, F.col("chunk"))).alias("i_last"), F.max(F.when(F.col("side") == 1, F.col("chunk"))).alias("p_last"))
     spread, _ = write_scratch(chunks.filter("i_last is not null and p_last is not null"), "lines-chunks")

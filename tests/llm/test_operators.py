@@ -8,6 +8,8 @@ import random
 import sys
 from collections import Counter, defaultdict
 
+import numpy as np
+import pyarrow as pa
 import pytest
 
 sys.path.insert(0, os.path.dirname(__file__))
@@ -119,6 +121,43 @@ def test_line_edits_that_grow_with_the_length(spark):
             line_dedup.dedup_lines(brute.tiny_docs(spark, []), bad)
 
 
+def test_line_entries_are_few_and_meet():
+    """A line of 96 code points or more has about a dozen entries, the edits of few lines reach another bucket; two lines
+    within the edits share the key of a segment of the shorter one, also where they fall into two buckets or steps."""
+    rng = random.Random(3)
+
+    def entries(lines, steps):
+        out = defaultdict(set)
+        batches = [pa.RecordBatch.from_pydict({"id": pa.array(range(len(lines)), pa.int64()), "line": lines})]
+        for b in line_dedup._entries(steps)(iter(batches)):
+            for key, entry in zip(b.column("key").to_pylist(), b.column("entry").to_pylist(), strict=True):
+                out[entry >> 7 & (1 << line_dedup.ID_BITS) - 1, entry >> 62].add((key, entry & 127))
+        return out
+
+    noise = lambda n, of="abcdefgh ": "".join(rng.choice(of) for _ in range(n))
+    many = entries([noise(n) for n in range(96, 600)], line_dedup.EDITS)
+    assert 13 * 504 <= sum(map(len, many.values())) <= 18 * 504
+    for steps in (line_dedup.EDITS, line_dedup.similarity_steps(0.9, 7), ((4, 3), (5, 4), (9, 5))):
+        bounds, pairs = line_dedup._bounds(400, steps).tolist()[1:], []
+        for n in [b + d for b in bounds for d in range(-3, 4) for _ in range(12) if b + d > 0]:
+            a = noise(n, rng.choice(("ab", "abcdefgh ")))
+            x, limit = list(a), int(line_dedup.max_edits(n, steps))
+            for _ in range(limit):
+                at = rng.choice((0, len(x) - 1, rng.randrange(len(x)))) if x else 0
+                x[at:at + rng.randrange(2)] = rng.choice(("", "Q", "a"))
+            a, b = sorted((a, "".join(x)), key=len)
+            if len(b) - len(a) <= (m := int(line_dedup.max_edits(len(a), steps))) and m and a != b and brute.edit_distance(a, b) <= m:
+                pairs += [a, b]
+        found = entries(pairs, steps)
+        assert len(pairs) > 300
+        for i in range(0, len(pairs), 2):
+            a, b, m = pairs[i], pairs[i + 1], int(line_dedup.max_edits(len(pairs[i]), steps))
+            shared = {s for _, s in found[i, 0] & (found[i + 1, 0] | found[i + 1, 1])}
+            width = line_dedup._bucket(np.array([len(a)]), steps)[0] // (m + 1)
+            assert shared, (a, b)
+            assert [line_dedup._shares_earlier(a, b, m, int(width), s) for s in range(m + 2)] == [s > min(shared) for s in range(m + 2)]
+
+
 def test_mixing(spark, edge_docs, edge_rows, no_docs):
     sizes = defaultdict(int)
     for _, text, _, source, _ in edge_rows:
