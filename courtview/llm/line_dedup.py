@@ -13,8 +13,8 @@ lines are joined:
    from the same end, whatever the other's length;
 2. index and probe entries meet by hash in one shuffle; only buckets with both stay. Buckets are dealt as tiles of at most
    ``TILE`` index lines and ``TILE`` probe lines, so that a segment shared by very many lines spreads over tasks;
-3. in a tile, every pair that passes the length and letter-count bounds is verified by a banded bit-parallel edit
-   distance. A pair belongs to the first segment that its lines share and, at equal length, to the line with the smaller id:
+3. in a tile, every pair that passes the length and letter-count bounds is verified by an edit distance along the
+   furthest places of the diagonals. A pair belongs to the first segment that its lines share and, at equal length, to the line with the smaller id:
    it is verified in one tile only. A tile gives the number of links of each of its lines, which add up, and a spanning
    forest of its links for the components. A line of a bucket of L lines is dealt to L / ``TILE`` tiles, so the work of
    one segment grows with the square of the lines that share it; the rows that come out do not.
@@ -26,6 +26,7 @@ are documents of their own; lines may be very long; an empty table gives an empt
 from __future__ import annotations
 
 import math
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
 from functools import lru_cache
 from itertools import pairwise
@@ -37,11 +38,12 @@ from pyspark.sql import functions as F
 
 from courtview.llm.common import discard, small_batches, text_key, write_scratch
 from courtview.llm.components import connected_components
+from courtview.operators.bloom import may_match
 
 Steps = tuple[tuple[int, int], ...]
 #: Edits allowed for the shorter line: (least length in code points, edits), ascending.
 EDITS: Steps = ((16, 1), (32, 2), (64, 3), (96, 4))
-TILE = 512
+TILE = 128
 ID_BITS = 55
 _B = np.uint64(0x9E3779B97F4A7C15)
 _B_INVERSE = np.uint64(pow(int(_B), -1, 1 << 64))
@@ -68,77 +70,47 @@ def max_edits(length: np.ndarray | int, steps: Steps = EDITS) -> np.ndarray:
 
 
 def edit_distance(a: str, b: str, limit: int) -> int:
-    """Edit distance, or limit + 1 if it is larger: common ends go, the rest runs through a bit-parallel band."""
-    if abs(len(a) - len(b)) > limit:
+    """Edit distance, or limit + 1 if it is larger: for each number of edits, the furthest place of ``a`` on each diagonal
+    (place in ``b`` less place in ``a``) from which the last place can still be reached."""
+    n, m = len(a), len(b)
+    if abs(m - n) > limit:
         return limit + 1
-    if a == b:
+    reach = {0: _shared(a, b, 0, 0)}
+    if n == m and reach[0] == n:
         return 0
-    n = _shared(a, b)
-    a, b = a[n:], b[n:]
-    n = _shared(a[::-1], b[::-1])
-    if n:
-        a, b = a[:-n], b[:-n]
-    if not a or not b:
-        return min(max(len(a), len(b)), limit + 1)
-    return _banded(a, b, limit)
-
-
-def _shared(a: str, b: str) -> int:
-    """Length of the common prefix, by halving."""
-    lo, hi = 0, min(len(a), len(b))
-    while lo < hi:
-        mid = (lo + hi + 1) // 2
-        if a[lo:mid] == b[lo:mid]:
-            lo = mid
-        else:
-            hi = mid - 1
-    return lo
-
-
-def _banded(a: str, b: str, limit: int) -> int:
-    """Furthest-reaching rows of the band, one bit for each cell of a diagonal strip of 2 * limit + 1 diagonals.
-
-    ``state[e]`` has bit d set if some prefix pair on diagonal d - limit is reached with e edits; a step moves all
-    diagonals by one character of ``a`` at once (match bits), the edits move bits by shifts.
-    """
-    width = 2 * limit + 1
-    full = (1 << width) - 1
-    where: dict[str, int] = {}
-    n, m = len(a), len(b)
-    for j in range(min(m, limit)):  # bits of b's characters inside the band of row 0
-        where[b[j]] = where.get(b[j], 0) | 1 << (j + limit + 1)
-    state = [0] * (limit + 1)
-    for e in range(limit + 1):  # row 0: diagonal d - limit = column, reached by e insertions
-        state[e] = sum(1 << (limit + d) for d in range(0, e + 1) if d <= m)
-    for i in range(1, n + 1):
-        # in row i, bit d is column i + d - limit; its character is b[i + d - limit - 1]
-        for c in list(where):
-            v = where[c] >> 1
-            if v:
-                where[c] = v
+    for edits in range(1, limit + 1):
+        spare, now = limit - edits, {}
+        for d in range(max(-edits, -n, m - n - spare), min(edits, m, m - n + spare) + 1):
+            i = max(reach.get(d, -2) + 1, reach.get(d + 1, -2) + 1, reach.get(d - 1, -2))  # substituted, deleted, inserted
+            if i < 0:
+                continue
+            i = min(i, n, m - d)
+            i += _shared(a, b, i, i + d)
+            if i == n and d == m - n:
+                return edits
+            now[d] = i
+        reach = now
+    return limit + 1
+
+
+def _shared(a: str, b: str, i: int, j: int) -> int:
+    """Length of the common run from place i of ``a`` and j of ``b``, by doubling and halving."""
+    most, done, size = min(len(a) - i, len(b) - j), 0, 8
+    while done < most:
+        size = min(size, most - done)
+        if a[i + done:i + done + size] == b[j + done:j + done + size]:
+            done += size
+            size *= 2
+            continue
+        while size > 1:
+            half = size // 2
+            if a[i + done:i + done + half] == b[j + done:j + done + half]:
+                done += half
+                size -= half
             else:
-                del where[c]
-        j = i + limit - 1
-        if j < m:
-            where[b[j]] = where.get(b[j], 0) | 1 << (2 * limit)
-        match = where.get(a[i - 1], 0)
-        lo, hi = limit - i, m - i + limit  # columns 0 to m only
-        valid = full & ~((1 << max(0, lo)) - 1) & ((1 << max(0, min(width, hi + 1))) - 1)
-        new = [0] * (limit + 1)
-        for e in range(limit + 1):
-            reach = state[e] & match
-            if e:
-                reach |= state[e - 1] | (state[e - 1] >> 1)  # substitution, deletion from a
-            reach &= valid
-            if e:
-                reach |= (new[e - 1] << 1) & valid  # insertion from b
-                reach |= new[e - 1]
-            new[e] = reach
-        if not new[limit]:
-            return limit + 1
-        state = new
-    last = 1 << (m - n + limit)
-    return next((e for e in range(limit + 1) if state[e] & last), limit + 1)
+                size = half
+        return done
+    return done
 
 
 @lru_cache
@@ -188,6 +160,7 @@ def _entries(steps: Steps):
 
         An index entry stands for the probe of the same place too, which would have the same key.
         """
+        powers = inverse = np.zeros(0, np.uint64)
         for batch in _grouped(batches, 1 << 20):
             ids = batch.column("id").to_numpy()
             if len(ids) and int(ids.max()) >> ID_BITS:
@@ -196,9 +169,9 @@ def _entries(steps: Steps):
             size = np.array([len(r) // 4 for r in raw], np.int64)
             codes = np.frombuffer(b"".join(raw), "<u4").astype(np.uint64)
             start = np.concatenate(([0], np.cumsum(size)))[:-1]
-            powers = np.concatenate((np.ones(1, np.uint64), np.full(len(codes), _B))).cumprod()
-            inverse = np.concatenate((np.ones(1, np.uint64), np.full(len(codes), _B_INVERSE))).cumprod()
-            upto = np.concatenate((np.zeros(1, np.uint64), np.cumsum((codes + _M) * powers[:-1])))
+            if len(codes) >= len(powers):
+                powers, inverse = (np.concatenate((np.ones(1, np.uint64), np.full(len(codes), x))).cumprod() for x in (_B, _B_INVERSE))
+            upto = np.concatenate((np.zeros(1, np.uint64), np.cumsum((codes + _M) * powers[:len(codes)])))
             keys, entries = [], []
 
             def hashed(which, at, width, length, segment):
@@ -273,7 +246,18 @@ def _live(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 counts[side] += len(mine)
                 out.append((np.full(len(mine), k, np.int64), np.full(len(mine), side, np.int8), (mine >> 7) & ((1 << ID_BITS) - 1), (mine & 127).astype(np.int8), at // TILE))  # noqa: B023
 
-        for g in sorted(set(busy.tolist()) | {0, len(cut) - 2}):
+        ends = {0, len(cut) - 2}
+        inner = np.zeros(len(cut) - 1, bool)
+        inner[busy] = True
+        inner[[*ends]] = False
+        if inner.any():  # buckets that end in this batch, all at once
+            rows, sizes = np.repeat(inner, np.diff(cut)), np.diff(cut)[inner]
+            k, mine = key[rows], entry[rows]
+            first = np.repeat(np.cumsum(sizes) - sizes, sizes)
+            at, index = np.arange(len(mine)) - first, mine >> 62 == 0  # index rows come first: one number for both sides
+            for side, x in ((0, index), (1, np.ones(len(mine), bool))):
+                out.append((k[x], np.full(x.sum(), side, np.int8), (mine[x] >> 7) & ((1 << ID_BITS) - 1), (mine[x] & 127).astype(np.int8), at[x] // TILE))
+        for g in sorted(ends):
             rows = entry[cut[g]:cut[g + 1]]
             if g == 0 and key_now is not None and key[0] == key_now:  # goes on from the batch before
                 rows = np.concatenate((held, rows))
@@ -315,23 +299,23 @@ def _tile_links(index: list[tuple[int, str, int]], probes: list[tuple[int, str,
             x = root[x]
         return x
 
-    ids = np.array([i for i, _, _ in index])
-    size = np.array([len(t) for _, t, _ in index])
-    bars = np.stack([_histogram(t) for _, t, _ in index])
-    allowed = max_edits(size, steps)
-    widths = _bucket(size, steps) // (allowed + 1)
-    links = []
+    index = sorted(index, key=lambda x: len(x[1]))
+    size = [len(t) for _, t, _ in index]
+    allowed = max_edits(np.array(size), steps).tolist()
+    widths = (_bucket(np.array(size), steps) // (np.array(allowed) + 1)).tolist()
+    bars, links = None, []
     for pid, line, _ in probes:
-        extra = len(line) - size
-        near = (extra >= 0) & (extra <= allowed) & ((extra > 0) | (ids < pid))
-        if not near.any():
-            continue
-        at = np.flatnonzero(near)
-        at = at[np.abs(bars[at] - _histogram(line)).sum(axis=1) <= 2 * allowed[at]]
-        for k in at.tolist():
+        n = len(line)
+        at = [k for k in range(bisect_left(size, n - allowed[-1]), bisect_right(size, n))
+              if n - size[k] <= allowed[k] and (n > size[k] or index[k][0] < pid)]
+        if len(at) > 8:  # with fewer, the distances cost no more than the letter counts
+            bars = np.stack([_histogram(t) for _, t, _ in index]) if bars is None else bars
+            near = np.abs(bars[at] - _histogram(line)).sum(axis=1) <= 2 * np.array(allowed)[at]
+            at = [k for k, x in zip(at, near.tolist(), strict=True) if x]
+        for k in at:
             iid, other, segment = index[k]
-            limit = int(allowed[k])
-            if _shares_earlier(other, line, limit, int(widths[k]), segment) or edit_distance(other, line, limit) > limit:
+            limit = allowed[k]
+            if _shares_earlier(other, line, limit, widths[k], segment) or edit_distance(other, line, limit) > limit:
                 continue
             counts[iid] = counts.get(iid, 0) + 1
             counts[pid] = counts.get(pid, 0) + 1
@@ -379,7 +363,8 @@ def line_links(lines: DataFrame, steps: Steps = EDITS) -> tuple[DataFrame, DataF
     index, probe = F.col("side") == 0, F.col("side") == 1
     tiles = placed.withColumn("i", F.explode(F.when(index, F.array("chunk")).otherwise(F.sequence(F.lit(0).cast("long"), F.col("i_last"))))) \
         .withColumn("p", F.explode(F.when(probe, F.array("chunk")).otherwise(F.sequence(F.lit(0).cast("long"), F.col("p_last"))))).select("key", "i", "p", "side", "id", "segment")
-    rows = tiles.join(lines, "id").repartition(n, "key", "i", "p").sortWithinPartitions("key", "i", "p", "side")
+    texts = may_match(lines, live.select("id").distinct(), "id")  # most lines are in no tile and need not be dealt
+    rows = tiles.join(texts, "id").repartition(n, "key", "i", "p").sortWithinPartitions("key", "i", "p", "side")
     found, _ = write_scratch(rows.mapInArrow(_verify(steps), "a long, b long, n long"), "lines-links")
     discard(spark, live_path)
     links = found.filter("b is not null").select("a", "b").distinct()
